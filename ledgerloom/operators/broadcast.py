@@ -1,0 +1,31 @@
+"""Size-checked broadcast.
+
+Seeds and other lookup frames are broadcast only after a row count bound is
+proven; beyond it the join is left to the planner (sort-merge / shuffled
+hash, with AQE free to switch to a broadcast when runtime sizes allow).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``.
+
+    The check reads at most ``max_rows + 1`` rows (a limit pushed into the
+    scan), so it is cheap against a small seed and bounded against a big one.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def collect_bounded(df: DataFrame, max_rows: int, what: str) -> list:
+    """Collect a small lookup (rule lists) to the driver behind a hard bound."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"{what}: more than {max_rows} rows; refusing to inline it")
+    return rows
