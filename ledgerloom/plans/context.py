@@ -17,15 +17,26 @@ from pyspark.sql import functions as F
 
 from ..session import DEFAULT_AS_OF
 from ..sources.fixtures import Fixtures, dim_category_overrides
-from . import gold, silver, transfers
+from . import gold, silver, sinks, transfers
 
 
 class Lake:
-    def __init__(self, spark: SparkSession, sf_dir: str, as_of: _dt.date = DEFAULT_AS_OF):
+    def __init__(self, spark: SparkSession, sf_dir: str, as_of: _dt.date = DEFAULT_AS_OF,
+                 materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
         self.as_of = as_of
         self.fx = Fixtures(spark, sf_dir)
+        self.materialize = materialize
+        self._run_folder: str | None = None
+
+    def table(self, name: str, df: DataFrame) -> DataFrame:
+        """Materialise a multi-consumer model once (dbt's 'table')."""
+        if not self.materialize:
+            return df
+        if self._run_folder is None:
+            self._run_folder = sinks.run_folder(self.spark)
+        return sinks.materialize(df, f"{self._run_folder}/{name}")
 
     # --- bronze ----------------------------------------------------------
     @property
@@ -116,9 +127,15 @@ class Lake:
         return silver.fact_transactions(self.txn_staged, self.dim_accounts, self.dim_merchants,
                                         self.dim_category_overrides)
 
+    @cached_property
+    def fact_table(self) -> DataFrame:
+        """fact_transactions written once; read by every model that scans
+        the fact more than once (transfers, semantic view, alerts)."""
+        return self.table("fact_transactions", self.fact_transactions)
+
     @cached_property
     def transfer_candidates(self) -> DataFrame:
-        return transfers.transfer_candidates(self.fact_transactions)
+        return transfers.transfer_candidates(self.fact_table)
 
     @cached_property
     def transfer_matches(self) -> DataFrame:
@@ -126,7 +143,7 @@ class Lake:
 
     @cached_property
     def one_way_transfers(self) -> DataFrame:
-        return transfers.one_way_transfers(self.fact_transactions, self.dim_transfer_rules,
+        return transfers.one_way_transfers(self.fact_table, self.dim_transfer_rules,
                                            self.transfer_matches)
 
     @cached_property
@@ -148,8 +165,10 @@ class Lake:
     # --- gold ------------------------------------------------------------------
     @cached_property
     def semantic_transactions(self) -> DataFrame:
-        return gold.semantic_transactions(self.fact_transactions, self.dim_merchants, self.dim_categories,
-                                          self.fact_transfers, self.dim_category_overrides)
+        # The override seed is re-derived from the written fact (same stable
+        # ids) so the semantic view does not recompute bronze numbering.
+        return gold.semantic_transactions(self.fact_table, self.dim_merchants, self.dim_categories,
+                                          self.fact_transfers, dim_category_overrides(self.fact_table))
 
     @cached_property
     def spending_by_category(self) -> DataFrame:
@@ -169,15 +188,15 @@ class Lake:
 
     @cached_property
     def duplicate_alerts(self) -> DataFrame:
-        return gold.duplicate_alerts(self.fact_transactions)
+        return gold.duplicate_alerts(self.fact_table)
 
     @cached_property
     def outlier_alerts(self) -> DataFrame:
-        return gold.outlier_alerts(self.fact_transactions)
+        return gold.outlier_alerts(self.fact_table)
 
     @cached_property
     def quality_alerts(self) -> DataFrame:
-        return gold.quality_alerts(self.fact_transactions)
+        return gold.quality_alerts(self.fact_table)
 
     @cached_property
     def transfer_review_queue(self) -> DataFrame:

@@ -47,7 +47,6 @@ def semantic_transactions(fact: DataFrame, merchants: DataFrame, categories: Dat
          .join(cats.select(F.col("category_id").alias("o_cat"), F.col("category_name").alias("o_cat_name"),
                            F.col("parent_name").alias("o_parent_name")), "o_cat", "left")
          .drop("o_cat"))
-    o = bounded_broadcast(o, SEED_BROADCAST_ROWS)
     f = transfers.select(F.col("transaction_id").alias("f_id")).filter(F.col("f_id").isNotNull()).distinct()
     j = (fact.join(m, fact.clean_description == m.m_name, "left")
              .join(f, fact.transaction_id == f.f_id, "left")

@@ -40,9 +40,11 @@ def dim_accounts(questrade_snapshots: DataFrame, bank_statements: DataFrame,
                 .groupBy("account_id", "source_system")
                 .agg(F.max("holder").alias("holder"),
                      F.max("account_kind").alias("account_kind")))
-    n = bounded_broadcast(normalization.select(
+    # The normalisation seed is joined without a hint: Spark's size estimate
+    # (and AQE's runtime one) turns it into a broadcast when it is small.
+    n = normalization.select(
         F.col("account_id").alias("n_account_id"), "friendly_name", "inversion_factor",
-        "is_active", "expected_frequency", "start_date"), SEED_BROADCAST_ROWS)
+        "is_active", "expected_frequency", "start_date")
     j = deduped.join(n, deduped.account_id == n.n_account_id, "left")
     return j.select(
         "account_id", "holder", "source_system",
@@ -132,9 +134,7 @@ def fact_transactions(staged: DataFrame, accounts: DataFrame, merchants: DataFra
     m = merchants.select(F.col("merchant_id").alias("m_merchant_id"),
                          F.col("canonical_name").alias("m_name"),
                          F.col("category_id").alias("m_category"))
-    o = bounded_broadcast(overrides.select(F.col("stable_id").alias("o_stable_id"),
-                                           F.col("category_id").alias("o_category")),
-                          SEED_BROADCAST_ROWS)
+    o = overrides.select(F.col("stable_id").alias("o_stable_id"), F.col("category_id").alias("o_category"))
     j = (staged.join(a, staged.account_id == a.a_account_id, "left")
                .join(m, staged.clean_description == m.m_name, "left")
                .join(o, staged.stable_id == o.o_stable_id, "left"))

@@ -10,9 +10,19 @@ DRIVER_TABLES = (
 ).split()
 
 
+_SCANS: dict[tuple, DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table; callers select the columns they need so the scan
-    prunes (ReadSchema) and filters push down (PushedFilters)."""
+    prunes (ReadSchema) and filters push down (PushedFilters).
+
+    The (lazy) scan is memoised per session and path: resolving a Parquet
+    schema costs a footer read on the driver each time."""
     if name not in DRIVER_TABLES:
         raise ValueError(f"unknown driver table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, id(spark), path)
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(path)
+    return _SCANS[key]

@@ -327,8 +327,16 @@ def questrade_positions(lineitem: DataFrame, part: DataFrame) -> DataFrame:
 
 # --- seeds -------------------------------------------------------------------
 
+_SEEDS: dict[tuple, DataFrame] = {}
+
+
 def _seed(spark: SparkSession, rows, schema: str) -> DataFrame:
-    return spark.createDataFrame(rows, schema=schema)
+    """A literal seed frame, memoised per session (seeds never change in a
+    run, and the rule arrays built from them are memoised per frame)."""
+    key = (spark.sparkContext.applicationId, id(spark), schema, tuple(rows))
+    if key not in _SEEDS:
+        _SEEDS[key] = spark.createDataFrame(rows, schema=schema)
+    return _SEEDS[key]
 
 
 def dim_category_rules(spark: SparkSession) -> DataFrame:
