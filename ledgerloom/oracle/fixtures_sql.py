@@ -195,3 +195,27 @@ SELECT CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE 'T' || CAST(p_partkey AS VARCH
 FROM part, (SELECT 0 AS rep UNION ALL SELECT 1) r
 WHERE rep = 0 OR p_partkey % 7 = 0
 """)
+
+# --- vectors and the prior review queue -------------------------------------------
+from ..sources.fixtures import QUERY_WEIGHTS  # noqa: E402
+
+cte("merchant_vectors", f"""
+SELECT 'M' || CAST(vec_id AS VARCHAR) AS merchant_id,
+       'shop ' || translate(CAST(vec_id AS VARCHAR), '0123456789', 'abcdefghij') AS canonical_name,
+       'uncategorised' AS category_id, CAST(embedding AS DOUBLE[]) AS vec
+FROM embeddings WHERE vec_id % 5 = 0
+""")
+
+_W = "CASE e.vec_id % 5 " + " ".join(f"WHEN {k} THEN {v}" for k, v in QUERY_WEIGHTS.items()) + " END"
+cte("query_vectors", f"""
+SELECT CAST(e.vec_id AS VARCHAR) AS query_id,
+       'shop ' || translate(CAST(e.vec_id AS VARCHAR), '0123456789', 'abcdefghij') AS raw_description,
+       list_transform(range(1, len(b.embedding) + 1),
+                      lambda i: CAST(b.embedding[i] AS DOUBLE) + ({_W}) * CAST(e.embedding[i] AS DOUBLE)) AS vec
+FROM embeddings e JOIN embeddings b ON b.vec_id = e.vec_id - e.vec_id % 5
+WHERE e.vec_id % 5 <> 0
+""")
+
+cte("prior_review_queue", """
+SELECT DISTINCT raw_description FROM cc_transactions WHERE length(raw_description) % 7 = 0
+""", ("cc_transactions",))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..session import DEFAULT_AS_OF
 from ..sources.fixtures import Fixtures, dim_category_overrides
-from . import gold, silver, sinks, transfers
+from . import enrich, gold, silver, sinks, transfers
 
 
 class Lake:
@@ -205,3 +205,55 @@ class Lake:
     @cached_property
     def net_worth_daily(self) -> DataFrame:
         return gold.net_worth_daily(self.bank_statements, self.as_of)
+
+    # --- enrichment --------------------------------------------------------------
+    @cached_property
+    def merchant_vectors(self) -> DataFrame:
+        from ..sources.fixtures import merchant_vectors
+        return merchant_vectors(self.fx.t("embeddings"))
+
+    @cached_property
+    def query_vectors(self) -> DataFrame:
+        from ..sources.fixtures import query_vectors
+        return query_vectors(self.fx.t("embeddings"))
+
+    @cached_property
+    def prior_review_queue(self) -> DataFrame:
+        from ..sources.fixtures import prior_review_queue
+        return prior_review_queue(self.cc_transactions)
+
+    @cached_property
+    def raw_descriptions(self) -> DataFrame:
+        return enrich.distinct_descriptions(self.bank_transactions, self.cc_transactions)
+
+    @cached_property
+    def merchant_clean(self) -> DataFrame:
+        return enrich.merchant_clean_names(self.raw_descriptions)
+
+    @cached_property
+    def merchant_rule_match(self) -> DataFrame:
+        return enrich.merchant_rule_match(self.merchant_clean, self.dim_category_rules)
+
+    @cached_property
+    def unresolved_descriptions(self) -> DataFrame:
+        return enrich.unresolved_descriptions(self.raw_descriptions, self.prior_review_queue)
+
+    @cached_property
+    def rule_merchants(self) -> DataFrame:
+        return enrich.rule_merchants(self.unresolved_descriptions, self.dim_merchants, self.dim_category_rules)
+
+    @cached_property
+    def nearest_merchant(self) -> DataFrame:
+        return enrich.nearest_merchant(self.query_vectors, self.merchant_vectors)
+
+    @cached_property
+    def merchant_triage(self) -> DataFrame:
+        return enrich.triage(self.query_vectors, self.nearest_merchant)
+
+    @cached_property
+    def merchant_new(self) -> DataFrame:
+        return enrich.merchant_new(self.merchant_triage)
+
+    @cached_property
+    def merchant_review_queue(self) -> DataFrame:
+        return enrich.merchant_review_queue(self.merchant_triage)

@@ -511,3 +511,55 @@ class Fixtures:
     @property
     def thesis_records(self) -> DataFrame:
         return self._get("thesis_records", lambda: thesis_records(self.t("part")))
+
+
+# --- vectors and the prior review queue (FIXTURES.md §2.4) -------------------
+
+# Query vector = merchant vector + w * own vector, w by vec_id % 5.
+QUERY_WEIGHTS = {1: 0.3, 2: 0.7, 3: 0.9, 4: 3.0}
+
+
+def _letters(id_col: Column) -> Column:
+    """Digits of an id spelled as letters, so the merchant cleaner keeps it."""
+    return F.translate(id_col.cast("string"), "0123456789", "abcdefghij")
+
+
+def merchant_vectors(embeddings: DataFrame) -> DataFrame:
+    """Merchants that carry a vector: every fifth embedding."""
+    e = embeddings.filter(F.col("vec_id") % 5 == 0)
+    name = F.concat(F.lit("shop "), _letters(F.col("vec_id")))
+    ts = F.lit(FIXTURE_PARSED_AT).cast("timestamp")
+    return e.select(
+        F.concat(F.lit("M"), F.col("vec_id").cast("string")).alias("merchant_id"),
+        name.alias("canonical_name"),
+        F.lit("uncategorised").alias("category_id"),
+        F.col("embedding"),
+        F.transform("embedding", lambda x: x.cast("double")).alias("vec"),
+        ts.alias("created_at"), ts.alias("updated_at"),
+    )
+
+
+def query_vectors(embeddings: DataFrame) -> DataFrame:
+    """Descriptions to resolve: near copies of a merchant vector."""
+    own = embeddings.filter(F.col("vec_id") % 5 != 0).select("vec_id", F.col("embedding").alias("own"))
+    base = embeddings.filter(F.col("vec_id") % 5 == 0).select(F.col("vec_id").alias("b_id"),
+                                                              F.col("embedding").alias("base"))
+    w = F.element_at(F.array(*[F.lit(QUERY_WEIGHTS[i]) for i in (1, 2, 3, 4)]),
+                     (F.col("vec_id") % 5).cast("int"))
+    j = own.join(base, own.vec_id - own.vec_id % 5 == base.b_id)
+    raw = F.concat(F.lit("shop "), _letters(F.col("vec_id")))
+    return j.select(
+        F.col("vec_id").cast("string").alias("query_id"),
+        raw.alias("raw_description"),
+        raw.alias("canonical_name"),
+        F.zip_with("base", "own", lambda b, o: b.cast("double") + w * o.cast("double")).alias("vec"),
+    )
+
+
+def prior_review_queue(cc_transactions: DataFrame) -> DataFrame:
+    """Descriptions queued by an earlier enrichment run."""
+    d = cc_transactions.select("raw_description").filter(F.length("raw_description") % 7 == 0).distinct()
+    return d.select(F.md5("raw_description").alias("queue_id"), "raw_description",
+                    F.lit(None).cast("string").alias("candidate_merchant_id"),
+                    F.lit(None).cast("double").alias("distance"),
+                    F.lit(FIXTURE_PARSED_AT).cast("timestamp").alias("created_at"))
