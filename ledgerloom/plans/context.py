@@ -257,3 +257,30 @@ class Lake:
     @cached_property
     def merchant_review_queue(self) -> DataFrame:
         return enrich.merchant_review_queue(self.merchant_triage)
+
+    # --- ingest ---------------------------------------------------------------------
+    @cached_property
+    def statement_documents(self) -> DataFrame:
+        from ..sources.statements import statement_documents
+        return statement_documents(self.bank_statements, self.bank_transactions, self.cc_statements,
+                                   self.cc_transactions, self.fx.t("pages"))
+
+    @cached_property
+    def prior_header_shas(self) -> DataFrame:
+        from ..sources.statements import prior_header_shas
+        return prior_header_shas(self.bank_statements, self.cc_statements)
+
+    @cached_property
+    def first_copies(self) -> DataFrame:
+        from .ingest import first_copies
+        return first_copies(self.statement_documents, self.prior_header_shas)
+
+    @cached_property
+    def statement_ingest_result(self) -> DataFrame:
+        from .ingest import statement_ingest_result
+        return statement_ingest_result(self.statement_documents, self.first_copies, self.prior_header_shas)
+
+    @cached_property
+    def export_lines(self) -> DataFrame:
+        from ..sources.csv_inbox import export_lines
+        return export_lines(self.fx.t("customer"), self.fx.bank_src)
