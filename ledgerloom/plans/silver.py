@@ -117,14 +117,14 @@ def with_categorisation_inputs(unified: DataFrame, transfer_rules: DataFrame,
                                category_rules: DataFrame) -> DataFrame:
     """clean_description (B7), detected_transfer (B8) and rule_category
     in one projection over broadcast-literal rule arrays."""
-    cd = clean_description(F.col("raw_description"))
-    staged = unified.withColumn("clean_description", cd)
-    detected = transfer_detect(F.col("clean_description"), transfer_rules, category_rules)
-    staged = staged.withColumn("detected_transfer", detected)
+    # Stepwise projections: each rule result references the column computed
+    # before it, so the (regex-heavy) detection is evaluated once per row.
+    staged = unified.select("*", clean_description(F.col("raw_description")).alias("clean_description"))
+    cd = F.col("clean_description")
+    staged = staged.select("*", transfer_detect(cd, transfer_rules, category_rules).alias("detected_transfer"))
     non_transfer_rules = category_rule_array(category_rules, transfer=False)
-    rule_cat = F.when(~F.col("detected_transfer"),
-                      first_rule_category(F.col("clean_description"), non_transfer_rules))
-    return staged.withColumn("rule_category", rule_cat)
+    rule_cat = F.when(~F.col("detected_transfer"), first_rule_category(cd, non_transfer_rules))
+    return staged.select("*", rule_cat.alias("rule_category"))
 
 
 def fact_transactions(staged: DataFrame, accounts: DataFrame, merchants: DataFrame,

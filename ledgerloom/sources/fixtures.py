@@ -164,26 +164,29 @@ def bank_statements(src: DataFrame) -> DataFrame:
 
 def bank_transactions(src: DataFrame) -> DataFrame:
     k = src.filter((F.col("o_custkey") + F.month("mon")) % 13 != 0)
-    line = [
-        F.col("sha").alias("statement_sha256"),
-        F.col("acct").alias("account_number"),
+    line = F.struct(
         F.col("d").alias("txn_date"),
         money(F.col("cents")).alias("amount"),
         F.col("descr").alias("raw_description"),
         money(F.col("tc")).alias("running_balance"),
-    ]
-    base = k.select(*line)
-    # True repeats: the same line twice in one statement.
-    repeats = k.filter(F.col("o_orderkey") % 97 == 0).select(*line)
-    reversals = k.filter(F.col("o_orderkey") % 31 == 2).select(
-        F.col("sha").alias("statement_sha256"),
-        F.col("acct").alias("account_number"),
+    )
+    reversal = F.struct(
         F.date_add("d", (F.col("o_orderkey") % 10).cast("int")).alias("txn_date"),
         money(-F.col("cents")).alias("amount"),
         F.lit(REVERSAL_TEXT).alias("raw_description"),
         money(F.lit(0)).alias("running_balance"),
     )
-    return base.unionByName(repeats).unionByName(reversals)
+    # One pass over the source: every order gives its line, a true repeat of
+    # it (same line twice in one statement) when o_orderkey % 97 == 0, and a
+    # reversal when o_orderkey % 31 == 2.
+    variants = F.array(
+        line,
+        F.when(F.col("o_orderkey") % 97 == 0, line),
+        F.when(F.col("o_orderkey") % 31 == 2, reversal),
+    )
+    rows = k.select(F.col("sha").alias("statement_sha256"), F.col("acct").alias("account_number"),
+                    F.explode(F.filter(variants, lambda v: v.isNotNull())).alias("v"))
+    return rows.select("statement_sha256", "account_number", "v.*")
 
 
 # --- card ------------------------------------------------------------------
