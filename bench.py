@@ -44,9 +44,15 @@ def main() -> None:
     from ledgerloom.session import build_session
     spark = build_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
     qs = queries()
-    # warm-up: JVM start, class loading and the first Parquet footer reads
-    qs["net_worth_daily"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    # warm-up: JVM start and class loading, on the smallest fixture
+    qs["net_worth_daily"](spark, "/root/testdata/sf0.001").write.format("noop").mode("overwrite").save()
     times = {}
+    # Bronze is a stored table in the pipeline: derive and write the bronze
+    # fixture tables once (timed as its own step), then every query reads them.
+    from ledgerloom.sources.fixtures import Fixtures
+    t0 = time.time()
+    Fixtures(spark, sf_dir).land_all()
+    times["land_bronze"] = round(time.time() - t0, 3)
     for n in names:
         t0 = time.time()
         qs[n](spark, sf_dir).write.format("noop").mode("overwrite").save()

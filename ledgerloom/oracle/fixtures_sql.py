@@ -117,16 +117,16 @@ FROM (
 """, ("bank_src",))
 
 cte("questrade_positions", """
-SELECT 'Q' || CAST(l.l_suppkey AS VARCHAR) AS account_number,
-       strftime(l.l_shipdate, '%Y-%m-%d') AS snapshot_date,
-       p.p_name AS symbol, l.l_partkey AS symbol_id, p.p_brand AS description, 'CAD' AS currency,
-       l.l_quantity AS quantity, p.p_retailprice AS current_price,
-       l.l_extendedprice / l.l_quantity AS average_entry_price,
-       l.l_quantity * p.p_retailprice AS current_market_value,
-       l.l_extendedprice AS book_cost,
-       l.l_quantity * p.p_retailprice - l.l_extendedprice AS open_pnl,
-       l.l_shipdate AS fetched_at
-FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+SELECT 'Q' || CAST(l_suppkey AS VARCHAR) AS account_number,
+       strftime(l_shipdate, '%Y-%m-%d') AS snapshot_date,
+       'SYM' || CAST(l_partkey AS VARCHAR) AS symbol, l_partkey AS symbol_id,
+       'lot ' || CAST(l_orderkey AS VARCHAR) AS description, 'CAD' AS currency,
+       l_quantity AS quantity, l_extendedprice / l_quantity * (1 + l_tax) AS current_price,
+       l_extendedprice / l_quantity AS average_entry_price,
+       l_extendedprice * (1 + l_tax) AS current_market_value,
+       l_extendedprice AS book_cost, l_extendedprice * l_tax AS open_pnl,
+       l_shipdate AS fetched_at
+FROM lineitem
 """)
 
 cte("questrade_snapshots", """

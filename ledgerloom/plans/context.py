@@ -96,7 +96,14 @@ class Lake:
 
     @cached_property
     def dim_category_overrides(self) -> DataFrame:
-        return dim_category_overrides(self.txn_unified)
+        # The seed is keyed by stable ids, which depend only on bronze lines
+        # (statement, account, date, amount) — no numbering needed.
+        from ..functions.ids import bar_md5
+        bank = self.bank_transactions.select(bar_md5(
+            F.col("statement_sha256"), F.col("account_number"), F.col("txn_date"), F.col("amount")).alias("stable_id"))
+        card = self.cc_transactions.select(bar_md5(
+            F.col("statement_sha256"), F.col("card_number"), F.col("txn_date"), F.col("amount")).alias("stable_id"))
+        return dim_category_overrides(bank.unionByName(card))
 
     # --- silver ---------------------------------------------------------------
     @cached_property
@@ -133,6 +140,12 @@ class Lake:
         the fact more than once (transfers, semantic view, alerts)."""
         return self.table("fact_transactions", self.fact_transactions)
 
+    @property
+    def fact_for_read(self) -> DataFrame:
+        """The written fact if this run has written it, else the lazy plan
+        (a single-consumer model need not pay for a write)."""
+        return self.__dict__.get("fact_table", self.fact_transactions)
+
     @cached_property
     def transfer_candidates(self) -> DataFrame:
         return transfers.transfer_candidates(self.fact_table)
@@ -160,19 +173,17 @@ class Lake:
 
     @cached_property
     def reconciliation_gaps(self) -> DataFrame:
-        return silver.reconciliation_gaps(self.banking_csv_raw, self.fact_transactions)
+        return silver.reconciliation_gaps(self.banking_csv_raw, self.fact_for_read)
 
     # --- gold ------------------------------------------------------------------
     @cached_property
     def semantic_transactions(self) -> DataFrame:
-        # The override seed is re-derived from the written fact (same stable
-        # ids) so the semantic view does not recompute bronze numbering.
         return gold.semantic_transactions(self.fact_table, self.dim_merchants, self.dim_categories,
-                                          self.fact_transfers, dim_category_overrides(self.fact_table))
+                                          self.fact_transfers, self.dim_category_overrides)
 
     @cached_property
     def spending_by_category(self) -> DataFrame:
-        return gold.spending_by_category(self.fact_transactions)
+        return gold.spending_by_category(self.fact_for_read)
 
     @cached_property
     def cash_flow_monthly(self) -> DataFrame:
@@ -184,7 +195,7 @@ class Lake:
 
     @cached_property
     def data_completeness(self) -> DataFrame:
-        return gold.data_completeness(self.dim_accounts, self.fact_transactions, self.as_of)
+        return gold.data_completeness(self.dim_accounts, self.fact_for_read, self.as_of)
 
     @cached_property
     def duplicate_alerts(self) -> DataFrame:
@@ -282,5 +293,4 @@ class Lake:
 
     @cached_property
     def export_lines(self) -> DataFrame:
-        from ..sources.csv_inbox import export_lines
-        return export_lines(self.fx.t("customer"), self.fx.bank_src)
+        return self.fx.export_lines

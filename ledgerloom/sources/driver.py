@@ -18,11 +18,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prunes (ReadSchema) and filters push down (PushedFilters).
 
     The (lazy) scan is memoised per session and path: resolving a Parquet
-    schema costs a footer read on the driver each time."""
+    schema costs a footer read on the driver each time.
+
+    A scan with fewer splits than the cluster has cores (a small file with
+    one row group) is spread round-robin so the work stacked on it does not
+    run in one task; a real table (many splits) is left as it is. Filters
+    and column pruning still reach the scan through the repartition."""
     if name not in DRIVER_TABLES:
         raise ValueError(f"unknown driver table {name!r}")
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (spark.sparkContext.applicationId, id(spark), path)
     if key not in _SCANS:
-        _SCANS[key] = spark.read.parquet(path)
+        df = spark.read.parquet(path)
+        target = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < target:
+            df = df.repartition(target)
+        _SCANS[key] = df
     return _SCANS[key]

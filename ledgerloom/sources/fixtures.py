@@ -304,27 +304,25 @@ def banking_csv_raw(src: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
-def questrade_positions(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """Broker position rows in the shape of the source database (before A13)."""
-    li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                         "l_quantity", "l_extendedprice", "l_shipdate")
-    p = part.select("p_partkey", "p_name", "p_brand", "p_retailprice")
-    j = li.join(p, li.l_partkey == p.p_partkey)
-    return j.select(
+def questrade_positions(lineitem: DataFrame) -> DataFrame:
+    """Broker position rows in the shape of the source database (before A13):
+    one lot per line item, supplier as the account."""
+    li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_tax",
+                         "l_shipdate")
+    return li.select(
         _key_text("Q", F.col("l_suppkey")).alias("account_number"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("snapshot_date"),
-        F.col("p_name").alias("symbol"),
+        _key_text("SYM", F.col("l_partkey")).alias("symbol"),
         F.col("l_partkey").alias("symbol_id"),
-        F.col("p_brand").alias("description"),
+        _key_text("lot ", F.col("l_orderkey")).alias("description"),
         F.lit("CAD").alias("currency"),
         F.col("l_quantity").alias("quantity"),
-        F.col("p_retailprice").alias("current_price"),
+        (F.col("l_extendedprice") / F.col("l_quantity") * (1 + F.col("l_tax"))).alias("current_price"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("average_entry_price"),
-        (F.col("l_quantity") * F.col("p_retailprice")).alias("current_market_value"),
+        (F.col("l_extendedprice") * (1 + F.col("l_tax"))).alias("current_market_value"),
         F.col("l_extendedprice").alias("book_cost"),
-        (F.col("l_quantity") * F.col("p_retailprice") - F.col("l_extendedprice")).alias("open_pnl"),
+        (F.col("l_extendedprice") * F.col("l_tax")).alias("open_pnl"),
         F.col("l_shipdate").alias("fetched_at"),
-        F.col("l_orderkey"), F.col("l_linenumber"),
     )
 
 
@@ -439,19 +437,51 @@ def thesis_records(part: DataFrame) -> DataFrame:
     return first.unionByName(again)
 
 
+_LANDED: dict[tuple, DataFrame] = {}
+BRONZE_TABLES = ("bank_statements", "bank_transactions", "cc_statements", "cc_transactions",
+                 "banking_csv_raw", "questrade_positions", "export_lines")
+
+
 class Fixtures:
-    """Lazy bundle of every derived bronze table and seed for one sf dir."""
+    """Lazy bundle of every derived bronze table and seed for one sf dir.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    With ``land=True`` each bronze table is written once per session (as
+    Parquet under the checkpoint dir) the first time it is needed and read
+    back from there, as bronze is a stored table in the pipeline; seeds
+    stay lazy."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, land: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.land = land
         self._cache: dict[str, DataFrame] = {}
 
     def _get(self, name, build):
         if name not in self._cache:
-            self._cache[name] = build()
+            if self.land and name in BRONZE_TABLES:
+                self._cache[name] = self._landed(name, build)
+            else:
+                self._cache[name] = build()
         return self._cache[name]
 
+    def _landed(self, name, build):
+        import hashlib
+
+        from ..session import ensure_checkpoint_dir
+        app = self.spark.sparkContext.applicationId
+        key = (app, id(self.spark), self.sf_dir, name)
+        if key not in _LANDED:
+            base = ensure_checkpoint_dir(self.spark).rstrip("/")
+            tag = hashlib.md5(self.sf_dir.encode()).hexdigest()[:12]
+            path = f"{base}/ledgerloom-bronze/{app}/{tag}/{name}"
+            build().write.mode("overwrite").parquet(path)
+            _LANDED[key] = self.spark.read.parquet(path)
+        return _LANDED[key]
+
+    def land_all(self) -> None:
+        for name in BRONZE_TABLES:
+            getattr(self, name)
+
     def t(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
@@ -485,7 +515,13 @@ class Fixtures:
 
     @property
     def questrade_positions(self) -> DataFrame:
-        return self._get("questrade_positions", lambda: questrade_positions(self.t("lineitem"), self.t("part")))
+        return self._get("questrade_positions", lambda: questrade_positions(self.t("lineitem")))
+
+    @property
+    def export_lines(self) -> DataFrame:
+        """Raw CSV export lines as they sit in the inbox (input of A10/A11)."""
+        from .csv_inbox import export_lines
+        return self._get("export_lines", lambda: export_lines(self.t("customer"), self.bank_src))
 
     @property
     def dim_category_rules(self) -> DataFrame:
