@@ -148,11 +148,14 @@ class Lake:
 
     @cached_property
     def transfer_candidates(self) -> DataFrame:
-        return transfers.transfer_candidates(self.fact_table)
+        # Pairs are few next to the fact; written once because mutual best
+        # reads them three times (two aggregates and the join back).
+        return self.table("transfer_candidates", transfers.transfer_candidates(self.fact_table))
 
     @cached_property
     def transfer_matches(self) -> DataFrame:
-        return transfers.transfer_matches(self.transfer_candidates)
+        # Read by one-way detection and by fact_transfers.
+        return self.table("transfer_matches", transfers.transfer_matches(self.transfer_candidates))
 
     @cached_property
     def one_way_transfers(self) -> DataFrame:
