@@ -74,7 +74,7 @@ def rule_merchants(unresolved: DataFrame, merchants: DataFrame, category_rules:
     existing = merchants.select(F.col("canonical_name").alias("e_name")).filter(F.col("e_name").isNotNull())
     fresh = cleaned.select("canonical_name").distinct().join(
         existing.distinct(), F.col("canonical_name") == F.col("e_name"), "left_anti")
-    ts = F.lit(FIXTURE_PARSED_AT).cast("timestamp")
+    ts = F.lit(FIXTURE_PARSED_AT).cast("timestamp_ntz")
     return (fresh.select("canonical_name", rule_category_of(F.col("canonical_name"), category_rules).alias("category_id"))
                  .filter(F.col("category_id").isNotNull())
                  .select(F.md5("canonical_name").alias("merchant_id"), "canonical_name", "category_id",
@@ -99,7 +99,7 @@ def triage(queries: DataFrame, nearest: DataFrame) -> DataFrame:
 
 def merchant_new(triaged: DataFrame) -> DataFrame:
     """New uncategorised merchants with their vector, one per name."""
-    ts = F.lit(FIXTURE_PARSED_AT).cast("timestamp")
+    ts = F.lit(FIXTURE_PARSED_AT).cast("timestamp_ntz")
     new = triaged.filter(F.col("decision") == "new")
     per_name = new.groupBy("canonical_name").agg(F.min(F.struct("query_id", "vec")).alias("w"))
     return per_name.select(F.md5("canonical_name").alias("merchant_id"), "canonical_name",
@@ -110,7 +110,7 @@ def merchant_new(triaged: DataFrame) -> DataFrame:
 
 def merchant_review_queue(triaged: DataFrame) -> DataFrame:
     """Borderline items queued with their candidate and distance."""
-    ts = F.lit(FIXTURE_PARSED_AT).cast("timestamp")
+    ts = F.lit(FIXTURE_PARSED_AT).cast("timestamp_ntz")
     return (triaged.filter(F.col("decision") == "review")
                    .select(F.md5(F.concat_ws("|", "raw_description", "merchant_id")).alias("queue_id"),
                            "raw_description", F.col("merchant_id").alias("candidate_merchant_id"),

@@ -106,7 +106,7 @@ def bronze_bank_statements(first: DataFrame) -> DataFrame:
     a = b.select("sha256", "source_type", "source_id", "issues", F.explode("accounts").alias("a"))
     return a.select("sha256", "source_type", "source_id", "a.header.*",
                     F.col("issues").alias("validation_issues"),
-                    F.lit(FIXTURE_PARSED_AT).cast("timestamp").alias("parsed_at"))
+                    F.lit(FIXTURE_PARSED_AT).cast("timestamp_ntz").alias("parsed_at"))
 
 
 def bronze_bank_transactions(first: DataFrame) -> DataFrame:
@@ -127,7 +127,7 @@ def bronze_cc_statements(first: DataFrame) -> DataFrame:
     c = first.filter(F.col("kind") == "cc")
     return c.select("sha256", "source_type", "source_id", "card.header.*",
                     F.col("issues").alias("validation_issues"),
-                    F.lit(FIXTURE_PARSED_AT).cast("timestamp").alias("parsed_at"),
+                    F.lit(FIXTURE_PARSED_AT).cast("timestamp_ntz").alias("parsed_at"),
                     F.size("card.details").alias("n_details"))
 
 

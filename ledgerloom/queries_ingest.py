@@ -71,7 +71,7 @@ _q("statement_owner_metadata", ["source_id", "title", "owner", "last4"],
 
 _CSV = ["source_file", "landed_at", "row_date", "description", "amount", "account_hint"]
 _q("banking_csv_raw", _CSV, f"SELECT {', '.join(_CSV)} FROM csv_expected", ("csv_expected",))(
-    lambda lake: parse_lines(lake.export_lines, F.lit(FIXTURE_LANDED_AT).cast("timestamp"))[0])
+    lambda lake: parse_lines(lake.export_lines, F.lit(FIXTURE_LANDED_AT).cast("timestamp_ntz"))[0])
 
 
 def _incremental(lake):

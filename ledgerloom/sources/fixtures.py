@@ -158,7 +158,7 @@ def bank_statements(src: DataFrame) -> DataFrame:
         F.when(F.col("o_custkey") % 40 == 39, null_money)
          .otherwise(money(F.col("sum_tc"))).alias("closing_balance"),
         F.array().cast("array<string>").alias("validation_issues"),
-        F.lit(FIXTURE_PARSED_AT).cast("timestamp").alias("parsed_at"),
+        F.lit(FIXTURE_PARSED_AT).cast("timestamp_ntz").alias("parsed_at"),
     )
 
 
@@ -276,7 +276,7 @@ def cc_statements(cc: DataFrame) -> DataFrame:
         null_money.alias("credit_limit"),
         null_money.alias("available_credit"),
         F.array().cast("array<string>").alias("validation_issues"),
-        F.lit(FIXTURE_PARSED_AT).cast("timestamp").alias("parsed_at"),
+        F.lit(FIXTURE_PARSED_AT).cast("timestamp_ntz").alias("parsed_at"),
         "n_details",
     )
 
@@ -299,7 +299,7 @@ def banking_csv_raw(src: DataFrame, events: DataFrame) -> DataFrame:
     both = from_orders.unionByName(from_events)
     return both.select(
         F.concat("account_hint", F.lit(".csv")).alias("source_file"),
-        F.lit(FIXTURE_LANDED_AT).cast("timestamp").alias("landed_at"),
+        F.lit(FIXTURE_LANDED_AT).cast("timestamp_ntz").alias("landed_at"),
         "row_date", "description", "amount", "account_hint",
     )
 
@@ -390,7 +390,7 @@ def dim_merchants(part: DataFrame) -> DataFrame:
     ).distinct()
     spark = part.sparkSession
     extra = spark.createDataFrame(EXTRA_MERCHANTS, "canonical_name string, category_id string")
-    ts = F.lit(FIXTURE_PARSED_AT).cast("timestamp")
+    ts = F.lit(FIXTURE_PARSED_AT).cast("timestamp_ntz")
     return from_parts.unionByName(extra).select(
         F.md5("canonical_name").alias("merchant_id"),
         "canonical_name",
@@ -430,10 +430,10 @@ def thesis_records(part: DataFrame) -> DataFrame:
         F.concat(F.lit("Investment Theses/"), F.concat(F.lit("T"), k.cast("string")), F.lit(".md")).alias("source_file"),
         k.alias("p_partkey"),
     )
-    first = base.withColumn("ingested_at", F.lit("2001-12-01 00:00:00").cast("timestamp"))
+    first = base.withColumn("ingested_at", F.lit("2001-12-01 00:00:00").cast("timestamp_ntz"))
     again = (base.filter(k % 7 == 0)
                  .withColumn("price_at_open", (F.col("price_at_open") + F.lit(1)).cast("decimal(12,4)"))
-                 .withColumn("ingested_at", F.lit("2001-12-15 00:00:00").cast("timestamp")))
+                 .withColumn("ingested_at", F.lit("2001-12-15 00:00:00").cast("timestamp_ntz")))
     return first.unionByName(again)
 
 
@@ -567,7 +567,7 @@ def merchant_vectors(embeddings: DataFrame) -> DataFrame:
     """Merchants that carry a vector: every fifth embedding."""
     e = embeddings.filter(F.col("vec_id") % 5 == 0)
     name = F.concat(F.lit("shop "), _letters(F.col("vec_id")))
-    ts = F.lit(FIXTURE_PARSED_AT).cast("timestamp")
+    ts = F.lit(FIXTURE_PARSED_AT).cast("timestamp_ntz")
     return e.select(
         F.concat(F.lit("M"), F.col("vec_id").cast("string")).alias("merchant_id"),
         name.alias("canonical_name"),
@@ -601,4 +601,4 @@ def prior_review_queue(cc_transactions: DataFrame) -> DataFrame:
     return d.select(F.md5("raw_description").alias("queue_id"), "raw_description",
                     F.lit(None).cast("string").alias("candidate_merchant_id"),
                     F.lit(None).cast("double").alias("distance"),
-                    F.lit(FIXTURE_PARSED_AT).cast("timestamp").alias("created_at"))
+                    F.lit(FIXTURE_PARSED_AT).cast("timestamp_ntz").alias("created_at"))

@@ -104,8 +104,8 @@ def page_provenance(pages: DataFrame, landed_at: str) -> DataFrame:
     """A1 over the web pages table: the landing record of each page."""
     return pages.select(
         F.lit("web/pages").alias("source"),
-        F.lit(landed_at).cast("timestamp").alias("ingested_at"),
-        F.lit(None).cast("timestamp").alias("source_timestamp"),
+        F.lit(landed_at).cast("timestamp_ntz").alias("ingested_at"),
+        F.lit(None).cast("timestamp_ntz").alias("source_timestamp"),
         F.concat(F.lit("page_"), F.col("page_id").cast("string"), F.lit(".html")).alias("filename"),
         F.octet_length("html").cast("bigint").alias("size_bytes"),
         F.sha2(F.col("html"), 256).alias("sha256"),
@@ -124,9 +124,9 @@ def land_files(spark, input_glob: str, lake_root: str, domain: str, source: str,
     name = F.element_at(F.split(F.col("path"), "/"), -1)
     rec = raw.select(
         F.lit(domain).alias("domain"), F.lit(source).alias("source_name"),
-        F.to_date(F.lit(landed_at).cast("timestamp")).alias("ingest_date"),
+        F.to_date(F.lit(landed_at).cast("timestamp_ntz")).alias("ingest_date"),
         F.lit(f"{domain}/{source}").alias("source"),
-        F.lit(landed_at).cast("timestamp").alias("ingested_at"),
+        F.lit(landed_at).cast("timestamp_ntz").alias("ingested_at"),
         F.col("modificationTime").alias("source_timestamp"),
         name.alias("filename"),
         F.col("length").alias("size_bytes"),

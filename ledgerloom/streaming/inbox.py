@@ -28,7 +28,7 @@ def run_inbox_stream(spark: SparkSession, inbox_dir: str, bronze_dir: str, quara
 
     def write_batch(batch_df, batch_id: int) -> None:
         rows, rejected = parse_lines(lines_of(batch_df.select("source_file", "value")),
-                                     F.lit(landed_at).cast("timestamp"))
+                                     F.lit(landed_at).cast("timestamp_ntz"))
         rows.write.mode("overwrite").parquet(f"{bronze_dir}/batch={batch_id}")
         rejected.write.mode("overwrite").parquet(f"{quarantine_dir}/batch={batch_id}")
 
