@@ -27,8 +27,8 @@ DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 _OUT_SCHEMA = "query_id string, merchant_id string, distance double"
 
 
-def _unit_rows(rows, dim):
-    ids = [r["merchant_id"] for r in rows]
+def _unit_rows(rows, dim, id_field="merchant_id"):
+    ids = [r[id_field] for r in rows]
     mat = np.asarray([np.asarray(r["vec"], dtype=np.float64) for r in rows], dtype=np.float64).reshape(len(rows), dim)
     norms = np.linalg.norm(mat, axis=1)
     keep = norms > 0
@@ -97,3 +97,109 @@ def nearest_merchant(queries: DataFrame, merchants: DataFrame,
     return (q.select("query_id").join(best, "query_id", "left")
              .select("query_id", F.col("b.merchant_id").alias("merchant_id"),
                      F.col("b.distance").alias("distance")))
+
+
+# --- ordered variants (sequential "earlier inserts are visible" semantics) --------------
+
+def _sorted_unit(rows, dim):
+    keys = np.asarray([r["ord_key"] for r in rows], dtype=object)
+    ids, unit = _unit_rows(rows, dim, "item_id")  # rows are pre-sorted by ord_key; zero vectors dropped
+    if len(ids) != len(rows):  # keep keys aligned with the rows that survived
+        keep = [i for i, r in enumerate(rows) if np.linalg.norm(np.asarray(r["vec"], dtype=np.float64)) > 0]
+        keys = keys[keep]
+    return ids, keys, unit
+
+
+def neighbours_before(items: DataFrame, max_distance: float,
+                      max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """items(item_id, ord_key, vec) -> (item_id, other_id, distance) for every
+    other item that comes earlier by ``ord_key`` and lies within
+    ``max_distance`` (strictly closer). Only qualifying pairs leave a task;
+    the item matrix is broadcast in byte-bounded chunks."""
+    it = items.select(F.col("item_id").cast("string").alias("item_id"), "ord_key", "vec")
+    stats = it.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dim")).collect()[0]
+    n, dim = stats["n"], stats["dim"] or 0
+    schema = "item_id string, other_id string, distance double"
+    if n == 0:
+        return it.sparkSession.createDataFrame([], schema)
+    chunks = max(1, math.ceil(n * dim * 8 / max_broadcast_bytes))
+    out = None
+    for c in range(chunks):
+        part = it if chunks == 1 else it.filter(F.pmod(F.xxhash64("item_id"), F.lit(chunks)) == c)
+        rows = part.orderBy("ord_key", "item_id").collect()
+        ids, keys, unit = _sorted_unit(rows, dim)
+        sc = it.sparkSession.sparkContext
+        b = sc.broadcast((ids, keys, unit))
+
+        def run(batches, b=b):
+            mids, mkeys, mat = b.value
+            for pdf in batches:
+                if pdf.empty or len(mids) == 0:
+                    continue
+                q = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["vec"]])
+                qn = np.linalg.norm(q, axis=1)
+                with np.errstate(invalid="ignore", divide="ignore"):
+                    dist = 1.0 - (q @ mat.T) / qn[:, None]
+                # columns are sorted by key: the earlier ones are a prefix
+                pos = np.searchsorted(mkeys, pdf["ord_key"].to_numpy(dtype=object), side="left")
+                earlier = np.arange(len(mids))[None, :] < pos[:, None]
+                hit = earlier & (dist < max_distance)
+                r, cidx = np.nonzero(hit)
+                if len(r):
+                    yield pd.DataFrame({"item_id": pdf["item_id"].to_numpy(dtype=object)[r],
+                                        "other_id": mids[cidx], "distance": dist[r, cidx]})
+
+        res = it.mapInPandas(run, schema)
+        out = res if out is None else out.unionByName(res)
+    return out
+
+
+def nearest_earlier(queries: DataFrame, merchants: DataFrame,
+                    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """Like ``nearest_merchant`` but a query only sees merchants whose
+    ``ord_key`` is smaller than its own (queries and merchants both carry
+    ``ord_key``)."""
+    m = merchants.filter(F.col("vec").isNotNull() & (F.size("vec") > 0)).select(
+        F.col("merchant_id").alias("item_id"), "ord_key", "vec")
+    q = queries.select(F.col("query_id").cast("string").alias("query_id"), "ord_key", "vec")
+    stats = m.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dim")).collect()[0]
+    n, dim = stats["n"], stats["dim"] or 0
+    schema = "query_id string, merchant_id string, distance double"
+    if n == 0:
+        return q.select("query_id", F.lit(None).cast("string").alias("merchant_id"),
+                        F.lit(None).cast("double").alias("distance"))
+    chunks = max(1, math.ceil(n * dim * 8 / max_broadcast_bytes))
+    parts = []
+    for c in range(chunks):
+        part = m if chunks == 1 else m.filter(F.pmod(F.xxhash64("item_id"), F.lit(chunks)) == c)
+        rows = part.orderBy("ord_key", "item_id").collect()
+        ids, keys, unit = _sorted_unit(rows, dim)
+        b = q.sparkSession.sparkContext.broadcast((ids, keys, unit))
+
+        def run(batches, b=b):
+            mids, mkeys, mat = b.value
+            for pdf in batches:
+                if pdf.empty:
+                    continue
+                q_ = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["vec"]])
+                qn = np.linalg.norm(q_, axis=1)
+                with np.errstate(invalid="ignore", divide="ignore"):
+                    dist = 1.0 - (q_ @ mat.T) / qn[:, None]
+                pos = np.searchsorted(mkeys, pdf["ord_key"].to_numpy(dtype=object), side="left")
+                dist = np.where(np.arange(len(mids))[None, :] < pos[:, None], dist, np.inf)
+                dist = np.where(np.isnan(dist), np.inf, dist)
+                if len(mids) == 0:
+                    continue
+                best = np.argmin(dist, axis=1)
+                bd = dist[np.arange(len(pdf)), best]
+                ok = np.isfinite(bd)
+                yield pd.DataFrame({"query_id": pdf["query_id"].to_numpy(dtype=object)[ok],
+                                    "merchant_id": mids[best[ok]], "distance": bd[ok]})
+
+        parts.append(q.mapInPandas(run, schema))
+    allp = parts[0]
+    for p in parts[1:]:
+        allp = allp.unionByName(p)
+    best = allp.groupBy("query_id").agg(F.min(F.struct("distance", "merchant_id")).alias("b"))
+    return (q.select("query_id").join(best, "query_id", "left")
+             .select("query_id", F.col("b.merchant_id").alias("merchant_id"), F.col("b.distance").alias("distance")))

@@ -115,3 +115,74 @@ def merchant_review_queue(triaged: DataFrame) -> DataFrame:
                    .select(F.md5(F.concat_ws("|", "raw_description", "merchant_id")).alias("queue_id"),
                            "raw_description", F.col("merchant_id").alias("candidate_merchant_id"),
                            "distance", ts.alias("created_at")))
+
+
+# --- ordered mode: earlier inserts are visible to later descriptions ---------------------
+
+def ordered_triage(queries: DataFrame, merchants: DataFrame, max_rounds_hint: int = 0) -> DataFrame:
+    """D6–D8 with the reference's sequential visibility, order = (canonical
+    name, query id).
+
+    A description becomes a new merchant iff its nearest distance over the
+    batch-start merchants *and the new merchants before it* is >= 0.35 (or
+    there is none). The new merchants are therefore the lexicographically
+    first maximal independent set of the graph whose nodes are the items
+    that are new against the snapshot and whose edges join items closer
+    than 0.35. It is found in rounds, all on executors: an undecided item
+    with an earlier leader neighbour is absorbed; one whose earlier
+    neighbours are all absorbed becomes a leader. Each round decides at
+    least the earliest undecided item, so the loop ends; every round's
+    status is checkpointed (reliable, under spark.checkpoint.dir) to cut
+    the lineage. Finally every item is triaged against the snapshot plus
+    the leaders that precede it.
+
+    Returns (query_id, raw_description, canonical_name, merchant_id,
+    distance, decision, rounds).
+    """
+    from ..operators.nearest import nearest_earlier, neighbours_before
+    from ..session import ensure_checkpoint_dir
+
+    spark = queries.sparkSession
+    ensure_checkpoint_dir(spark)
+    q = queries.select(F.col("query_id").cast("string").alias("query_id"), "raw_description", "canonical_name",
+                       "vec", F.concat_ws("\u0001", "canonical_name", F.col("query_id").cast("string")).alias("ord_key"))
+    snap = _nearest(q.select("query_id", "vec"), merchants).select(
+        "query_id", F.col("merchant_id").alias("s_merchant"), F.col("distance").alias("s_dist"))
+    qs = q.join(snap, "query_id", "left").checkpoint()
+    cand = qs.filter(F.col("s_merchant").isNull() | (F.col("s_dist") >= NEW_MERCHANT_MIN))
+    edges = neighbours_before(cand.select(F.col("query_id").alias("item_id"), "ord_key", "vec"),
+                              NEW_MERCHANT_MIN).select("item_id", "other_id").checkpoint()
+    status = cand.select(F.col("query_id").alias("item_id"), F.lit("U").alias("status")).checkpoint()
+    rounds = 0
+    while True:
+        rounds += 1
+        earlier = edges.join(status.select(F.col("item_id").alias("other_id"), F.col("status").alias("y")),
+                             "other_id")
+        agg = earlier.groupBy("item_id").agg(F.max(F.col("y") == "L").alias("any_leader"),
+                                             F.min(F.col("y") == "N").alias("all_absorbed"))
+        new = (status.join(agg, "item_id", "left")
+               .select("item_id",
+                       F.when(F.col("status") != "U", F.col("status"))
+                        .when(F.coalesce(F.col("any_leader"), F.lit(False)), F.lit("N"))
+                        .when(F.coalesce(F.col("all_absorbed"), F.lit(True)), F.lit("L"))
+                        .otherwise(F.lit("U")).alias("status"))
+               .checkpoint())
+        status = new
+        if status.filter(F.col("status") == "U").limit(1).count() == 0:
+            break
+    leaders = (qs.join(status.filter(F.col("status") == "L").select(F.col("item_id").alias("query_id")), "query_id")
+                 .select(F.md5("ord_key").alias("merchant_id"), "ord_key", "vec", "query_id"))
+    near_l = nearest_earlier(q.select("query_id", "ord_key", "vec"), leaders.select("merchant_id", "ord_key", "vec"))
+    near_l = near_l.select("query_id", F.col("merchant_id").alias("l_merchant"), F.col("distance").alias("l_dist"))
+    is_leader = leaders.select("query_id", F.lit(True).alias("is_leader"))
+    j = qs.join(near_l, "query_id", "left").join(is_leader, "query_id", "left")
+    use_l = F.col("l_dist").isNotNull() & (F.col("s_dist").isNull() | (F.col("l_dist") < F.col("s_dist")))
+    best_m = F.when(use_l, F.col("l_merchant")).otherwise(F.col("s_merchant"))
+    best_d = F.when(use_l, F.col("l_dist")).otherwise(F.col("s_dist"))
+    decision = (F.when(F.coalesce(F.col("is_leader"), F.lit(False)), F.lit("new"))
+                 .when(best_d <= AUTO_MATCH_MAX, F.lit("auto"))
+                 .otherwise(F.lit("review")))
+    return j.select("query_id", "raw_description", "canonical_name",
+                    F.when(decision == "new", F.lit(None).cast("string")).otherwise(best_m).alias("merchant_id"),
+                    F.when(decision == "new", F.lit(None).cast("double")).otherwise(best_d).alias("distance"),
+                    decision.alias("decision"), F.lit(rounds).alias("rounds"))

@@ -35,3 +35,8 @@ register("merchant_review_queue", ["queue_id", "raw_description", "candidate_mer
             FROM merchant_triage WHERE decision = 'review'""",
          ("merchant_triage",))(
     lambda lake: lake.merchant_review_queue.withColumn("distance", F.round("distance", 6)))
+
+# Ordered mode (iterative; no SQL oracle, checked against a plain loop in tests).
+register("merchant_triage_ordered", ["query_id", "merchant_id", "distance", "decision"])(
+    lambda lake: __import__("ledgerloom.plans.enrich", fromlist=["ordered_triage"]).ordered_triage(
+        lake.query_vectors, lake.merchant_vectors).withColumn("distance", F.round("distance", 6)))

@@ -140,3 +140,42 @@ def test_nearest_chunked_equals_single_and_numpy(spark):
         j = int(np.argmin(d[i]))
         assert single[str(i)][0] == f"m{j:02d}" == chunked[str(i)][0]
         assert single[str(i)][1] == pytest.approx(d[i, j]) == chunked[str(i)][1]
+
+
+def _loop_triage(qv, names, m):
+    """The reference's one-by-one loop: earlier inserts are visible."""
+    import hashlib
+    from ledgerloom.plans.enrich import AUTO_MATCH_MAX, NEW_MERCHANT_MIN
+    order = sorted(range(len(qv)), key=lambda i: (names[i], str(i)))
+    pool = [(f"m{i}", v / np.linalg.norm(v)) for i, v in enumerate(m)]
+    out = {}
+    for i in order:
+        v = qv[i]
+        best = min(((mid, 1 - float(v @ u) / np.linalg.norm(v)) for mid, u in pool), key=lambda t: t[1], default=None)
+        if best is None or best[1] >= NEW_MERCHANT_MIN:
+            out[str(i)] = ("new", None)
+            pool.append((hashlib.md5(f"{names[i]}\u0001{i}".encode()).hexdigest(), v / np.linalg.norm(v)))
+        else:
+            out[str(i)] = ("auto" if best[1] <= AUTO_MATCH_MAX else "review", best[0])
+    return out
+
+
+@pytest.mark.parametrize("shape", ["clusters", "chain"])
+def test_ordered_triage_equals_sequential_loop(spark, shape):
+    from ledgerloom.plans.enrich import ordered_triage
+    rng = np.random.default_rng(4)
+    if shape == "clusters":
+        centers = rng.normal(size=(5, 12))
+        m = centers[:2] + 0.05 * rng.normal(size=(2, 12))
+        qv = np.vstack([centers[i % 5] + 0.35 * rng.normal(size=12) for i in range(80)])
+    else:  # a path: each point close to the previous one -> many rounds
+        base, step = rng.normal(size=12), rng.normal(size=12)
+        m = np.vstack([-base])
+        qv = np.vstack([base + 0.12 * k * step for k in range(14)])
+    names = [f"n{i:03d}" for i in range(len(qv))]
+    mdf = spark.createDataFrame([(f"m{i}", [float(x) for x in v]) for i, v in enumerate(m)],
+                                "merchant_id string, vec array<double>")
+    qdf = spark.createDataFrame([(str(i), f"raw{i}", names[i], [float(x) for x in v]) for i, v in enumerate(qv)],
+                                "query_id string, raw_description string, canonical_name string, vec array<double>")
+    got = {r.query_id: (r.decision, r.merchant_id) for r in ordered_triage(qdf, mdf).collect()}
+    assert got == _loop_triage(qv, names, m)

@@ -8,7 +8,8 @@ from oracle_check import digest, duck
 from conftest import SMALL
 
 SLOW = {"csv_inbox_incremental"}
-NAMES = sorted(entry.queries())
+ROWS_ONLY = {"merchant_triage_ordered"}  # iterative: checked against a plain loop in test_operators
+NAMES = sorted(set(entry.queries()) - ROWS_ONLY)
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +18,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(entry.oracle_sql()) == set(entry.queries()) - ROWS_ONLY
 
 
 @pytest.mark.parametrize("name", [n for n in NAMES if n not in SLOW])
