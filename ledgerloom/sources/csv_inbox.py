@@ -1,10 +1,10 @@
 """Bank/card CSV exports (A10): headers vary per bank, so columns are found
 through alias sets; rows are validated and typed with built-in expressions.
 
-Input is text lines with their file and line number: a batch reader
-(``read_inbox``, one row per file via ``wholetext`` then ``posexplode``) and
-the streaming inbox (``streaming.inbox``) produce the same shape. Each file
-is a single export, bounded by nature.
+Input is text lines with their file and a line position (0 = header): the
+batch reader (``read_inbox``) and the streaming inbox (``streaming.inbox``)
+both read the splittable line source, so a large file is spread over many
+tasks like any other input.
 """
 
 from __future__ import annotations
@@ -85,17 +85,41 @@ def parse_lines(lines: DataFrame, landed_at: Column) -> tuple[DataFrame, DataFra
     return rows, rejected
 
 
-def read_inbox(spark: SparkSession, path_glob: str) -> DataFrame:
-    """Batch reader: one row per file (``wholetext``), split into numbered
-    lines on the executors."""
-    files = (spark.read.option("wholetext", "true").text(path_glob)
-             .select(F.col("_metadata.file_path").alias("source_file"), "value"))
-    return lines_of(files)
+def lines_of_text(raw: DataFrame) -> DataFrame:
+    """raw(file_path, source_file, block_start, text) — lines from the
+    splittable text source — to (source_file, line_no, text).
+
+    A file's header is its first line: the smallest row id among the rows
+    of the split that starts at byte 0. Row ids come from
+    ``monotonically_increasing_id`` (partition index + position, both fixed
+    by the file splits, so a retried task reproduces them). The header pick
+    is a partial aggregate per file, so no file — however large — is ever
+    gathered into one task; a body line gets ``line_no`` > 0 (its row id,
+    not its line number)."""
+    t = raw.select("file_path", "source_file", "block_start", "text",
+                   F.monotonically_increasing_id().alias("_lid"))
+    first = (t.filter(F.col("block_start") == 0).groupBy(F.col("file_path").alias("_fp"))
+             .agg(F.min("_lid").alias("_hid")))
+    j = t.join(first, t.file_path == first._fp, "left")
+    return j.select("source_file",
+                    F.when(F.col("_lid") == F.col("_hid"), F.lit(0).cast("bigint"))
+                     .otherwise(F.col("_lid") + 1).alias("line_no"),
+                    "text")
+
+
+def raw_text_columns(df: DataFrame) -> DataFrame:
+    """Text-source rows -> (file_path, source_file, block_start, text); the
+    file name is the partition value ``source_file`` when the inbox is laid
+    out by name, else the path's last component."""
+    name = (F.col("source_file") if "source_file" in df.columns
+            else F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
+    return df.select(F.col("_metadata.file_path").alias("file_path"), name.alias("source_file"),
+                     F.col("_metadata.file_block_start").alias("block_start"), F.col("value").alias("text"))
 
 
-def lines_of(files: DataFrame) -> DataFrame:
-    return files.select("source_file", F.posexplode(F.split(F.regexp_replace("value", "\r\n", "\n"), "\n"))
-                        .alias("line_no", "text"))
+def read_inbox(spark: SparkSession, path_glob: str) -> DataFrame:
+    """Batch reader over the splittable text source."""
+    return lines_of_text(raw_text_columns(spark.read.text(path_glob)))
 
 
 # --- fixture: raw export lines from the driver tables ----------------------------------

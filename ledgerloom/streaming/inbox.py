@@ -14,21 +14,20 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.csv_inbox import lines_of, parse_lines
+from ..sources.csv_inbox import lines_of_text, parse_lines, raw_text_columns
 
 
 def run_inbox_stream(spark: SparkSession, inbox_dir: str, bronze_dir: str, quarantine_dir: str,
                      checkpoint_dir: str, archive_dir: str, landed_at: str) -> None:
-    files = (spark.readStream.format("text")
-             .schema("value string, source_file string")
-             .option("wholetext", "true")
-             .option("cleanSource", "archive")
-             .option("sourceArchiveDir", archive_dir)
-             .load(inbox_dir))
+    files = raw_text_columns(
+        spark.readStream.format("text")
+        .schema("value string, source_file string")
+        .option("cleanSource", "archive")
+        .option("sourceArchiveDir", archive_dir)
+        .load(inbox_dir))
 
     def write_batch(batch_df, batch_id: int) -> None:
-        rows, rejected = parse_lines(lines_of(batch_df.select("source_file", "value")),
-                                     F.lit(landed_at).cast("timestamp_ntz"))
+        rows, rejected = parse_lines(lines_of_text(batch_df), F.lit(landed_at).cast("timestamp_ntz"))
         rows.write.mode("overwrite").parquet(f"{bronze_dir}/batch={batch_id}")
         rejected.write.mode("overwrite").parquet(f"{quarantine_dir}/batch={batch_id}")
 

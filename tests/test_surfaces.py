@@ -46,3 +46,23 @@ def test_land_files(spark):
     # landing again the same day replaces that day's partition
     land_files(spark, f"{src}/*", lake, "banking", "inbox", "2002-01-01 11:00:00")
     assert spark.read.parquet(f"{lake}/bronze_files").count() == 2
+
+
+def test_inbox_reader_headers_and_rejects(spark):
+    from pyspark.sql import functions as F
+    from ledgerloom.sources.csv_inbox import parse_lines, read_inbox
+    d = tempfile.mkdtemp(prefix="ll-inbox-")
+    files = {
+        "A1.csv": "\ufeffDate,Description,Amount\n2024-01-02,Coffee,\"1,234.50\"\n2024-13-01,Bad,1.00\n,NoDate,2.00\n2024-01-05,,$3.10\n",
+        "A2.csv": "Details,Posted Date,CAD$\nRent,2024-02-01,(12.00)\nGym,2024-02-03,40\n",
+        "A3.csv": "When,What,How Much\n2024-01-01,x,1\n",
+    }
+    for n, body in files.items():
+        with open(os.path.join(d, n), "w", encoding="utf-8") as f:
+            f.write(body)
+    rows, rejected = parse_lines(read_inbox(spark, d), F.lit("2024-03-01 00:00:00").cast("timestamp_ntz"))
+    got = sorted((r.account_hint, str(r.row_date), r.description, str(r.amount)) for r in rows.collect())
+    assert got == [("A1", "2024-01-02", "Coffee", "1234.50"), ("A1", "2024-01-05", None, "3.10"),
+                   ("A2", "2024-02-03", "Gym", "40.00")]
+    reasons = sorted(r.reason for r in rejected.collect())
+    assert reasons == ["bad_amount", "bad_date", "blank_date", "unrecognised_header"]
