@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from .broadcast import collect_bounded
 
 MAX_RULES = 10_000
+# Up to this many rules, matching is generated as plain OR / CASE WHEN chains
+# (whole-stage codegen, short-circuit); above it the literal array with
+# higher-order functions keeps the expression size flat.
+INLINE_RULES = 256
 
 
 def _lit_array(structs: list[Column], element_ddl: str) -> Column:
@@ -23,6 +27,24 @@ def _lit_array(structs: list[Column], element_ddl: str) -> Column:
     return F.array(*structs)
 
 
+def category_rules_list(rules: DataFrame, transfer: bool | None = None,
+                        lower_patterns: bool = False) -> list[tuple[int, str, str, str]]:
+    """(priority, rule_id, category, pattern) sorted by (priority, rule_id)."""
+    rows = collect_bounded(rules.select("rule_id", "category_id", "pattern", "priority"),
+                           MAX_RULES, "dim_category_rules")
+    out = []
+    for r in rows:
+        if r["pattern"] is None or r["category_id"] is None:
+            continue
+        if transfer is True and r["category_id"] != "transfer":
+            continue
+        if transfer is False and r["category_id"] == "transfer":
+            continue
+        pat = r["pattern"].lower() if lower_patterns else r["pattern"]
+        out.append((int(r["priority"]), r["rule_id"], r["category_id"], pat))
+    return sorted(out, key=lambda t: (t[0], t[1]))
+
+
 def category_rule_array(rules: DataFrame, transfer: bool | None = None,
                         lower_patterns: bool = False) -> Column:
     """Category rules as array<struct<priority,rule_id,category,pattern>>.
@@ -63,8 +85,34 @@ def contains_any(text: Column, patterns: Column) -> Column:
     return F.exists(patterns, lambda p: F.contains(text, p))
 
 
-def first_rule_category(text: Column, rules: Column) -> Column:
-    """Category of the matching rule with the smallest (priority, rule_id)."""
+def contains_any_of(text: Column, patterns: list[str]) -> Column:
+    """Same as ``contains_any`` for a short literal list, as an OR chain."""
+    if not patterns:
+        return F.when(text.isNull(), F.lit(None).cast("boolean")).otherwise(F.lit(False))
+    if len(patterns) > INLINE_RULES:
+        return contains_any(text, F.array(*[F.lit(p) for p in patterns]))
+    cond = None
+    for p in patterns:
+        c = text.contains(p)
+        cond = c if cond is None else (cond | c)
+    return cond
+
+
+def first_rule_category(text: Column, rules) -> Column:
+    """Category of the matching rule with the smallest (priority, rule_id).
+
+    ``rules`` is a list from ``category_rules_list`` (CASE WHEN chain, or the
+    array form beyond INLINE_RULES) or a literal rule array column."""
+    if isinstance(rules, list):
+        if len(rules) > INLINE_RULES:
+            arr = F.array(*[F.struct(F.lit(pr).alias("priority"), F.lit(rid).alias("rule_id"),
+                                     F.lit(cat).alias("category"), F.lit(pat).alias("pattern"))
+                            for pr, rid, cat, pat in rules])
+            return first_rule_category(text, arr)
+        expr = None
+        for _, _, cat, pat in rules:
+            expr = F.when(text.contains(pat), F.lit(cat)) if expr is None else expr.when(text.contains(pat), F.lit(cat))
+        return expr if expr is not None else F.lit(None).cast("string")
     hits = F.filter(rules, lambda r: F.contains(text, r["pattern"]))
     return F.array_min(hits)["category"]
 
@@ -76,9 +124,10 @@ TRANSFER_WORD_PATTERNS = [r"(^|\s)transfer(\s|$|sent|received)", r"(^|\s)tf\d"]
 def transfer_detect(clean: Column, transfer_rules: DataFrame, category_rules: DataFrame) -> Column:
     """Any transfer-rule pattern, any transfer category rule, or the
     catch-all word patterns."""
-    cond = contains_any(clean, transfer_pattern_array(transfer_rules))
-    transfer_cats = category_rule_array(category_rules, transfer=True)
-    cond = cond | F.exists(transfer_cats, lambda r: F.contains(clean, r["pattern"]))
+    rows = collect_bounded(transfer_rules.select("pattern", "direction"), MAX_RULES, "dim_transfer_rules")
+    patterns = [r["pattern"] for r in rows if r["pattern"] is not None]
+    patterns += [pat for _, _, _, pat in category_rules_list(category_rules, transfer=True)]
+    cond = contains_any_of(clean, patterns)
     for p in TRANSFER_WORD_PATTERNS:
         cond = cond | clean.rlike(p)
     return cond

@@ -13,7 +13,7 @@ from ..functions.money import MONEY
 from ..functions.text import clean_description
 from ..operators.broadcast import bounded_broadcast
 from ..operators.numbering import number_copies
-from ..operators.rules import category_rule_array, first_rule_category, transfer_detect
+from ..operators.rules import category_rules_list, first_rule_category, transfer_detect
 
 SEED_BROADCAST_ROWS = 2_000_000
 
@@ -122,7 +122,7 @@ def with_categorisation_inputs(unified: DataFrame, transfer_rules: DataFrame,
     staged = unified.select("*", clean_description(F.col("raw_description")).alias("clean_description"))
     cd = F.col("clean_description")
     staged = staged.select("*", transfer_detect(cd, transfer_rules, category_rules).alias("detected_transfer"))
-    non_transfer_rules = category_rule_array(category_rules, transfer=False)
+    non_transfer_rules = category_rules_list(category_rules, transfer=False)
     rule_cat = F.when(~F.col("detected_transfer"), first_rule_category(cd, non_transfer_rules))
     return staged.select("*", rule_cat.alias("rule_category"))
 

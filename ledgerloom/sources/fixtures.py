@@ -438,8 +438,8 @@ def thesis_records(part: DataFrame) -> DataFrame:
 
 
 _LANDED: dict[tuple, DataFrame] = {}
-BRONZE_TABLES = ("bank_statements", "bank_transactions", "cc_statements", "cc_transactions",
-                 "banking_csv_raw", "questrade_positions", "export_lines")
+BRONZE_TABLES = ("bank_src", "cc_src", "bank_statements", "bank_transactions", "cc_statements",
+                 "cc_transactions", "banking_csv_raw", "questrade_positions", "export_lines")
 
 
 class Fixtures:
