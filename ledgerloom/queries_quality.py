@@ -49,7 +49,7 @@ register("test_suite_report", _COLS,
 
 # E5: a statement through the read-only gate, over models exposed as views.
 READ_ONLY_EXAMPLE = ("SELECT category_id, CAST(sum(spend) AS DECIMAL(18,2)) AS spend, "
-                     "sum(txn_count) AS txn_count FROM spending_by_category GROUP BY category_id")
+                     "CAST(sum(txn_count) AS BIGINT) AS txn_count FROM spending_by_category GROUP BY category_id")
 
 
 def _read_only(lake):

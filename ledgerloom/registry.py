@@ -18,6 +18,52 @@ _QUERIES: dict[str, QueryFn] = {}
 _ORACLE: dict[str, str] = {}
 
 
+# Output boundary: inside the pipeline money is DECIMAL and issue lists are
+# arrays; registered results present money as DOUBLE (the reference's type)
+# and lists as JSON text, identically on the Spark and the oracle side, so
+# any consumer (pandas included) sees the same plain types from both.
+DECIMAL_OUTPUTS = frozenset("""
+amount running_balance amount_gap price_at_open buy_threshold sell_threshold stop_loss confidence
+expected_return_pct spend total_income total_spending net_savings essential_spending disposable_income
+total_assets net_worth opening_balance total_deducted total_added closing_balance previous_balance
+payments_and_credits purchases_and_other_charges new_installments cash_advances total_interest_charges
+fees total_balance minimum_payment_due credit_limit available_credit original_amount
+""".split())
+JSON_OUTPUTS = frozenset({"validation_issues"})
+# Calendar days are presented as midnight TIMESTAMP_NTZ (the reference's
+# month columns are TIMESTAMP; the driver tables carry timestamps only).
+DATE_OUTPUTS = frozenset("""
+as_of_date closed month opened payment_due_date period_end period_start posting_date row_date
+snapshot_date start_date statement_date transaction_date txn_date
+""".split())
+
+
+def _present(df: DataFrame) -> DataFrame:
+    from pyspark.sql.types import ArrayType, DateType, DecimalType
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, DecimalType):
+            c = c.cast("double")
+        elif isinstance(f.dataType, DateType):
+            c = c.cast("timestamp_ntz")
+        elif isinstance(f.dataType, ArrayType) and f.name in JSON_OUTPUTS:
+            c = F.to_json(c)
+        cols.append(c.alias(f.name))
+    return df.select(*cols)
+
+
+def _present_sql(body: str, columns: list[str] | None) -> str:
+    if not columns:
+        return body
+    repl = [f"CAST({c} AS DOUBLE) AS {c}" for c in columns if c in DECIMAL_OUTPUTS]
+    repl += [f"CAST(to_json({c}) AS VARCHAR) AS {c}" for c in columns if c in JSON_OUTPUTS]
+    repl += [f"CAST({c} AS TIMESTAMP) AS {c}" for c in columns if c in DATE_OUTPUTS]
+    if not repl:
+        return body
+    return f"SELECT * REPLACE ({', '.join(repl)}) FROM (\n{body.strip()}\n) presented"
+
+
 def register(name: str, columns: list[str] | None = None, oracle: str | None = None,
              oracle_deps: tuple[str, ...] = ()):
     """Decorator: ``fn(lake) -> DataFrame``; ``columns`` fixes the output
@@ -25,12 +71,12 @@ def register(name: str, columns: list[str] | None = None, oracle: str | None = N
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             df = fn(Lake(spark, sf_dir))
-            return df.select(*columns) if columns else df
+            return _present(df.select(*columns) if columns else df)
         run.__name__ = f"q_{name}"
         run.__doc__ = fn.__doc__
         _QUERIES[name] = run
         if oracle is not None:
-            _ORACLE[name] = compose(oracle, oracle_deps)
+            _ORACLE[name] = compose(_present_sql(oracle, columns), oracle_deps)
         return fn
     return deco
 
