@@ -88,8 +88,9 @@ def cash_flow_monthly(semantic: DataFrame) -> DataFrame:
                  .groupBy(_month("transaction_date").alias("month"))
                  .agg(_income(a).alias("total_income"), _spend(a).alias("total_spending"),
                       F.sum(a).cast(MONEY).alias("net_savings")))
+    # a plain DOUBLE division, as in the reference
     rate = F.when(F.col("total_income") > 0,
-                  F.round(F.col("net_savings").cast("double") / F.col("total_income").cast("double"), 6))
+                  F.col("net_savings").cast("double") / F.col("total_income").cast("double"))
     return g.select("month", "total_income", "total_spending", "net_savings",
                     rate.cast("double").alias("savings_rate"))
 
