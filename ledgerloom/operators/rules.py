@@ -1,10 +1,11 @@
 """Substring rule matching as array expressions.
 
 Rule seeds are hand-kept lists (tens of rows). They are read once, behind a
-hard size bound, and inlined as a literal ``array<struct>``; matching is then
-``exists`` / ``filter`` + ``array_min`` inside one projection — no nested
-loop join, no shuffle, no regrouping by transaction id, and it stays inside
-whole-stage codegen.
+hard size bound, and inlined into the projection: as OR / CASE WHEN chains
+ordered by (priority, rule id) for small sets (whole-stage codegen,
+short-circuit), or as a literal ``array<struct>`` with ``exists`` /
+``filter`` + ``array_min`` for large ones. Either way: no nested-loop join,
+no shuffle, no regrouping by transaction id.
 """
 
 from __future__ import annotations
@@ -45,34 +46,6 @@ def category_rules_list(rules: DataFrame, transfer: bool | None = None,
     return sorted(out, key=lambda t: (t[0], t[1]))
 
 
-def category_rule_array(rules: DataFrame, transfer: bool | None = None,
-                        lower_patterns: bool = False) -> Column:
-    """Category rules as array<struct<priority,rule_id,category,pattern>>.
-
-    ``transfer`` True keeps only category ``transfer``, False drops it, None
-    keeps all. Ordering of the struct fields makes ``array_min`` pick the
-    lowest priority, ties broken by rule id.
-    """
-    rows = collect_bounded(rules.select("rule_id", "category_id", "pattern", "priority"),
-                           MAX_RULES, "dim_category_rules")
-    out = []
-    for r in rows:
-        if r["pattern"] is None or r["category_id"] is None:
-            continue
-        if transfer is True and r["category_id"] != "transfer":
-            continue
-        if transfer is False and r["category_id"] == "transfer":
-            continue
-        pat = r["pattern"].lower() if lower_patterns else r["pattern"]
-        out.append(F.struct(
-            F.lit(r["priority"]).cast("int").alias("priority"),
-            F.lit(r["rule_id"]).alias("rule_id"),
-            F.lit(r["category_id"]).alias("category"),
-            F.lit(pat).alias("pattern"),
-        ))
-    return _lit_array(out, "struct<priority:int,rule_id:string,category:string,pattern:string>")
-
-
 def transfer_pattern_array(transfer_rules: DataFrame, direction: str | None = None) -> Column:
     rows = collect_bounded(transfer_rules.select("pattern", "direction"), MAX_RULES, "dim_transfer_rules")
     pats = [F.lit(r["pattern"]) for r in rows

@@ -11,11 +11,9 @@ from pyspark.sql import functions as F
 from ..functions.ids import bar_md5
 from ..functions.money import MONEY
 from ..functions.text import clean_description
-from ..operators.broadcast import bounded_broadcast
 from ..operators.numbering import number_copies
 from ..operators.rules import category_rules_list, first_rule_category, transfer_detect
 
-SEED_BROADCAST_ROWS = 2_000_000
 
 
 # --- B1 ----------------------------------------------------------------------

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.ids import bar_md5
 from ..functions.money import MONEY, cents, money
 from .driver import read_table
 
