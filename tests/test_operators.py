@@ -179,3 +179,21 @@ def test_ordered_triage_equals_sequential_loop(spark, shape):
                                 "query_id string, raw_description string, canonical_name string, vec array<double>")
     got = {r.query_id: (r.decision, r.merchant_id) for r in ordered_triage(qdf, mdf).collect()}
     assert got == _loop_triage(qv, names, m)
+
+
+def test_large_rule_sets_use_the_array_form_with_the_same_answer(spark):
+    from ledgerloom.operators.rules import INLINE_RULES, first_rule_category
+    rnd = random.Random(9)
+    words = ["alpha", "beta", "gamma", "delta", "omega", "sigma", "kappa", "zeta"]
+    rules = sorted({(rnd.randint(1, 40), f"r{i:04d}", f"c{i % 7}", rnd.choice(words) + rnd.choice(words)[:2])
+                    for i in range(INLINE_RULES + 50)}, key=lambda t: (t[0], t[1]))
+    texts = [" ".join(rnd.choice(words) for _ in range(4)) for _ in range(200)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    big = {r.t: r.c for r in df.select("t", first_rule_category(F.col("t"), rules).alias("c")).collect()}
+    small = {r.t: r.c for r in df.select("t", first_rule_category(F.col("t"), rules[:INLINE_RULES]).alias("c")).collect()}
+
+    def brute(t, rs):
+        hits = [r for r in rs if r[3] in t]
+        return min(hits)[2] if hits else None
+    assert big == {t: brute(t, rules) for t in texts}
+    assert small == {t: brute(t, rules[:INLINE_RULES]) for t in texts}
