@@ -437,6 +437,7 @@ def thesis_records(part: DataFrame) -> DataFrame:
 
 
 _LANDED: dict[tuple, DataFrame] = {}
+_LANDING_LOCK = __import__("threading").RLock()
 BRONZE_TABLES = ("bank_src", "cc_src", "bank_statements", "bank_transactions", "cc_statements",
                  "cc_transactions", "banking_csv_raw", "questrade_positions", "export_lines")
 
@@ -464,11 +465,17 @@ class Fixtures:
         return self._cache[name]
 
     def _landed(self, name, build):
+        app = self.spark.sparkContext.applicationId
+        key = (app, id(self.spark), self.sf_dir, name)
+        # one writer per table, also under concurrent queries (re-entrant:
+        # landing one table may land the helper it is derived from)
+        with _LANDING_LOCK:
+            return self._land_locked(key, name, build, app)
+
+    def _land_locked(self, key, name, build, app):
         import hashlib
 
         from ..session import ensure_checkpoint_dir
-        app = self.spark.sparkContext.applicationId
-        key = (app, id(self.spark), self.sf_dir, name)
         if key not in _LANDED:
             base = ensure_checkpoint_dir(self.spark).rstrip("/")
             tag = hashlib.md5(self.sf_dir.encode()).hexdigest()[:12]
