@@ -99,3 +99,19 @@ def test_schema_describe(spark):
     fact = [r.column_name for r in rows if r.table_name == "fact_transactions"]
     assert fact[:2] == ["transaction_id", "stable_id"] and len(fact) == 18
     assert {r.layer for r in rows} == {"silver", "gold"}
+
+
+def test_run_models_writes_tables_and_views(spark):
+    from conftest import SMALL
+    from ledgerloom.plans.context import Lake
+    from ledgerloom.plans.run import TABLE_MODELS, VIEW_MODELS, run_models
+    out = tempfile.mkdtemp(prefix="ll-run-")
+    lazy = Lake(spark, SMALL)
+    models = run_models(Lake(spark, SMALL), out)
+    for layer, name in TABLE_MODELS:
+        written = spark.read.parquet(f"{out}/{layer}/{name}")
+        assert written.count() == getattr(lazy, name).count(), name
+    for name in VIEW_MODELS + [n for _, n in TABLE_MODELS]:
+        assert spark.table(name).count() == models[name].count()
+    got = json.loads(read_only_sql_json(spark, "SELECT count(*) AS n FROM semantic_transactions"))
+    assert got == [{"n": models["fact_transactions"].count()}]
