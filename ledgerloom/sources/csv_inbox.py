@@ -49,7 +49,9 @@ def parse_lines(lines: DataFrame, landed_at: Column) -> tuple[DataFrame, DataFra
     body = lines.filter((F.col("line_no") > 0) & (F.length(F.trim("text")) > 0))
     j = body.join(roles, "source_file", "left")
     schema = ", ".join(f"c{i} string" for i in range(1, MAX_COLUMNS + 1))
-    fields = F.from_csv(F.col("text"), schema)
+    # One export line per call: a small parser buffer (the parser's default
+    # allocates ~1M chars per call, which many concurrent tasks cannot afford).
+    fields = F.from_csv(F.col("text"), schema, {"inputBufferSize": "4096"})
     arr = F.array(*[fields[f"c{i}"] for i in range(1, MAX_COLUMNS + 1)])
     j = j.withColumn("_f", arr)
 
