@@ -197,3 +197,27 @@ def test_large_rule_sets_use_the_array_form_with_the_same_answer(spark):
         return min(hits)[2] if hits else None
     assert big == {t: brute(t, rules) for t in texts}
     assert small == {t: brute(t, rules[:INLINE_RULES]) for t in texts}
+
+
+def test_hot_group_of_copies(spark):
+    """One group of identical transactions holds a third of all rows."""
+    import decimal
+    from collections import Counter
+    rnd = random.Random(21)
+    base = dt.date(2001, 3, 1)
+    rows = []
+    for i in range(600):
+        rows.append((f"t{i}", "A1", base + dt.timedelta(days=rnd.randint(0, 9)), decimal.Decimal(f"-{rnd.randint(1, 40)}.00"),
+                     "coffee shop", "Chequing 1", "COFFEE SHOP"))
+    rows += [(f"h{i}", "A2", base, decimal.Decimal("-5.00"), "monthly fee", "Chequing 2", "MONTHLY FEE")
+             for i in range(300)]
+    fact = spark.createDataFrame(rows, "transaction_id string, account_id string, txn_date date, amount decimal(18,2), "
+                                       "clean_description string, account_name string, raw_description string")
+    got = Counter((str(r.txn_date), r.amount, r.alert_message) for r in gold.duplicate_alerts(fact).collect())
+    keys = Counter((r[2], r[3], r[1], r[4]) for r in rows)
+    want = Counter()
+    for r in rows:
+        n = keys[(r[2], r[3], r[1], r[4])]
+        if n > 1:
+            want[(str(r[2]), r[3], f"Found {n} identical transactions")] += 1
+    assert got == want and want[("2001-03-01", decimal.Decimal("-5.00"), "Found 300 identical transactions")] == 300
