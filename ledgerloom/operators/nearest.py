@@ -23,6 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+BROADCAST_BYTES_CONF = "ledgerloom.nearest.maxBroadcastBytes"
+
+
+def _byte_bound(df: DataFrame, explicit: int | None) -> int:
+    """Explicit bound, else the session setting, else the default."""
+    if explicit is not None:
+        return explicit
+    return int(df.sparkSession.conf.get(BROADCAST_BYTES_CONF, str(DEFAULT_MAX_BROADCAST_BYTES)))
 
 _OUT_SCHEMA = "query_id string, merchant_id string, distance double"
 
@@ -65,7 +73,7 @@ def _best_in_chunk(queries: DataFrame, ids: np.ndarray, unit: np.ndarray) -> Dat
 
 
 def nearest_merchant(queries: DataFrame, merchants: DataFrame,
-                     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+                     max_broadcast_bytes: int | None = None) -> DataFrame:
     """queries(query_id, vec array<double>), merchants(merchant_id, vec) ->
     (query_id, merchant_id, distance); merchant NULL when none has a vector.
 
@@ -78,7 +86,7 @@ def nearest_merchant(queries: DataFrame, merchants: DataFrame,
     if n == 0:
         return q.select("query_id", F.lit(None).cast("string").alias("merchant_id"),
                         F.lit(None).cast("double").alias("distance"))
-    chunks = max(1, math.ceil(n * dim * 8 / max_broadcast_bytes))
+    chunks = max(1, math.ceil(n * dim * 8 / _byte_bound(queries, max_broadcast_bytes)))
     parts = []
     for c in range(chunks):
         part = m if chunks == 1 else m.filter(F.pmod(F.xxhash64("merchant_id"), F.lit(chunks)) == c)
@@ -111,7 +119,7 @@ def _sorted_unit(rows, dim):
 
 
 def neighbours_before(items: DataFrame, max_distance: float,
-                      max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+                      max_broadcast_bytes: int | None = None) -> DataFrame:
     """items(item_id, ord_key, vec) -> (item_id, other_id, distance) for every
     other item that comes earlier by ``ord_key`` and lies within
     ``max_distance`` (strictly closer). Only qualifying pairs leave a task;
@@ -122,7 +130,7 @@ def neighbours_before(items: DataFrame, max_distance: float,
     schema = "item_id string, other_id string, distance double"
     if n == 0:
         return it.sparkSession.createDataFrame([], schema)
-    chunks = max(1, math.ceil(n * dim * 8 / max_broadcast_bytes))
+    chunks = max(1, math.ceil(n * dim * 8 / _byte_bound(items, max_broadcast_bytes)))
     out = None
     for c in range(chunks):
         part = it if chunks == 1 else it.filter(F.pmod(F.xxhash64("item_id"), F.lit(chunks)) == c)
@@ -155,7 +163,7 @@ def neighbours_before(items: DataFrame, max_distance: float,
 
 
 def nearest_earlier(queries: DataFrame, merchants: DataFrame,
-                    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+                    max_broadcast_bytes: int | None = None) -> DataFrame:
     """Like ``nearest_merchant`` but a query only sees merchants whose
     ``ord_key`` is smaller than its own (queries and merchants both carry
     ``ord_key``)."""
@@ -168,7 +176,7 @@ def nearest_earlier(queries: DataFrame, merchants: DataFrame,
     if n == 0:
         return q.select("query_id", F.lit(None).cast("string").alias("merchant_id"),
                         F.lit(None).cast("double").alias("distance"))
-    chunks = max(1, math.ceil(n * dim * 8 / max_broadcast_bytes))
+    chunks = max(1, math.ceil(n * dim * 8 / _byte_bound(queries, max_broadcast_bytes)))
     parts = []
     for c in range(chunks):
         part = m if chunks == 1 else m.filter(F.pmod(F.xxhash64("item_id"), F.lit(chunks)) == c)

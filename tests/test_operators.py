@@ -221,3 +221,24 @@ def test_hot_group_of_copies(spark):
         if n > 1:
             want[(str(r[2]), r[3], f"Found {n} identical transactions")] += 1
     assert got == want and want[("2001-03-01", decimal.Decimal("-5.00"), "Found 300 identical transactions")] == 300
+
+
+def test_ordered_triage_chunked_paths(spark):
+    """Same answer when the byte bound forces several broadcast chunks."""
+    from ledgerloom.operators.nearest import BROADCAST_BYTES_CONF
+    from ledgerloom.plans.enrich import ordered_triage
+    rng = np.random.default_rng(8)
+    centers = rng.normal(size=(4, 10))
+    m = centers[:1] + 0.05 * rng.normal(size=(1, 10))
+    qv = np.vstack([centers[i % 4] + 0.3 * rng.normal(size=10) for i in range(60)])
+    names = [f"n{i:03d}" for i in range(len(qv))]
+    mdf = spark.createDataFrame([(f"m{i}", [float(x) for x in v]) for i, v in enumerate(m)],
+                                "merchant_id string, vec array<double>")
+    qdf = spark.createDataFrame([(str(i), f"raw{i}", names[i], [float(x) for x in v]) for i, v in enumerate(qv)],
+                                "query_id string, raw_description string, canonical_name string, vec array<double>")
+    spark.conf.set(BROADCAST_BYTES_CONF, "400")
+    try:
+        got = {r.query_id: (r.decision, r.merchant_id) for r in ordered_triage(qdf, mdf).collect()}
+    finally:
+        spark.conf.unset(BROADCAST_BYTES_CONF)
+    assert got == _loop_triage(qv, names, m)
