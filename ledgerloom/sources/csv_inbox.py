@@ -49,11 +49,14 @@ def parse_lines(lines: DataFrame, landed_at: Column) -> tuple[DataFrame, DataFra
     body = lines.filter((F.col("line_no") > 0) & (F.length(F.trim("text")) > 0))
     j = body.join(roles, "source_file", "left")
     schema = ", ".join(f"c{i} string" for i in range(1, MAX_COLUMNS + 1))
-    # One export line per call: a small parser buffer (the parser's default
-    # allocates ~1M chars per call, which many concurrent tasks cannot afford).
-    fields = F.from_csv(F.col("text"), schema, {"inputBufferSize": "4096"})
-    arr = F.array(*[fields[f"c{i}"] for i in range(1, MAX_COLUMNS + 1)])
-    j = j.withColumn("_f", arr)
+    # Parse each line exactly once. The record comes out of a generator
+    # (``inline`` of a one-element array): the optimizer cannot push the
+    # later filters below it nor fold the parse into every field use, which
+    # it does with a plain projection (one parse per field and per use).
+    # A small parser buffer: the default allocates ~1M chars per call.
+    rec = F.from_csv(F.col("text"), schema, {"inputBufferSize": "4096"})
+    j = j.select("*", F.inline(F.array(F.struct(rec.alias("_rec")))))
+    j = j.select("*", F.array(*[F.col("_rec")[f"c{i}"] for i in range(1, MAX_COLUMNS + 1)]).alias("_f"))
 
     def pick(pos):
         return F.when(F.col(pos) > 0, F.element_at(F.col("_f"), F.col(pos)))
