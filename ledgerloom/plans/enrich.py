@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import with_once
 from ..functions.text import merchant_clean
 from ..operators.nearest import nearest_merchant as _nearest
 from ..operators.rules import collect_bounded, MAX_RULES
@@ -28,8 +29,10 @@ def distinct_descriptions(bank_transactions: DataFrame, cc_transactions: DataFra
 
 
 def merchant_clean_names(descriptions: DataFrame) -> DataFrame:
-    """D1 over distinct raw descriptions."""
-    return descriptions.select("raw_description", merchant_clean(F.col("raw_description")).alias("canonical_name"))
+    """D1 over distinct raw descriptions; the ten-regex chain runs once per
+    description (``with_once``) however often the name is used later."""
+    return with_once(descriptions.select("raw_description"), merchant_clean(F.col("raw_description")),
+                     "canonical_name")
 
 
 def _rule_array_in_file_order(category_rules: DataFrame):

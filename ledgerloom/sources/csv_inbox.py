@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import with_once
+
 # Header aliases (lower-cased, trimmed). When several aliases
 # of one role are present the reference's pick is arbitrary (set order); we
 # take them in this order.
@@ -49,13 +51,9 @@ def parse_lines(lines: DataFrame, landed_at: Column) -> tuple[DataFrame, DataFra
     body = lines.filter((F.col("line_no") > 0) & (F.length(F.trim("text")) > 0))
     j = body.join(roles, "source_file", "left")
     schema = ", ".join(f"c{i} string" for i in range(1, MAX_COLUMNS + 1))
-    # Parse each line exactly once. The record comes out of a generator
-    # (``inline`` of a one-element array): the optimizer cannot push the
-    # later filters below it nor fold the parse into every field use, which
-    # it does with a plain projection (one parse per field and per use).
-    # A small parser buffer: the default allocates ~1M chars per call.
-    rec = F.from_csv(F.col("text"), schema, {"inputBufferSize": "4096"})
-    j = j.select("*", F.inline(F.array(F.struct(rec.alias("_rec")))))
+    # Parse each line exactly once (``with_once``); a small parser buffer,
+    # as the default allocates ~1M chars per call.
+    j = with_once(j, F.from_csv(F.col("text"), schema, {"inputBufferSize": "4096"}), "_rec")
     j = j.select("*", F.array(*[F.col("_rec")[f"c{i}"] for i in range(1, MAX_COLUMNS + 1)]).alias("_f"))
 
     def pick(pos):
