@@ -122,7 +122,7 @@ def merchant_review_queue(triaged: DataFrame) -> DataFrame:
 
 # --- ordered mode: earlier inserts are visible to later descriptions ---------------------
 
-def ordered_triage(queries: DataFrame, merchants: DataFrame, max_rounds_hint: int = 0) -> DataFrame:
+def ordered_triage(queries: DataFrame, merchants: DataFrame) -> DataFrame:
     """D6–D8 with the reference's sequential visibility, order = (canonical
     name, query id).
 
@@ -159,6 +159,10 @@ def ordered_triage(queries: DataFrame, merchants: DataFrame, max_rounds_hint: in
     rounds = 0
     while True:
         rounds += 1
+        # only undecided items need their earlier neighbours looked at, so
+        # the edge set shrinks round by round
+        open_items = status.filter(F.col("status") == "U").select("item_id")
+        edges = edges.join(open_items, "item_id", "left_semi").checkpoint()
         earlier = edges.join(status.select(F.col("item_id").alias("other_id"), F.col("status").alias("y")),
                              "other_id")
         agg = earlier.groupBy("item_id").agg(F.max(F.col("y") == "L").alias("any_leader"),
