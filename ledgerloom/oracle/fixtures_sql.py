@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from ..sources.fixtures import (CARD_PAYMENT_TEXT, CATEGORIES, CATEGORY_RULES, DESCRIPTION_TEMPLATES,
                                 EXTRA_MERCHANTS, FIXTURE_LANDED_AT, FIXTURE_PARSED_AT,
-                                MERCHANT_CATEGORY_BY_LENGTH, REVERSAL_TEXT, THESIS_STATUSES,
+                                MERCHANT_CATEGORY_BY_LENGTH, QUERY_WEIGHTS, REVERSAL_TEXT, THESIS_STATUSES,
                                 TRANSFER_RULES)
 from .sqlkit import cents, cte, money, mon, sql_list, sql_values
 
@@ -197,7 +197,6 @@ WHERE rep = 0 OR p_partkey % 7 = 0
 """)
 
 # --- vectors and the prior review queue -------------------------------------------
-from ..sources.fixtures import QUERY_WEIGHTS  # noqa: E402
 
 cte("merchant_vectors", f"""
 SELECT 'M' || CAST(vec_id AS VARCHAR) AS merchant_id,

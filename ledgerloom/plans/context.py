@@ -15,9 +15,13 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.ids import bar_md5
 from ..session import DEFAULT_AS_OF
-from ..sources.fixtures import Fixtures, dim_category_overrides
+from ..sources.fixtures import (Fixtures, dim_category_overrides, merchant_vectors, prior_review_queue,
+                                query_vectors)
+from ..sources.statements import prior_header_shas, statement_documents
 from . import enrich, gold, silver, sinks, transfers
+from .ingest import first_copies, investment_theses_upsert, questrade_snapshots, statement_ingest_result
 
 
 class Lake:
@@ -61,12 +65,10 @@ class Lake:
 
     @cached_property
     def questrade_snapshots(self) -> DataFrame:
-        from .ingest import questrade_snapshots
         return questrade_snapshots(self.fx.questrade_positions)
 
     @cached_property
     def investment_theses_bronze(self) -> DataFrame:
-        from .ingest import investment_theses_upsert
         return investment_theses_upsert(self.fx.thesis_records)
 
     # --- seeds -------------------------------------------------------------
@@ -98,7 +100,6 @@ class Lake:
     def dim_category_overrides(self) -> DataFrame:
         # The seed is keyed by stable ids, which depend only on bronze lines
         # (statement, account, date, amount) — no numbering needed.
-        from ..functions.ids import bar_md5
         bank = self.bank_transactions.select(bar_md5(
             F.col("statement_sha256"), F.col("account_number"), F.col("txn_date"), F.col("amount")).alias("stable_id"))
         card = self.cc_transactions.select(bar_md5(
@@ -223,17 +224,14 @@ class Lake:
     # --- enrichment --------------------------------------------------------------
     @cached_property
     def merchant_vectors(self) -> DataFrame:
-        from ..sources.fixtures import merchant_vectors
         return merchant_vectors(self.fx.t("embeddings"))
 
     @cached_property
     def query_vectors(self) -> DataFrame:
-        from ..sources.fixtures import query_vectors
         return query_vectors(self.fx.t("embeddings"))
 
     @cached_property
     def prior_review_queue(self) -> DataFrame:
-        from ..sources.fixtures import prior_review_queue
         return prior_review_queue(self.cc_transactions)
 
     @cached_property
@@ -275,23 +273,19 @@ class Lake:
     # --- ingest ---------------------------------------------------------------------
     @cached_property
     def statement_documents(self) -> DataFrame:
-        from ..sources.statements import statement_documents
         return statement_documents(self.bank_statements, self.bank_transactions, self.cc_statements,
                                    self.cc_transactions, self.fx.t("pages"))
 
     @cached_property
     def prior_header_shas(self) -> DataFrame:
-        from ..sources.statements import prior_header_shas
         return prior_header_shas(self.bank_statements, self.cc_statements)
 
     @cached_property
     def first_copies(self) -> DataFrame:
-        from .ingest import first_copies
         return first_copies(self.statement_documents, self.prior_header_shas)
 
     @cached_property
     def statement_ingest_result(self) -> DataFrame:
-        from .ingest import statement_ingest_result
         return statement_ingest_result(self.statement_documents, self.first_copies, self.prior_header_shas)
 
     @cached_property

@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import account_last4
+from ..sources.fixtures import FIXTURE_PARSED_AT
+from ..sources.statements import MULTI_NO_ACCOUNTS
+
 
 def questrade_snapshots(positions: DataFrame) -> DataFrame:
     """Replace-table copy of broker positions with a DATE snapshot and
@@ -67,11 +71,6 @@ def investment_theses_upsert(records: DataFrame) -> DataFrame:
 
 # --- A2–A9, A14: parsed statement documents -> bronze ----------------------------------
 
-from ..functions.text import account_last4  # noqa: E402
-from ..sources.statements import MULTI_NO_ACCOUNTS  # noqa: E402
-from ..sources.fixtures import FIXTURE_PARSED_AT  # noqa: E402
-
-
 def first_copies(documents: DataFrame, prior_shas: DataFrame) -> DataFrame:
     """Finance documents whose hash is in neither header table, one per hash
     (the first received). Copies of one file are byte-identical, so the
