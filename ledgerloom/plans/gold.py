@@ -115,11 +115,17 @@ def data_completeness(accounts: DataFrame, fact: DataFrame, as_of: _dt.date) ->
     a months x accounts cross join."""
     max_month = F.trunc(F.lit(as_of.isoformat()).cast("date"), "month")
     start = F.trunc("start_date", "month")
-    expected = (accounts.filter(F.col("is_active") & F.col("start_date").isNotNull())
-                .select("account_id", "friendly_name", "account_kind",
-                        F.explode(F.when(start <= max_month,
-                                         F.sequence(start, max_month, F.expr("interval 1 month")))
-                                  .otherwise(F.array().cast("array<date>"))).alias("month")))
+    active = accounts.filter(F.col("is_active") & F.col("start_date").isNotNull())
+    # The month list runs from the earliest start month to the as-of month,
+    # and always holds the earliest start month itself (even when that lies
+    # after the as-of month). The earliest start month is an uncorrelated
+    # scalar subquery: evaluated once, no driver round trip, no cross join.
+    first_month = active.select(F.min(start)).scalar()
+    last_month = F.greatest(max_month, first_month)
+    expected = active.select("account_id", "friendly_name", "account_kind",
+                             F.explode(F.when(start <= last_month,
+                                              F.sequence(start, last_month, F.expr("interval 1 month")))
+                                       .otherwise(F.array().cast("array<date>"))).alias("month"))
     actual = (fact.groupBy(_month("txn_date").alias("a_month"), F.col("account_id").alias("a_account"))
                   .agg(F.count(F.lit(1)).alias("txn_count"),
                        F.countDistinct("statement_sha256").alias("statement_count")))

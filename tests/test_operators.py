@@ -242,3 +242,14 @@ def test_ordered_triage_chunked_paths(spark):
     finally:
         spark.conf.unset(BROADCAST_BYTES_CONF)
     assert got == _loop_triage(qv, names, m)
+
+
+def test_completeness_when_every_account_starts_after_as_of(spark):
+    """The month list always holds the earliest start month (a recursive
+    month generator emits its anchor even when it is past the end)."""
+    acc = spark.createDataFrame(
+        [("A1", "One", "bank", True, dt.date(2003, 5, 9)), ("A2", "Two", "bank", True, dt.date(2003, 7, 1))],
+        "account_id string, friendly_name string, account_kind string, is_active boolean, start_date date")
+    fact = spark.createDataFrame([], "txn_date date, account_id string, statement_sha256 string")
+    rows = gold.data_completeness(acc, fact, dt.date(2002, 1, 1)).collect()
+    assert [(str(r.month), r.friendly_name, r.status) for r in rows] == [("2003-05-01", "One", "MISSING")]
