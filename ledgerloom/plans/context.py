@@ -15,6 +15,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import with_once
 from ..functions.ids import bar_md5
 from ..session import DEFAULT_AS_OF
 from ..sources.fixtures import (Fixtures, dim_category_overrides, merchant_vectors, prior_review_queue,
@@ -100,10 +101,14 @@ class Lake:
     def dim_category_overrides(self) -> DataFrame:
         # The seed is keyed by stable ids, which depend only on bronze lines
         # (statement, account, date, amount) — no numbering needed.
-        bank = self.bank_transactions.select(bar_md5(
-            F.col("statement_sha256"), F.col("account_number"), F.col("txn_date"), F.col("amount")).alias("stable_id"))
-        card = self.cc_transactions.select(bar_md5(
-            F.col("statement_sha256"), F.col("card_number"), F.col("txn_date"), F.col("amount")).alias("stable_id"))
+        # (hashed once per line: the seed's prefix filter would otherwise be
+        # pushed through the projection and hash every line twice)
+        bank = with_once(self.bank_transactions.select("statement_sha256", "account_number", "txn_date", "amount"),
+                         bar_md5(F.col("statement_sha256"), F.col("account_number"), F.col("txn_date"),
+                                 F.col("amount")), "stable_id").select("stable_id")
+        card = with_once(self.cc_transactions.select("statement_sha256", "card_number", "txn_date", "amount"),
+                         bar_md5(F.col("statement_sha256"), F.col("card_number"), F.col("txn_date"),
+                                 F.col("amount")), "stable_id").select("stable_id")
         return dim_category_overrides(bank.unionByName(card))
 
     # --- silver ---------------------------------------------------------------
