@@ -3,7 +3,8 @@
 The file source with ``trigger(availableNow=True)`` processes every file
 that arrived since the last run exactly once (the checkpoint remembers
 them), then stops; ``cleanSource=archive`` moves processed files out of
-the inbox. Each micro-batch is parsed with the same expressions as the
+the inbox (after their batch commits, so the newest files may stay until
+the next run — they are not read again either way). Each micro-batch is parsed with the same expressions as the
 batch reader and written by ``foreachBatch`` into a folder named by the
 batch id with overwrite, so a retried batch replaces its own output
 instead of appending twice. Rejected lines go to a quarantine table.
@@ -18,10 +19,17 @@ from ..sources.csv_inbox import lines_of_text, parse_lines, raw_text_columns
 
 
 def run_inbox_stream(spark: SparkSession, inbox_dir: str, bronze_dir: str, quarantine_dir: str,
-                     checkpoint_dir: str, archive_dir: str, landed_at: str) -> None:
+                     checkpoint_dir: str, archive_dir: str, landed_at: str,
+                     laid_out_by_name: bool = False) -> None:
+    """Process every file that arrived since the last run, once.
+
+    A plain inbox holds the exports themselves (the file name is the account
+    hint); ``laid_out_by_name`` reads an inbox partitioned into
+    ``source_file=<name>`` folders instead (how tests drop generated exports)."""
+    schema = "value string, source_file string" if laid_out_by_name else "value string"
     files = raw_text_columns(
         spark.readStream.format("text")
-        .schema("value string, source_file string")
+        .schema(schema)
         .option("cleanSource", "archive")
         .option("sourceArchiveDir", archive_dir)
         .load(inbox_dir))

@@ -115,3 +115,32 @@ def test_run_models_writes_tables_and_views(spark):
         assert spark.table(name).count() == models[name].count()
     got = json.loads(read_only_sql_json(spark, "SELECT count(*) AS n FROM semantic_transactions"))
     assert got == [{"n": models["fact_transactions"].count()}]
+
+
+def test_inbox_stream_processes_each_file_once(spark):
+    from ledgerloom.streaming.inbox import run_inbox_stream
+    base = tempfile.mkdtemp(prefix="ll-stream-")
+    inbox = os.path.join(base, "inbox")
+    os.makedirs(inbox)
+
+    def drop(name, body):
+        with open(os.path.join(inbox, name), "w", encoding="utf-8") as f:
+            f.write(body)
+
+    def run():
+        run_inbox_stream(spark, inbox, f"{base}/bronze", f"{base}/quarantine", f"{base}/ckpt", f"{base}/archive",
+                         "2024-03-01 00:00:00")
+        return spark.read.parquet(f"{base}/bronze")
+
+    drop("A1.csv", "Date,Description,Amount\n2024-01-02,Coffee,3.50\n2024-01-03,Tea,2.00\n")
+    drop("A2.csv", "Posted Date,Memo,CAD$\n2024-01-04,Bus,2.75\n")
+    first = run()
+    assert first.count() == 3
+    drop("A3.csv", "Date,Details,Debit\n2024-02-01,Rent,900.00\n")
+    second = run()  # same checkpoint: only the new file is read
+    assert second.count() == 4
+    assert sorted(r.account_hint for r in second.collect()) == ["A1", "A1", "A2", "A3"]
+    # files of earlier runs were archived out of the inbox (Spark archives a
+    # batch's files after it commits, so the latest run's file may linger)
+    left = [n for n in os.listdir(inbox) if n.endswith(".csv")]
+    assert "A1.csv" not in left and "A2.csv" not in left
