@@ -61,8 +61,7 @@ def statement_documents(bank_statements: DataFrame, bank_transactions: DataFrame
                        .otherwise(F.lit("bank")).alias("kind"),
                       # an empty account list of the right element type
                       F.when(F.col("k") % 41 == 0, F.filter(F.array(acct), lambda a: F.lit(False)))
-                       .otherwise(F.array(acct)).alias("accounts"),
-                      F.lit(None).alias("card_null")))
+                       .otherwise(F.array(acct)).alias("accounts")))
     cd = (cc_transactions.groupBy("statement_sha256")
           .agg(F.collect_list(F.struct(
               "card_number", F.col("txn_date").alias("transaction_date"), "posting_date", "amount",
@@ -73,7 +72,7 @@ def statement_documents(bank_statements: DataFrame, bank_transactions: DataFrame
                     F.coalesce(F.col("details"), F.array().cast(cd.schema["details"].dataType)).alias("details"))
     cc = (cs.join(cd, cs.sha256 == cd.statement_sha256, "left")
             .select("sha256", "source_type", "source_id", "k", F.lit("cc").alias("kind"), card.alias("card")))
-    bank = bank.drop("card_null").withColumn("card", F.lit(None).cast(cc.schema["card"].dataType))
+    bank = bank.withColumn("card", F.lit(None).cast(cc.schema["card"].dataType))
     cc = cc.select("sha256", "source_type", "source_id", "k", "kind",
                    F.lit(None).cast(bank.schema["accounts"].dataType).alias("accounts"), "card")
     fin = bank.unionByName(cc).withColumn(
