@@ -6,7 +6,9 @@ them, deterministically and with DataFrame operations only, onto the bronze
 and seed shapes (rules in FIXTURES.md). The DuckDB oracle derives the same
 tables in SQL (``ledgerloom.oracle.fixtures_sql``).
 
-Everything is a lazy DataFrame; nothing is collected.
+Nothing is collected to the driver. The bronze tables are written once per
+session under ``spark.checkpoint.dir`` (``Fixtures.land``) and read back, as
+bronze is a stored table in the pipeline; seeds stay lazy.
 """
 
 from __future__ import annotations
