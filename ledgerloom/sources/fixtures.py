@@ -7,7 +7,7 @@ and seed shapes (rules in FIXTURES.md). The DuckDB oracle derives the same
 tables in SQL (``ledgerloom.oracle.fixtures_sql``).
 
 Nothing is collected to the driver. The bronze tables are written once per
-session under ``spark.checkpoint.dir`` (``Fixtures.land``) and read back, as
+session under ``spark.checkpoint.dir`` (``Fixtures(land=True)``, the default) and read back, as
 bronze is a stored table in the pipeline; seeds stay lazy.
 """
 
