@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_extract, langid, merkle, mixing, secrets, warc
+from . import bpe, exact_dedup, html_extract, langid, merkle, mixing, ngram_join, secrets, warc
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -30,6 +30,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_ids(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,6 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_byte_bpe, op3_warc, op4_exact_dedup, op5_secret_scan, op7_language_id, op8_html_extract,
+    f.__name__: f for f in (op1_byte_bpe, op3_warc, op4_exact_dedup, op5_secret_scan, op6_ngram_join, op7_language_id, op8_html_extract,
                             op9_merkle, op10_mix)}
 ORACLE_SQL: dict[str, str] = {"op3_warc": warc.ORACLE_SQL, "op4_exact_dedup": exact_dedup.ORACLE_SQL}
