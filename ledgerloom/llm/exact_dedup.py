@@ -54,7 +54,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"))
 
     rest = slim.join(shared, ["n", "head"], "left_semi").select("doc_id", "sha", "n")
-    ident = _identities(texts.join(shared, ["n", "head"], "left_semi"))
+    ident = _identities(texts.join(shared.hint("merge"), ["n", "head"], "left_semi"))
     rows = store(rest.alias("r").join(
         ident.alias("i"),
         F.col("r.doc_id").eqNullSafe(F.col("i.doc_id")) & (F.col("r.sha") == F.col("i.sha")) & (F.col("r.n") == F.col("i.n")))

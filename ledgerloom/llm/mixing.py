@@ -137,5 +137,5 @@ def drawn(docs: DataFrame, **options) -> DataFrame:
     """
     taken = mix(docs, **options).groupBy("doc_id").agg(
         F.max(F.round(F.col("taken") / F.col("size"))).cast("int").alias("_copies"))
-    return docs.alias("d").join(taken.alias("t"), F.col("d.doc_id").eqNullSafe(F.col("t.doc_id"))).where("_copies > 0").select(
+    return docs.alias("d").join(taken.hint("merge").alias("t"), F.col("d.doc_id").eqNullSafe(F.col("t.doc_id"))).where("_copies > 0").select(
         *[F.col(f"d.`{c}`") for c in docs.columns], F.explode(F.expr("sequence(1, _copies)")).alias("_copy")).drop("_copy")

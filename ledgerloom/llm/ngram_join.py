@@ -364,7 +364,7 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
         F.when(F.col("own") <= F.col("with"), 2).otherwise(3).alias("role"), "key", (F.col("own") != F.col("with")).alias("cross"))
     blocked = blocked.select(F.concat("task", F.when(F.col("cross"), "x").otherwise("")).alias("task"), "role", "key")
     tasks = wanted.unionByName(blocked).join(node, "key").groupBy("node").agg(F.collect_list(F.struct("task", "role")).alias("tasks"))
-    texts = slim.join(tasks, slim["doc_id"] == tasks["node"]).select(F.col("doc_id"), "text", "tasks")
+    texts = slim.join(tasks.hint("merge"), slim["doc_id"] == tasks["node"]).select(F.col("doc_id"), "text", "tasks")
     linked = _verified(_sets(texts, size), percent)
     return members.join(classes, ["key", "n"], "left"), linked
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_extract, langid, merkle, mixing, ngram_join, secrets, warc
+from . import bpe, exact_dedup, html_extract, langid, merkle, mixing, ngram_join, secrets, suffix_dedup, warc
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -18,6 +18,10 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(table(spark, sf_dir, "documents")).drop("removed", "kept")
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(table(spark, sf_dir, "pages"))
 
@@ -51,6 +55,6 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_byte_bpe, op3_warc, op4_exact_dedup, op5_secret_scan, op6_ngram_join, op7_language_id, op8_html_extract,
+    f.__name__: f for f in (op1_byte_bpe, op2_suffix_dedup, op3_warc, op4_exact_dedup, op5_secret_scan, op6_ngram_join, op7_language_id, op8_html_extract,
                             op9_merkle, op10_mix)}
 ORACLE_SQL: dict[str, str] = {"op3_warc": warc.ORACLE_SQL, "op4_exact_dedup": exact_dedup.ORACLE_SQL}

@@ -246,7 +246,7 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, min_revisit_byte
                 out = [warc_record(arc, to.get(seq)) for seq, arc in enumerate(parse_arc(gzip.decompress(content.as_py())))]
                 yield pa.RecordBatch.from_pydict({"archive": pa.array([b"".join(out)[:-1]], pa.binary())})
 
-    joined = _files(spark, arc_path).join(by_archive, "path", "left").select("content", "refers")
+    joined = _files(spark, arc_path).join(by_archive.hint("merge"), "path", "left").select("content", "refers")
     return _write(joined.mapInArrow(run, "archive binary"), warc_path)
 
 
