@@ -106,44 +106,45 @@ def _anchor_rows(texts: DataFrame, length: int) -> DataFrame:
     return texts.select("rid", "text").mapInArrow(run, "gram bigint, around bigint, rid bigint, pos bigint")
 
 
-def _met(rows: DataFrame) -> DataFrame:
-    """(rid, pos, kind) of the anchors found more than once: 0 open, 1 settled, 2 settled and standing for its neighbourhood.
+def met_kinds(gram, around, rid, pos, last: bool):
+    """(kept, chosen): what the next batch needs, and rid, pos and kind of the anchors found more than once.
 
-    Rows come sorted by anchor and neighbourhood. Between batches only what the
-    last neighbourhood still needs is kept: its first row, and marks (pos -1)
-    for what has gone before.
+    Rows come sorted by anchor and neighbourhood. Unless this is the last batch
+    its last neighbourhood may go on: what is kept of it is its first row, as
+    long as that is undecided, and marks (pos -1) for what has gone before.
     """
+    new_run = np.r_[True, (gram[1:] != gram[:-1]) | (around[1:] != around[:-1])]
+    new_group = np.r_[True, gram[1:] != gram[:-1]]
+    run_no, group_no = np.cumsum(new_run) - 1, np.cumsum(new_group) - 1
+    many, twice = np.bincount(group_no[new_run])[group_no] > 1, np.bincount(run_no)[run_no] > 1
+    kind = np.where(twice, np.where(new_run & many, 2, 1), np.where(many, 0, 3))
+    keep, kept = (kind != 3) & (pos >= 0), [x[:0] for x in (gram, around, rid, pos)]
+    if not last:
+        start = int(np.flatnonzero(new_run)[-1])
+        g, a, seen_twice = gram[start], around[start], bool(twice[start])
+        if not (many[start] and seen_twice):
+            keep[start] = False
+        rows = [] if keep[start] else [(g, a, rid[start], pos[start])]
+        marks = [(g, a, 0, -1)] * (2 - len(rows)) if seen_twice else []
+        before = [(g, a - 1, 0, -1)] if many[start] else []
+        kept = list(np.array(before + rows + marks, np.int64).T)
+    return kept, (rid[keep], pos[keep], kind[keep])
+
+
+def _met(rows: DataFrame) -> DataFrame:
+    """(rid, pos, kind) of the anchors found more than once: 0 open, 1 settled, 2 settled and standing for its neighbourhood."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.empty(0, np.int64)] * 4
 
-        def decide(g, a, r, p, last):
-            new_run = np.r_[True, (g[1:] != g[:-1]) | (a[1:] != a[:-1])]
-            new_group = np.r_[True, g[1:] != g[:-1]]
-            run_no, group_no = np.cumsum(new_run) - 1, np.cumsum(new_group) - 1
-            run_size, runs = np.bincount(run_no), np.bincount(group_no[new_run])
-            many, twice = runs[group_no] > 1, run_size[run_no] > 1
-            kind = np.where(twice, np.where(new_run & many, 2, 1), np.where(many, 0, 3))
-            keep, kept = (kind != 3) & (p >= 0), [x[:0] for x in (g, a, r, p)]
-            if not last:
-                start = np.flatnonzero(new_run)[-1]
-                keep[start] &= bool(many[start] and twice[start])
-                rows = [start] * (not keep[start] or p[start] < 0) or []
-                kept = [x[rows] for x in (g, a, r, p)]
-                marks = ([(g[start], a[start] - 1)] if many[start] else []), ([(g[start], a[start])] if twice[start] else [])
-                before, after = (np.array(m, np.int64).reshape(-1, 2) for m in marks)
-                # with its first row gone, a neighbourhood seen twice is two marks
-                after = np.repeat(after, 2 - len(rows), axis=0) if len(after) else after
-                kept = [np.concatenate((before[:, 0], kept[0], after[:, 0])), np.concatenate((before[:, 1], kept[1], after[:, 1])),
-                        np.concatenate((np.zeros(len(before), np.int64), kept[2], np.zeros(len(after), np.int64))),
-                        np.concatenate((np.full(len(before), -1), kept[3], np.full(len(after), -1)))]
-            return kept, _batch({"rid": (r[keep], pa.int64()), "pos": (p[keep], pa.int64()), "kind": (kind[keep].astype(np.int32), pa.int32())})
+        def batch_of(rid, pos, kind):
+            return _batch({"rid": (rid, pa.int64()), "pos": (pos, pa.int64()), "kind": (kind.astype(np.int32), pa.int32())})
 
         for batch in batches:
             if batch.num_rows:
-                held, out = decide(*(np.concatenate((h, c.to_numpy())) for h, c in zip(held, batch.columns)), False)
-                yield out
+                held, chosen = met_kinds(*(np.concatenate((h, c.to_numpy())) for h, c in zip(held, batch.columns)), False)
+                yield batch_of(*chosen)
         if len(held[0]):
-            yield decide(*held, True)[1]
+            yield batch_of(*met_kinds(*held, True)[1])
 
     return rows.repartition("gram").sortWithinPartitions("gram", "around").mapInArrow(run, "rid bigint, pos bigint, kind int")
 
