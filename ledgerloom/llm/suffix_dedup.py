@@ -41,8 +41,8 @@ from .common import store
 from .ngram_join import mix
 
 LENGTH = 200
-#: Suffixes that a task holds before it sends its runs.
-RUN = 40_000
+#: Suffixes that a task holds before it sends its runs, or compares their windows.
+RUN = 20_000
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 _BYTES = np.random.default_rng(5).integers(0, 2**63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -240,29 +240,35 @@ def merge(runs: list[bytes]) -> Iterator[tuple[int, bytes, bytes]]:
 
 # --- windows around one anchor --------------------------------------------
 
-def repeated_windows(before: list[bytes], after: list[bytes], half: int) -> np.ndarray:
-    """For each member and each number a of bytes before the anchor: does the window occur in another member too?
+def _padded(parts: list[bytes], half: int) -> np.ndarray:
+    return np.frombuffer(b"".join(x[:half].ljust(half, b"\0") for x in parts), np.uint8).reshape(len(parts), half)
+
+
+def repeated_windows(groups: np.ndarray, before: list[bytes], after: list[bytes], half: int) -> np.ndarray:
+    """For each member and each number a of bytes before the anchor: does the window occur in another member of its group?
 
     ``before`` are the bytes up to the anchor, ``after`` those behind its
     ``half`` bytes; a window takes the last a of one and the first half - a of
-    the other.
+    the other. Window hashes move on by one byte at either end for each a.
     """
-    n = len(before)
-    left, right = np.zeros((n, half), np.uint64), np.zeros((n, half), np.uint64)
-    for i in range(n):
-        b, f = np.frombuffer(before[i][::-1], np.uint8), np.frombuffer(after[i], np.uint8)
-        left[i, :len(b)], right[i, :len(f)] = _BYTES[b], _BYTES[f]
-    up = _powers(2 * half + 1)[0]
-    zero = np.zeros((n, 1), np.uint64)
-    left = np.concatenate((zero, np.cumsum(left * up[1:half + 1], axis=1, dtype=np.uint64)), axis=1)
-    right = np.concatenate((zero, np.cumsum(right * up[half + 1:], axis=1, dtype=np.uint64)), axis=1)
+    left, right = _padded([x[::-1] for x in before], half), _padded(after, half)
     lefts, rights = np.array([len(x) for x in before]), np.array([len(x) for x in after])
-    out = np.zeros((n, half + 1), bool)
+    up = _powers(2 * half + 1)[0]
+    own = mix(groups.astype(np.uint64), 9)
+    back, front = np.zeros(len(groups), np.uint64), own.copy()
+    for b in range(half):
+        front += _BYTES[right[:, b]] * up[half + 1 + b]
+    out = np.zeros((len(groups), half + 1), bool)
     for a in range(half + 1):
+        if a:
+            back += _BYTES[left[:, a - 1]] * up[a]
+            front -= _BYTES[right[:, half - a]] * up[2 * half + 1 - a]
         fits = np.flatnonzero((lefts >= a) & (rights >= half - a))
         if len(fits) > 1:
-            _, which, times = np.unique(mix(left[fits, a], 8) + right[fits, half - a], return_inverse=True, return_counts=True)
-            out[fits, a] = times[which] > 1
+            window = mix(back[fits], 8) + front[fits]
+            order = np.argsort(window, kind="stable")
+            same = window[order][1:] == window[order][:-1]
+            out[fits[order], a] = np.r_[same, False] | np.r_[False, same]
     return out
 
 
@@ -302,37 +308,41 @@ def _edges(runs: DataFrame, length: int) -> DataFrame:
     half = length // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found(group):
-            if len(group) < 2:
-                return
-            hit = repeated_windows([p[17:] for _, p in group], [s[half:] for s, _ in group], half)
-            for (_, payload), row in zip(group, hit):
+        def spans(members):
+            """Repeated strings at the open anchors among the members (group, suffix, payload)."""
+            hit = repeated_windows(np.array([m[0] for m in members]), [m[2][17:] for m in members], [m[1][half:] for m in members], half)
+            out = []
+            for (_, _, payload), row in zip(members, hit):
                 rid, pos, kind = struct.unpack_from("<qqB", payload)
-                a = np.flatnonzero(row)
-                if kind == 0 and len(a):
-                    for part in np.split(a, np.flatnonzero(np.diff(a) > 1) + 1):
-                        yield rid, pos - int(part[-1]), pos - int(part[0]) + length
+                if kind == 0 and row.any():
+                    a = np.flatnonzero(row)
+                    cuts = np.flatnonzero(np.diff(a) > 1) + 1
+                    for first, end in zip([0, *cuts], [*cuts, len(a)]):
+                        out.append((rid, pos - int(a[end - 1]), pos - int(a[first]) + length))
+            return _batch({name: ([s[i] for s in out], pa.int64()) for i, name in enumerate(("rid", "start", "end"))})
 
         def merged(blobs):
-            group, spans = [], []
+            number, members = 0, []
             for same, suffix, payload in merge(blobs):
-                if same < half:
-                    spans += found(group)
-                    group = []
-                group.append((suffix, payload))
-            spans += found(group)
-            return _batch({name: ([s[i] for s in spans], pa.int64()) for i, name in enumerate(("rid", "start", "end"))})
+                if same < half:  # another anchor
+                    number += 1
+                    if len(members) >= RUN:
+                        yield spans(members)
+                        members = []
+                members.append((number, suffix, payload))
+            if members:
+                yield spans(members)
 
         now, blobs = None, []
         for batch in batches:
             for share, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if share != now and blobs:
-                    yield merged(blobs)
+                    yield from merged(blobs)
                     blobs = []
                 now = share
                 blobs.append(blob)
         if blobs:
-            yield merged(blobs)
+            yield from merged(blobs)
 
     return runs.repartition("share").sortWithinPartitions("share").mapInArrow(run, "rid bigint, start bigint, `end` bigint")
 
