@@ -35,7 +35,7 @@ def category_rules_list(rules: DataFrame, transfer: bool | None = None,
                            MAX_RULES, "dim_category_rules")
     out = []
     for r in rows:
-        if r["pattern"] is None or r["category_id"] is None:
+        if r["pattern"] is None or r["category_id"] is None or r["priority"] is None:
             continue
         if transfer is True and r["category_id"] != "transfer":
             continue

@@ -29,7 +29,7 @@ SELECT o.o_orderkey, o.o_custkey, c.c_mktsegment,
        CASE WHEN c.c_custkey % 50 = 49 THEN NULL ELSE c.c_name END AS holder
 FROM orders o
 JOIN customer c ON o.o_custkey = c.c_custkey
-LEFT JOIN part p ON p.p_partkey = o.o_orderkey % 200
+LEFT JOIN part p ON p.p_partkey = o.o_orderkey % (SELECT max(p_partkey) + 1 FROM part)
 """)
 
 cte("bank_statements", f"""
@@ -48,12 +48,12 @@ GROUP BY sha, acct, mon, o_custkey
 
 _BANK_LINE = f"sha AS statement_sha256, acct AS account_number, d AS txn_date, {money('cents')} AS amount, descr AS raw_description, {money('tc')} AS running_balance"
 cte("bank_transactions", f"""
-SELECT {_BANK_LINE} FROM bank_src WHERE (o_custkey + month(mon)) % 13 <> 0
+SELECT {_BANK_LINE} FROM bank_src
 UNION ALL
-SELECT {_BANK_LINE} FROM bank_src WHERE (o_custkey + month(mon)) % 13 <> 0 AND o_orderkey % 97 = 0
+SELECT {_BANK_LINE} FROM bank_src WHERE o_orderkey % 97 = 0
 UNION ALL
 SELECT sha, acct, d + CAST(o_orderkey % 10 AS INTEGER), {money('-cents')}, '{REVERSAL_TEXT}', {money('0')}
-FROM bank_src WHERE (o_custkey + month(mon)) % 13 <> 0 AND o_orderkey % 31 = 2
+FROM bank_src WHERE o_orderkey % 31 = 2
 """, ("bank_src",))
 
 cte("cc_src", f"""
@@ -67,12 +67,11 @@ FROM (
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN part p ON l.l_partkey = p.p_partkey
-  WHERE o.o_custkey % 2 = 0 AND l.l_linenumber = 1
   UNION ALL
   SELECT o_custkey, d + CAST(o_orderkey % 13 AS INTEGER), d + CAST(o_orderkey % 13 AS INTEGER),
          {money('-(-cents + (o_orderkey % 9 - 4) * 2)')}, '{CARD_PAYMENT_TEXT}', mon
   FROM bank_src
-  WHERE o_orderkey % 12 = 1 AND o_custkey % 2 = 0 AND cents < 0
+  WHERE o_orderkey % 12 = 1 AND cents < 0
 ) u
 """, ("bank_src",))
 

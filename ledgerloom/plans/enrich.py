@@ -40,7 +40,7 @@ def _rule_array_in_file_order(category_rules: DataFrame):
                            "dim_category_rules")
     structs = [F.struct(F.lit(int(r["priority"])).alias("priority"), F.lit(i).alias("ord"),
                         F.lit(r["category_id"]).alias("category"), F.lit(r["pattern"].lower()).alias("pattern"))
-               for i, r in enumerate(rows) if r["pattern"] is not None]
+               for i, r in enumerate(rows) if r["pattern"] is not None and r["priority"] is not None]
     return F.array(*structs) if structs else F.array().cast(
         "array<struct<priority:int,ord:int,category:string,pattern:string>>")
 

@@ -99,6 +99,8 @@ WRITE_KEYWORDS = (
 )
 _STRIP = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|--[^\n]*|/\*.*?\*/", re.S)
 
+_QUOTED = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|--[^\n]*|/\*.*?\*/", re.S)
+
 
 class ReadOnlyViolation(ValueError):
     pass
@@ -114,7 +116,9 @@ def check_read_only(sql: str) -> str:
     code = _STRIP.sub(" ", sql)
     if ";" in code.rstrip().rstrip(";"):
         raise ReadOnlyViolation("Only one statement is allowed.")
-    tokens = set(re.findall(r"[A-Za-z_]+", code.upper()))
+    if re.search(r"(?i)(?<![\w.])(?:reflect|java_method|try_reflect)\s*\(", _QUOTED.sub(" ", sql).replace("`", "")):
+        raise ReadOnlyViolation("Functions that call Java methods are not allowed.")
+    tokens = set(re.findall(r"[A-Za-z_]+", re.sub(r"(?i)\breplace\s*\(|\bshow\s+create\b", " ", code).upper()))
     bad = tokens.intersection(WRITE_KEYWORDS)
     if bad:
         raise ReadOnlyViolation(f"Statement is not read-only: {sorted(bad)[0]}")

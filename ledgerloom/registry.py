@@ -111,13 +111,7 @@ def _load_all():
     if _LOADED:
         return
     _LOADED = True
-    from . import queries_ledger  # noqa: F401
-    for mod in ("queries_enrich", "queries_ingest", "queries_quality"):
-        try:
-            __import__(f"{__package__}.{mod}")
-        except ModuleNotFoundError as e:  # modules are added as they are built
-            if mod not in str(e):
-                raise
+    from . import queries_enrich, queries_ingest, queries_ledger, queries_quality  # noqa: F401  (they register)
 
 
 __all__ = ["queries", "oracle_sql", "register", "from_model", "F"]

@@ -10,6 +10,7 @@ import datetime as _dt
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # The pinned "today" used by tests and the DuckDB oracle.
@@ -23,21 +24,26 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     On a cluster the master, memory and checkpoint dir come from the
     submitter; here we only fill in what is unset.
     """
-    builder = (
-        SparkSession.builder.appName(app_name)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    wanted = {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
         # Small stages keep some parallelism (CPU-heavy projections such as
         # the regex/md5 of the fact); large shuffles are unaffected.
-        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("LEDGERLOOM_DRIVER_MEMORY", "16g"))
-    )
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.driver.memory": os.environ.get("LEDGERLOOM_DRIVER_MEMORY", "16g"),
+    }
+    # Under spark-submit the JVM runs already and its configuration is known.
+    submitted = SparkConf() if "PYSPARK_GATEWAY_PORT" in os.environ else None
+    builder = SparkSession.builder.appName(app_name)
+    for key, value in wanted.items():
+        if submitted is None or not submitted.contains(key):
+            builder = builder.config(key, value)
     if master:
         builder = builder.master(master)
     spark = builder.getOrCreate()
@@ -61,6 +67,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="ledgerloom-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)

@@ -20,10 +20,23 @@ from ..functions import with_once
 DATE_ALIASES = ["date", "transaction date", "posted date", "trans. date"]
 DESCRIPTION_ALIASES = ["description", "details", "transaction details", "memo", "narration"]
 AMOUNT_ALIASES = ["amount", "debit", "credit", "transaction amount", "cad$"]
-MAX_COLUMNS = 16
 BOM = "\ufeff"
 
 
+def record_fields(line: Column) -> Column:
+    """Fields of one CSV record, however many: a field in double quotes may
+    hold commas and doubled quotes."""
+    raw = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("[^"]*+(?:""[^"]*+)*+"|[^,]*+)'), F.lit(1))
+    quoted = r'(?s)^"(.*)"$'
+    return F.transform(raw, lambda f: F.when(f.rlike(quoted), F.replace(
+        F.regexp_extract(f, quoted, 1), F.lit('""'), F.lit('"'))).otherwise(f))
+
+
+def stripped(c: Column) -> Column:
+    """Without white space at either end, line breaks and tabs included."""
+    return F.regexp_replace(c, r"^\s+|\s+$", "")
+
+
 def _first_alias(names: Column, aliases: list[str]) -> Column:
     """1-based position of the first alias present in ``names`` (0 if none)."""
     pos = [F.array_position(names, a) for a in aliases]
@@ -40,8 +53,8 @@ def parse_lines(lines: DataFrame, landed_at: Column) -> tuple[DataFrame, DataFra
     """
     header = (lines.filter(F.col("line_no") == 0)
               .select("source_file",
-                      F.transform(F.split(F.regexp_replace("text", "^" + BOM, ""), ","),
-                                  lambda h: F.lower(F.trim(h))).alias("names")))
+                      F.transform(record_fields(F.regexp_replace("text", "^" + BOM, "")),
+                                  lambda h: F.lower(stripped(h))).alias("names")))
     roles = header.select(
         "source_file",
         _first_alias(F.col("names"), DATE_ALIASES).alias("date_pos"),
@@ -50,26 +63,22 @@ def parse_lines(lines: DataFrame, landed_at: Column) -> tuple[DataFrame, DataFra
     )
     body = lines.filter((F.col("line_no") > 0) & (F.length(F.trim("text")) > 0))
     j = body.join(roles, "source_file", "left")
-    schema = ", ".join(f"c{i} string" for i in range(1, MAX_COLUMNS + 1))
-    # Parse each line exactly once (``with_once``); a small parser buffer,
-    # as the default allocates ~1M chars per call.
-    j = with_once(j, F.from_csv(F.col("text"), schema, {"inputBufferSize": "4096"}), "_rec")
-    j = j.select("*", F.array(*[F.col("_rec")[f"c{i}"] for i in range(1, MAX_COLUMNS + 1)]).alias("_f"))
+    j = with_once(j, record_fields(F.col("text")), "_f")  # each line is parsed once
 
     def pick(pos):
-        return F.when(F.col(pos) > 0, F.element_at(F.col("_f"), F.col(pos)))
+        return F.when(F.col(pos) > 0, F.get(F.col("_f"), F.col(pos) - 1))
 
-    raw_date = F.trim(pick("date_pos"))
-    raw_amount = F.regexp_replace(F.trim(pick("amount_pos")), "[,$]", "")
-    desc = F.trim(pick("desc_pos"))
+    raw_date = stripped(pick("date_pos"))
+    raw_amount = F.regexp_replace(stripped(pick("amount_pos")), "[,$]", "")
+    desc = stripped(pick("desc_pos"))
     parsed = j.select(
         "source_file", "line_no", "text",
         F.coalesce((F.col("date_pos") > 0) & (F.col("desc_pos") > 0) & (F.col("amount_pos") > 0),
                    F.lit(False)).alias("known"),
-        F.when(raw_date != "", F.expr("try_to_date(trim(element_at(_f, date_pos)), 'yyyy-MM-dd')")).alias("row_date"),
+        F.when(raw_date.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(raw_date, "yyyy-MM-dd"))
+         .when(raw_date.rlike(r"^\d{8}$"), F.try_to_date(raw_date, "yyyyMMdd")).alias("row_date"),
         raw_date.alias("raw_date"),
-        F.when(raw_amount != "", F.expr("try_cast(regexp_replace(trim(element_at(_f, amount_pos)), '[,$]', '') "
-                                        "as decimal(12,2))")).alias("amount"),
+        F.when(raw_amount != "", raw_amount.try_cast("decimal(12,2)")).alias("amount"),
         raw_amount.alias("raw_amount"),
         F.when(desc != "", desc).alias("description"),
     )

@@ -113,30 +113,29 @@ def page_provenance(pages: DataFrame, landed_at: str) -> DataFrame:
 
 
 def land_files(spark, input_glob: str, lake_root: str, domain: str, source: str,
-               landed_at: str) -> DataFrame:
+               landed_at: str, source_timestamp: str | None = None, extra: str = "{}") -> DataFrame:
     """A1 for real files: read bytes with the ``binaryFile`` source, hash
-    them on the executors, and write bytes + provenance partitioned by
-    domain/source/UTC date. Dynamic partition overwrite makes a same-day
-    re-landing replace that day's copy; within one batch the last
-    modified copy of a file name wins."""
+    them on the executors, and write bytes + provenance by domain, source, UTC
+    date and file name. A same-day re-landing replaces the files of the same
+    name and keeps the day's others; within one batch the last modified copy
+    of a name wins, picked on metadata alone. ``source_timestamp`` is the
+    file's modification time unless given."""
     raw = spark.read.format("binaryFile").load(input_glob)
-    name = F.element_at(F.split(F.col("path"), "/"), -1)
-    rec = raw.select(
-        F.lit(domain).alias("domain"), F.lit(source).alias("source_name"),
-        F.to_date(F.lit(landed_at).cast("timestamp_ntz")).alias("ingest_date"),
+    listed = raw.select("path", "modificationTime", F.element_at(F.split(F.col("path"), "/"), -1).alias("filename"))
+    winner = listed.groupBy("filename").agg(F.max_by("path", F.struct("modificationTime", "path")).alias("path"))
+    stamp = F.col("modificationTime") if source_timestamp is None else F.lit(source_timestamp).cast("timestamp")
+    rec = raw.join(winner, "path").select(
         F.lit(f"{domain}/{source}").alias("source"),
         F.lit(landed_at).cast("timestamp_ntz").alias("ingested_at"),
-        F.col("modificationTime").alias("source_timestamp"),
-        name.alias("filename"),
+        stamp.alias("source_timestamp"),
         F.col("length").alias("size_bytes"),
         F.sha2(F.col("content"), 256).alias("sha256"),
-        F.lit("{}").alias("extra"),
+        F.lit(extra).alias("extra"),
         F.col("content"),
+        F.lit(domain).alias("domain"), F.lit(source).alias("source_name"),
+        F.to_date(F.lit(landed_at).cast("timestamp_ntz")).alias("ingest_date"),
+        "filename",
     )
-    latest = (rec.groupBy("domain", "source_name", "ingest_date", "filename")
-                 .agg(F.max(F.struct("source_timestamp", "sha256", "size_bytes", "source", "ingested_at",
-                                     "extra", "content")).alias("r"))
-                 .select("domain", "source_name", "ingest_date", "filename", "r.*"))
-    (latest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("domain", "source_name", "ingest_date").parquet(f"{lake_root.rstrip('/')}/bronze_files"))
-    return latest.drop("content")
+    (rec.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("domain", "source_name", "ingest_date", "filename").parquet(f"{lake_root.rstrip('/')}/bronze_files"))
+    return rec.drop("content")

@@ -48,6 +48,43 @@ def test_land_files(spark):
     assert spark.read.parquet(f"{lake}/bronze_files").count() == 2
 
 
+def test_landing_keeps_the_days_other_files(spark):
+    lake = tempfile.mkdtemp(prefix="ll-lake-")
+    for name, body in [("a.txt", b"one"), ("b.txt", b"two"), ("a.txt", b"newer")]:
+        src = tempfile.mkdtemp(prefix="ll-src-")
+        with open(os.path.join(src, name), "wb") as f:
+            f.write(body)
+        land_files(spark, f"{src}/*", lake, "banking", "inbox", "2002-01-01 10:00:00", extra='{"by":"test"}')
+    got = spark.read.parquet(f"{lake}/bronze_files").select("filename", "content", "extra").collect()
+    assert {(r.filename, bytes(r.content), r.extra) for r in got} == {("a.txt", b"newer", '{"by":"test"}'), ("b.txt", b"two", '{"by":"test"}')}
+
+
+def test_inbox_quoted_and_wide_files(spark):
+    from pyspark.sql import functions as F
+    from ledgerloom.sources.csv_inbox import parse_lines
+    wide = ",".join([f"c{i}" for i in range(40)])
+    files = {
+        "q.csv": ['"Date","Description" ,"Amount\t"', '"2024-01-02","a, ""b"" c","1,234.50"', "20240103,x,2"],
+        "w.csv": [wide + ",Date,Description,Amount", ",".join(["z"] * 40) + ",2024-02-01,last,-3.10", "short"],
+        "n.csv": ['"Ref, old",Date,Memo,Debit', '"1,2",2024-03-01,m,7'],
+    }
+    lines = [(f, i, t) for f, ts in files.items() for i, t in enumerate(ts)]
+    df = spark.createDataFrame(lines, "source_file string, line_no bigint, text string")
+    rows, rejected = parse_lines(df, F.lit("2024-01-01").cast("timestamp_ntz"))
+    got = {(r.source_file, str(r.row_date), r.description, str(r.amount)) for r in rows.collect()}
+    assert got == {("q.csv", "2024-01-02", 'a, "b" c', "1234.50"), ("q.csv", "2024-01-03", "x", "2.00"),
+                   ("w.csv", "2024-02-01", "last", "-3.10"), ("n.csv", "2024-03-01", "m", "7.00")}
+    assert [(r.source_file, r.reason) for r in rejected.collect()] == [("w.csv", "blank_date")]
+
+
+def test_java_calls_are_refused():
+    for sql in ("SELECT reflect('java.lang.System','getProperty','user.dir')", "SELECT `java_method`('a','b')"):
+        with pytest.raises(ReadOnlyViolation):
+            check_read_only(sql)
+    assert check_read_only("SELECT replace(a, 'x', 'y') FROM t")
+    assert check_read_only("SHOW CREATE TABLE t")
+
+
 def test_inbox_reader_headers_and_rejects(spark):
     from pyspark.sql import functions as F
     from ledgerloom.sources.csv_inbox import parse_lines, read_inbox
