@@ -1,5 +1,5 @@
-"""The counts FIXTURES.md §2.5 publishes for sf0.01 (derived there with DuckDB
-from the same rules) — a regression guard independent of our oracle text."""
+"""Counts at sf0.01 over the whole tables (all line items, customers, months and
+parts), derived with DuckDB; FIXTURES.md §2.5 has those of the earlier, smaller fixture."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,33 +15,33 @@ def lake(spark):
 
 def test_bronze_counts(lake):
     assert lake.bank_statements.count() == 14060
-    assert lake.bank_transactions.count() == 14457
-    assert lake.cc_statements.count() == 4479
-    assert lake.cc_transactions.count() == 4667
+    assert lake.bank_transactions.count() == 15639
+    assert lake.cc_statements.count() == 46925
+    assert lake.cc_transactions.count() == 60855
 
 
 def test_fact_counts(lake):
     f = lake.fact_table
-    assert f.count() == 19124 == f.select("transaction_id").distinct().count()
-    assert f.filter(F.col("amount").isNull()).count() == 455
-    assert f.select("stable_id").distinct().count() == 18979
+    assert f.count() == 76494 == f.select("transaction_id").distinct().count()
+    assert f.filter(F.col("amount").isNull()).count() == 2815
+    assert f.select("stable_id").distinct().count() == 76339
     src = {r.category_source: r["count"] for r in f.groupBy("category_source").count().collect()}
-    assert src == {"default": 2495, "merchant": 5666, "override": 68, "rule": 6994, "transfer-detect": 3901}
+    assert src == {"default": 16334, "merchant": 47706, "override": 274, "rule": 7546, "transfer-detect": 4634}
 
 
 def test_transfer_and_gold_counts(lake):
-    assert lake.transfer_candidates.count() == 463
-    assert lake.transfer_matches.count() == 450
-    assert lake.one_way_transfers.count() == 1118
-    assert lake.fact_transfers.count() == 2018
-    assert lake.spending_by_category.count() == 829
+    assert lake.transfer_candidates.count() == 1051
+    assert lake.transfer_matches.count() == 1021
+    assert lake.one_way_transfers.count() == 1198
+    assert lake.fact_transfers.count() == 3240
+    assert lake.spending_by_category.count() == 853
     assert lake.cash_flow_monthly.count() == 83 == lake.disposable_income.count()
-    assert lake.transfer_review_queue.count() == 3736
+    assert lake.transfer_review_queue.count() == 4077
     dc = lake.data_completeness
-    assert dc.count() == 126532 and dc.filter(F.col("status") == "PRESENT").count() == 11250
-    assert lake.duplicate_alerts.count() == 290 and lake.outlier_alerts.count() == 3358
-    assert lake.reconciliation_gaps.count() == 1221
-    assert lake.review_unmapped_holders.count() == 152
+    assert dc.count() == 127130 and dc.filter(F.col("status") == "PRESENT").count() == 26289
+    assert lake.duplicate_alerts.count() == 310 and lake.outlier_alerts.count() == 4254
+    assert lake.reconciliation_gaps.count() == 150
+    assert lake.review_unmapped_holders.count() == 302
     assert lake.net_worth_daily.count() == 2528
 
 
