@@ -334,5 +334,6 @@ LABELLED = (
     f"""<html><body><div class="page"><div class="ad">{_LONG}</div><aside>{_LONG}</aside><article data-y=1><h1>{_MID}</h1><div><p>{_LONG}</p><div>{_MID}</div></div></article>
 <div class="ad-slot"><p>{_LONG}</p></div><footer>{_LONG}<p>{_MID}</p></footer></div></body></html>""",
     f"""<html><body><div data-y=1><h1>Plain page</h1><p>{_LONG}</p><p>{_MID}</p></div></body></html>""",
+    "<html><body data-y=1><p>Rain.</p></body></html>",
     f"""<html><body data-y=1><h1>No layout at all</h1><p>{_LONG * 2}</p><p>{_MID}</p></body></html>""",
 )
