@@ -9,16 +9,24 @@ take a running sum of ``n`` over the much smaller per-``(K, O)`` frame, and
 regenerate the rows with ``explode(sequence(offset+1, offset+n))``. The
 result equals ``row_number`` as a multiset; rows tied on ``(K, O)`` are
 indistinguishable, so the order among them does not matter.
+
+Copies beyond ``BLOCK`` are not regenerated where they were counted: such a
+row is cut into blocks of numbers, the blocks (one short row each) are dealt
+over all tasks, and each task regenerates its own, so what follows (ids,
+regexes, joins) is spread too. Rows with fewer copies are not shuffled again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+BLOCK = 1000  # copies regenerated from one row
+
+
 def number_copies(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],
                   out_col: str = "dup_seq") -> DataFrame:
     """Return ``df``'s columns in ``partition_cols + order_cols`` plus
@@ -32,7 +40,18 @@ def number_copies(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequ
          .rowsBetween(Window.unboundedPreceding, -1))
     offset = F.coalesce(F.sum("_n").over(w), F.lit(0))
     with_offset = counted.select(*keys, "_n", offset.alias("_off"))
-    return with_offset.select(
-        *keys,
-        F.explode(F.sequence(F.col("_off") + 1, F.col("_off") + F.col("_n"))).alias(out_col),
-    )
+
+    def numbers(first: Column, last: Column) -> Column:
+        return F.explode(F.sequence(first, last)).alias(out_col)
+
+    few = (with_offset.filter(F.col("_n") <= BLOCK)
+           .select(*keys, numbers(F.col("_off") + 1, F.col("_off") + F.col("_n"))))
+    blocks = (with_offset.filter(F.col("_n") > BLOCK)
+              .select(*keys, (F.col("_off") + F.col("_n")).alias("_last"),
+                      F.explode(F.sequence(F.col("_off") + 1, F.col("_off") + F.col("_n"), F.lit(BLOCK).cast("bigint")))
+                      .alias("_first")))
+    # A stated number of partitions, as AQE would put these short rows into one task.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = (blocks.repartition(tasks, *keys, "_first")
+            .select(*keys, numbers(F.col("_first"), F.least(F.col("_first") + (BLOCK - 1), F.col("_last")))))
+    return few.unionByName(many)

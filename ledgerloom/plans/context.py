@@ -154,14 +154,12 @@ class Lake:
 
     @cached_property
     def transfer_candidates(self) -> DataFrame:
-        # Pairs are few next to the fact; written once because mutual best
-        # reads them three times (two aggregates and the join back).
-        return self.table("transfer_candidates", transfers.transfer_candidates(self.fact_table))
+        return transfers.transfer_candidates(self.fact_for_read)
 
     @cached_property
     def transfer_matches(self) -> DataFrame:
         # Read by one-way detection and by fact_transfers.
-        return self.table("transfer_matches", transfers.transfer_matches(self.transfer_candidates))
+        return self.table("transfer_matches", transfers.mutual_best(self.fact_table))
 
     @cached_property
     def one_way_transfers(self) -> DataFrame:

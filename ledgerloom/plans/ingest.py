@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import account_last4
 from ..sources.fixtures import FIXTURE_PARSED_AT
 from ..sources.statements import MULTI_NO_ACCOUNTS
+from . import sinks
 
 
 def questrade_snapshots(positions: DataFrame) -> DataFrame:
@@ -200,11 +203,27 @@ def bronze_rebuild_summary(results: DataFrame) -> DataFrame:
     return results.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("documents"))
 
 
-def write_bronze_batch(first: DataFrame, root: str) -> None:
-    """Write one batch: details before headers, so a crash between the two
-    leaves no header without its lines (the hash check keys on headers and
-    would otherwise never repair the gap)."""
-    bronze_bank_transactions(first).write.mode("append").parquet(f"{root}/bank_transactions")
-    bronze_cc_transactions(first).write.mode("append").parquet(f"{root}/cc_transactions")
-    bronze_bank_statements(first).write.mode("append").parquet(f"{root}/bank_statements")
-    bronze_cc_statements(first).write.mode("append").parquet(f"{root}/cc_statements")
+BRONZE_TABLES = {
+    "bank_transactions": bronze_bank_transactions, "cc_transactions": bronze_cc_transactions,
+    "bank_statements": bronze_bank_statements, "cc_statements": bronze_cc_statements,
+}
+
+
+def write_bronze_batch(first: DataFrame, root: str, batch_id: str | None = None) -> str:
+    """Write one batch's rows of the four tables; returns the batch's id.
+
+    The batch is staged whole first. A call with the id of a batch that was
+    staged but not finished takes the staged documents, whatever ``first``
+    holds by then (its documents may look known already, since some headers
+    were written), and overwrites that batch's own folder of each table. So a
+    crash between any two writes neither doubles nor loses a row, and a retry
+    is the same call again."""
+    spark = first.sparkSession
+    batch_id = batch_id or uuid.uuid4().hex
+    staged = f"{root}/_batches/batch={batch_id}"
+    if not sinks.is_written(spark, staged):
+        sinks.write_table(first, staged)
+    documents = spark.read.parquet(staged)
+    for name, rows in BRONZE_TABLES.items():
+        sinks.write_table(rows(documents), f"{root}/{name}/batch={batch_id}")
+    return batch_id

@@ -9,7 +9,7 @@ clean text matches an outbound rule by LIKE and that are not matched.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.rules import transfer_pattern_array
@@ -88,6 +88,77 @@ def transfer_matches(candidates: DataFrame) -> DataFrame:
                   .select("debit_txn_id", F.col("bc").alias("credit_txn_id"), "amount"))
 
 
+def _cells(side: DataFrame) -> DataFrame:
+    """One row per (cents, day, account): its smallest id. Only that id can be
+    anyone's best partner, as all rows of a cell have the same gaps."""
+    return (side.filter(F.col("account_id").isNotNull() & F.col("txn_date").isNotNull())
+            .groupBy(_abs_cents().alias("cents"), _day_number().alias("day"), F.col("account_id").alias("acct"))
+            .agg(F.min("transaction_id").alias("id")))
+
+
+def _near(queries: DataFrame, targets: DataFrame, debit_cents: str, same_account: bool) -> DataFrame:
+    """``queries`` (q_cents, q_day, …) with the cells of ``targets`` (t_cents,
+    t_day, …) that the amount and day bands allow, as ``rank`` =
+    (day_gap, amount_gap, t_id). Both sides hold a bounded number of rows per
+    (cents, day[, account]), so a query meets at most 11 amounts x 21 days
+    (twice, for the two smallest ids of different accounts)."""
+    q = band_keys(queries, bucket(F.col("q_cents"), TOLERANCE_CENTS), bucket(F.col("q_day"), MAX_GAP_DAYS), "day")
+    t = band_keys(targets, bucket(F.col("t_cents"), TOLERANCE_CENTS), bucket(F.col("t_day"), MAX_GAP_DAYS), "amount")
+    t = t.withColumnRenamed("_ab", "t_ab").withColumnRenamed("_db", "t_db")
+    on = (F.col("_ab") == F.col("t_ab")) & (F.col("_db") == F.col("t_db"))
+    if same_account:
+        on &= F.col("q_acct") == F.col("t_acct")
+        limit = F.lit(SAME_ACCOUNT_GAP_DAYS)
+    else:
+        limit = F.when(F.col(debit_cents) < LARGE_AMOUNT * 100, SMALL_GAP_DAYS).otherwise(LARGE_GAP_DAYS)
+    day_gap = F.abs(F.col("q_day") - F.col("t_day"))
+    amount_gap = F.abs(F.col("q_cents") - F.col("t_cents"))
+    return (q.join(t, on).filter((day_gap <= limit) & (amount_gap <= TOLERANCE_CENTS))
+            .select(*queries.columns,
+                    F.struct(day_gap.alias("day_gap"), amount_gap.alias("amount_gap"), F.col("t_id").alias("id"),
+                             F.col("t_acct").alias("acct")).alias("rank")))
+
+
+def _best_partner(queries: DataFrame, targets: DataFrame, queries_are_debits: bool) -> DataFrame:
+    """(id, cents, partner): the best partner of each cell's smallest id, or
+    no row. Work grows with cells, never with pairs of rows."""
+    debit_cents = "q_cents" if queries_are_debits else "t_cents"
+    q = queries.select(*[F.col(c).alias("q_" + c) for c in queries.columns])
+    t = targets.select(*[F.col(c).alias("t_" + c) for c in targets.columns])
+    same = _near(q, t, debit_cents, same_account=True).select("q_id", "q_cents", "rank")
+    # Another account: per (cents, day) the two smallest ids are enough, since
+    # cells of one (cents, day) have different accounts (limited map-side).
+    place = Window.partitionBy("t_cents", "t_day").orderBy("t_id")
+    two = t.withColumn("_place", F.row_number().over(place)).filter(F.col("_place") <= 2).drop("_place")
+    spots = q.select("q_cents", "q_day").distinct()
+    # At most 462 structs per spot (see _near).
+    ranked = (_near(spots, two, debit_cents, same_account=False).groupBy("q_cents", "q_day")
+              .agg(F.array_sort(F.collect_list("rank")).alias("r")))
+    ranked = ranked.select(F.col("q_cents").alias("s_cents"), F.col("q_day").alias("s_day"), F.col("r")[0].alias("one"),
+                           F.get(F.filter("r", lambda x: x["acct"] != F.col("r")[0]["acct"]), F.lit(0)).alias("other"))
+    cross = (q.join(ranked, (F.col("q_cents") == F.col("s_cents")) & (F.col("q_day") == F.col("s_day")))
+             .select("q_id", "q_cents",
+                     F.when(F.col("one.acct") != F.col("q_acct"), F.col("one")).otherwise(F.col("other")).alias("rank"))
+             .filter(F.col("rank").isNotNull()))
+    return (same.unionByName(cross).groupBy("q_id", "q_cents").agg(F.min("rank").alias("rank"))
+            .select(F.col("q_id").alias("id"), F.col("q_cents").alias("cents"), F.col("rank.id").alias("partner")))
+
+
+def mutual_best(fact: DataFrame) -> DataFrame:
+    """B12 straight from the fact: equal to ``transfer_matches`` over all
+    candidate pairs, without making them (a day on which one amount is charged
+    and reversed in very many accounts stays linear)."""
+    base = fact.select("transaction_id", "account_id", "txn_date", "amount")
+    debits, credits = _cells(base.filter(F.col("amount") < 0)), _cells(base.filter(F.col("amount") > 0))
+    d = _best_partner(debits, credits, queries_are_debits=True)
+    c = _best_partner(credits, debits, queries_are_debits=False).select(F.col("id").alias("c_id"),
+                                                                       F.col("partner").alias("c_partner"))
+    return (d.join(c, (F.col("id") == F.col("c_partner")) & (F.col("partner") == F.col("c_id")))
+            .select(F.col("id").alias("debit_txn_id"), F.col("partner").alias("credit_txn_id"),
+                    (-F.col("cents").cast("decimal(20,0)") / F.lit(100).cast("decimal(3,0)")).cast("decimal(18,2)")
+                    .alias("amount")))
+
+
 def one_way_transfers(fact: DataFrame, transfer_rules: DataFrame, matches: DataFrame) -> DataFrame:
     """Outbound-rule debits (LIKE '%pattern%', so % and _ in a pattern
     are wildcards) not already matched."""

@@ -10,6 +10,8 @@ DRIVER_TABLES = (
 ).split()
 
 
+SPREAD_MAX_BYTES = 1 << 30
+
 _SCANS: dict[tuple, DataFrame] = {}
 
 
@@ -20,9 +22,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     The (lazy) scan is memoised per session and path: resolving a Parquet
     schema costs a footer read on the driver each time.
 
-    A scan with fewer splits than the cluster has cores (a small file with
-    one row group) is spread round-robin so the work stacked on it does not
-    run in one task; a real table (many splits) is left as it is. Filters
+    A table of at most SPREAD_MAX_BYTES with fewer splits than the cluster has
+    cores (a small file with one row group) is spread round-robin so the work
+    stacked on it does not run in one task; the shuffle that this adds is thus
+    bounded on any cluster, and a larger table is read as it is split. Filters
     and column pruning still reach the scan through the repartition."""
     if name not in DRIVER_TABLES:
         raise ValueError(f"unknown driver table {name!r}")
@@ -31,7 +34,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if key not in _SCANS:
         df = spark.read.parquet(path)
         target = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < target:
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        if size <= SPREAD_MAX_BYTES and df.rdd.getNumPartitions() < target:
             df = df.repartition(target)
         _SCANS[key] = df
     return _SCANS[key]

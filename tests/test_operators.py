@@ -253,3 +253,38 @@ def test_completeness_when_every_account_starts_after_as_of(spark):
     fact = spark.createDataFrame([], "txn_date date, account_id string, statement_sha256 string")
     rows = gold.data_completeness(acc, fact, dt.date(2002, 1, 1)).collect()
     assert [(str(r.month), r.friendly_name, r.status) for r in rows] == [("2003-05-01", "One", "MISSING")]
+
+
+def test_hot_group_of_copies_is_spread(spark):
+    """600,000 of 900,000 rows are copies of one row: no task holds more than twice its share."""
+    hot = spark.range(600_000).select(F.lit("hot").alias("k"), F.lit("s").alias("sha"))
+    rest = spark.range(300_000).select(F.concat(F.lit("k"), (F.col("id") % 100_000)).alias("k"),
+                                       F.concat(F.lit("s"), F.col("id") % 2).alias("sha"))
+    df = hot.unionByName(rest)
+    ours = number_copies(df, ["k"], ["sha"])
+    per_task = [r["count"] for r in ours.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(per_task) == 900_000
+    assert max(per_task) <= 2 * 900_000 / int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ref = df.select("k", "sha", F.row_number().over(Window.partitionBy("k").orderBy("sha")).alias("dup_seq"))
+    digest = [F.count(F.lit(1)), F.sum(F.xxhash64("k", "sha", F.col("dup_seq").cast("bigint")).cast("decimal(38,0)"))]
+    assert ours.agg(*digest).collect() == ref.agg(*digest).collect()
+
+
+@pytest.mark.parametrize("seed,n", [(3, 300), (11, 400), (12, 40), (13, 900)])
+def test_mutual_best_equals_matches_over_all_pairs(spark, seed, n):
+    rows = _random_fact(seed, n) + [("n1", None, dt.date(2001, 1, 1), __import__("decimal").Decimal("12.34")),
+                                    ("n2", "A1", None, __import__("decimal").Decimal("-12.34"))]
+    random.Random(seed).shuffle(rows)
+    fact = _fact(spark, [(f"{hash((seed, i)) % 10**6:06d}-{t}", *r) for i, (t, *r) in enumerate(rows)])
+    ours = sorted(map(tuple, transfers.mutual_best(fact).collect()))
+    assert ours == sorted(map(tuple, transfers.transfer_matches(transfers.transfer_candidates(fact)).collect()))
+    assert ours
+
+
+def test_mutual_best_of_a_hot_cell(spark):
+    """100,000 debits and 100,000 credits of one amount on one day, each in an account of its own."""
+    side = lambda sign, p: spark.range(100_000).select(
+        F.format_string(p + "%06d", "id").alias("transaction_id"), F.format_string(p + "acct%06d", "id").alias("account_id"),
+        F.lit("2001-01-01").cast("date").alias("txn_date"), F.lit(sign * 35).cast("decimal(18,2)").alias("amount"))
+    got = transfers.mutual_best(side(-1, "d").unionByName(side(1, "c"))).collect()
+    assert [(r.debit_txn_id, r.credit_txn_id, float(r.amount)) for r in got] == [("d000000", "c000000", -35.0)]

@@ -181,3 +181,30 @@ def test_inbox_stream_processes_each_file_once(spark):
     # batch's files after it commits, so the latest run's file may linger)
     left = [n for n in os.listdir(inbox) if n.endswith(".csv")]
     assert "A1.csv" not in left and "A2.csv" not in left
+
+
+@pytest.mark.parametrize("fails_at", range(5))
+def test_retry_of_a_broken_batch_neither_doubles_nor_loses_rows(spark, monkeypatch, fails_at):
+    from conftest import SMALL
+    from ledgerloom.plans import ingest, sinks
+    from ledgerloom.plans.context import Lake
+    first = Lake(spark, SMALL).first_copies
+    root, writes, write = tempfile.mkdtemp(prefix="ll-batch-"), [], sinks.write_table
+
+    def breaks(df, path):
+        writes.append(path)
+        if len(writes) == fails_at + 1:
+            raise OSError("lost")
+        write(df, path)
+
+    monkeypatch.setattr(sinks, "write_table", breaks)
+    with pytest.raises(OSError):
+        ingest.write_bronze_batch(first, root, "b1")
+    monkeypatch.setattr(sinks, "write_table", write)
+    # once staged, the retry must not depend on what still looks new
+    ingest.write_bronze_batch(first if fails_at == 0 else first.limit(0), root, "b1")
+    for name, rows in ingest.BRONZE_TABLES.items():
+        want = rows(first)
+        got = spark.read.parquet(f"{root}/{name}").select(want.columns)
+        assert got.count() == want.count() > 0
+        assert got.exceptAll(want).count() == 0
