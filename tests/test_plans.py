@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SMALL
+from ledgerloom.plans.context import Lake
 from plan_review import plan_text, summary
 
 VECTOR_KEYS = {"nearest_merchant", "merchant_triage", "merchant_new", "merchant_review_queue",
@@ -21,3 +22,11 @@ def test_plan_has_no_pair_explosion(spark, name):
     assert "BatchEvalPython" not in text, name
     if name not in VECTOR_KEYS:
         assert s["python"] == 0, name
+
+
+@pytest.mark.parametrize("name", ["transfer_candidates", "transfer_matches", "fact_transfers"])
+def test_lazy_transfer_plans_have_no_pair_explosion(spark, name):
+    """The registered keys read written tables; here the joins themselves are in the plan."""
+    s = summary(plan_text(getattr(Lake(spark, SMALL, materialize=False), name)))
+    assert s["exchanges"] > 0
+    assert s["nested_loop"] == 0 and s["cartesian"] == 0
