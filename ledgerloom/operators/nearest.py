@@ -1,213 +1,146 @@
-"""Exact nearest neighbour by cosine distance without a cross join.
-
-Merchants (the small side by nature: one row per canonical merchant) are
-unit-normalised and broadcast as a float matrix, behind a byte bound. Query
-vectors stay distributed; ``mapInPandas`` multiplies each Arrow batch of
-queries against the matrix and keeps only the argmin, so query x merchant
-pairs are never materialised as rows and nothing but one row per query
-leaves a task.
-
-Beyond the bound the merchant side is cut into hash chunks that each fit;
-every chunk yields a best candidate per query, and a ``min(struct)``
-aggregate per query (partial aggregation, one row per chunk) picks the
-overall best — still exact.
+"""Exact nearest neighbour by cosine distance, block by block on the executors.
+
+Both sides stay distributed. Each is dealt into blocks by the hash of its id,
+every block of queries meets every block of merchants once in a cogrouped
+Arrow task, and a task multiplies the two matrices and returns one candidate
+per query; ``min(struct)`` picks the overall best. Query x merchant pairs
+never become rows, and neither vectors nor ids pass the driver: it reads one
+row of counts, from which the number of blocks follows.
+
+A block holds at most about ``BLOCK_BYTES_CONF`` bytes of vectors, and a
+product at most ``CELLS`` numbers at a time, so a task's memory has a bound
+that no table size moves. Queries are cut finer than that only while there
+are fewer tasks than cores.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
-BROADCAST_BYTES_CONF = "ledgerloom.nearest.maxBroadcastBytes"
-
-
-def _byte_bound(df: DataFrame, explicit: int | None) -> int:
-    """Explicit bound, else the session setting, else the default."""
-    if explicit is not None:
-        return explicit
-    return int(df.sparkSession.conf.get(BROADCAST_BYTES_CONF, str(DEFAULT_MAX_BROADCAST_BYTES)))
-
-_OUT_SCHEMA = "query_id string, merchant_id string, distance double"
-
-
-def _unit_rows(rows, dim, id_field="merchant_id"):
-    ids = [r[id_field] for r in rows]
-    mat = np.asarray([np.asarray(r["vec"], dtype=np.float64) for r in rows], dtype=np.float64).reshape(len(rows), dim)
-    norms = np.linalg.norm(mat, axis=1)
-    keep = norms > 0
-    return np.asarray(ids, dtype=object)[keep], mat[keep] / norms[keep, None]
-
-
-def _best_in_chunk(queries: DataFrame, ids: np.ndarray, unit: np.ndarray) -> DataFrame:
-    sc = queries.sparkSession.sparkContext
-    b_ids = sc.broadcast(ids)
-    b_mat = sc.broadcast(unit)
-
-    def run(batches):
-        mids = b_ids.value
-        mat = b_mat.value
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            q = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["vec"]]) if len(pdf) else np.zeros((0, 0))
-            qn = np.linalg.norm(q, axis=1)
-            with np.errstate(invalid="ignore", divide="ignore"):
-                dist = 1.0 - (q @ mat.T) / qn[:, None]
-            if len(mids) == 0:
-                yield pd.DataFrame({"query_id": pdf["query_id"], "merchant_id": None, "distance": np.nan})
-                continue
-            # argmin by (distance, merchant_id): ids are sorted, so the first
-            # minimum is the lexicographically smallest tie.
-            best = np.nanargmin(np.where(np.isnan(dist), np.inf, dist), axis=1)
-            bd = dist[np.arange(len(pdf)), best]
-            yield pd.DataFrame({"query_id": pdf["query_id"].astype(str),
-                                "merchant_id": mids[best].astype(object),
-                                "distance": bd})
-
-    return queries.select("query_id", "vec").mapInPandas(run, _OUT_SCHEMA)
-
-
-def nearest_merchant(queries: DataFrame, merchants: DataFrame,
-                     max_broadcast_bytes: int | None = None) -> DataFrame:
+DEFAULT_BLOCK_BYTES = 32 * 1024 * 1024
+BLOCK_BYTES_CONF = "ledgerloom.nearest.blockBytes"
+#: Distances that a task holds at a time.
+CELLS = 1 << 22
+#: Queries are not cut below so many a block for the sake of more tasks.
+LEAST_QUERIES = 256
+
+_FOUND = "id string, other_id string, distance double"
+
+
+def _sizes(df: DataFrame) -> DataFrame:
+    return df.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dim"))
+
+
+def _in_blocks(left: DataFrame, right: DataFrame, task: Callable[[pa.Table, pa.Table], pa.Table],
+               block_bytes: int | None) -> DataFrame:
+    """``task`` over every pair of blocks of left(id, vec, ...) and right(id, vec, ...)."""
+    spark = left.sparkSession
+    limit = block_bytes or int(spark.conf.get(BLOCK_BYTES_CONF, str(DEFAULT_BLOCK_BYTES)))
+    (n, dim), (m, m_dim) = _sizes(left).unionAll(_sizes(right)).collect()  # two rows of counts
+    width = 8 * max(dim or 1, m_dim or 1, 1)
+    right_blocks = max(1, math.ceil(m * width / limit))
+    wanted = min(spark.sparkContext.defaultParallelism, math.ceil(n / LEAST_QUERIES))
+    left_blocks = max(1, math.ceil(n * width / limit), math.ceil(wanted / right_blocks))
+
+    def dealt(df: DataFrame, own: str, blocks: int, other: str, others: int) -> DataFrame:
+        # named anew: a cogroup of a table with itself must tell its sides' columns apart
+        return df.select(*[F.col(c).alias(c) for c in df.columns], F.pmod(F.xxhash64("id"), F.lit(blocks)).alias(own),
+                         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(others - 1).cast("long"))).alias(other))
+
+    a = dealt(left, "lb", left_blocks, "rb", right_blocks).groupBy("lb", "rb")
+    b = dealt(right, "rb", right_blocks, "lb", left_blocks).groupBy("lb", "rb")
+    return a.cogroup(b).applyInArrow(task, _FOUND)
+
+
+def _block_task(max_distance: float | None = None, cells: int = CELLS) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """(id, other_id, distance) of two blocks: each left row's nearest right row, or with
+    ``max_distance`` every right row strictly closer than that. Where the blocks carry ``ord_key``,
+    a right row counts only if it comes before the left one.
+
+    All helpers are inside, so they travel with the function and executors need no copy of this package."""
+    def unit(block: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids in order, order keys and unit vectors of the rows that have a direction."""
+        ids = np.array(block["id"].to_pylist(), object)
+        vectors = block["vec"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        vectors = vectors.reshape(len(ids), -1)
+        keys = np.array(block["ord_key"].to_pylist() if "ord_key" in block.column_names else ids, object)
+        norms = np.linalg.norm(vectors, axis=1)
+        order = np.argsort(ids, kind="stable")
+        order = order[norms[order] > 0]
+        return ids[order], keys[order], vectors[order] / norms[order, None]
+
+    def distances(left: pa.Table, right: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(left ids, right ids, distances), as many rows of left at a time as ``cells`` allows."""
+        if not left.num_rows or not right.num_rows:
+            return
+        (ids, keys, q), (others, other_keys, m) = unit(left), unit(right)
+        if not len(ids) or not len(others):
+            return
+        ranks = np.unique(np.concatenate([keys, other_keys]), return_inverse=True)[1] if "ord_key" in left.column_names else None
+        step = max(1, cells // len(others))
+        for at in range(0, len(ids), step):
+            dist = 1.0 - q[at:at + step] @ m.T
+            if ranks is not None:
+                dist[ranks[None, len(ids):] >= ranks[:len(ids)][at:at + step, None]] = np.inf
+            yield ids[at:at + step], others, dist
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for ids, others, dist in distances(left, right):
+            if max_distance is not None:
+                i, j = np.nonzero(dist < max_distance)
+            else:  # others are in order of id: the first of equals has the smallest
+                j = dist.argmin(axis=1)
+                i = np.flatnonzero(np.isfinite(dist[np.arange(len(ids)), j]))
+                j = j[i]
+            found.append((ids[i], others[j], dist[i, j]))
+        columns = [np.concatenate(c) for c in zip(*found)] if found else [[], [], []]
+        return pa.table({"id": pa.array(columns[0], pa.string()), "other_id": pa.array(columns[1], pa.string()),
+                         "distance": pa.array(columns[2], pa.float64())})
+
+    return run
+
+
+def _nearest(queries: DataFrame, merchants: DataFrame, keys: list[str], block_bytes: int | None) -> DataFrame:
+    usable = F.col("vec").isNotNull() & (F.size("vec") > 0)
+    q = queries.select(F.col("query_id").cast("string").alias("id"), *keys, "vec")
+    m = merchants.where(usable).select(F.col("merchant_id").alias("id"), *keys, "vec")
+    found = _in_blocks(q.where(usable), m, _block_task(), block_bytes)
+    best = found.groupBy(F.col("id").alias("query_id")).agg(
+        F.min(F.struct("distance", F.col("other_id").alias("merchant_id"))).alias("b"))
+    return (q.select(F.col("id").alias("query_id")).join(best, "query_id", "left")
+             .select("query_id", F.col("b.merchant_id").alias("merchant_id"), F.col("b.distance").alias("distance")))
+
+
+def nearest_merchant(queries: DataFrame, merchants: DataFrame, block_bytes: int | None = None) -> DataFrame:
     """queries(query_id, vec array<double>), merchants(merchant_id, vec) ->
-    (query_id, merchant_id, distance); merchant NULL when none has a vector.
+    (query_id, merchant_id, distance), one row per query; ties go to the smallest merchant id.
 
     Merchants with a NULL or zero vector are left out (the reference would
-    compare against NULL and fail)."""
-    m = merchants.filter(F.col("vec").isNotNull() & (F.size("vec") > 0)).select("merchant_id", "vec")
-    stats = m.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dim")).collect()[0]
-    n, dim = stats["n"], stats["dim"] or 0
-    q = queries.select(F.col("query_id").cast("string").alias("query_id"), "vec")
-    if n == 0:
-        return q.select("query_id", F.lit(None).cast("string").alias("merchant_id"),
-                        F.lit(None).cast("double").alias("distance"))
-    chunks = max(1, math.ceil(n * dim * 8 / _byte_bound(queries, max_broadcast_bytes)))
-    parts = []
-    for c in range(chunks):
-        part = m if chunks == 1 else m.filter(F.pmod(F.xxhash64("merchant_id"), F.lit(chunks)) == c)
-        # Each chunk is below the byte bound by construction; collect it
-        # sorted so ties resolve to the smallest merchant id.
-        rows = part.orderBy("merchant_id").collect()
-        ids, unit = _unit_rows(rows, dim)
-        parts.append(_best_in_chunk(q, ids, unit))
-    if chunks == 1:
-        return parts[0]
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p)
-    best = (allp.filter(F.col("merchant_id").isNotNull())
-                .groupBy("query_id").agg(F.min(F.struct("distance", "merchant_id")).alias("b")))
-    return (q.select("query_id").join(best, "query_id", "left")
-             .select("query_id", F.col("b.merchant_id").alias("merchant_id"),
-                     F.col("b.distance").alias("distance")))
+    compare against NULL and fail); a query without a direction, or without
+    any merchant, gets NULL for both."""
+    return _nearest(queries, merchants, [], block_bytes)
 
 
 # --- ordered variants (sequential "earlier inserts are visible" semantics) --------------
 
-def _sorted_unit(rows, dim):
-    keys = np.asarray([r["ord_key"] for r in rows], dtype=object)
-    ids, unit = _unit_rows(rows, dim, "item_id")  # rows are pre-sorted by ord_key; zero vectors dropped
-    if len(ids) != len(rows):  # keep keys aligned with the rows that survived
-        keep = [i for i, r in enumerate(rows) if np.linalg.norm(np.asarray(r["vec"], dtype=np.float64)) > 0]
-        keys = keys[keep]
-    return ids, keys, unit
-
-
-def neighbours_before(items: DataFrame, max_distance: float,
-                      max_broadcast_bytes: int | None = None) -> DataFrame:
+def neighbours_before(items: DataFrame, max_distance: float, block_bytes: int | None = None) -> DataFrame:
     """items(item_id, ord_key, vec) -> (item_id, other_id, distance) for every
     other item that comes earlier by ``ord_key`` and lies within
-    ``max_distance`` (strictly closer). Only qualifying pairs leave a task;
-    the item matrix is broadcast in byte-bounded chunks."""
-    it = items.select(F.col("item_id").cast("string").alias("item_id"), "ord_key", "vec")
-    stats = it.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dim")).collect()[0]
-    n, dim = stats["n"], stats["dim"] or 0
-    schema = "item_id string, other_id string, distance double"
-    if n == 0:
-        return it.sparkSession.createDataFrame([], schema)
-    chunks = max(1, math.ceil(n * dim * 8 / _byte_bound(items, max_broadcast_bytes)))
-    out = None
-    for c in range(chunks):
-        part = it if chunks == 1 else it.filter(F.pmod(F.xxhash64("item_id"), F.lit(chunks)) == c)
-        rows = part.orderBy("ord_key", "item_id").collect()
-        ids, keys, unit = _sorted_unit(rows, dim)
-        sc = it.sparkSession.sparkContext
-        b = sc.broadcast((ids, keys, unit))
-
-        def run(batches, b=b):
-            mids, mkeys, mat = b.value
-            for pdf in batches:
-                if pdf.empty or len(mids) == 0:
-                    continue
-                q = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["vec"]])
-                qn = np.linalg.norm(q, axis=1)
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    dist = 1.0 - (q @ mat.T) / qn[:, None]
-                # columns are sorted by key: the earlier ones are a prefix
-                pos = np.searchsorted(mkeys, pdf["ord_key"].to_numpy(dtype=object), side="left")
-                earlier = np.arange(len(mids))[None, :] < pos[:, None]
-                hit = earlier & (dist < max_distance)
-                r, cidx = np.nonzero(hit)
-                if len(r):
-                    yield pd.DataFrame({"item_id": pdf["item_id"].to_numpy(dtype=object)[r],
-                                        "other_id": mids[cidx], "distance": dist[r, cidx]})
-
-        res = it.mapInPandas(run, schema)
-        out = res if out is None else out.unionByName(res)
-    return out
-
-
-def nearest_earlier(queries: DataFrame, merchants: DataFrame,
-                    max_broadcast_bytes: int | None = None) -> DataFrame:
+    ``max_distance`` (strictly closer). Only qualifying pairs leave a task."""
+    it = items.where(F.col("vec").isNotNull() & (F.size("vec") > 0)).select(
+        F.col("item_id").cast("string").alias("id"), "ord_key", "vec")
+    return _in_blocks(it, it, _block_task(max_distance), block_bytes).withColumnRenamed("id", "item_id")
+
+
+def nearest_earlier(queries: DataFrame, merchants: DataFrame, block_bytes: int | None = None) -> DataFrame:
     """Like ``nearest_merchant`` but a query only sees merchants whose
     ``ord_key`` is smaller than its own (queries and merchants both carry
     ``ord_key``)."""
-    m = merchants.filter(F.col("vec").isNotNull() & (F.size("vec") > 0)).select(
-        F.col("merchant_id").alias("item_id"), "ord_key", "vec")
-    q = queries.select(F.col("query_id").cast("string").alias("query_id"), "ord_key", "vec")
-    stats = m.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dim")).collect()[0]
-    n, dim = stats["n"], stats["dim"] or 0
-    schema = "query_id string, merchant_id string, distance double"
-    if n == 0:
-        return q.select("query_id", F.lit(None).cast("string").alias("merchant_id"),
-                        F.lit(None).cast("double").alias("distance"))
-    chunks = max(1, math.ceil(n * dim * 8 / _byte_bound(queries, max_broadcast_bytes)))
-    parts = []
-    for c in range(chunks):
-        part = m if chunks == 1 else m.filter(F.pmod(F.xxhash64("item_id"), F.lit(chunks)) == c)
-        rows = part.orderBy("ord_key", "item_id").collect()
-        ids, keys, unit = _sorted_unit(rows, dim)
-        b = q.sparkSession.sparkContext.broadcast((ids, keys, unit))
-
-        def run(batches, b=b):
-            mids, mkeys, mat = b.value
-            for pdf in batches:
-                if pdf.empty:
-                    continue
-                q_ = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["vec"]])
-                qn = np.linalg.norm(q_, axis=1)
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    dist = 1.0 - (q_ @ mat.T) / qn[:, None]
-                pos = np.searchsorted(mkeys, pdf["ord_key"].to_numpy(dtype=object), side="left")
-                dist = np.where(np.arange(len(mids))[None, :] < pos[:, None], dist, np.inf)
-                dist = np.where(np.isnan(dist), np.inf, dist)
-                if len(mids) == 0:
-                    continue
-                best = np.argmin(dist, axis=1)
-                bd = dist[np.arange(len(pdf)), best]
-                ok = np.isfinite(bd)
-                yield pd.DataFrame({"query_id": pdf["query_id"].to_numpy(dtype=object)[ok],
-                                    "merchant_id": mids[best[ok]], "distance": bd[ok]})
-
-        parts.append(q.mapInPandas(run, schema))
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p)
-    best = allp.groupBy("query_id").agg(F.min(F.struct("distance", "merchant_id")).alias("b"))
-    return (q.select("query_id").join(best, "query_id", "left")
-             .select("query_id", F.col("b.merchant_id").alias("merchant_id"), F.col("b.distance").alias("distance")))
+    return _nearest(queries, merchants, ["ord_key"], block_bytes)

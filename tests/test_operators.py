@@ -5,12 +5,13 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import MERCHANT_CLEAN_STEPS, account_last4, clean_description, merchant_clean
-from ledgerloom.operators.nearest import nearest_merchant
+from ledgerloom.operators.nearest import _block_task, nearest_merchant
 from ledgerloom.operators.numbering import number_copies
 from ledgerloom.plans import gold, transfers
 
@@ -133,7 +134,7 @@ def test_nearest_chunked_equals_single_and_numpy(spark):
     mdf = spark.createDataFrame([(f"m{i:02d}", [float(x) for x in v]) for i, v in enumerate(m)], "merchant_id string, vec array<double>")
     qdf = spark.createDataFrame([(str(i), [float(x) for x in v]) for i, v in enumerate(q)], "query_id string, vec array<double>")
     single = {r.query_id: (r.merchant_id, r.distance) for r in nearest_merchant(qdf, mdf).collect()}
-    chunked = {r.query_id: (r.merchant_id, r.distance) for r in nearest_merchant(qdf, mdf, max_broadcast_bytes=600).collect()}
+    chunked = {r.query_id: (r.merchant_id, r.distance) for r in nearest_merchant(qdf, mdf, block_bytes=600).collect()}
     mu = m / np.linalg.norm(m, axis=1)[:, None]
     d = 1 - (q @ mu.T) / np.linalg.norm(q, axis=1)[:, None]
     for i in range(len(q)):
@@ -142,6 +143,35 @@ def test_nearest_chunked_equals_single_and_numpy(spark):
         assert single[str(i)][1] == pytest.approx(d[i, j]) == chunked[str(i)][1]
 
 
+def test_nearest_edge_cases(spark):
+    """Ties go to the smallest id; no direction, no vector or no merchant gives NULL."""
+    merchants = "merchant_id string, vec array<double>"
+    queries = "query_id string, vec array<double>"
+    mdf = spark.createDataFrame([("b", [1.0, 0.0]), ("a", [2.0, 0.0]), ("z", [0.0, 0.0]), ("n", None), ("c", [0.0, 1.0])], merchants)
+    qdf = spark.createDataFrame([("1", [3.0, 0.0]), ("2", [0.0, 0.0]), ("3", None), ("4", [0.0, -1.0]), ("5", [0.0, 2.0])], queries)
+    for size in (None, 16):
+        got = {r.query_id: (r.merchant_id, r.distance) for r in nearest_merchant(qdf, mdf, block_bytes=size).collect()}
+        assert got == {"1": ("a", 0.0), "2": (None, None), "3": (None, None), "4": ("a", 1.0), "5": ("c", 0.0)}
+    none = spark.createDataFrame([], merchants)
+    assert {tuple(r) for r in nearest_merchant(qdf, none).collect()} == {(str(i), None, None) for i in range(1, 6)}
+    assert nearest_merchant(spark.createDataFrame([], queries), mdf).collect() == []
+
+
+@pytest.mark.parametrize("cells", [1, 5, 1000])
+def test_nearest_block_products_are_cut_to_a_bound(cells):
+    rng = np.random.default_rng(5)
+    table = lambda prefix, v: pa.table({"id": [f"{prefix}{i}" for i in range(len(v))], "vec": [list(x) for x in v],
+                                        "ord_key": [f"k{i}" for i in range(len(v))]})
+    q, m = rng.normal(size=(7, 3)), rng.normal(size=(4, 3))
+    d = 1 - (q @ m.T) / np.linalg.norm(q, axis=1)[:, None] / np.linalg.norm(m, axis=1)[None, :]
+    best = {f"q{i}": f"m{j}" for i, j in enumerate(d.argmin(axis=1))}
+    plain = [t.drop_columns("ord_key") for t in (table("q", q), table("m", m))]
+    got = _block_task(cells=cells)(*plain).to_pydict()
+    assert dict(zip(got["id"], got["other_id"])) == best
+    got = _block_task(max_distance=0.9, cells=cells)(table("q", q), table("m", m)).to_pydict()
+    assert set(zip(got["id"], got["other_id"])) == {(f"q{i}", f"m{j}") for i in range(7) for j in range(4) if j < i and d[i, j] < 0.9}
+
+
 def _loop_triage(qv, names, m):
     """The reference's one-by-one loop: earlier inserts are visible."""
     import hashlib
@@ -224,8 +254,8 @@ def test_hot_group_of_copies(spark):
 
 
 def test_ordered_triage_chunked_paths(spark):
-    """Same answer when the byte bound forces several broadcast chunks."""
-    from ledgerloom.operators.nearest import BROADCAST_BYTES_CONF
+    """Same answer when the byte bound forces several blocks on both sides."""
+    from ledgerloom.operators.nearest import BLOCK_BYTES_CONF
     from ledgerloom.plans.enrich import ordered_triage
     rng = np.random.default_rng(8)
     centers = rng.normal(size=(4, 10))
@@ -236,11 +266,11 @@ def test_ordered_triage_chunked_paths(spark):
                                 "merchant_id string, vec array<double>")
     qdf = spark.createDataFrame([(str(i), f"raw{i}", names[i], [float(x) for x in v]) for i, v in enumerate(qv)],
                                 "query_id string, raw_description string, canonical_name string, vec array<double>")
-    spark.conf.set(BROADCAST_BYTES_CONF, "400")
+    spark.conf.set(BLOCK_BYTES_CONF, "400")
     try:
         got = {r.query_id: (r.decision, r.merchant_id) for r in ordered_triage(qdf, mdf).collect()}
     finally:
-        spark.conf.unset(BROADCAST_BYTES_CONF)
+        spark.conf.unset(BLOCK_BYTES_CONF)
     assert got == _loop_triage(qv, names, m)
 
 
