@@ -131,29 +131,33 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
 
 def identify(docs: DataFrame, langs: list[str], profile: np.ndarray, id_col: str = "doc_id",
-             text_col: str = "text", carry: tuple[str, ...] = (), keep_text: bool = False) -> DataFrame:
-    """doc_id, the ``carry`` columns, lang_pred, score; one row per input row. ``keep_text`` carries the text too."""
+             text_col: str = "text", carry: tuple[str, ...] = (), keep_text: bool = False, lettered: bool = False) -> DataFrame:
+    """doc_id, the ``carry`` columns, lang_pred, score; one row per input row.
+
+    ``keep_text`` carries the text too, ``lettered`` adds whether the text has a letter.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(profile)
 
-    def predict(text: str | None) -> tuple[str, float]:
+    def predict(text: str | None) -> tuple[str, float, bool]:
         grams = trigrams(text)
-        if not len(grams) or not langs or not grams.any():
-            return UNKNOWN, 0.0
+        if not langs or not grams.any():
+            return UNKNOWN, 0.0, bool(grams.any())
         dots = np.maximum(shared.value[grams].sum(axis=0, dtype=np.float64), 0)
         best = int(dots.argmax())
-        return langs[best], float(dots[best] / dots.sum()) if dots[best] > 0 else 0.0
+        return langs[best], float(dots[best] / dots.sum()) if dots[best] > 0 else 0.0, True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [predict(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[skip:], pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
-                names=[*batch.schema.names[skip:], "lang_pred", "score"])
+                [*batch.columns[skip:], pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64()),
+                 *([pa.array([x[2] for x in found], pa.bool_())] if lettered else [])],
+                names=[*batch.schema.names[skip:], "lang_pred", "score", *(["lettered"] if lettered else [])])
 
     skip = 0 if keep_text else 1
     slim = docs.select(F.col(text_col).alias("text" if keep_text else "_text"), F.col(id_col).alias("doc_id"), *carry)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema.fields[skip:])
-    return slim.mapInArrow(run, f"{kinds}, lang_pred string, score double")
+    return slim.mapInArrow(run, f"{kinds}, lang_pred string, score double" + (", lettered boolean" if lettered else ""))
 
 
 def held_out(id_col: str = "doc_id"):
