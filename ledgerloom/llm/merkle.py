@@ -2,9 +2,11 @@
 
 A text's lines are its paragraphs; a section ends at an empty line or behind a
 paragraph whose hash says so, which keeps later sections as they are when an
-earlier one grows. Leaves are the sentences of a paragraph. Every node hashes
-its children, so equal roots mean equal texts, and walking down differing
-branches finds what changed.
+earlier one grows. Leaves are the sentences of a paragraph; a sentence of more
+than ``MOST`` code points is cut where a hash of the code points before says
+so, so that leaves are bounded in texts without line breaks and full stops,
+too. Every node hashes its children, so equal roots mean equal texts, and
+walking down differing branches finds what changed.
 
 The fingerprint is text: the root, then the first bytes of every leaf, grouped
 by paragraph (;) and section (/). The likeness of two fingerprints is the share
@@ -24,9 +26,11 @@ an empty table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -37,17 +41,55 @@ from .common import store
 #: A section ends, on average, behind this many paragraphs; hex digits of a leaf in the fingerprint.
 SECTION = 8
 LEAF = 8
+#: Code points of a leaf at most, and of a piece cut from a long sentence at least (but for its last one).
+MOST = 96
+LEAST = 48
+#: A cut depends on so many code points before it; one place in ``CUT`` is one.
+REACH = 6
+CUT = 16
 
 
-def _digest(data: bytes) -> bytes:
-    return hashlib.blake2b(data, digest_size=16).digest()
+def _digest(data: bytes, person: bytes = b"") -> bytes:
+    return hashlib.blake2b(data, digest_size=16, person=person).digest()
+
+
+def _leaf(piece: str, person: bytes = b"") -> tuple[bytes, str]:
+    return _digest(piece.encode("utf-8", "replace"), person), piece
+
+
+def _places(text: str) -> list[int]:
+    """Where long sentences may be cut: behind code points whose hash says so."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    mixed = np.zeros(len(points) - REACH + 1, np.uint32)
+    for i in range(REACH):
+        mixed = (mixed ^ points[i:i + len(mixed)]) * np.uint32(0x9E3779B1)
+        mixed ^= mixed >> np.uint32(15)
+    return (np.flatnonzero(mixed % CUT == 0) + REACH).tolist()
+
+
+def _cut(text: str, start: int, end: int, places: list[int]) -> Iterator[tuple[bytes, str]]:
+    """Leaves of a long sentence: pieces up to the first fitting place. All but the last are hashed apart from whole sentences."""
+    while end - start > MOST:
+        i = bisect_left(places, start + LEAST)
+        stop = min(places[i] if i < len(places) else end, start + MOST)
+        yield _leaf(text[start:stop], b"cut")
+        start = stop
+    yield _leaf(text[start:end])
 
 
 def tree(text: str | None) -> tuple[str, list]:
     """(root, sections); a section is (hash, paragraphs), a paragraph (hash, leaves), a leaf (hash, text)."""
-    sections, paragraphs = [], []
+    sections, paragraphs, places, at = [], [], None, 0
     for line in (text or "").split("\n") if text else []:
-        leaves = [(_digest(s.encode("utf-8", "replace")), s) for s in line.split(". ")]
+        leaves = []
+        for s in line.split(". "):
+            if len(s) <= MOST:
+                leaves.append(_leaf(s))
+            else:
+                places = _places(text) if places is None else places
+                leaves.extend(_cut(text, at, at + len(s), places))
+            at += len(s) + 2
+        at -= 1  # a line ends with one code point, a sentence with two
         node = _digest(b"p" + b"".join(h for h, _ in leaves))
         paragraphs.append((node, leaves))
         if not line or node[0] % SECTION == 0:

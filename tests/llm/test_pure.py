@@ -184,3 +184,22 @@ def test_block_links_are_exact():
 
 def test_crc_fold_is_zlibs():
     assert zlib.crc32(b"17") % 3 == zlib.crc32(str(17).encode()) % 3
+
+
+def test_merkle_leaves_are_bounded():
+    rng = np.random.default_rng(5)
+    marks = {"words": " ", "marks": "!! ", "none": ""}
+    for kind, mark in marks.items():
+        for n in (200, 1000, 9000):
+            one, other = (mark.join("".join(map(chr, rng.integers(97, 123, 5))) for _ in range(n // 5))[:n] for _ in range(2))
+            mark_one = merkle.fingerprint(one)
+            edited = merkle.likeness(mark_one, merkle.fingerprint(merkle._edited(one, other)))
+            assert edited > merkle.likeness(mark_one, merkle.fingerprint(other)) and (n < 1000 or edited > 0.3), (kind, n)
+            leaves = [t for _, paragraphs in merkle.tree(one)[1] for _, ls in paragraphs for _, t in ls]
+            assert "".join(leaves) == one and max(map(len, leaves)) <= merkle.MOST
+            middle = one[:n // 2] + "X" + one[n // 2:]  # cuts meet again behind a change
+            assert len(merkle.differing(one, middle)) < 12
+    han = "".join(map(chr, rng.integers(0x4E00, 0x9FA5, 2000)))
+    assert merkle.likeness(merkle.fingerprint(han), merkle.fingerprint(han[:1000] + han[:1000])) > 0.3
+    first, rest = (t for _, p in merkle.tree("ab cd " * 25)[1] for _, ls in p for _, t in ls)
+    assert merkle.tree(first + rest)[0] != merkle.tree(first + ". " + rest)[0]
