@@ -15,9 +15,11 @@ caller can pass its own. Training needs only that bounded set, so it runs on
 the driver; pages are extracted in parallel, each by itself.
 
 Defined results: null and empty html give an empty text; broken markup is read
-as browsers do where that is simple (open paragraphs and items close, unknown
-end tags are skipped, an unfinished tag ends the page's text); repeated rows
-are extracted alike; empty tables give empty results.
+as browsers do where that is simple (open paragraphs and items close, a head
+ends where its end tag is missing, unknown end tags are skipped, an unfinished
+tag ends the page's text); a button, select, object or the like without an end
+tag holds only what stands before the first block in it; repeated rows are
+extracted alike; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -41,7 +43,12 @@ NEVER = RAW | frozenset("head svg math canvas object select option button audio
 #: What a start tag closes if it is open, and where the search for it ends.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
           "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"table", "tr"}), "th": ({"td", "th"}, {"table", "tr"}),
-          "option": ({"option"}, {"select"})}
+          "option": ({"option"}, {"select"}), "button": ({"button"}, {"table", "td", "th", "caption", "object"}),
+          **dict.fromkeys(("select", "input", "textarea"), ({"select"}, {"table", "td", "th", "caption", "object"}))}
+#: Start tags that a head can hold; all others, and text, end it.
+IN_HEAD = frozenset("base basefont bgsound link meta title style script noscript noframes template html head".split())
+#: Hidden elements that hold only what stands before their first block if they have no end tag.
+LOOSE = NEVER - RAW - {"head"}
 ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 "
                    "h5 h6 header hr main menu nav ol p pre section table ul".split())
 
@@ -68,13 +75,15 @@ N_EDGE = 4
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "hints", "label", "chars", "links", "runs", "never")
+    __slots__ = ("tag", "parent", "children", "hints", "label", "chars", "links", "runs", "never", "own", "loose")
 
     def __init__(self, tag: str, parent: int, attrs: str, label: int | None, never: bool):
         self.tag, self.parent, self.children, self.label, self.never = tag, parent, [], label, never
         self.chars = self.links = 0
         self.runs: list[int] = []
         self.hints = ()
+        self.own = tag in NEVER  # hidden by itself
+        self.loose = False
         if attrs:
             found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTR.finditer(attrs)}
             if found:
@@ -83,7 +92,8 @@ class Node:
                 if found.get("data-y") in ("0", "1"):
                     self.label = int(found["data-y"])
                 if "hidden" in found:
-                    self.never = True
+                    self.own = True
+        self.never = never or self.own
 
 
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
@@ -97,6 +107,9 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     def text(raw: str, decode: bool = True) -> None:
         nonlocal fresh
         piece = _html.unescape(raw) if decode and "&" in raw else raw
+        if decode and nodes[stack[-1]].tag == "head" and piece.strip(" \t\n\f\r"):
+            stack.pop()
+            fresh = True
         if fresh:
             if not piece.strip():
                 return
@@ -124,6 +137,9 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if tag is None:
             continue
         tag = tag.lower()
+        if nodes[stack[-1]].tag == "head" and (tag in ("body", "html", "br") if m["end"] else tag not in IN_HEAD):
+            stack.pop()
+            inline_links, fresh = 0, True
         if m["end"]:
             if tag in INLINE:
                 inline_links -= tag == "a" and inline_links > 0
@@ -132,6 +148,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
                 continue
             for i in range(len(stack) - 1, 0, -1):
                 if nodes[stack[i]].tag == tag:
+                    nodes[stack[i]].loose = False
                     del stack[i:]
                     inline_links, fresh = 0, True
                     break
@@ -142,6 +159,16 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             elif tag in ("br", "img") and not fresh:
                 blocks[-1][1].append(" ")
             continue
+        if tag in CLOSES:
+            closed, bound = CLOSES[tag]
+            for i in range(len(stack) - 1, 0, -1):
+                if nodes[stack[i]].tag in closed:
+                    nodes[stack[i]].loose = False
+                    del stack[i:]
+                    inline_links, fresh = 0, True
+                    break
+                if nodes[stack[i]].tag in bound:
+                    break
         if tag in RAW:  # its content is text up to the end tag, none of it shown
             end = re.compile(rf"</{re.escape(tag)}(?![\w-])[^>]*>", re.I).search(page, at)
             if tag in ("noscript", "template") and end is None:
@@ -155,23 +182,24 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
                     break
                 if nodes[stack[i]].tag not in INLINE and nodes[stack[i]].tag not in ("p",):
                     break
-        if tag in CLOSES:
-            closed, bound = CLOSES[tag]
-            for i in range(len(stack) - 1, 0, -1):
-                if nodes[stack[i]].tag in closed:
-                    del stack[i:]
-                    break
-                if nodes[stack[i]].tag in bound:
-                    break
         inline_links, fresh = 0, True
-        if tag in ("html",):
+        if tag == "html" or tag == "head" and (len(nodes) > 1 or blocks):
             continue
         parent = nodes[stack[-1]]
-        node = Node(tag, stack[-1], m["attrs"] or "", parent.label, parent.never or tag in NEVER)
+        node = Node(tag, stack[-1], m["attrs"] or "", parent.label, parent.never)
         parent.children.append(len(nodes))
         nodes.append(node)
         if tag not in VOID and not (m["attrs"] or "").rstrip().endswith("/") or tag in ("div", "p") and tag not in VOID:
             stack.append(len(nodes) - 1)
+            node.loose = tag in LOOSE
+    if any(n.loose for n in nodes):
+        for n in nodes:
+            n.children = []
+        for i, n in enumerate(nodes[1:], 1):  # parents come first
+            if nodes[n.parent].loose:
+                n.parent = nodes[n.parent].parent
+            n.never = nodes[n.parent].never or n.own
+            nodes[n.parent].children.append(i)
     out = []
     for owner, pieces in blocks:
         joined = " ".join("".join(pieces).split())

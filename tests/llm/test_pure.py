@@ -203,3 +203,21 @@ def test_merkle_leaves_are_bounded():
     assert merkle.likeness(merkle.fingerprint(han), merkle.fingerprint(han[:1000] + han[:1000])) > 0.3
     first, rest = (t for _, p in merkle.tree("ab cd " * 25)[1] for _, ls in p for _, t in ls)
     assert merkle.tree(first + rest)[0] != merkle.tree(first + ". " + rest)[0]
+
+
+def test_html_head_and_controls_without_end_tag():
+    model = html_extract.train(html_extract.LABELLED)
+    article = "<article><h1>High water</h1><p>The river had risen for three days.</p><p>Nobody could remember such a spring.</p></article>"
+    want = "High water\n\nThe river had risen for three days.\n\nNobody could remember such a spring."
+    for page in ("<html><head><title>T</title><meta charset=utf-8><body>{}</body></html>", "<head><title>T</title>{}", "<head><link href=a><style>p{{}}</style></body>{}",
+                 "<html><head><title>T</title></head><body><head>{}</body></html>", "<html><head><title>T</title></head><body>{}</body></html>",
+                 "<body><div><button>Go{}</div></body>", "<body><div><select><option>A<option>B{}</div></body>", "<body><div><object data=x><param name=y>{}</div></body>",
+                 "<body><button>A<button>B</button>{}</body>", "<body><form><select><option>A<input></form>{}</body>"):
+        assert model.extract(page.format(article)) == want, page
+    for bare in ("<head><title>T</title>Some <b>words</b>", "<head><a>Some</a> words", "<select>A<textarea></textarea>Some words"):
+        nodes, blocks = html_extract.parse(bare)
+        assert [t for o, t in blocks if not nodes[o].never] == ["Some words"]
+    hidden = f"<body>{article}<button><div>Press</div></button><select><option>A<div>x</div></select><object><p>Old</p></object></body>"
+    assert model.extract(hidden) == want
+    nodes, blocks = html_extract.parse("<body>" + "<object>" * 3000 + "<p>x</p>")
+    assert [not nodes[o].never for o, _ in blocks] == [True]
