@@ -5,11 +5,12 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle_check import digest, duck
-from conftest import SMALL
+from ledgerloom import registry
+from testpaths import SMALL
 
 SLOW = {"csv_inbox_incremental"}
 ROWS_ONLY = {"merchant_triage_ordered"}  # iterative: checked against a plain loop in test_operators
-NAMES = sorted(set(entry.queries()) - ROWS_ONLY)
+NAMES = sorted(set(registry.queries()) - ROWS_ONLY)
 
 
 @pytest.fixture(scope="module")
@@ -18,14 +19,14 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries()) - ROWS_ONLY
+    assert set(registry.oracle_sql()) == set(registry.queries()) - ROWS_ONLY
 
 
 @pytest.mark.parametrize("name", [n for n in NAMES if n not in SLOW])
 def test_matches_oracle(spark, con, name):
-    sdf = entry.queries()[name](spark, SMALL)
+    sdf = registry.queries()[name](spark, SMALL)
     srows = [tuple(r) for r in sdf.collect()]
-    rel = con.sql(entry.oracle_sql()[name])
+    rel = con.sql(registry.oracle_sql()[name])
     orows = rel.fetchall()
     assert sorted(sdf.columns) == sorted(rel.columns)
     assert len(srows) == len(orows)
@@ -33,7 +34,7 @@ def test_matches_oracle(spark, con, name):
 
 
 def test_streaming_inbox_matches_batch(spark):
-    q = entry.queries()
+    q = registry.queries()
     a = q["csv_inbox_incremental"](spark, SMALL)
     b = q["banking_csv_raw"](spark, SMALL)
     assert a.count() == b.count() > 0

@@ -4,19 +4,19 @@ vector operators."""
 
 import pytest
 
-import __spark_entry__ as entry
-from conftest import SMALL
+from ledgerloom import registry
 from ledgerloom.plans.context import Lake
 from plan_review import plan_text, summary
+from testpaths import SMALL
 
 VECTOR_KEYS = {"nearest_merchant", "merchant_triage", "merchant_new", "merchant_review_queue",
                "merchant_triage_ordered"}
 SKIP = {"csv_inbox_incremental"}  # streams to a sink; its batch twin is checked
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SKIP))
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - SKIP))
 def test_plan_has_no_pair_explosion(spark, name):
-    text = plan_text(entry.queries()[name](spark, SMALL))
+    text = plan_text(registry.queries()[name](spark, SMALL))
     s = summary(text)
     assert s["nested_loop"] == 0 and s["cartesian"] == 0, name
     assert "BatchEvalPython" not in text, name

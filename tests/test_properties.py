@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from testpaths import SMALL
 
 
 @pytest.fixture(scope="module")

@@ -109,7 +109,7 @@ def test_rerun_of_a_written_batch_adds_nothing(spark):
     """Details are written before headers; once the headers are in, the hash
     check skips the whole batch on a rerun."""
     from pyspark.sql import functions as F
-    from conftest import SMALL
+    from testpaths import SMALL
     from ledgerloom.plans.context import Lake
     from ledgerloom.plans.ingest import first_copies, write_bronze_batch
     from ledgerloom.sources.statements import prior_header_shas
@@ -129,7 +129,7 @@ def test_rerun_of_a_written_batch_adds_nothing(spark):
 
 
 def test_schema_describe(spark):
-    from conftest import SMALL
+    from testpaths import SMALL
     from ledgerloom.plans.context import Lake
     from ledgerloom.plans.quality import schema_describe
     rows = schema_describe(Lake(spark, SMALL, materialize=False)).collect()
@@ -139,7 +139,7 @@ def test_schema_describe(spark):
 
 
 def test_run_models_writes_tables_and_views(spark):
-    from conftest import SMALL
+    from testpaths import SMALL
     from ledgerloom.plans.context import Lake
     from ledgerloom.plans.run import TABLE_MODELS, VIEW_MODELS, run_models
     out = tempfile.mkdtemp(prefix="ll-run-")
@@ -185,7 +185,7 @@ def test_inbox_stream_processes_each_file_once(spark):
 
 @pytest.mark.parametrize("fails_at", range(5))
 def test_retry_of_a_broken_batch_neither_doubles_nor_loses_rows(spark, monkeypatch, fails_at):
-    from conftest import SMALL
+    from testpaths import SMALL
     from ledgerloom.plans import ingest, sinks
     from ledgerloom.plans.context import Lake
     first = Lake(spark, SMALL).first_copies
