@@ -6,8 +6,10 @@ that starts there; it is kept sorted by piece and position, in chunks of about
 ``CHUNK`` words of one language. Each length makes one round:
 
 1. group-count: every chunk counts its own phrases first, so a phrase has one
-   row per chunk however often it occurs; counts are added per language and
-   phrase, and phrases below ``LEAST`` go;
+   entry per chunk however often it occurs. Entries are dealt by a hash of
+   their words into buckets, about one per ``BUCKET`` words of the corpus; a
+   bucket adds up the counts per language and phrase, compared as text, and
+   phrases below ``LEAST`` go;
 2. semi-join: the phrases that stay return to the chunks that asked, and R_k
    keeps the positions of these only;
 3. merge-join: R_k meets itself one position further on in the same piece, two
@@ -15,13 +17,13 @@ that starts there; it is kept sorted by piece and position, in chunks of about
    longer phrase covers are dropped from the relation.
 
 Both relations of a round, R_(k+1) and the counted phrases, are written to the
-shared folder. Phrases are compared as text, never by hash. As every part of
-a frequent phrase is frequent, a chunk knows the counts of both sides of each
-cut when it extends a phrase.
+shared folder. Entries travel in columns, one row per chunk and bucket. As
+every part of a frequent phrase is frequent, a chunk knows the counts of both
+sides of each cut when it extends a phrase.
 
 Bounded tasks: a chunk holds ``CHUNK`` words and one text beyond that at most;
-no row carries a phrase's occurrences; the best phrases of a language are
-chosen among the best of ``SALTS`` parts of it.
+a bucket holds its share of the phrases, each at most once per chunk; the best
+phrases of a language are chosen among the best of ``SALTS`` parts of it.
 
 Defined results: null text has no words; a null language counts as ``und``,
 together with rows that say so; repeated rows and ids count each; ties are
@@ -31,6 +33,7 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,6 +52,7 @@ COVERED = 80
 BEST = 2000
 SCALE = 2_000_000
 CHUNK = 1_000_000
+BUCKET = 500_000
 SALTS = 64
 
 BREAK = b"."
@@ -56,10 +60,14 @@ BREAK = b"."
 _PLAIN = bytes(ord(".") if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 _CUTS = [f"{side}{i}" for i in range(1, LONGEST) for side in "lr"]
-_ROW = pa.schema([("chunk", pa.int64()), ("lang", pa.string()), ("local", pa.int32()), ("phrase", pa.string()), ("times", pa.int64()),
-                  *[(c, pa.int64()) for c in _CUTS], ("codes", pa.list_(pa.binary())), ("known", pa.list_(pa.binary())), ("words", pa.binary())])
-_KINDS = "chunk bigint, lang string, local int, phrase string, times bigint, " + "".join(
-    f"{c} bigint, " for c in _CUTS) + "codes array<binary>, known array<binary>, words binary"
+#: A row is a chunk's relation (codes, known, words, times) or its entries of one bucket (bucket, body).
+_ROW = pa.schema([("chunk", pa.int64()), ("lang", pa.string()), ("times", pa.int64()), ("codes", pa.list_(pa.binary())),
+                  ("known", pa.list_(pa.binary())), ("words", pa.binary()), ("bucket", pa.int64()), ("body", pa.binary())])
+_ROW_KINDS = ("chunk bigint, lang string, times bigint, codes array<binary>, known array<binary>, words binary, bucket bigint, body binary")
+#: A row is a chunk's answer (local, f) or a frequent phrase with its counts.
+_COUNTED = pa.schema([("chunk", pa.int64()), ("local", pa.binary()), ("f", pa.binary()), ("lang", pa.string()), ("phrase", pa.string()),
+                      ("a", pa.int64()), *[(c, pa.int64()) for c in _CUTS]])
+_COUNTED_KINDS = "chunk bigint, local binary, f binary, lang string, phrase string, a bigint, " + ", ".join(f"{c} bigint" for c in _CUTS)
 
 
 class _Codes(dict):
@@ -73,31 +81,46 @@ class _Codes(dict):
         return value
 
 
-def _rows(n: int, **columns) -> pa.RecordBatch:
+def _rows(schema: pa.Schema, n: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in _ROW], schema=_ROW)
+        [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
 
 
-def _relation(chunk: int, lang: str, codes: list, known: list, words: list, times: int) -> pa.RecordBatch:
-    return _rows(1, chunk=[chunk], lang=[lang], codes=[[c.astype(np.int32).tobytes() for c in codes]],
+def _relation(chunk: int, lang: str, codes: list, known: list, words: list, times: int | None = None) -> pa.RecordBatch:
+    return _rows(_ROW, 1, chunk=[chunk], lang=[lang], codes=[[c.astype(np.int32).tobytes() for c in codes]],
                  known=[[k.tobytes() for k in known]], words=[b"\n".join(words)], times=[times])
 
 
+def _entries(chunk: int, lang: str, words: list[bytes], at: list[np.ndarray], buckets: int, columns: dict) -> pa.RecordBatch:
+    """A chunk's counted phrases, a row per bucket; ``at`` has the numbers of their words, place by place."""
+    marks, h = np.fromiter(map(zlib.crc32, words), np.uint64, len(words)), np.uint64(zlib.crc32(lang.encode()))
+    for numbers in at:
+        h = (h ^ marks[numbers - 1]) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    bucket = (h % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    batch = pc.take(pa.RecordBatch.from_pydict(columns), pa.array(order))
+    found, first = np.unique(bucket[order], return_index=True)
+    bodies = []
+    for begin, end in zip(first, [*first[1:], len(order)]):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_batch(batch.slice(begin, end - begin))
+        bodies.append(sink.getvalue().to_pybytes())
+    return _rows(_ROW, len(found), chunk=np.full(len(found), chunk), lang=[lang] * len(found), bucket=found, body=bodies)
+
+
 def _occurrences(docs: DataFrame, chunk_words: int) -> DataFrame:
-    """R_1 in chunks (rows with ``codes``), and each chunk's counted words (rows with ``local``)."""
+    """R_1 in chunks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, open_, total = TaskContext.get().partitionId() << 32, {}, 0
 
         def close(lang):
             nonlocal chunk, total
             names, parts, n = open_.pop(lang)
-            total -= n
-            codes, words = np.concatenate(parts), list(names)[1:]
-            times = np.bincount(codes, minlength=len(words) + 1)[1:]
-            yield _relation(chunk, lang, [codes], [], words, int(times.sum()))
-            yield _rows(len(words), chunk=np.full(len(words), chunk), lang=[lang] * len(words), local=np.arange(1, len(words) + 1),
-                        phrase=pa.array(words, pa.binary()).cast(pa.string()), times=times)
-            chunk += 1
+            codes = np.concatenate(parts)
+            total, chunk = total - n, chunk + 1
+            return _relation(chunk, lang, [codes], [], list(names)[1:], int((codes > 0).sum()))
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -109,17 +132,57 @@ def _occurrences(docs: DataFrame, chunk_words: int) -> DataFrame:
                 open_[lang] = names, parts, n + len(tokens)
                 total += len(tokens)
                 if total >= chunk_words:
-                    yield from close(max(open_, key=lambda x: open_[x][2]))
+                    yield close(max(open_, key=lambda x: open_[x][2]))
         for lang in list(open_):
-            yield from close(lang)
+            yield close(lang)
+
+    return docs.mapInArrow(run, _ROW_KINDS)
+
+
+def _words(relations: DataFrame, buckets: int) -> DataFrame:
+    """Each chunk's counted words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                chunk, lang, codes, words = (batch.column(c)[row].as_py() for c in ("chunk", "lang", "codes", "words"))
+                words = words.split(b"\n") if words else []
+                if words:
+                    local = np.arange(1, len(words) + 1, dtype=np.int32)
+                    times = np.bincount(np.frombuffer(codes[0], np.int32), minlength=len(words) + 1)[1:]
+                    yield _entries(chunk, lang, words, [local], buckets, {
+                        "local": pa.array(local), "phrase": pa.array(words, pa.binary()).cast(pa.string()), "times": pa.array(times)})
 
-    return docs.mapInArrow(run, _KINDS)
+    return relations.select("chunk", "lang", "codes", "words").mapInArrow(run, _ROW_KINDS)
 
 
 def _frequent(rows: DataFrame, least: int) -> DataFrame:
-    """Counted rows of the phrases that occur often enough, each with ``f``, its count in all chunks of the language."""
-    every = Window.partitionBy("lang", "phrase")
-    return rows.where("local is not null").drop("codes", "known", "words").withColumn("f", F.sum("times").over(every)).where(F.col("f") >= least)
+    """Adds up the entries of each bucket: answers to the chunks, and the phrases that occur often enough."""
+    def run(table: pa.Table) -> pa.Table:
+        bodies = [pa.ipc.open_stream(b.as_buffer()).read_next_batch() for b in table["body"].combine_chunks()]
+        sizes = np.array([b.num_rows for b in bodies])
+        langs = table["lang"].combine_chunks().dictionary_encode()
+        phrases = pa.concat_arrays([b.column("phrase") for b in bodies]).dictionary_encode()
+        key = np.repeat(langs.indices.to_numpy().astype(np.int64), sizes) << 32 | phrases.indices.to_numpy()
+        found, first, which = np.unique(key, return_index=True, return_inverse=True)
+        f = np.zeros(len(found), np.int64)
+        np.add.at(f, which, np.concatenate([b.column("times").to_numpy() for b in bodies]))
+        often, ends, chunks, locals_, counts = f >= least, np.cumsum(sizes), [], [], []
+        for chunk, body, end in zip(table["chunk"].to_pylist(), bodies, ends):
+            own = which[end - body.num_rows:end]
+            stays = often[own]
+            if stays.any():
+                chunks.append(chunk)
+                locals_.append(body.column("local").to_numpy()[stays].tobytes())
+                counts.append(f[own[stays]].tobytes())
+        at = first[often]
+        cuts = {c: np.concatenate([b.column(c).to_numpy() for b in bodies])[at] for c in bodies[0].schema.names if c in _CUTS}
+        out = [_rows(_COUNTED, len(chunks), chunk=chunks, local=locals_, f=counts)]
+        if cuts:
+            out.append(_rows(_COUNTED, len(at), lang=pc.take(langs.dictionary, pa.array(found[often] >> 32)),
+                             phrase=pc.take(phrases.dictionary, pa.array(found[often] & 0xFFFFFFFF)), a=f[often], **cuts))
+        return pa.Table.from_batches(out)
+
+    return rows.where("body is not null").select("bucket", "chunk", "lang", "body").groupBy("bucket").applyInArrow(run, _COUNTED_KINDS)
 
 
 def _compact(codes: list[np.ndarray], known: list[np.ndarray], words: list[bytes], starts: np.ndarray, span: int) -> tuple:
@@ -137,11 +200,11 @@ def _compact(codes: list[np.ndarray], known: list[np.ndarray], words: list[bytes
     return codes, [known[0][used], *known[1:]], [words[u - 1] for u in used[1:]]
 
 
-def _extended(rows: DataFrame, frequent: DataFrame, longest: int) -> DataFrame:
-    """R_(k+1) and its counted phrases, from R_k and the phrases of k words that are frequent."""
-    relation = rows.where("codes is not null").select("chunk", "lang", "codes", "known", "words", F.lit(None).cast("int").alias("local"),
-                                                      F.lit(None).cast("bigint").alias("f"))
-    asked = frequent.select("chunk", "local", "f")
+def _extended(rows: DataFrame, counted: DataFrame, longest: int, buckets: int) -> DataFrame:
+    """R_(k+1) and its entries, from R_k and the phrases of k words that are frequent."""
+    nothing = F.lit(None).cast("binary")
+    relation = rows.where("codes is not null").select("chunk", "lang", "codes", "known", "words", nothing.alias("local"), nothing.alias("f"))
+    answers = counted.where("local is not null").select("chunk", "local", "f")
 
     def run(table: pa.Table) -> pa.Table:
         held = pc.is_valid(table["codes"])
@@ -153,7 +216,8 @@ def _extended(rows: DataFrame, frequent: DataFrame, longest: int) -> DataFrame:
         known = [np.frombuffer(b, np.int64) for b in state["known"][0].as_py()]
         words, k = state["words"][0].as_py().split(b"\n"), len(codes)
         counts = np.zeros(int(codes[-1].max(initial=0)) + 1, np.int64)
-        counts[answer["local"].to_numpy()] = answer["f"].to_numpy()
+        for local, f in zip(answer["local"].to_pylist(), answer["f"].to_pylist()):
+            counts[np.frombuffer(local, np.int32)] = np.frombuffer(f, np.int64)
         known.append(counts)
         last = codes[-1] = np.where(counts[codes[-1]] > 0, codes[-1], 0)
 
@@ -163,20 +227,20 @@ def _extended(rows: DataFrame, frequent: DataFrame, longest: int) -> DataFrame:
         pair = last[p].astype(np.int64) << 32 | codes[0][p + k]
         found, first, which, times = np.unique(pair, return_index=True, return_inverse=True, return_counts=True)
         at, names = p[first], pa.array(words, pa.binary()).cast(pa.string())
-        phrase = pc.binary_join_element_wise(*[pc.take(names, pa.array(codes[0][at + j] - 1)) for j in range(k + 1)], " ")
-        cuts = {}
+        places = [codes[0][at + j] for j in range(k + 1)]
+        columns = {"local": pa.array(np.arange(1, len(found) + 1, dtype=np.int32)),
+                   "phrase": pc.binary_join_element_wise(*[pc.take(names, pa.array(x - 1)) for x in places], " "), "times": pa.array(times)}
         for j in range(1, k + 1):
-            cuts[f"l{j}"] = known[j - 1][codes[j - 1][at]]
-            cuts[f"r{j}"] = known[k - j][codes[k - j][at + j]]
-        out = [_rows(len(found), chunk=np.full(len(found), chunk), lang=[lang] * len(found), local=np.arange(1, len(found) + 1),
-                     phrase=phrase, times=times, **cuts)]
+            columns[f"l{j}"] = pa.array(known[j - 1][codes[j - 1][at]])
+            columns[f"r{j}"] = pa.array(known[k - j][codes[k - j][at + j]])
+        out = [_entries(chunk, lang, words, places, buckets, columns)]
         if k + 1 < longest:
             longer = np.zeros(len(last), np.int32)
             longer[p] = which + 1
-            out.append(_relation(chunk, lang, *_compact([*codes, longer], known, words, p, k + 1), None))
+            out.append(_relation(chunk, lang, *_compact([*codes, longer], known, words, p, k + 1)))
         return pa.Table.from_batches(out)
 
-    return relation.unionByName(asked, allowMissingColumns=True).groupBy("chunk").applyInArrow(run, _KINDS)
+    return relation.unionByName(answers, allowMissingColumns=True).groupBy("chunk").applyInArrow(run, _ROW_KINDS)
 
 
 def _exact(c: Column) -> Column:
@@ -184,16 +248,17 @@ def _exact(c: Column) -> Column:
 
 
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", longest: int = LONGEST, least: int = LEAST,
-                 covered: int = COVERED, best: int | None = BEST, chunk_words: int = CHUNK) -> DataFrame:
+                 covered: int = COVERED, best: int | None = BEST, chunk_words: int = CHUNK, bucket_words: int = BUCKET) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the best phrases of two to ``longest`` (4 at most) words of each language; all with ``best`` None."""
     slim = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
-    rows = store(_occurrences(slim, chunk_words), "setm-1")
-    sizes = rows.where("codes is not null").groupBy("lang").agg(F.sum("times").alias("n"))
-    counted, phrases = store(_frequent(rows, least), "setm-counted-1"), []
+    rows, phrases = store(_occurrences(slim, chunk_words), "setm-1"), []
+    sizes = rows.groupBy("lang").agg(F.sum("times").alias("n"))
+    buckets = 1 + (rows.agg(F.sum("times")).toPandas().iat[0, 0] or 0) // bucket_words  # from one number
+    counted = store(_frequent(_words(rows, buckets), least), "setm-counted-1")
     for k in range(2, longest + 1):
-        rows = store(_extended(rows, counted, longest), f"setm-{k}")
+        rows = store(_extended(rows, counted, longest, buckets), f"setm-{k}")
         counted = store(_frequent(rows, least), f"setm-counted-{k}")
-        phrases.append(counted.groupBy("lang", "phrase").agg(F.max("f").alias("a"), *[F.max(c).alias(c) for c in _CUTS]).withColumn("size", F.lit(k)))
+        phrases.append(counted.where("phrase is not null").select("lang", "phrase", "a", *_CUTS, F.lit(k).alias("size")))
     found = phrases[0]
     for more in phrases[1:]:
         found = found.unionByName(more)

@@ -217,7 +217,7 @@ def test_collocations_equal_brute_force(spark, chunk):
     docs = [(str(i), " ".join(rnd.choice(words) for _ in range(rnd.randrange(60))), rnd.choice(["en", None, "und", "de", ""])) for i in range(80)]
     docs += [("z", "to be or not to be " * 300, "en"), ("z", "to be or not to be " * 300, "en"), (None, None, "en"), ("y", "", None), ("x", "one two", "rare")]
     df = spark.createDataFrame([(*d, "i", 1, "c") for d in docs], DOCS).repartition(3)
-    got = collocations.collocations(df, best=25, chunk_words=chunk)
+    got = collocations.collocations(df, best=25, chunk_words=chunk, bucket_words=chunk)
     assert sorted(tuple(r) for r in got.collect()) == _collocations(docs, 30)
     assert collocations.collocations(df.limit(0)).count() == 0
 
