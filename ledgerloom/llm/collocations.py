@@ -16,8 +16,8 @@ that starts there; it is kept sorted by piece and position, in chunks of about
    sorted relations side by side, which gives R_(k+1). Positions that no
    longer phrase covers are dropped from the relation.
 
-Both relations of a round, R_(k+1) and the counted phrases, are written to the
-shared folder. Entries travel in columns, one row per chunk and bucket. As
+Both results of a round, R_(k+1) and the counted phrases, are written to the
+shared folder as one table, and the round's shuffle files go. Entries travel in columns, one row per chunk and bucket. As
 every part of a frequent phrase is frequent, a chunk knows the counts of both
 sides of each cut when it extends a phrase.
 
@@ -43,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import store
+from .common import store_once
 
 LONGEST = 4
 LEAST = 30
@@ -60,14 +60,16 @@ BREAK = b"."
 _PLAIN = bytes(ord(".") if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 _CUTS = [f"{side}{i}" for i in range(1, LONGEST) for side in "lr"]
-#: A row is a chunk's relation (codes, known, words, times) or its entries of one bucket (bucket, body).
+#: A row is a chunk's relation (codes, known, words, times) or its entries of one bucket (body).
 _ROW = pa.schema([("chunk", pa.int64()), ("lang", pa.string()), ("times", pa.int64()), ("codes", pa.list_(pa.binary())),
                   ("known", pa.list_(pa.binary())), ("words", pa.binary()), ("bucket", pa.int64()), ("body", pa.binary())])
 _ROW_KINDS = ("chunk bigint, lang string, times bigint, codes array<binary>, known array<binary>, words binary, bucket bigint, body binary")
-#: A row is a chunk's answer (local, f) or a frequent phrase with its counts.
-_COUNTED = pa.schema([("chunk", pa.int64()), ("local", pa.binary()), ("f", pa.binary()), ("lang", pa.string()), ("phrase", pa.string()),
+#: A row is a chunk's relation, its answer (local, f) or a frequent phrase with its counts.
+_COUNTED = pa.schema([("chunk", pa.int64()), ("lang", pa.string()), ("codes", pa.list_(pa.binary())), ("known", pa.list_(pa.binary())),
+                      ("words", pa.binary()), ("local", pa.binary()), ("f", pa.binary()), ("phrase", pa.string()),
                       ("a", pa.int64()), *[(c, pa.int64()) for c in _CUTS]])
-_COUNTED_KINDS = "chunk bigint, local binary, f binary, lang string, phrase string, a bigint, " + ", ".join(f"{c} bigint" for c in _CUTS)
+_COUNTED_KINDS = ("chunk bigint, lang string, codes array<binary>, known array<binary>, words binary, local binary, f binary, phrase string, "
+                  "a bigint, " + ", ".join(f"{c} bigint" for c in _CUTS))
 
 
 class _Codes(dict):
@@ -86,8 +88,8 @@ def _rows(schema: pa.Schema, n: int, **columns) -> pa.RecordBatch:
         [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
 
 
-def _relation(chunk: int, lang: str, codes: list, known: list, words: list, times: int | None = None) -> pa.RecordBatch:
-    return _rows(_ROW, 1, chunk=[chunk], lang=[lang], codes=[[c.astype(np.int32).tobytes() for c in codes]],
+def _relation(chunk: int, lang: str, codes: list, known: list, words: list, times: int | None = None, bucket: int | None = None) -> pa.RecordBatch:
+    return _rows(_ROW, 1, chunk=[chunk], lang=[lang], bucket=[bucket], codes=[[c.astype(np.int32).tobytes() for c in codes]],
                  known=[[k.tobytes() for k in known]], words=[b"\n".join(words)], times=[times])
 
 
@@ -156,8 +158,13 @@ def _words(relations: DataFrame, buckets: int) -> DataFrame:
 
 
 def _frequent(rows: DataFrame, least: int) -> DataFrame:
-    """Adds up the entries of each bucket: answers to the chunks, and the phrases that occur often enough."""
+    """Adds up the entries of each bucket: answers to the chunks, and the phrases that occur often enough. Relations pass through."""
     def run(table: pa.Table) -> pa.Table:
+        held = pc.is_valid(table["codes"])
+        relations, table = table.filter(held), table.filter(pc.invert(held))
+        out = [_rows(_COUNTED, relations.num_rows, **{c: relations[c].combine_chunks() for c in ("chunk", "lang", "codes", "known", "words")})]
+        if not table.num_rows:
+            return pa.Table.from_batches(out)
         bodies = [pa.ipc.open_stream(b.as_buffer()).read_next_batch() for b in table["body"].combine_chunks()]
         sizes = np.array([b.num_rows for b in bodies])
         langs = table["lang"].combine_chunks().dictionary_encode()
@@ -176,13 +183,13 @@ def _frequent(rows: DataFrame, least: int) -> DataFrame:
                 counts.append(f[own[stays]].tobytes())
         at = first[often]
         cuts = {c: np.concatenate([b.column(c).to_numpy() for b in bodies])[at] for c in bodies[0].schema.names if c in _CUTS}
-        out = [_rows(_COUNTED, len(chunks), chunk=chunks, local=locals_, f=counts)]
+        out.append(_rows(_COUNTED, len(chunks), chunk=chunks, local=locals_, f=counts))
         if cuts:
             out.append(_rows(_COUNTED, len(at), lang=pc.take(langs.dictionary, pa.array(found[often] >> 32)),
                              phrase=pc.take(phrases.dictionary, pa.array(found[often] & 0xFFFFFFFF)), a=f[often], **cuts))
         return pa.Table.from_batches(out)
 
-    return rows.where("body is not null").select("bucket", "chunk", "lang", "body").groupBy("bucket").applyInArrow(run, _COUNTED_KINDS)
+    return rows.drop("times").groupBy("bucket").applyInArrow(run, _COUNTED_KINDS)
 
 
 def _compact(codes: list[np.ndarray], known: list[np.ndarray], words: list[bytes], starts: np.ndarray, span: int) -> tuple:
@@ -200,10 +207,10 @@ def _compact(codes: list[np.ndarray], known: list[np.ndarray], words: list[bytes
     return codes, [known[0][used], *known[1:]], [words[u - 1] for u in used[1:]]
 
 
-def _extended(rows: DataFrame, counted: DataFrame, longest: int, buckets: int) -> DataFrame:
+def _extended(relations: DataFrame, counted: DataFrame, longest: int, buckets: int) -> DataFrame:
     """R_(k+1) and its entries, from R_k and the phrases of k words that are frequent."""
     nothing = F.lit(None).cast("binary")
-    relation = rows.where("codes is not null").select("chunk", "lang", "codes", "known", "words", nothing.alias("local"), nothing.alias("f"))
+    relation = relations.where("codes is not null").select("chunk", "lang", "codes", "known", "words", nothing.alias("local"), nothing.alias("f"))
     answers = counted.where("local is not null").select("chunk", "local", "f")
 
     def run(table: pa.Table) -> pa.Table:
@@ -237,7 +244,8 @@ def _extended(rows: DataFrame, counted: DataFrame, longest: int, buckets: int) -
         if k + 1 < longest:
             longer = np.zeros(len(last), np.int32)
             longer[p] = which + 1
-            out.append(_relation(chunk, lang, *_compact([*codes, longer], known, words, p, k + 1)))
+            out.append(_relation(chunk, lang, *_compact([*codes, longer], known, words, p, k + 1),
+                                 bucket=zlib.crc32(str(chunk).encode()) % buckets))
         return pa.Table.from_batches(out)
 
     return relation.unionByName(answers, allowMissingColumns=True).groupBy("chunk").applyInArrow(run, _ROW_KINDS)
@@ -251,18 +259,18 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
                  covered: int = COVERED, best: int | None = BEST, chunk_words: int = CHUNK, bucket_words: int = BUCKET) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the best phrases of two to ``longest`` (4 at most) words of each language; all with ``best`` None."""
     slim = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
-    rows, phrases = store(_occurrences(slim, chunk_words), "setm-1"), []
-    sizes = rows.groupBy("lang").agg(F.sum("times").alias("n"))
-    buckets = 1 + (rows.agg(F.sum("times")).toPandas().iat[0, 0] or 0) // bucket_words  # from one number
-    counted = store(_frequent(_words(rows, buckets), least), "setm-counted-1")
+    relations, phrases = store_once(_occurrences(slim, chunk_words), "setm-relation"), []
+    sizes = relations.groupBy("lang").agg(F.sum("times").alias("n"))
+    buckets = 1 + (relations.agg(F.sum("times")).toPandas().iat[0, 0] or 0) // bucket_words  # from one number
+    counted = store_once(_frequent(_words(relations, buckets), least), "setm-counted-1")
     for k in range(2, longest + 1):
-        rows = store(_extended(rows, counted, longest, buckets), f"setm-{k}")
-        counted = store(_frequent(rows, least), f"setm-counted-{k}")
+        counted = store_once(_frequent(_extended(relations, counted, longest, buckets), least), f"setm-counted-{k}")
+        relations = counted
         phrases.append(counted.where("phrase is not null").select("lang", "phrase", "a", *_CUTS, F.lit(k).alias("size")))
     found = phrases[0]
     for more in phrases[1:]:
         found = found.unionByName(more)
-    found = store(found, "setm-phrases")
+    found = store_once(found, "setm-phrases")
 
     parts = F.expr("flatten(transform(sequence(2, size - 1), s -> transform(sequence(1, size - s + 1), i -> concat_ws(' ', slice(split(phrase, ' '), i, s)))))")
     inside = found.where("size > 2").select("lang", F.explode(parts).alias("phrase"), F.col("a").alias("longer")).groupBy(

@@ -58,6 +58,17 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def store_once(df: DataFrame, name: str) -> DataFrame:
+    """``store`` that also lets Spark remove the shuffle files of the write as soon as the table is there."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        return store(df, name)
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
+
+
 def seeded_hash(seed: int, *cols: Column) -> Column:
     """Hash that depends on the seed in every bit."""
     return F.xxhash64(F.lit(seed), *cols)
