@@ -6,20 +6,21 @@ that starts there; it is kept sorted by piece and position, in chunks of about
 ``CHUNK`` words of one language. Each length makes one round:
 
 1. group-count: every chunk counts its own phrases first, so a phrase has one
-   entry per chunk however often it occurs. Entries are dealt by a hash of
-   their words into buckets, about one per ``BUCKET`` words of the corpus; a
-   bucket adds up the counts per language and phrase, compared as text, and
-   phrases below ``LEAST`` go;
-2. semi-join: the phrases that stay return to the chunks that asked, and R_k
-   keeps the positions of these only;
+   entry per chunk however often it occurs. Entries are dealt by hash into
+   buckets, about one per ``BUCKET`` words of the corpus; a bucket adds up the
+   counts and names the phrases that reach ``LEAST``, all others go. Words are
+   compared with their language as text, a longer phrase as the names of its
+   two parts, all words but the last and all but the first: names are numbers
+   given once, so equal names are equal phrases;
+2. semi-join: names return to the chunks that asked, and R_k keeps the
+   positions of these only;
 3. merge-join: R_k meets itself one position further on in the same piece, two
-   sorted relations side by side, which gives R_(k+1). Positions that no
-   longer phrase covers are dropped from the relation.
+   sorted relations side by side, which gives R_(k+1).
 
-Both results of a round, R_(k+1) and the counted phrases, are written to the
-shared folder as one table, and the round's shuffle files go. Entries travel in columns, one row per chunk and bucket. As
-every part of a frequent phrase is frequent, a chunk knows the counts of both
-sides of each cut when it extends a phrase.
+Both results of a round, R_(k+1) and the named phrases, are written to the
+shared folder as one table, and the round's shuffle files go. Entries travel
+in columns, one row per chunk and bucket. Text and counts of the parts of the
+phrases found are put together by joins on names.
 
 Bounded tasks: a chunk holds ``CHUNK`` words and one text beyond that at most;
 a bucket holds its share of the phrases, each at most once per chunk; the best
@@ -60,16 +61,14 @@ BREAK = b"."
 _PLAIN = bytes(ord(".") if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 _CUTS = [f"{side}{i}" for i in range(1, LONGEST) for side in "lr"]
-#: A row is a chunk's relation (codes, known, words, times) or its entries of one bucket (body).
-_ROW = pa.schema([("chunk", pa.int64()), ("lang", pa.string()), ("times", pa.int64()), ("codes", pa.list_(pa.binary())),
-                  ("known", pa.list_(pa.binary())), ("words", pa.binary()), ("bucket", pa.int64()), ("body", pa.binary())])
-_ROW_KINDS = ("chunk bigint, lang string, times bigint, codes array<binary>, known array<binary>, words binary, bucket bigint, body binary")
-#: A row is a chunk's relation, its answer (local, f) or a frequent phrase with its counts.
-_COUNTED = pa.schema([("chunk", pa.int64()), ("lang", pa.string()), ("codes", pa.list_(pa.binary())), ("known", pa.list_(pa.binary())),
-                      ("words", pa.binary()), ("local", pa.binary()), ("f", pa.binary()), ("phrase", pa.string()),
-                      ("a", pa.int64()), *[(c, pa.int64()) for c in _CUTS]])
-_COUNTED_KINDS = ("chunk bigint, lang string, codes array<binary>, known array<binary>, words binary, local binary, f binary, phrase string, "
-                  "a bigint, " + ", ".join(f"{c} bigint" for c in _CUTS))
+#: A row is a chunk's relation (codes; words and times in R_1) or its entries of one bucket (body).
+_ROW = pa.schema([("chunk", pa.int64()), ("lang", pa.string()), ("times", pa.int64()), ("codes", pa.binary()), ("words", pa.binary()),
+                  ("bucket", pa.int64()), ("body", pa.binary())])
+_ROW_KINDS = "chunk bigint, lang string, times bigint, codes binary, words binary, bucket bigint, body binary"
+#: A row is a chunk's relation (codes), its answer (local, names) or a frequent phrase: name, then lang and phrase of a word or the names of two parts.
+_COUNTED = pa.schema([("chunk", pa.int64()), ("codes", pa.binary()), ("local", pa.binary()), ("names", pa.binary()), ("name", pa.int64()),
+                      ("lang", pa.string()), ("phrase", pa.string()), ("left", pa.int64()), ("right", pa.int64()), ("a", pa.int64())])
+_COUNTED_KINDS = "chunk bigint, codes binary, local binary, names binary, name bigint, lang string, phrase string, left bigint, right bigint, a bigint"
 
 
 class _Codes(dict):
@@ -88,22 +87,15 @@ def _rows(schema: pa.Schema, n: int, **columns) -> pa.RecordBatch:
         [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
 
 
-def _relation(chunk: int, lang: str, codes: list, known: list, words: list, times: int | None = None, bucket: int | None = None) -> pa.RecordBatch:
-    return _rows(_ROW, 1, chunk=[chunk], lang=[lang], bucket=[bucket], codes=[[c.astype(np.int32).tobytes() for c in codes]],
-                 known=[[k.tobytes() for k in known]], words=[b"\n".join(words)], times=[times])
-
-
-def _entries(chunk: int, lang: str, words: list[bytes], at: list[np.ndarray], buckets: int, columns: dict) -> pa.RecordBatch:
-    """A chunk's counted phrases, a row per bucket; ``at`` has the numbers of their words, place by place."""
-    marks, h = np.fromiter(map(zlib.crc32, words), np.uint64, len(words)), np.uint64(zlib.crc32(lang.encode()))
-    for numbers in at:
-        h = (h ^ marks[numbers - 1]) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(29)
-    bucket = (h % np.uint64(buckets)).astype(np.int64)
+def _entries(chunk: int, lang: str | None, hashes: np.ndarray, buckets: int, columns: dict) -> pa.RecordBatch:
+    """A chunk's counted phrases, a row per bucket; they are numbered from 1 on, and the numbers travel as differences."""
+    bucket = (hashes % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
-    batch = pc.take(pa.RecordBatch.from_pydict(columns), pa.array(order))
     found, first = np.unique(bucket[order], return_index=True)
-    bodies = []
+    columns = {k: pc.take(v, pa.array(order)) for k, v in columns.items()}
+    step = np.diff(order, prepend=0)
+    step[first] = order[first] + 1
+    batch, bodies = pa.RecordBatch.from_pydict({"step": pa.array(step.astype(np.int32)), **columns}), []
     for begin, end in zip(first, [*first[1:], len(order)]):
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
@@ -112,6 +104,14 @@ def _entries(chunk: int, lang: str, words: list[bytes], at: list[np.ndarray], bu
     return _rows(_ROW, len(found), chunk=np.full(len(found), chunk), lang=[lang] * len(found), bucket=found, body=bodies)
 
 
+def _hash(*numbers: np.ndarray) -> np.ndarray:
+    h = np.zeros(1, np.uint64)
+    for x in numbers:
+        h = (h ^ x.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return h
+
+
 def _occurrences(docs: DataFrame, chunk_words: int) -> DataFrame:
     """R_1 in chunks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +122,7 @@ def _occurrences(docs: DataFrame, chunk_words: int) -> DataFrame:
             names, parts, n = open_.pop(lang)
             codes = np.concatenate(parts)
             total, chunk = total - n, chunk + 1
-            return _relation(chunk, lang, [codes], [], list(names)[1:], int((codes > 0).sum()))
+            return _rows(_ROW, 1, chunk=[chunk], lang=[lang], codes=[codes.tobytes()], words=[b"\n".join(list(names)[1:])], times=[int((codes > 0).sum())])
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -149,106 +149,97 @@ def _words(relations: DataFrame, buckets: int) -> DataFrame:
                 chunk, lang, codes, words = (batch.column(c)[row].as_py() for c in ("chunk", "lang", "codes", "words"))
                 words = words.split(b"\n") if words else []
                 if words:
-                    local = np.arange(1, len(words) + 1, dtype=np.int32)
-                    times = np.bincount(np.frombuffer(codes[0], np.int32), minlength=len(words) + 1)[1:]
-                    yield _entries(chunk, lang, words, [local], buckets, {
-                        "local": pa.array(local), "phrase": pa.array(words, pa.binary()).cast(pa.string()), "times": pa.array(times)})
+                    marks = np.fromiter(map(zlib.crc32, words), np.int64, len(words))
+                    times = np.bincount(np.frombuffer(codes, np.int32), minlength=len(words) + 1)[1:]
+                    yield _entries(chunk, lang, _hash(np.full(1, zlib.crc32(lang.encode())), marks), buckets, {
+                        "phrase": pa.array(words, pa.binary()).cast(pa.string()), "times": pa.array(times)})
 
     return relations.select("chunk", "lang", "codes", "words").mapInArrow(run, _ROW_KINDS)
 
 
 def _frequent(rows: DataFrame, least: int) -> DataFrame:
-    """Adds up the entries of each bucket: answers to the chunks, and the phrases that occur often enough. Relations pass through."""
+    """Adds up the entries of each bucket and names the phrases that occur often enough. Relations pass through."""
     def run(table: pa.Table) -> pa.Table:
         held = pc.is_valid(table["codes"])
         relations, table = table.filter(held), table.filter(pc.invert(held))
-        out = [_rows(_COUNTED, relations.num_rows, **{c: relations[c].combine_chunks() for c in ("chunk", "lang", "codes", "known", "words")})]
+        out = [_rows(_COUNTED, relations.num_rows, chunk=relations["chunk"].combine_chunks(), codes=relations["codes"].combine_chunks())]
         if not table.num_rows:
             return pa.Table.from_batches(out)
         bodies = [pa.ipc.open_stream(b.as_buffer()).read_next_batch() for b in table["body"].combine_chunks()]
         sizes = np.array([b.num_rows for b in bodies])
-        langs = table["lang"].combine_chunks().dictionary_encode()
-        phrases = pa.concat_arrays([b.column("phrase") for b in bodies]).dictionary_encode()
-        key = np.repeat(langs.indices.to_numpy().astype(np.int64), sizes) << 32 | phrases.indices.to_numpy()
-        found, first, which = np.unique(key, return_index=True, return_inverse=True)
-        f = np.zeros(len(found), np.int64)
-        np.add.at(f, which, np.concatenate([b.column("times").to_numpy() for b in bodies]))
-        often, ends, chunks, locals_, counts = f >= least, np.cumsum(sizes), [], [], []
-        for chunk, body, end in zip(table["chunk"].to_pylist(), bodies, ends):
+        words = "phrase" in bodies[0].schema.names
+        column = lambda c: pa.concat_arrays([b.column(c) for b in bodies])
+        if words:
+            langs, phrases = table["lang"].combine_chunks().dictionary_encode(), column("phrase").dictionary_encode()
+            one, other = np.repeat(langs.indices.to_numpy(), sizes), phrases.indices.to_numpy()
+        else:
+            one, other = column("left").to_numpy(), column("right").to_numpy()
+        order = np.lexsort((other, one))
+        new = np.r_[True, (one[order][1:] != one[order][:-1]) | (other[order][1:] != other[order][:-1])]
+        which = np.empty(len(order), np.int64)
+        which[order] = np.cumsum(new) - 1
+        first, f = order[new], np.add.reduceat(column("times").to_numpy()[order], np.flatnonzero(new))
+        often, name = f >= least, (table["bucket"][0].as_py() << 32) + np.arange(len(f))
+        chunks, locals_, names = [], [], []
+        for chunk, body, end in zip(table["chunk"].to_pylist(), bodies, np.cumsum(sizes)):
             own = which[end - body.num_rows:end]
             stays = often[own]
             if stays.any():
                 chunks.append(chunk)
-                locals_.append(body.column("local").to_numpy()[stays].tobytes())
-                counts.append(f[own[stays]].tobytes())
+                locals_.append(np.cumsum(body.column("step").to_numpy())[stays].astype(np.int32).tobytes())
+                names.append(name[own[stays]].tobytes())
         at = first[often]
-        cuts = {c: np.concatenate([b.column(c).to_numpy() for b in bodies])[at] for c in bodies[0].schema.names if c in _CUTS}
-        out.append(_rows(_COUNTED, len(chunks), chunk=chunks, local=locals_, f=counts))
-        if cuts:
-            out.append(_rows(_COUNTED, len(at), lang=pc.take(langs.dictionary, pa.array(found[often] >> 32)),
-                             phrase=pc.take(phrases.dictionary, pa.array(found[often] & 0xFFFFFFFF)), a=f[often], **cuts))
+        parts = {"lang": pc.take(langs.dictionary, pa.array(one[at])), "phrase": pc.take(phrases.dictionary, pa.array(other[at]))} if words else {
+            "left": one[at], "right": other[at]}
+        out += [_rows(_COUNTED, len(chunks), chunk=chunks, local=locals_, names=names), _rows(_COUNTED, len(at), name=name[often], a=f[often], **parts)]
         return pa.Table.from_batches(out)
 
-    return rows.drop("times").groupBy("bucket").applyInArrow(run, _COUNTED_KINDS)
+    return rows.drop("times", "words").groupBy("bucket").applyInArrow(run, _COUNTED_KINDS)
 
 
-def _compact(codes: list[np.ndarray], known: list[np.ndarray], words: list[bytes], starts: np.ndarray, span: int) -> tuple:
-    """The relations on positions that a phrase of ``span`` words from ``starts`` covers, runs parted by breaks."""
-    edge = np.zeros(len(codes[0]) + 1, np.int32)
-    np.add.at(edge, starts, 1)
-    np.add.at(edge, starts + span, -1)
-    covered = np.cumsum(edge) > 0  # one place longer than the relation: the last run has its break
-    kept = np.flatnonzero(covered | np.r_[True, covered[:-1]])
-    inside = covered[kept]
-    codes = [np.where(inside, np.r_[c, 0][kept], 0) for c in codes]
-    used, codes[0] = np.unique(codes[0], return_inverse=True)  # place 0 is a break, so used[0] == 0 unless a run begins there
-    if used[0] != 0:
-        used, codes[0] = np.r_[0, used], codes[0] + 1
-    return codes, [known[0][used], *known[1:]], [words[u - 1] for u in used[1:]]
-
-
-def _extended(relations: DataFrame, counted: DataFrame, longest: int, buckets: int) -> DataFrame:
-    """R_(k+1) and its entries, from R_k and the phrases of k words that are frequent."""
+def _extended(relations: DataFrame, counted: DataFrame, buckets: int, more: bool) -> DataFrame:
+    """Entries of R_(k+1), and with ``more`` the relation itself, from R_k and the names of its frequent phrases."""
     nothing = F.lit(None).cast("binary")
-    relation = relations.where("codes is not null").select("chunk", "lang", "codes", "known", "words", nothing.alias("local"), nothing.alias("f"))
-    answers = counted.where("local is not null").select("chunk", "local", "f")
+    relation = relations.where("codes is not null").select("chunk", "codes", nothing.alias("local"), nothing.alias("names"))
+    answers = counted.where("local is not null").select("chunk", nothing.alias("codes"), "local", "names")
 
     def run(table: pa.Table) -> pa.Table:
         held = pc.is_valid(table["codes"])
         state, answer = table.filter(held), table.filter(pc.invert(held))
         if not state.num_rows or not answer.num_rows:
             return _ROW.empty_table()
-        chunk, lang = state["chunk"][0].as_py(), state["lang"][0].as_py()
-        codes = [np.frombuffer(b, np.int32) for b in state["codes"][0].as_py()]
-        known = [np.frombuffer(b, np.int64) for b in state["known"][0].as_py()]
-        words, k = state["words"][0].as_py().split(b"\n"), len(codes)
-        counts = np.zeros(int(codes[-1].max(initial=0)) + 1, np.int64)
-        for local, f in zip(answer["local"].to_pylist(), answer["f"].to_pylist()):
-            counts[np.frombuffer(local, np.int32)] = np.frombuffer(f, np.int64)
-        known.append(counts)
-        last = codes[-1] = np.where(counts[codes[-1]] > 0, codes[-1], 0)
-
-        p = np.flatnonzero((last[:-1] > 0) & (last[1:] > 0))
+        chunk, codes = state["chunk"][0].as_py(), np.frombuffer(state["codes"][0].as_py(), np.int32)
+        name = np.full(int(codes.max(initial=0)) + 1, -1)
+        for local, names in zip(answer["local"].to_pylist(), answer["names"].to_pylist()):
+            name[np.frombuffer(local, np.int32)] = np.frombuffer(names, np.int64)
+        stays = name[codes] >= 0
+        p = np.flatnonzero(stays[:-1] & stays[1:])
         if not len(p):
             return _ROW.empty_table()
-        pair = last[p].astype(np.int64) << 32 | codes[0][p + k]
-        found, first, which, times = np.unique(pair, return_index=True, return_inverse=True, return_counts=True)
-        at, names = p[first], pa.array(words, pa.binary()).cast(pa.string())
-        places = [codes[0][at + j] for j in range(k + 1)]
-        columns = {"local": pa.array(np.arange(1, len(found) + 1, dtype=np.int32)),
-                   "phrase": pc.binary_join_element_wise(*[pc.take(names, pa.array(x - 1)) for x in places], " "), "times": pa.array(times)}
-        for j in range(1, k + 1):
-            columns[f"l{j}"] = pa.array(known[j - 1][codes[j - 1][at]])
-            columns[f"r{j}"] = pa.array(known[k - j][codes[k - j][at + j]])
-        out = [_entries(chunk, lang, words, places, buckets, columns)]
-        if k + 1 < longest:
-            longer = np.zeros(len(last), np.int32)
+        found, which, times = np.unique(codes[p].astype(np.int64) << 32 | codes[p + 1], return_inverse=True, return_counts=True)
+        left, right = name[found >> 32], name[found & 0xFFFFFFFF]
+        out = [_entries(chunk, None, _hash(left, right), buckets, {"left": pa.array(left), "right": pa.array(right), "times": pa.array(times)})]
+        if more:
+            longer = np.zeros(len(codes) + 1, np.int32)
             longer[p] = which + 1
-            out.append(_relation(chunk, lang, *_compact([*codes, longer], known, words, p, k + 1),
-                                 bucket=zlib.crc32(str(chunk).encode()) % buckets))
+            longer = longer[(longer > 0) | np.r_[False, longer[:-1] > 0]]  # runs, parted by breaks
+            out.append(_rows(_ROW, 1, chunk=[chunk], bucket=[zlib.crc32(str(chunk).encode()) % buckets], codes=[longer.tobytes()]))
         return pa.Table.from_batches(out)
 
-    return relation.unionByName(answers, allowMissingColumns=True).groupBy("chunk").applyInArrow(run, _ROW_KINDS)
+    return relation.unionByName(answers).groupBy("chunk").applyInArrow(run, _ROW_KINDS)
+
+
+def _put_together(phrases: DataFrame, parts: DataFrame, size: int) -> DataFrame:
+    """Language, text and the counts of all cuts of phrases (name, left, right, a), from those of their parts, which are one word shorter."""
+    carried = ["lang", "phrase", "a", *_CUTS]
+    left = parts.select(F.col("name").alias("left"), F.struct(*carried).alias("_l"))
+    right = parts.select(F.col("name").alias("right"), F.struct(*carried).alias("_r"))
+    last = F.element_at(F.split("_r.phrase", " "), -1)
+    cuts = {"r1": F.col("_r.a"), f"l{size - 1}": F.col("_l.a")}
+    cuts |= {f"l{j}": F.col(f"_l.l{j}") for j in range(1, size - 1)} | {f"r{j}": F.col(f"_r.r{j - 1}") for j in range(2, size)}
+    return phrases.select("name", "left", "right", "a").join(left, "left").join(right, "right").select(
+        "name", F.col("_l.lang").alias("lang"), F.concat_ws(" ", "_l.phrase", last).alias("phrase"), "a",
+        *[cuts.get(c, F.lit(None).cast("bigint")).alias(c) for c in _CUTS], F.lit(size).alias("size"))
 
 
 def _exact(c: Column) -> Column:
@@ -259,21 +250,20 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
                  covered: int = COVERED, best: int | None = BEST, chunk_words: int = CHUNK, bucket_words: int = BUCKET) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the best phrases of two to ``longest`` (4 at most) words of each language; all with ``best`` None."""
     slim = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
-    relations, phrases = store_once(_occurrences(slim, chunk_words), "setm-relation"), []
+    relations = store_once(_occurrences(slim, chunk_words), "setm-relation")
     sizes = relations.groupBy("lang").agg(F.sum("times").alias("n"))
     buckets = 1 + (relations.agg(F.sum("times")).toPandas().iat[0, 0] or 0) // bucket_words  # from one number
     counted = store_once(_frequent(_words(relations, buckets), least), "setm-counted-1")
+    parts = counted.where("name is not null").select("name", "lang", "phrase", "a", *[F.lit(None).cast("bigint").alias(c) for c in _CUTS])
+    found = None
     for k in range(2, longest + 1):
-        counted = store_once(_frequent(_extended(relations, counted, longest, buckets), least), f"setm-counted-{k}")
-        relations = counted
-        phrases.append(counted.where("phrase is not null").select("lang", "phrase", "a", *_CUTS, F.lit(k).alias("size")))
-    found = phrases[0]
-    for more in phrases[1:]:
-        found = found.unionByName(more)
-    found = store_once(found, "setm-phrases")
-
-    parts = F.expr("flatten(transform(sequence(2, size - 1), s -> transform(sequence(1, size - s + 1), i -> concat_ws(' ', slice(split(phrase, ' '), i, s)))))")
-    inside = found.where("size > 2").select("lang", F.explode(parts).alias("phrase"), F.col("a").alias("longer")).groupBy(
+        relations = counted = store_once(_frequent(_extended(relations, counted, buckets, k < longest), least), f"setm-counted-{k}")
+        parts = store_once(_put_together(counted.where("name is not null"), parts, k), f"setm-phrases-{k}")
+        found = parts if found is None else found.unionByName(parts)
+    found = found.drop("name")
+
+    inner = F.expr("flatten(transform(sequence(2, size - 1), s -> transform(sequence(1, size - s + 1), i -> concat_ws(' ', slice(split(phrase, ' '), i, s)))))")
+    inside = found.where("size > 2").select("lang", F.explode(inner).alias("phrase"), F.col("a").alias("longer")).groupBy(
         "lang", "phrase").agg(F.max("longer").alias("longer"))
     own = found.join(inside, ["lang", "phrase"], "left").where(
         F.col("longer").isNull() | (100 * _exact(F.col("longer")) < covered * _exact(F.col("a")))).drop("longer")
