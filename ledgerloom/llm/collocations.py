@@ -44,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import store_once
+from .common import discard, store_once
 
 LONGEST = 4
 LEAST = 30
@@ -52,7 +52,7 @@ LEAST = 30
 COVERED = 80
 BEST = 2000
 SCALE = 2_000_000
-CHUNK = 1_000_000
+CHUNK = 2_000_000
 BUCKET = 500_000
 SALTS = 64
 
@@ -63,8 +63,8 @@ _PLAIN = bytes(ord(".") if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b +
 _CUTS = [f"{side}{i}" for i in range(1, LONGEST) for side in "lr"]
 #: A row is a chunk's relation (codes; words and times in R_1) or its entries of one bucket (body).
 _ROW = pa.schema([("chunk", pa.int64()), ("lang", pa.string()), ("times", pa.int64()), ("codes", pa.binary()), ("words", pa.binary()),
-                  ("bucket", pa.int64()), ("body", pa.binary())])
-_ROW_KINDS = "chunk bigint, lang string, times bigint, codes binary, words binary, bucket bigint, body binary"
+                  ("bucket", pa.int64()), ("body", pa.list_(pa.binary()))])
+_ROW_KINDS = "chunk bigint, lang string, times bigint, codes binary, words binary, bucket bigint, body array<binary>"
 #: A row is a chunk's relation (codes), its answer (local, names) or a frequent phrase: name, then lang and phrase of a word or the names of two parts.
 _COUNTED = pa.schema([("chunk", pa.int64()), ("codes", pa.binary()), ("local", pa.binary()), ("names", pa.binary()), ("name", pa.int64()),
                       ("lang", pa.string()), ("phrase", pa.string()), ("left", pa.int64()), ("right", pa.int64()), ("a", pa.int64())])
@@ -87,20 +87,27 @@ def _rows(schema: pa.Schema, n: int, **columns) -> pa.RecordBatch:
         [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers by byte planes, as the high bytes are alike, compressed."""
+    planes = np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), numbers.itemsize).T.tobytes()
+    return len(planes).to_bytes(8, "big") + pa.compress(planes, "zstd", asbytes=True)
+
+
+def _unpacked(body: bytes, kind: type) -> np.ndarray:
+    planes = pa.decompress(body[8:], int.from_bytes(body[:8], "big"), "zstd", asbytes=True)
+    return np.frombuffer(planes, np.uint8).reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
+
+
 def _entries(chunk: int, lang: str | None, hashes: np.ndarray, buckets: int, columns: dict) -> pa.RecordBatch:
     """A chunk's counted phrases, a row per bucket; they are numbered from 1 on, and the numbers travel as differences."""
     bucket = (hashes % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     found, first = np.unique(bucket[order], return_index=True)
-    columns = {k: pc.take(v, pa.array(order)) for k, v in columns.items()}
     step = np.diff(order, prepend=0)
     step[first] = order[first] + 1
-    batch, bodies = pa.RecordBatch.from_pydict({"step": pa.array(step.astype(np.int32)), **columns}), []
-    for begin, end in zip(first, [*first[1:], len(order)]):
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-            out.write_batch(batch.slice(begin, end - begin))
-        bodies.append(sink.getvalue().to_pybytes())
+    columns = {k: v[order] for k, v in columns.items()} | {"step": step.astype(np.int32)}
+    bodies = [[_packed(v[begin:end]) if v.dtype != object else b"\n".join(v[begin:end]) for k, v in columns.items()]
+              for begin, end in zip(first, [*first[1:], len(order)])]
     return _rows(_ROW, len(found), chunk=np.full(len(found), chunk), lang=[lang] * len(found), bucket=found, body=bodies)
 
 
@@ -122,7 +129,7 @@ def _occurrences(docs: DataFrame, chunk_words: int) -> DataFrame:
             names, parts, n = open_.pop(lang)
             codes = np.concatenate(parts)
             total, chunk = total - n, chunk + 1
-            return _rows(_ROW, 1, chunk=[chunk], lang=[lang], codes=[codes.tobytes()], words=[b"\n".join(list(names)[1:])], times=[int((codes > 0).sum())])
+            return _rows(_ROW, 1, chunk=[chunk], lang=[lang], codes=[_packed(codes)], words=[b"\n".join(list(names)[1:])], times=[int((codes > 0).sum())])
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -150,9 +157,8 @@ def _words(relations: DataFrame, buckets: int) -> DataFrame:
                 words = words.split(b"\n") if words else []
                 if words:
                     marks = np.fromiter(map(zlib.crc32, words), np.int64, len(words))
-                    times = np.bincount(np.frombuffer(codes, np.int32), minlength=len(words) + 1)[1:]
-                    yield _entries(chunk, lang, _hash(np.full(1, zlib.crc32(lang.encode())), marks), buckets, {
-                        "phrase": pa.array(words, pa.binary()).cast(pa.string()), "times": pa.array(times)})
+                    times = np.bincount(_unpacked(codes, np.int32), minlength=len(words) + 1)[1:]
+                    yield _entries(chunk, lang, _hash(np.full(1, zlib.crc32(lang.encode())), marks), buckets, {"phrase": np.array(words, object), "times": times})
 
     return relations.select("chunk", "lang", "codes", "words").mapInArrow(run, _ROW_KINDS)
 
@@ -165,29 +171,29 @@ def _frequent(rows: DataFrame, least: int) -> DataFrame:
         out = [_rows(_COUNTED, relations.num_rows, chunk=relations["chunk"].combine_chunks(), codes=relations["codes"].combine_chunks())]
         if not table.num_rows:
             return pa.Table.from_batches(out)
-        bodies = [pa.ipc.open_stream(b.as_buffer()).read_next_batch() for b in table["body"].combine_chunks()]
-        sizes = np.array([b.num_rows for b in bodies])
-        words = "phrase" in bodies[0].schema.names
-        column = lambda c: pa.concat_arrays([b.column(c) for b in bodies])
+        bodies = table["body"].to_pylist()
+        steps, times = [_unpacked(b[-1], np.int32) for b in bodies], np.concatenate([_unpacked(b[-2], np.int64) for b in bodies])
+        sizes, words = np.array([len(x) for x in steps]), len(bodies[0]) == 3
         if words:
-            langs, phrases = table["lang"].combine_chunks().dictionary_encode(), column("phrase").dictionary_encode()
+            langs = table["lang"].combine_chunks().dictionary_encode()
+            phrases = pa.array([w for b in bodies for w in b[0].split(b"\n")], pa.binary()).cast(pa.string()).dictionary_encode()
             one, other = np.repeat(langs.indices.to_numpy(), sizes), phrases.indices.to_numpy()
         else:
-            one, other = column("left").to_numpy(), column("right").to_numpy()
+            one, other = (np.concatenate([_unpacked(b[i], np.int64) for b in bodies]) for i in (0, 1))
         order = np.lexsort((other, one))
         new = np.r_[True, (one[order][1:] != one[order][:-1]) | (other[order][1:] != other[order][:-1])]
         which = np.empty(len(order), np.int64)
         which[order] = np.cumsum(new) - 1
-        first, f = order[new], np.add.reduceat(column("times").to_numpy()[order], np.flatnonzero(new))
+        first, f = order[new], np.add.reduceat(times[order], np.flatnonzero(new))
         often, name = f >= least, (table["bucket"][0].as_py() << 32) + np.arange(len(f))
         chunks, locals_, names = [], [], []
-        for chunk, body, end in zip(table["chunk"].to_pylist(), bodies, np.cumsum(sizes)):
-            own = which[end - body.num_rows:end]
+        for chunk, step, end in zip(table["chunk"].to_pylist(), steps, np.cumsum(sizes)):
+            own = which[end - len(step):end]
             stays = often[own]
             if stays.any():
                 chunks.append(chunk)
-                locals_.append(np.cumsum(body.column("step").to_numpy())[stays].astype(np.int32).tobytes())
-                names.append(name[own[stays]].tobytes())
+                locals_.append(_packed(np.cumsum(step)[stays].astype(np.int32)))
+                names.append(_packed(name[own[stays]]))
         at = first[often]
         parts = {"lang": pc.take(langs.dictionary, pa.array(one[at])), "phrase": pc.take(phrases.dictionary, pa.array(other[at]))} if words else {
             "left": one[at], "right": other[at]}
@@ -208,22 +214,22 @@ def _extended(relations: DataFrame, counted: DataFrame, buckets: int, more: bool
         state, answer = table.filter(held), table.filter(pc.invert(held))
         if not state.num_rows or not answer.num_rows:
             return _ROW.empty_table()
-        chunk, codes = state["chunk"][0].as_py(), np.frombuffer(state["codes"][0].as_py(), np.int32)
+        chunk, codes = state["chunk"][0].as_py(), _unpacked(state["codes"][0].as_py(), np.int32)
         name = np.full(int(codes.max(initial=0)) + 1, -1)
         for local, names in zip(answer["local"].to_pylist(), answer["names"].to_pylist()):
-            name[np.frombuffer(local, np.int32)] = np.frombuffer(names, np.int64)
+            name[_unpacked(local, np.int32)] = _unpacked(names, np.int64)
         stays = name[codes] >= 0
         p = np.flatnonzero(stays[:-1] & stays[1:])
         if not len(p):
             return _ROW.empty_table()
         found, which, times = np.unique(codes[p].astype(np.int64) << 32 | codes[p + 1], return_inverse=True, return_counts=True)
         left, right = name[found >> 32], name[found & 0xFFFFFFFF]
-        out = [_entries(chunk, None, _hash(left, right), buckets, {"left": pa.array(left), "right": pa.array(right), "times": pa.array(times)})]
+        out = [_entries(chunk, None, _hash(left, right), buckets, {"left": left, "right": right, "times": times})]
         if more:
             longer = np.zeros(len(codes) + 1, np.int32)
             longer[p] = which + 1
             longer = longer[(longer > 0) | np.r_[False, longer[:-1] > 0]]  # runs, parted by breaks
-            out.append(_rows(_ROW, 1, chunk=[chunk], bucket=[zlib.crc32(str(chunk).encode()) % buckets], codes=[longer.tobytes()]))
+            out.append(_rows(_ROW, 1, chunk=[chunk], bucket=[zlib.crc32(str(chunk).encode()) % buckets], codes=[_packed(longer)]))
         return pa.Table.from_batches(out)
 
     return relation.unionByName(answers).groupBy("chunk").applyInArrow(run, _ROW_KINDS)
@@ -251,15 +257,20 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     """lang, rank, phrase, a, l, r, n, score: the best phrases of two to ``longest`` (4 at most) words of each language; all with ``best`` None."""
     slim = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
     relations = store_once(_occurrences(slim, chunk_words), "setm-relation")
-    sizes = relations.groupBy("lang").agg(F.sum("times").alias("n"))
-    buckets = 1 + (relations.agg(F.sum("times")).toPandas().iat[0, 0] or 0) // bucket_words  # from one number
+    sizes = store_once(relations.groupBy("lang").agg(F.sum("times").alias("n")), "setm-sizes")
+    buckets = 1 + (sizes.agg(F.sum("n")).toPandas().iat[0, 0] or 0) // bucket_words  # from one number
     counted = store_once(_frequent(_words(relations, buckets), least), "setm-counted-1")
-    parts = counted.where("name is not null").select("name", "lang", "phrase", "a", *[F.lit(None).cast("bigint").alias(c) for c in _CUTS])
+    parts = store_once(counted.where("name is not null").select(
+        "name", "lang", "phrase", "a", *[F.lit(None).cast("bigint").alias(c) for c in _CUTS]), "setm-phrases-1")
     found = None
     for k in range(2, longest + 1):
+        done = {relations._stored: relations, counted._stored: counted}
         relations = counted = store_once(_frequent(_extended(relations, counted, buckets, k < longest), least), f"setm-counted-{k}")
         parts = store_once(_put_together(counted.where("name is not null"), parts, k), f"setm-phrases-{k}")
         found = parts if found is None else found.unionByName(parts)
+        for old in done.values():
+            discard(old)
+    discard(counted)
     found = found.drop("name")
 
     inner = F.expr("flatten(transform(sequence(2, size - 1), s -> transform(sequence(1, size - s + 1), i -> concat_ws(' ', slice(split(phrase, ' '), i, s)))))")

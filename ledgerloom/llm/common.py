@@ -55,7 +55,15 @@ def store(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Remove a table that ``store`` wrote and nothing will read again."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._stored)
+    path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def store_once(df: DataFrame, name: str) -> DataFrame:
