@@ -21,20 +21,3 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS)
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
-
-
-_COLLECTED: dict[int, tuple[DataFrame, list]] = {}
-
-
-def collect_bounded(df: DataFrame, max_rows: int, what: str) -> list:
-    """Collect a small lookup (rule lists) to the driver behind a hard bound.
-
-    Memoised per DataFrame object: one seed feeds several rule arrays."""
-    hit = _COLLECTED.get(id(df))
-    if hit is not None and hit[0] is df:
-        return hit[1]
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"{what}: more than {max_rows} rows; refusing to inline it")
-    _COLLECTED[id(df)] = (df, rows)
-    return rows

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import with_once
 from ..functions.text import merchant_clean
 from ..operators.nearest import nearest_merchant as _nearest
-from ..operators.rules import collect_bounded, MAX_RULES
+from ..operators.rules import first_rule
 from ..sources.fixtures import FIXTURE_PARSED_AT
 
 # Cosine-distance thresholds of the triage.
@@ -35,27 +35,17 @@ def merchant_clean_names(descriptions: DataFrame) -> DataFrame:
                      "canonical_name")
 
 
-def _rule_array_in_file_order(category_rules: DataFrame):
-    rows = collect_bounded(category_rules.select("category_id", "pattern", "priority"), MAX_RULES,
-                           "dim_category_rules")
-    structs = [F.struct(F.lit(int(r["priority"])).alias("priority"), F.lit(i).alias("ord"),
-                        F.lit(r["category_id"]).alias("category"), F.lit(r["pattern"].lower()).alias("pattern"))
-               for i, r in enumerate(rows) if r["pattern"] is not None and r["priority"] is not None]
-    return F.array(*structs) if structs else F.array().cast(
-        "array<struct<priority:int,ord:int,category:string,pattern:string>>")
-
-
-def rule_category_of(name_col, category_rules: DataFrame):
-    """First rule by (priority, file order) whose lower-cased pattern is a
-    substring; transfer rules included."""
-    rules = _rule_array_in_file_order(category_rules)
-    return F.array_min(F.filter(rules, lambda r: F.contains(name_col, r["pattern"])))["category"]
+def rule_categories(names: DataFrame, category_rules: DataFrame) -> DataFrame:
+    """(canonical_name, category_id) of the names that a rule holds: the first rule by (priority, file order)
+    whose lower-cased pattern is a substring; transfer rules included."""
+    rules = category_rules.filter(F.col("priority").isNotNull()).select(
+        F.lower("pattern").alias("pattern"), F.col("priority").cast("int").alias("priority"), "line", "category_id")
+    found = first_rule(names.select(F.col("canonical_name").alias("text")), rules, ["priority", "line"], "category_id")
+    return found.filter(F.col("category_id").isNotNull()).select(F.col("text").alias("canonical_name"), "category_id")
 
 
 def merchant_rule_match(cleaned: DataFrame, category_rules: DataFrame) -> DataFrame:
-    names = cleaned.select("canonical_name").filter(F.col("canonical_name") != "").distinct()
-    return (names.select("canonical_name", rule_category_of(F.col("canonical_name"), category_rules).alias("category_id"))
-                 .filter(F.col("category_id").isNotNull()))
+    return rule_categories(cleaned.select("canonical_name").filter(F.col("canonical_name") != ""), category_rules)
 
 
 def unresolved_descriptions(descriptions: DataFrame, review_queue: DataFrame) -> DataFrame:
@@ -78,8 +68,7 @@ def rule_merchants(unresolved: DataFrame, merchants: DataFrame, category_rules:
     fresh = cleaned.select("canonical_name").distinct().join(
         existing.distinct(), F.col("canonical_name") == F.col("e_name"), "left_anti")
     ts = F.lit(FIXTURE_PARSED_AT).cast("timestamp_ntz")
-    return (fresh.select("canonical_name", rule_category_of(F.col("canonical_name"), category_rules).alias("category_id"))
-                 .filter(F.col("category_id").isNotNull())
+    return (rule_categories(fresh, category_rules)
                  .select(F.md5("canonical_name").alias("merchant_id"), "canonical_name", "category_id",
                          ts.alias("created_at"), ts.alias("updated_at")))
 

@@ -12,7 +12,7 @@ from ..functions.ids import bar_md5
 from ..functions.money import MONEY
 from ..functions.text import clean_description
 from ..operators.numbering import number_copies
-from ..operators.rules import category_rules_list, first_rule_category, transfer_detect
+from ..operators.rules import categorised, transfer_words
 
 
 
@@ -113,16 +113,18 @@ def txn_unified(bank_ids: DataFrame, cc_ids: DataFrame) -> DataFrame:
 
 def with_categorisation_inputs(unified: DataFrame, transfer_rules: DataFrame,
                                category_rules: DataFrame) -> DataFrame:
-    """clean_description (B7), detected_transfer (B8) and rule_category
-    in one projection over broadcast-literal rule arrays."""
-    # Stepwise projections: each rule result references the column computed
-    # before it, so the (regex-heavy) detection is evaluated once per row.
+    """clean_description (B7), detected_transfer (B8) and rule_category.
+
+    Rules are matched once per distinct description and come back by an
+    equi-join; a null description has no rule and no verdict on transfers."""
     staged = unified.select("*", clean_description(F.col("raw_description")).alias("clean_description"))
     cd = F.col("clean_description")
-    staged = staged.select("*", transfer_detect(cd, transfer_rules, category_rules).alias("detected_transfer"))
-    non_transfer_rules = category_rules_list(category_rules, transfer=False)
-    rule_cat = F.when(~F.col("detected_transfer"), first_rule_category(cd, non_transfer_rules))
-    return staged.select("*", rule_cat.alias("rule_category"))
+    found = categorised(staged.select(cd.alias("text")), transfer_rules, category_rules)
+    out = staged.join(found, cd == F.col("text"), "left")
+    detected = F.when(cd.isNull(), F.lit(None).cast("boolean")).otherwise(
+        F.coalesce(F.col("transfer_rule"), F.lit(False)) | transfer_words(cd))
+    out = out.select(*[F.col(c) for c in staged.columns], detected.alias("detected_transfer"), "first_category")
+    return out.select(*staged.columns, "detected_transfer", F.when(~F.col("detected_transfer"), F.col("first_category")).alias("rule_category"))
 
 
 def fact_transactions(staged: DataFrame, accounts: DataFrame, merchants: DataFrame,

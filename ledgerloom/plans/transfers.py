@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.rules import transfer_pattern_array
+from ..operators.rules import rule_hits
 from ..operators.tolerance_join import band_keys, bucket
 
 TOLERANCE_CENTS = 5          # 0.05
@@ -162,9 +162,10 @@ def mutual_best(fact: DataFrame) -> DataFrame:
 def one_way_transfers(fact: DataFrame, transfer_rules: DataFrame, matches: DataFrame) -> DataFrame:
     """Outbound-rule debits (LIKE '%pattern%', so % and _ in a pattern
     are wildcards) not already matched."""
-    patterns = transfer_pattern_array(transfer_rules, direction="outbound")
-    like_any = F.exists(patterns, lambda p: F.like(F.col("clean_description"), F.concat(F.lit("%"), p, F.lit("%"))))
-    hits = (fact.filter((F.col("amount") < 0) & like_any)
+    debits = fact.filter(F.col("amount") < 0)
+    texts = rule_hits(debits.select(F.col("clean_description").alias("text")),
+                      transfer_rules.filter(F.col("direction") == "outbound").select("pattern"), like=True).select("text").distinct()
+    hits = (debits.join(texts, F.col("clean_description") == F.col("text"), "left_semi")
                 .select(F.col("transaction_id").alias("debit_txn_id"),
                         F.lit(None).cast("string").alias("credit_txn_id"), "amount"))
     matched = matches.select(F.col("debit_txn_id").alias("m_d")).filter(F.col("m_d").isNotNull())

@@ -341,7 +341,9 @@ def _seed(spark: SparkSession, rows, schema: str) -> DataFrame:
 
 
 def dim_category_rules(spark: SparkSession) -> DataFrame:
-    return _seed(spark, CATEGORY_RULES, "rule_id string, category_id string, pattern string, priority int")
+    """``line`` is the rule's place in its file, which decides between rules of one priority."""
+    rows = [(*rule, line) for line, rule in enumerate(CATEGORY_RULES, 1)]
+    return _seed(spark, rows, "rule_id string, category_id string, pattern string, priority int, line int")
 
 
 def dim_transfer_rules(spark: SparkSession) -> DataFrame:

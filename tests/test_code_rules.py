@@ -8,7 +8,6 @@ ROOT = pathlib.Path(__file__).resolve().parents[1] / "ledgerloom"
 
 # (file, function) pairs allowed to bring rows to the driver, and why
 ALLOWED_COLLECT = {
-    ("operators/broadcast.py", "collect_bounded"),      # hard row bound, checked
     ("operators/nearest.py", "_in_blocks"),             # two rows of counts
     ("plans/quality.py", "read_only_sql_json"),         # the tool's reply is the result itself
 }

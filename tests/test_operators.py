@@ -211,22 +211,43 @@ def test_ordered_triage_equals_sequential_loop(spark, shape):
     assert got == _loop_triage(qv, names, m)
 
 
-def test_large_rule_sets_use_the_array_form_with_the_same_answer(spark):
-    from ledgerloom.operators.rules import INLINE_RULES, first_rule_category
+def test_fifty_thousand_rules_against_a_loop(spark):
+    from ledgerloom.operators.rules import categorised, first_rule, rule_hits
     rnd = random.Random(9)
-    words = ["alpha", "beta", "gamma", "delta", "omega", "sigma", "kappa", "zeta"]
-    rules = sorted({(rnd.randint(1, 40), f"r{i:04d}", f"c{i % 7}", rnd.choice(words) + rnd.choice(words)[:2])
-                    for i in range(INLINE_RULES + 50)}, key=lambda t: (t[0], t[1]))
-    texts = [" ".join(rnd.choice(words) for _ in range(4)) for _ in range(200)]
-    df = spark.createDataFrame([(t,) for t in texts], "t string")
-    big = {r.t: r.c for r in df.select("t", first_rule_category(F.col("t"), rules).alias("c")).collect()}
-    small = {r.t: r.c for r in df.select("t", first_rule_category(F.col("t"), rules[:INLINE_RULES]).alias("c")).collect()}
-
-    def brute(t, rs):
-        hits = [r for r in rs if r[3] in t]
-        return min(hits)[2] if hits else None
-    assert big == {t: brute(t, rules) for t in texts}
-    assert small == {t: brute(t, rules[:INLINE_RULES]) for t in texts}
+    words = ["".join(rnd.choice("abcdeé") for _ in range(rnd.randint(1, 6))) for _ in range(4000)]
+    rules = [(rnd.randint(1, 40), f"r{i:05d}", rnd.choice(["c1", "c2", "c3", "transfer", None]),
+              rnd.choice(words) + rnd.choice(["", " "]) + rnd.choice(words), i) for i in range(50_000)]
+    rules += [(5, "r-short", "c4", "b", 50_000), (None, "r-none", "c5", "a", 50_001), (1, "r-null", "c6", None, 50_002), (40, "r-empty", "c7", "", 50_003)]
+    texts = [" ".join(rnd.choice(words) for _ in range(rnd.randint(0, 5))) for _ in range(150)] + ["", "b", None, "zz"]
+    df = spark.createDataFrame([(t,) for t in texts + texts[:20]], "text string")
+    seed = spark.createDataFrame(rules, "priority int, rule_id string, category_id string, pattern string, line int")
+    moves = spark.createDataFrame([("zz",), (None,), (words[0],)], "pattern string")
+    got = {r.text: (r.transfer_rule, r.first_category) for r in categorised(df, moves, seed).collect()}
+
+    def brute(t):
+        hits = [r for r in rules if r[3] is not None and r[0] is not None and r[2] is not None and r[3] in t]
+        others = [r[:3] for r in hits if r[2] != "transfer"]
+        return (len(others) < len(hits) or "zz" in t or words[0] in t, min(others)[2] if others else None)
+    assert got == {t: brute(t) for t in set(texts) if t is not None}
+
+    first = {r.text: r.category_id for r in first_rule(df, seed.filter("priority is not null"), ["priority", "line"], "category_id").collect()}
+    assert first == {t: min((r for r in rules if r[0] is not None and r[3] is not None and r[3] in t), key=lambda r: (r[0], r[4]))[2]
+                     for t in set(texts) if t is not None}
+    assert rule_hits(df, seed.limit(0)).count() == 0 and rule_hits(df.limit(0), seed).count() == 0
+
+
+def test_like_rules_against_a_loop(spark):
+    import fnmatch
+    from ledgerloom.operators.rules import rule_hits
+    rnd = random.Random(4)
+    patterns = ["%", "_", "a_c", "ab%cd", "%%d", "xyz", "", "b__%a", "__", None] + [
+        "".join(rnd.choice("abc%_") for _ in range(rnd.randint(1, 6))) for _ in range(200)]
+    texts = ["", "abc", "abxxcd", "d"] + ["".join(rnd.choice("abcd") for _ in range(rnd.randint(1, 12))) for _ in range(100)]
+    hits = rule_hits(spark.createDataFrame([(t,) for t in texts], "text string"),
+                     spark.createDataFrame([(p,) for p in sorted({x for x in patterns if x is not None})] + [(None,)], "pattern string"), like=True)
+    want = {(t, p) for t in texts for p in patterns
+            if p is not None and fnmatch.fnmatchcase(t, "*" + p.replace("%", "*").replace("_", "?") + "*")}
+    assert {tuple(r) for r in hits.select("text", "pattern").collect()} == want
 
 
 def test_hot_group_of_copies(spark):
