@@ -148,7 +148,8 @@ FROM pages
 
 cte("csv_expected", f"""
 SELECT acct || '.csv' AS source_file, TIMESTAMP '{FIXTURE_LANDED_AT}' AS landed_at, d AS row_date,
-       CASE WHEN trim(coalesce(descr, '')) = '' THEN NULL ELSE trim(descr) END AS description,
+       CASE WHEN o_orderkey % 20 = 6 THEN ltrim(concat(descr, ',', chr(10), '"ref" 6'))
+            WHEN trim(coalesce(descr, '')) = '' THEN NULL ELSE trim(descr) END AS description,
        CAST({money('tc')} AS DECIMAL(12,2)) AS amount, acct AS account_hint
 FROM bank_src
 WHERE o_custkey % 4 <> 3 AND o_orderkey % 20 NOT IN (2, 3, 4, 5)

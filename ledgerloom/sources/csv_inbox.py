@@ -9,7 +9,7 @@ tasks like any other input.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import with_once
@@ -97,25 +97,95 @@ def parse_lines(lines: DataFrame, landed_at: Column) -> tuple[DataFrame, DataFra
     return rows, rejected
 
 
+# --- records over physical lines --------------------------------------------------------
+
+# Complete fields of a line, each with its comma; a quote opens a field only at
+# its start, two in a quoted field stand for one, and text behind the closing
+# quote belongs to the field. Then a quoted field that the line does not close.
+_QUOTED = r'[^"]*+(?:""[^"]*+)*+'
+_FIELDS = rf'(?:"{_QUOTED}"[^,]*+,|(?!")[^,]*+,)*+'
+OPENS = rf'^{_FIELDS}"{_QUOTED}$'
+STAYS_OPEN = rf'^{_QUOTED}(?:"[^,]*+,{_FIELDS}"{_QUOTED})?$'
+
+
+def _after(last_fixed: Column, flips: Column, start: Column) -> Column:
+    """State behind some lines: the last fixed state or else ``start``, turned by the flips since."""
+    since = flips - F.coalesce(last_fixed["flips"], F.lit(0))
+    return F.coalesce(last_fixed["open"], start) != (since % 2 == 1)
+
+
+def _carried(lines: DataFrame) -> DataFrame:
+    """lines(file_path, block_start, lid, text, ...) with ``before`` and ``after``: whether a
+    quoted field is open where the line starts and where it ends.
+
+    What a line does to that state is one of four functions: it keeps it, flips
+    it, or ends open or closed whatever it was. Functions of neighbouring lines
+    compose, so each split is scanned on its own, the splits of a file are
+    scanned by one row each, and the state at a split's start goes back in.
+    """
+    opens, stays = F.col("text").rlike(OPENS), F.col("text").rlike(STAYS_OPEN)
+    t = lines.withColumn("_fixed", F.when(opens == stays, opens)).withColumn("_flip", (opens & ~stays).cast("long"))
+    split = Window.partitionBy("file_path", "block_start").orderBy("lid")
+    t = t.withColumn("_flips", F.sum("_flip").over(split.rowsBetween(Window.unboundedPreceding, 0)))
+    state = F.when(F.col("_fixed").isNotNull(), F.struct(F.col("_fixed").alias("open"), F.col("_flips").alias("flips")))
+    t = t.withColumn("_last", F.last(state, ignorenulls=True).over(split.rowsBetween(Window.unboundedPreceding, 0)))
+
+    whole = t.groupBy("file_path", "block_start").agg(F.max_by("_last", "lid").alias("_last"), F.max_by("_flips", "lid").alias("_flips"))
+    earlier = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
+    whole = whole.withColumn("_before_flips", F.coalesce(F.sum("_flips").over(earlier), F.lit(0)))
+    reset = F.when(F.col("_last").isNotNull(), F.struct(F.col("_last.open").alias("open"), (F.col("_before_flips") + F.col("_last.flips")).alias("flips")))
+    starts = whole.withColumn("_reset", reset).withColumn("_reset", F.last("_reset", ignorenulls=True).over(earlier)).select(
+        "file_path", "block_start", _after(F.col("_reset"), F.col("_before_flips"), F.lit(False)).alias("_start"))
+    t = t.join(starts, ["file_path", "block_start"])
+    t = t.withColumn("after", _after(F.col("_last"), F.col("_flips"), F.col("_start")))
+    return t.withColumn("before", F.coalesce(F.lag("after").over(split), F.col("_start"))).select(*lines.columns, "before", "after")
+
+
+def _assembled(lines: DataFrame) -> DataFrame:
+    """Records of the lines: a record begins where no quoted field is open and
+    takes the lines up to its end, joined by line breaks. Only lines of records
+    that span several are brought together; a record over a split border is
+    found by the last record start of the splits before."""
+    t = _carried(lines)
+    split = Window.partitionBy("file_path", "block_start").orderBy("lid")
+    begins = F.when(~F.col("before"), F.struct("block_start", "lid"))
+    t = t.withColumn("_begin", F.last(begins, ignorenulls=True).over(split.rowsBetween(Window.unboundedPreceding, 0)))
+    last = t.groupBy("file_path", "block_start").agg(F.max(begins).alias("_last_begin"))
+    earlier = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.select("file_path", "block_start", F.last("_last_begin", ignorenulls=True).over(earlier).alias("_carried"))
+    t = t.join(carried, ["file_path", "block_start"]).withColumn("_begin", F.coalesce("_begin", "_carried"))
+    single = t.filter(~F.col("before") & ~F.col("after")).select(*lines.columns)
+    parts = t.filter(F.col("before") | F.col("after")).groupBy("file_path", "source_file", "_begin").agg(
+        F.sort_array(F.collect_list(F.struct("block_start", "lid", "text"))).alias("_lines"))
+    joined = parts.select("file_path", "source_file", F.col("_begin.block_start").alias("block_start"),
+                          F.concat_ws("\n", F.col("_lines.text")).alias("text"), F.col("_begin.lid").alias("lid"))
+    return single.unionByName(joined)
+
+
 def lines_of_text(raw: DataFrame) -> DataFrame:
     """raw(file_path, source_file, block_start, text) — lines from the
-    splittable text source — to (source_file, line_no, text).
-
-    A file's header is its first line: the smallest row id among the rows
-    of the split that starts at byte 0. Row ids come from
-    ``monotonically_increasing_id`` (partition index + position, both fixed
-    by the file splits, so a retried task reproduces them). The header pick
-    is a partial aggregate per file, so no file — however large — is ever
-    gathered into one task; a body line gets ``line_no`` > 0 (its row id,
-    not its line number)."""
+    splittable text source — to records (source_file, line_no, text).
+
+    Row ids come from ``monotonically_increasing_id`` (partition index +
+    position, both fixed by the file splits, so a retried task reproduces
+    them); (block_start, row id) orders a file's lines. Files without a quoted
+    line break keep their lines as they are; only the others go through the
+    scan of quotes (``_assembled``).
+
+    A file's header is its first record. The header pick is a partial
+    aggregate per file, so no file — however large — is ever gathered into one
+    task; a body record gets ``line_no`` > 0 (its row id, not its number)."""
     t = raw.select("file_path", "source_file", "block_start", "text",
-                   F.monotonically_increasing_id().alias("_lid"))
-    first = (t.filter(F.col("block_start") == 0).groupBy(F.col("file_path").alias("_fp"))
-             .agg(F.min("_lid").alias("_hid")))
-    j = t.join(first, t.file_path == first._fp, "left")
+                   F.monotonically_increasing_id().alias("lid"))
+    broken = t.filter(F.col("text").rlike(OPENS)).select("file_path").distinct()
+    records = t.join(broken, "file_path", "left_anti").unionByName(
+        _assembled(t.join(broken, "file_path", "left_semi").select(*t.columns)))
+    first = (records.filter(F.col("block_start") == 0).groupBy(F.col("file_path").alias("_fp"))
+             .agg(F.min("lid").alias("_hid")))
+    j = records.join(first, records.file_path == first._fp, "left")
     return j.select("source_file",
-                    F.when(F.col("_lid") == F.col("_hid"), F.lit(0).cast("bigint"))
-                     .otherwise(F.col("_lid") + 1).alias("line_no"),
+                    F.when(F.col("lid") == F.col("_hid"), F.lit(0).cast("bigint"))
+                     .otherwise(F.col("lid") + 1).alias("line_no"),
                     "text")
 
 
@@ -140,7 +210,7 @@ def read_inbox(spark: SparkSession, path_glob: str) -> DataFrame:
 # an unrecognised header) and the row defects by order key % 20.
 HEADER_VARIANTS = [
     "Date,Description,Amount",
-    "Details,Transaction Date,CAD$",
+    '"Details","Transaction Date" ,"CAD$"',
     BOM + "Posted Date,Memo,Transaction Amount",
     "When,What,How Much",
 ]
@@ -164,6 +234,7 @@ def export_lines(customer: DataFrame, bank_src: DataFrame) -> DataFrame:
     date_text = (F.when(k == 3, F.lit("2024-13-01")).when(k == 5, F.lit(""))
                   .otherwise(F.date_format("d", "yyyy-MM-dd")))
     desc_text = F.coalesce(F.col("descr"), F.lit(""))
+    desc_text = F.when(k == 6, F.concat(F.lit('"'), desc_text, F.lit(',\n""ref"" 6"'))).otherwise(desc_text)
     body = bank_src.select(
         F.concat(F.col("acct"), F.lit(".csv")).alias("source_file"),
         # line numbers: order keys are unique, so they order a file's lines

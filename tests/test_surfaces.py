@@ -208,3 +208,39 @@ def test_retry_of_a_broken_batch_neither_doubles_nor_loses_rows(spark, monkeypat
         got = spark.read.parquet(f"{root}/{name}").select(want.columns)
         assert got.count() == want.count() > 0
         assert got.exceptAll(want).count() == 0
+
+
+@pytest.mark.parametrize("split", [40, 300, 1 << 20])
+def test_quoted_line_breaks_against_the_csv_module(spark, split):
+    """Records over line and split borders, quotes inside and behind fields, files that end in an open quote."""
+    import csv
+    import random
+    from ledgerloom.sources.csv_inbox import read_inbox
+    rnd, folder = random.Random(split), tempfile.mkdtemp(prefix="ll-quotes-")
+    pieces = ["a", "b b", ",", '"x"', '"x\ny"', '"p, ""q""\n\n,r"', '5" pipe', '"z"tail', '""', '"\n"', "é", '"a""\n""b"']
+    want = {}
+    for n in range(6):
+        lines = ['"Date",Memo,Amount'] + [",".join(rnd.choice(pieces) for _ in range(rnd.randint(1, 4))) for _ in range(60 if n < 5 else 1)]
+        lines = lines[:1] + ["2024-01-02,plain,1"] * 30 + lines[1:] if n % 2 else lines
+        body = "\n".join(lines) + ("\n" if n % 3 else "")
+        if n == 4:
+            body = body.replace('"Date"', '"Da\nte"', 1) + '"never closed\n,1\n2'
+        with open(os.path.join(folder, f"f{n}.csv"), "w", newline="") as f:
+            f.write(body)
+        want[f"f{n}.csv"] = [r for r in csv.reader(body.splitlines(keepends=True))]
+    keys = {"spark.sql.files.maxPartitionBytes": str(split), "spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        rows = read_inbox(spark, folder).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    for name, records in want.items():
+        own = sorted((r.line_no, r.text) for r in rows if r.source_file == name)
+        assert own[0][0] == 0
+        texts = [own[0][1]] + [t for n, t in own[1:]]
+        got = [next(iter(csv.reader(t.splitlines(keepends=True))), []) for t in texts]
+        drop = lambda rs: [r for r in rs if r]  # noqa: E731  (blank lines are no records)
+        assert sorted(map(str, drop(got))) == sorted(map(str, drop(records))), name
