@@ -180,6 +180,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         """Rows that have their successor here; the task's first and last row also with their text."""
         part, held = TaskContext.get().partitionId(), None
         for batch in batches:
+            id_kind = batch.schema.field(0).type
             ids, roles, texts, rows = [], [], [], []
 
             def put(doc, role, text, row):
@@ -192,9 +193,9 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 else:
                     put(held[0], "row", None, _compared(held[1], held[2], text, mark))
                 held = (doc, text, mark)
-            yield _batch(batch.schema.field(0).type, ids, roles, part, texts, rows)
+            yield _batch(id_kind, ids, roles, part, texts, rows)
         if held is not None:
-            yield _batch(pa.int64() if not isinstance(held[0], str) else pa.string(), [held[0]], ["tail"], part, [held[1]], [None])
+            yield _batch(id_kind, [held[0]], ["tail"], part, [held[1]], [None])
 
     def _batch(id_kind, ids, roles, part, texts, rows):
         return pa.RecordBatch.from_arrays(

@@ -133,9 +133,13 @@ def drawn(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix: each repeated as often as its words are taken.
 
     A document of which only a part is taken goes out whole when that part is
-    at least half of it. Columns as in ``docs``.
+    at least half of it; one without words is not drawn. Rows that repeat an
+    id are told apart by source and size. Columns as in ``docs``.
     """
-    taken = mix(docs, **options).groupBy("doc_id").agg(
+    id_col, text_col, source_col = (options.get(k, v) for k, v in (("id_col", "doc_id"), ("text_col", "text"), ("source_col", "source")))
+    taken = mix(docs, **options).where("size > 0").groupBy("doc_id", "source", "size").agg(
         F.max(F.round(F.col("taken") / F.col("size"))).cast("int").alias("_copies"))
-    return docs.alias("d").join(taken.hint("merge").alias("t"), F.col("d.doc_id").eqNullSafe(F.col("t.doc_id"))).where("_copies > 0").select(
+    sized = docs.withColumn("_size", word_count(F.col(text_col)))
+    same = F.col(f"d.{id_col}").eqNullSafe(F.col("t.doc_id")) & F.col(f"d.{source_col}").eqNullSafe(F.col("t.source")) & (F.col("d._size") == F.col("t.size"))
+    return sized.alias("d").join(taken.hint("merge").alias("t"), same).where("_copies > 0").select(
         *[F.col(f"d.`{c}`") for c in docs.columns], F.explode(F.expr("sequence(1, _copies)")).alias("_copy")).drop("_copy")

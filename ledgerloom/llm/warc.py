@@ -233,10 +233,10 @@ def revisits(records: DataFrame, min_revisit_bytes: int = 0, key_order: str = "b
         "path", "seq", F.col("first.key").alias("refers_key"), F.col("first.record_id").alias("refers_id"))
 
 
-def convert(spark: SparkSession, arc_path: str, warc_path: str, min_revisit_bytes: int = 0) -> str:
-    """ARC archives to WARC archives, one for one."""
+def convert(spark: SparkSession, arc_path: str, warc_path: str, min_revisit_bytes: int = 0, key_order: str = "bigint") -> str:
+    """ARC archives to WARC archives, one for one; keys are ordered as values of the type ``key_order``."""
     records = store(read_arcs(spark, arc_path), "warc-records")
-    by_archive = revisits(records, min_revisit_bytes).groupBy("path").agg(
+    by_archive = revisits(records, min_revisit_bytes, key_order).groupBy("path").agg(
         F.collect_list(F.struct("seq", "refers_key", "refers_id")).alias("refers"))  # bounded by an archive's records
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,8 +285,8 @@ def archived_pages(pages: DataFrame, key_col: str = "page_id", url_col: str = "u
     """Pages to ARC to WARC and back: page_id, payload_bytes, payload_digest, record_type, refers_to."""
     spark = pages.sparkSession
     arcs = write_arcs(pages, scratch_path(spark, "arc"), key_col, url_col, body_col)
-    warcs = convert(spark, arcs, scratch_path(spark, "warc"), min_revisit_bytes)
     kind = pages.schema[key_col].dataType
+    warcs = convert(spark, arcs, scratch_path(spark, "warc"), min_revisit_bytes, kind.simpleString())
     return read_warcs(spark, warcs).select(
         F.col("key").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         F.col("refers_key").cast(kind).alias("refers_to"))

@@ -238,3 +238,45 @@ def test_pipeline_on_a_small_table(spark):
     assert out.select("doc_id").distinct().count() <= docs.count()
     sha = docs.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("s"))
     assert out.join(sha, "doc_id").where("s != decoded_sha256").count() == 0
+
+
+@pytest.mark.parametrize("kind, ids", [("int", [3, 1, 2, None]), ("string", ["b", "a", "c", None]), ("decimal(30,0)", [5, 10**22, 7, None])])
+def test_fingerprints_and_archives_with_any_id(spark, kind, ids):
+    ship(spark)
+    from decimal import Decimal
+    ids = [Decimal(i) if i is not None and kind.startswith("decimal") else i for i in ids]
+    texts = ["One. Two. Three.", "One. Two. Four.", "", None]
+    df = spark.createDataFrame(list(zip(ids, texts)), f"doc_id {kind}, text string").repartition(2)
+    got = merkle.edited_fingerprints(df).collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(map(str, ids))
+    follow = dict(zip(sorted((i for i in ids if i is not None), reverse=True), sorted((i for i in ids if i is not None), reverse=True)[1:] + [None]))
+    follow[None] = max(i for i in ids if i is not None)
+    plain = dict(zip(ids, (t or "" for t in texts)))
+    for r in got:
+        t, f = plain[r.doc_id], plain[follow[r.doc_id]]
+        edited = t[:len(t) - len(t) // 2] + f[:len(t) // 2]
+        assert r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert r.near_edited == merkle.likeness(merkle.fingerprint(t), merkle.fingerprint(edited))
+        assert r.near_next == merkle.likeness(merkle.fingerprint(t), merkle.fingerprint(f))
+
+
+@pytest.mark.parametrize("kind, ids, first", [("string", ["p9", "p10", "p2"], "p10"), ("decimal(38,0)", [10**20, 2 * 10**19, 3 * 10**21], 2 * 10**19)])
+def test_first_page_by_the_order_of_its_type(spark, kind, ids, first):
+    ship(spark)
+    from decimal import Decimal
+    ids = [Decimal(i) if kind != "string" else i for i in ids]
+    pages = spark.createDataFrame([(i, f"http://x/{i}", "<p>same</p>") for i in ids], f"page_id {kind}, url string, html string").repartition(2)
+    got = {r.page_id: (r.record_type, r.refers_to) for r in warc.archived_pages(pages).collect()}
+    assert got == {i: ("response", None) if i == first else ("revisit", first) for i in ids}
+
+
+def test_drawn_rows_without_words_and_with_one_id(spark):
+    ship(spark)
+    rows = [(1, "a " * 300, "s"), (1, "b " * 10, "s"), (2, "", "s"), (3, None, None), (None, "c " * 50, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = Counter(r.text for r in mixing.drawn(df).collect())
+    want = Counter()
+    for r in mixing.mix(df).where("size > 0").collect():
+        text = next(t for i, t, s in rows if i == r.doc_id and s == r.source and len((t or "").split()) == r["size"])
+        want[text] = int(r.taken / r["size"] + 0.5)
+    assert got == +want
