@@ -98,17 +98,23 @@ def _unpacked(body: bytes, kind: type) -> np.ndarray:
     return np.frombuffer(planes, np.uint8).reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
 
 
-def _entries(chunk: int, lang: str | None, hashes: np.ndarray, buckets: int, columns: dict) -> pa.RecordBatch:
-    """A chunk's counted phrases, a row per bucket; they are numbered from 1 on, and the numbers travel as differences."""
+def _entries(chunk: int, lang: str | None, hashes: np.ndarray, buckets: int, columns: dict, order: tuple = ()) -> tuple[pa.RecordBatch, np.ndarray]:
+    """A chunk's counted phrases, a row per bucket, and their places from 1 on. Entries keep their number as differences."""
     bucket = (hashes % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    found, first = np.unique(bucket[order], return_index=True)
-    step = np.diff(order, prepend=0)
-    step[first] = order[first] + 1
-    columns = {k: v[order] for k, v in columns.items()} | {"step": step.astype(np.int32)}
-    bodies = [[_packed(v[begin:end]) if v.dtype != object else b"\n".join(v[begin:end]) for k, v in columns.items()]
-              for begin, end in zip(first, [*first[1:], len(order)])]
-    return _rows(_ROW, len(found), chunk=np.full(len(found), chunk), lang=[lang] * len(found), bucket=found, body=bodies)
+    at = np.lexsort((*order, bucket))
+    place = np.empty(len(at), np.int32)
+    place[at] = np.arange(1, len(at) + 1)
+    found, first = np.unique(bucket[at], return_index=True)
+    bodies = []
+    for begin, end in zip(first, [*first[1:], len(at)]):
+        own, body = at[begin:end], []
+        for name, values in columns.items():
+            v = values[own]
+            body.append(b"\n".join(v) if v.dtype == object else _packed(np.diff(v, prepend=v.dtype.type(0)) if name in ("left", "local") else v))
+        if "local" not in columns:
+            body.append(_packed(np.diff(np.arange(begin + 1, end + 1, dtype=np.int32), prepend=np.int32(0))))
+        bodies.append(body)
+    return _rows(_ROW, len(found), chunk=np.full(len(found), chunk), lang=[lang] * len(found), bucket=found, body=bodies), place
 
 
 def _hash(*numbers: np.ndarray) -> np.ndarray:
@@ -158,7 +164,8 @@ def _words(relations: DataFrame, buckets: int) -> DataFrame:
                 if words:
                     marks = np.fromiter(map(zlib.crc32, words), np.int64, len(words))
                     times = np.bincount(_unpacked(codes, np.int32), minlength=len(words) + 1)[1:]
-                    yield _entries(chunk, lang, _hash(np.full(1, zlib.crc32(lang.encode())), marks), buckets, {"phrase": np.array(words, object), "times": times})
+                    yield _entries(chunk, lang, _hash(np.full(1, zlib.crc32(lang.encode())), marks), buckets, {
+                        "phrase": np.array(words, object), "times": times, "local": np.arange(1, len(words) + 1, dtype=np.int32)})[0]
 
     return relations.select("chunk", "lang", "codes", "words").mapInArrow(run, _ROW_KINDS)
 
@@ -179,7 +186,8 @@ def _frequent(rows: DataFrame, least: int) -> DataFrame:
             phrases = pa.array([w for b in bodies for w in b[0].split(b"\n")], pa.binary()).cast(pa.string()).dictionary_encode()
             one, other = np.repeat(langs.indices.to_numpy(), sizes), phrases.indices.to_numpy()
         else:
-            one, other = (np.concatenate([_unpacked(b[i], np.int64) for b in bodies]) for i in (0, 1))
+            one = np.concatenate([np.cumsum(_unpacked(b[0], np.int64)) for b in bodies])
+            other = np.concatenate([_unpacked(b[1], np.int64) for b in bodies])
         order = np.lexsort((other, one))
         new = np.r_[True, (one[order][1:] != one[order][:-1]) | (other[order][1:] != other[order][:-1])]
         which = np.empty(len(order), np.int64)
@@ -192,8 +200,8 @@ def _frequent(rows: DataFrame, least: int) -> DataFrame:
             stays = often[own]
             if stays.any():
                 chunks.append(chunk)
-                locals_.append(_packed(np.cumsum(step)[stays].astype(np.int32)))
-                names.append(_packed(name[own[stays]]))
+                locals_.append(_packed(np.diff(np.cumsum(step)[stays].astype(np.int32), prepend=np.int32(0))))
+                names.append(_packed(np.diff(name[own[stays]], prepend=0)))
         at = first[often]
         parts = {"lang": pc.take(langs.dictionary, pa.array(one[at])), "phrase": pc.take(phrases.dictionary, pa.array(other[at]))} if words else {
             "left": one[at], "right": other[at]}
@@ -217,17 +225,18 @@ def _extended(relations: DataFrame, counted: DataFrame, buckets: int, more: bool
         chunk, codes = state["chunk"][0].as_py(), _unpacked(state["codes"][0].as_py(), np.int32)
         name = np.full(int(codes.max(initial=0)) + 1, -1)
         for local, names in zip(answer["local"].to_pylist(), answer["names"].to_pylist()):
-            name[_unpacked(local, np.int32)] = _unpacked(names, np.int64)
+            name[np.cumsum(_unpacked(local, np.int32))] = np.cumsum(_unpacked(names, np.int64))
         stays = name[codes] >= 0
         p = np.flatnonzero(stays[:-1] & stays[1:])
         if not len(p):
             return _ROW.empty_table()
         found, which, times = np.unique(codes[p].astype(np.int64) << 32 | codes[p + 1], return_inverse=True, return_counts=True)
         left, right = name[found >> 32], name[found & 0xFFFFFFFF]
-        out = [_entries(chunk, None, _hash(left, right), buckets, {"left": left, "right": right, "times": times})]
+        entries, place = _entries(chunk, None, _hash(left, right), buckets, {"left": left, "right": right, "times": times}, (right, left))
+        out = [entries]
         if more:
             longer = np.zeros(len(codes) + 1, np.int32)
-            longer[p] = which + 1
+            longer[p] = place[which]
             longer = longer[(longer > 0) | np.r_[False, longer[:-1] > 0]]  # runs, parted by breaks
             out.append(_rows(_ROW, 1, chunk=[chunk], bucket=[zlib.crc32(str(chunk).encode()) % buckets], codes=[_packed(longer)]))
         return pa.Table.from_batches(out)
