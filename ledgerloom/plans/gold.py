@@ -8,9 +8,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.money import MONEY
-from ..operators.broadcast import bounded_broadcast
-
-SEED_BROADCAST_ROWS = 2_000_000
 
 # Display names of the essential spending categories.
 ESSENTIAL_CATEGORY_NAMES = ["Groceries", "Rent / Mortgage", "Utilities"]
@@ -30,13 +27,13 @@ def _named_categories(categories: DataFrame) -> DataFrame:
     """category_id -> (name, parent's name) — a self join of a small seed."""
     c = categories.select("category_id", "category_name", "parent_category_id")
     p = categories.select(F.col("category_id").alias("p_id"), F.col("category_name").alias("parent_name"))
-    return (c.join(F.broadcast(p), c.parent_category_id == p.p_id, "left")
+    return (c.join(p, c.parent_category_id == p.p_id, "left")
              .select("category_id", "category_name", "parent_name"))
 
 
 def semantic_transactions(fact: DataFrame, merchants: DataFrame, categories: DataFrame,
                           transfers: DataFrame, overrides: DataFrame) -> DataFrame:
-    cats = bounded_broadcast(_named_categories(categories), SEED_BROADCAST_ROWS)
+    cats = _named_categories(categories)
     # Resolve category names on the (small) dimension side before touching
     # the fact, so the fact meets three joins instead of seven.
     m = (merchants.select(F.col("canonical_name").alias("m_name"), F.col("category_id").alias("m_cat"))
@@ -166,8 +163,8 @@ def outlier_alerts(fact: DataFrame) -> DataFrame:
     """Spend outliers per category: |amount| > avg + 3 sd and > 100.
 
     Stats come from one partial aggregation per category (a few rows per
-    category reach the final stage) and go back through a broadcast join —
-    the stats frame has one row per category. The ratio in the message is
+    category reach the final stage) and go back by an equi-join, which Spark
+    broadcasts when the stats turn out small. The ratio in the message is
     computed exactly in integer cents and rounded half-up to one decimal."""
     abs_cents = (F.abs(F.col("amount")) * 100).cast("decimal(38,0)")
     stats = (fact.filter((F.col("amount") < 0) & ~F.col("is_transfer"))
@@ -175,7 +172,7 @@ def outlier_alerts(fact: DataFrame) -> DataFrame:
                  .agg(F.count(F.lit(1)).cast("decimal(38,0)").alias("s_n"),
                       F.sum(abs_cents).cast("decimal(38,0)").alias("s_sum"),
                       F.stddev_samp(F.abs(F.col("amount")).cast("double")).alias("s_sd")))
-    j = fact.filter(~F.col("is_transfer")).join(F.broadcast(stats), F.col("category_id") == F.col("s_cat"))
+    j = fact.filter(~F.col("is_transfer")).join(stats, F.col("category_id") == F.col("s_cat"))
     avg = F.col("s_sum").cast("double") / F.col("s_n").cast("double") / 100.0
     absd = F.abs(F.col("amount")).cast("double")
     flagged = j.filter((absd > avg + OUTLIER_SIGMAS * F.col("s_sd")) & (absd > OUTLIER_MIN_ABS_AMOUNT))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .oracle import enrich_sql  # noqa: F401
+from .plans.enrich import ordered_triage
 from .registry import from_model, register
 
 from_model("merchant_clean", columns=["raw_description", "canonical_name"])
@@ -38,5 +39,5 @@ register("merchant_review_queue", ["queue_id", "raw_description", "candidate_mer
 
 # Ordered mode (iterative; no SQL oracle, checked against a plain loop in tests).
 register("merchant_triage_ordered", ["query_id", "merchant_id", "distance", "decision"])(
-    lambda lake: __import__("ledgerloom.plans.enrich", fromlist=["ordered_triage"]).ordered_triage(
+    lambda lake: ordered_triage(
         lake.query_vectors, lake.merchant_vectors).withColumn("distance", F.round("distance", 6)))
