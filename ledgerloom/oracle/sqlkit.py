@@ -7,6 +7,8 @@ driver tables are assumed to exist as views.
 
 from __future__ import annotations
 
+import re
+
 _CTES: dict[str, tuple[str, tuple[str, ...]]] = {}
 
 
@@ -14,6 +16,12 @@ def cte(name: str, sql: str, deps: tuple[str, ...] = ()) -> None:
     _CTES[name] = (sql.strip(), tuple(deps))
 
 
+def with_name(name: str, like: str, old: str, new: str) -> None:
+    """A CTE like another one that reads ``new`` where that one reads ``old``."""
+    sql, deps = _CTES[like]
+    cte(name, re.sub(rf"\b{old}\b", new, sql), tuple(new if d == old else d for d in deps))
+
+
 def _order(names) -> list[str]:
     seen: list[str] = []
 

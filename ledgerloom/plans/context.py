@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 from ..functions import with_once
 from ..functions.ids import bar_md5
 from ..session import DEFAULT_AS_OF
-from ..sources.fixtures import (Fixtures, dim_category_overrides, merchant_vectors, prior_review_queue,
+from ..sources.fixtures import (FIXTURE_PARSED_AT, Fixtures, dim_category_overrides, merchant_vectors, prior_review_queue,
                                 query_vectors)
 from ..sources.statements import prior_header_shas, statement_documents
-from . import enrich, gold, silver, sinks, transfers
+from . import enrich, enrichment_run, gold, silver, sinks, transfers
 from .ingest import first_copies, investment_theses_upsert, questrade_snapshots, statement_ingest_result
+from .table_sets import TableSet
 
 
 class Lake:
@@ -273,6 +274,36 @@ class Lake:
     def merchant_review_queue(self) -> DataFrame:
         return enrich.merchant_review_queue(self.merchant_triage)
 
+    @cached_property
+    def enrichment_inputs(self) -> tuple[DataFrame, DataFrame]:
+        """(descriptions, vectors) of an enrichment run: the ledger's and those that carry a vector."""
+        queries = self.query_vectors
+        return (self.raw_descriptions.unionByName(queries.select("raw_description")),
+                queries.select("canonical_name", "vec"))
+
+    @cached_property
+    def merchant_tables(self) -> TableSet:
+        """The merchant dimension and the review queue before the run, as one committed set."""
+        tables = TableSet(self.spark, f"{sinks.run_folder(self.spark)}/merchants")
+        columns = enrichment_run.MERCHANT_COLUMNS
+        held = self.dim_merchants.select(*columns).unionByName(self.merchant_vectors.withColumn(
+            "embedding", F.col("embedding").cast("array<float>")).select(*columns))
+        tables.replace({enrichment_run.MERCHANTS: held, enrichment_run.QUEUE: self.prior_review_queue.select(
+            *enrichment_run.QUEUE_COLUMNS)})
+        return tables
+
+    @cached_property
+    def enriched(self) -> tuple[TableSet, DataFrame]:
+        """(the set after one run, names that wait for a vector)."""
+        descriptions, vectors = self.enrichment_inputs
+        return self.merchant_tables, enrichment_run.run_enrichment(
+            self.merchant_tables, descriptions, vectors, self.dim_category_rules, FIXTURE_PARSED_AT)
+
+    @cached_property
+    def fact_enriched(self) -> DataFrame:
+        return silver.fact_transactions(self.txn_staged, self.dim_accounts,
+                                        self.enriched[0].read(enrichment_run.MERCHANTS), self.dim_category_overrides)
+
     # --- ingest ---------------------------------------------------------------------
     @cached_property
     def statement_documents(self) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .oracle import enrich_sql  # noqa: F401
 from .plans.enrich import ordered_triage
+from .plans.enrichment_run import MERCHANTS, QUEUE
 from .registry import from_model, register
 
 from_model("merchant_clean", columns=["raw_description", "canonical_name"])
@@ -37,6 +38,22 @@ register("merchant_review_queue", ["queue_id", "raw_description", "candidate_mer
          ("merchant_triage",))(
     lambda lake: lake.merchant_review_queue.withColumn("distance", F.round("distance", 6)))
 
+# The run with its two appends: both tables after the commit, what still waits, and the fact over the new dimension.
+register("enriched_merchants", ["merchant_id", "canonical_name", "category_id", "has_vector"],
+         "SELECT merchant_id, canonical_name, category_id, has_vector FROM enriched_merchants", ("enriched_merchants",))(
+    lambda lake: lake.enriched[0].read(MERCHANTS).withColumn("has_vector", F.col("embedding").isNotNull()))
+
+register("enriched_review_queue", ["queue_id", "raw_description", "candidate_merchant_id", "distance"],
+         """SELECT queue_id, raw_description, candidate_merchant_id, round(distance, 6) AS distance
+            FROM enriched_review_queue""", ("enriched_review_queue",))(
+    lambda lake: lake.enriched[0].read(QUEUE).withColumn("distance", F.round("distance", 6)))
+
+register("enrichment_waiting", ["canonical_name"], "SELECT canonical_name FROM enrichment_waiting",
+         ("enrichment_waiting",))(lambda lake: lake.enriched[1])
+
+_FACT = ["transaction_id", "clean_description", "merchant_id", "category_id", "category_source"]
+from_model("fact_enriched", columns=_FACT)
+
 # Ordered mode (iterative; no SQL oracle, checked against a plain loop in tests).
 register("merchant_triage_ordered", ["query_id", "merchant_id", "distance", "decision"])(
     lambda lake: ordered_triage(
