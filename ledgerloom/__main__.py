@@ -14,9 +14,11 @@ def main(argv=None) -> int:
     r = sub.add_parser("run")
     r.add_argument("--sf", required=True)
     r.add_argument("--out", required=True)
+    r.add_argument("--seeds", default=None, help="folder of seed files (<name>.csv)")
     q = sub.add_parser("sql")
     q.add_argument("--sf", required=True)
     q.add_argument("--out", default=None)
+    q.add_argument("--seeds", default=None)
     q.add_argument("statement")
     a = ap.parse_args(argv)
 
@@ -27,7 +29,7 @@ def main(argv=None) -> int:
     from .session import build_session
 
     spark = build_session()
-    lake = Lake(spark, a.sf)
+    lake = Lake(spark, a.sf, seeds=a.seeds)
     out = a.out or run_folder(spark)
     models = run_models(lake, out)
     if a.cmd == "run":

@@ -164,3 +164,9 @@ UNION ALL SELECT 'dim_transfer_rules', count(*) FROM dim_transfer_rules
 UNION ALL SELECT 'dim_categories', count(*) FROM dim_categories
 """, ("dim_account_normalization", "dim_holders", "dim_category_overrides", "dim_category_rules",
       "dim_transfer_rules", "dim_categories"))
+
+cte("seed_rejects", """
+SELECT 'dim_account_normalization' AS seed, w.col0 AS field, w.col1 AS value, w.col2 AS reason
+FROM customer, (VALUES ('inversion_factor', 'minus one', 'not int'), ('start_date', '1995-13-40', 'not date')) w
+WHERE c_custkey % 13 = 0
+""")

@@ -10,6 +10,7 @@ that consume one model many times can ``persist()`` it or write it out with
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,8 @@ from ..functions import with_once
 from ..functions.ids import bar_md5
 from ..session import DEFAULT_AS_OF
 from ..sources.fixtures import (FIXTURE_PARSED_AT, Fixtures, dim_category_overrides, merchant_vectors, prior_review_queue,
-                                query_vectors)
+                                query_vectors, wrong_normalizations)
+from ..sources.seeds import read_seeds, write_seed
 from ..sources.statements import prior_header_shas, statement_documents
 from . import enrich, enrichment_run, gold, silver, sinks, transfers
 from .ingest import first_copies, investment_theses_upsert, questrade_snapshots, statement_ingest_result
@@ -28,13 +30,15 @@ from .table_sets import TableSet
 
 class Lake:
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: _dt.date = DEFAULT_AS_OF,
-                 materialize: bool = True):
+                 materialize: bool = True, seeds: str | None = None):
+        """``seeds``: a folder of seed files (``<name>.csv``); without one the seeds come from the driver tables."""
         self.spark = spark
         self.sf_dir = sf_dir
         self.as_of = as_of
         self.fx = Fixtures(spark, sf_dir)
         self.materialize = materialize
         self._run_folder: str | None = None
+        self._seeds = None if seeds is None else read_seeds(spark, seeds)[0]
 
     def table(self, name: str, df: DataFrame) -> DataFrame:
         """Materialise a multi-consumer model once (dbt's 'table')."""
@@ -74,25 +78,43 @@ class Lake:
         return investment_theses_upsert(self.fx.thesis_records)
 
     # --- seeds -------------------------------------------------------------
+    def _seed(self, name: str, derived: Callable[[], DataFrame]) -> DataFrame:
+        return derived() if self._seeds is None else self._seeds[name]
+
+    @cached_property
+    def seed_files(self) -> tuple[dict[str, DataFrame], DataFrame]:
+        """The seeds written out as files, with some wrong lines among them, and read back: ({name: rows}, rejects)."""
+        folder = f"{sinks.run_folder(self.spark)}/seeds"
+        frames = {"dim_account_normalization": self.dim_account_normalization, "dim_holders": self.dim_holders,
+                  "dim_category_overrides": self.dim_category_overrides, "dim_transfer_rules": self.dim_transfer_rules,
+                  "dim_category_rules": self.dim_category_rules.drop("line"), "dim_categories": self.dim_categories}
+        for name, rows in frames.items():
+            text = rows.select(*[F.col(c).cast("string") for c in rows.columns])
+            if name == "dim_account_normalization":
+                text = text.unionByName(wrong_normalizations(self.fx.t("customer")))
+            write_seed(text, folder, name)
+        rows, rejects = read_seeds(self.spark, folder)
+        return {name: df.drop("line") for name, df in rows.items()}, rejects
+
     @property
     def dim_category_rules(self) -> DataFrame:
-        return self.fx.dim_category_rules
+        return self._seed("dim_category_rules", lambda: self.fx.dim_category_rules)
 
     @property
     def dim_transfer_rules(self) -> DataFrame:
-        return self.fx.dim_transfer_rules
+        return self._seed("dim_transfer_rules", lambda: self.fx.dim_transfer_rules)
 
     @property
     def dim_categories(self) -> DataFrame:
-        return self.fx.dim_categories
+        return self._seed("dim_categories", lambda: self.fx.dim_categories)
 
     @property
     def dim_account_normalization(self) -> DataFrame:
-        return self.fx.dim_account_normalization
+        return self._seed("dim_account_normalization", lambda: self.fx.dim_account_normalization)
 
     @property
     def dim_holders(self) -> DataFrame:
-        return self.fx.dim_holders
+        return self._seed("dim_holders", lambda: self.fx.dim_holders)
 
     @property
     def dim_merchants(self) -> DataFrame:
@@ -100,6 +122,8 @@ class Lake:
 
     @cached_property
     def dim_category_overrides(self) -> DataFrame:
+        if self._seeds is not None:
+            return self._seeds["dim_category_overrides"]
         # The seed is keyed by stable ids, which depend only on bronze lines
         # (statement, account, date, amount) — no numbering needed.
         # (hashed once per line: the seed's prefix filter would otherwise be

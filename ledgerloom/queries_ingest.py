@@ -10,6 +10,7 @@ from .plans import ingest, sinks
 from .registry import register
 from .sources.csv_inbox import parse_lines
 from .sources.fixtures import FIXTURE_LANDED_AT
+from .sources.seeds import REJECT_COLUMNS
 from .sources.statements import page_provenance
 
 
@@ -103,15 +104,26 @@ _q("bronze_rebuild", ["status", "documents"], "SELECT status, documents FROM bro
 
 
 def _seeds(lake):
-    frames = [("dim_account_normalization", lake.dim_account_normalization), ("dim_holders", lake.dim_holders),
-              ("dim_category_overrides", lake.dim_category_overrides),
-              ("dim_category_rules", lake.dim_category_rules), ("dim_transfer_rules", lake.dim_transfer_rules),
-              ("dim_categories", lake.dim_categories)]
     out = None
-    for name, df in frames:
+    for name, df in lake.seed_files[0].items():
         c = df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("seed"), "n_rows")
         out = c if out is None else out.unionByName(c)
     return out
 
 
 _q("seed_tables", ["seed", "n_rows"], "SELECT seed, n_rows FROM seed_tables", ("seed_tables",))(_seeds)
+
+_SEED_COLUMNS = {
+    "dim_account_normalization": ["account_id", "friendly_name", "inversion_factor", "is_active", "expected_frequency", "start_date"],
+    "dim_holders": ["holder_raw", "owner"],
+    "dim_category_overrides": ["stable_id", "category_id", "notes"],
+    "dim_category_rules": ["rule_id", "category_id", "pattern", "priority"],
+    "dim_transfer_rules": ["rule_id", "pattern", "direction", "notes"],
+    "dim_categories": ["category_id", "category_name", "parent_category_id"],
+}
+for _name, _columns in _SEED_COLUMNS.items():
+    _q(f"seed_{_name}", _columns, f"SELECT {', '.join(_columns)} FROM {_name}", (_name,))(
+        lambda lake, name=_name: lake.seed_files[0][name])
+
+_q("seed_rejects", REJECT_COLUMNS, f"SELECT {', '.join(REJECT_COLUMNS)} FROM seed_rejects",
+   ("seed_rejects",))(lambda lake: lake.seed_files[1])

@@ -377,6 +377,15 @@ def dim_account_normalization(customer: DataFrame) -> DataFrame:
     return bank.unionByName(card)
 
 
+def wrong_normalizations(customer: DataFrame) -> DataFrame:
+    """Lines of the account seed whose factor and start date cannot be read."""
+    return customer.filter(F.col("c_custkey") % 13 == 0).select(
+        _key_text("W", F.col("c_custkey")).alias("account_id"),
+        F.concat(F.lit('Wrong "line", '), F.col("c_custkey").cast("string")).alias("friendly_name"),
+        F.lit("minus one").alias("inversion_factor"), F.lit("true").alias("is_active"),
+        F.lit("monthly").alias("expected_frequency"), F.lit("1995-13-40").alias("start_date"))
+
+
 def dim_holders(customer: DataFrame) -> DataFrame:
     return customer.filter(F.col("c_custkey") % 10 != 7).select(
         F.col("c_name").alias("holder_raw"),
