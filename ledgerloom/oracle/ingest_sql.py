@@ -5,7 +5,7 @@ from __future__ import annotations
 from ..sources.fixtures import FIXTURE_LANDED_AT, FIXTURE_PARSED_AT
 from ..sources.statements import PRIOR_CUTOFF
 from . import models_sql  # noqa: F401
-from .sqlkit import cte, money
+from .sqlkit import cte, money, with_name
 
 _EMPTY = "CAST([] AS VARCHAR[])"
 
@@ -170,3 +170,18 @@ SELECT 'dim_account_normalization' AS seed, w.col0 AS field, w.col1 AS value, w.
 FROM customer, (VALUES ('inversion_factor', 'minus one', 'not int'), ('start_date', '1995-13-40', 'not date')) w
 WHERE c_custkey % 13 = 0
 """)
+
+cte("rebuilt_failures", """
+SELECT source_id, sha256, CASE WHEN sha256 LIKE 'a%' AND sha256 < 'a4' THEN 'unreadable record'
+                               WHEN n_acc = 0 THEN 'multi_account_no_accounts' ELSE 'header without period_end' END AS reason
+FROM received_docs
+WHERE kind IS NOT NULL AND (n_acc = 0 OR sha256 >= 'a0' AND sha256 < 'a4' OR sha256 >= 'b0' AND sha256 < 'b4')
+""", ("received_docs",))
+
+cte("rebuilt_shas", """
+SELECT DISTINCT sha256 FROM received_docs
+WHERE kind IS NOT NULL AND source_id NOT IN (SELECT source_id FROM rebuilt_failures)
+""", ("received_docs", "rebuilt_failures"))
+
+for _table in ("bank_statements", "bank_transactions", "cc_statements", "cc_transactions"):
+    with_name(f"rebuilt_{_table}", f"bronze_{_table}_new", "new_shas", "rebuilt_shas")

@@ -22,8 +22,8 @@ from ..session import DEFAULT_AS_OF
 from ..sources.fixtures import (FIXTURE_PARSED_AT, Fixtures, dim_category_overrides, merchant_vectors, prior_review_queue,
                                 query_vectors, wrong_normalizations)
 from ..sources.seeds import read_seeds, write_seed
-from ..sources.statements import prior_header_shas, statement_documents
-from . import enrich, enrichment_run, gold, silver, sinks, transfers
+from ..sources.statements import RECORD_FIELDS, prior_header_shas, received_records, statement_documents
+from . import enrich, enrichment_run, gold, rebuild, silver, sinks, transfers
 from .ingest import first_copies, investment_theses_upsert, questrade_snapshots, statement_ingest_result
 from .table_sets import TableSet
 
@@ -334,6 +334,14 @@ class Lake:
         return statement_documents(self.bank_statements, self.bank_transactions, self.cc_statements,
                                    self.cc_transactions, self.fx.t("pages"))
 
+    @cached_property
+    def rebuilt(self) -> TableSet:
+        """The four statement tables and the failures, rebuilt from all received records."""
+        documents = self.statement_documents
+        tables = TableSet(self.spark, f"{sinks.run_folder(self.spark)}/bronze")
+        rebuild.rebuild_bronze(tables, received_records(documents), documents.select(*RECORD_FIELDS).schema)
+        return tables
+
     @cached_property
     def prior_header_shas(self) -> DataFrame:
         return prior_header_shas(self.bank_statements, self.cc_statements)

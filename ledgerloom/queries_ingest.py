@@ -102,6 +102,11 @@ _q("questrade_snapshots", _QS, f"SELECT {', '.join(_QS)} FROM questrade_snapshot
 _q("bronze_rebuild", ["status", "documents"], "SELECT status, documents FROM bronze_rebuild",
    ("bronze_rebuild",))(lambda lake: ingest.bronze_rebuild_summary(lake.statement_ingest_result))
 
+for _name, _columns in {"bank_statements": _BS, "bank_transactions": _BT, "cc_statements": _CS, "cc_transactions": _CT,
+                        "failures": ["source_id", "sha256", "reason"]}.items():
+    _q(f"rebuilt_{_name}", _columns, f"SELECT {', '.join(_columns)} FROM rebuilt_{_name}", (f"rebuilt_{_name}",))(
+        lambda lake, name=_name: lake.rebuilt.read(name))
+
 
 def _seeds(lake):
     out = None
