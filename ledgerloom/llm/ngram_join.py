@@ -21,8 +21,9 @@ How groups stay bounded
 Links are exact but for collisions of 64-bit hashes. Defined results: null or
 wordless text has the empty set, n_shingles 0, and is its own component; a
 text with fewer than four words has one shingle, its whole sequence; repeated
-rows and ties fall into one class; a null id gets the component of its class;
-empty tables give empty results; extra columns are ignored.
+rows and ties fall into one class; links run between classes, whatever ids
+their rows have (null, repeated, of any type), and a component of null ids only
+has a null id; empty tables give empty results; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -107,7 +108,7 @@ def _batch(columns: dict[str, tuple]) -> pa.RecordBatch:
 
 
 def _survey(slim: DataFrame, size: int) -> DataFrame:
-    """Rows of two kinds: a document with its class (doc_id, n, key), and a shingle often met in one task (gram, times)."""
+    """Rows of two kinds: a document with its class (doc_id, row, n, key), and a shingle often met in one task (gram, times)."""
     id_kind = slim.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,8 +117,8 @@ def _survey(slim: DataFrame, size: int) -> DataFrame:
         def often(kind):
             grams, times = np.unique(np.concatenate(held), return_counts=True)
             grams, times = grams[times >= 3], times[times >= 3]
-            return _batch({"doc_id": ([None] * len(grams), kind), "n": ([None] * len(grams), pa.int64()),
-                           "key": ([None] * len(grams), pa.int64()), "gram": (grams.view(np.int64), pa.int64()),
+            return _batch({"doc_id": ([None] * len(grams), kind), "row": ([None] * len(grams), pa.int64()),
+                           "n": ([None] * len(grams), pa.int64()), "key": ([None] * len(grams), pa.int64()), "gram": (grams.view(np.int64), pa.int64()),
                            "times": (times, pa.int64())})
 
         kind = pa.int64()
@@ -133,7 +134,7 @@ def _survey(slim: DataFrame, size: int) -> DataFrame:
                     held.append(grams)
                     count += len(grams)
             nothing = [None] * len(ns)
-            yield _batch({"doc_id": (batch.column(0), kind), "n": (ns, pa.int64()), "key": (keys, pa.int64()),
+            yield _batch({"doc_id": (batch.column(0), kind), "row": (batch.column(2), pa.int64()), "n": (ns, pa.int64()), "key": (keys, pa.int64()),
                           "gram": (nothing, pa.int64()), "times": (nothing, pa.int64())})
             if count > CHUNK:
                 yield often(kind)
@@ -141,7 +142,7 @@ def _survey(slim: DataFrame, size: int) -> DataFrame:
         if held:
             yield often(kind)
 
-    return slim.mapInArrow(run, f"doc_id {id_kind}, n bigint, key bigint, gram bigint, times bigint")
+    return slim.mapInArrow(run, f"doc_id {id_kind}, row bigint, n bigint, key bigint, gram bigint, times bigint")
 
 
 def _prefixes(slim: DataFrame, frequent, size: int, percent: int) -> DataFrame:
@@ -234,15 +235,18 @@ def _candidates(prefixes: DataFrame, percent: int, small: int) -> DataFrame:
 
 
 def _sets(texts: DataFrame, size: int) -> DataFrame:
-    """Rows of (doc_id, text, tasks): one row (task, role, node, grams) for each task that wants the set."""
+    """Rows of (key, text, tasks): one row (task, role, node, grams) for each task that wants the set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
         for batch in batches:
             task, role, node, grams = [], [], [], []
-            for doc, text, wanted in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist()):
-                packed, doc = shingles(text.as_py(), words, size).tobytes(), doc.as_py()
+            for key, text, wanted in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist()):
+                found, key = shingles(text.as_py(), words, size), key.as_py()
+                if _class_key(found) != key:  # another text with the same row hash
+                    continue
+                packed = found.tobytes()
                 for w in wanted:
-                    task.append(w["task"]), role.append(w["role"]), node.append(doc), grams.append(packed)
+                    task.append(w["task"]), role.append(w["role"]), node.append(key), grams.append(packed)
                 if len(task) >= 2000:
                     yield _batch({"task": (task, pa.string()), "role": (role, pa.int32()), "node": (node, pa.int64()), "grams": (grams, pa.binary())})
                     task, role, node, grams = [], [], [], []
@@ -328,26 +332,29 @@ def _verified(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS, percent: int = PERCENT,
-          small: int = SMALL, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """(members, links): members has doc_id, n, key and node (the smallest id of the class), links pairs (a, b) of nodes.
+          small: int = SMALL, block: int = BLOCK) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(members, classes, links): members has doc_id, n and key, classes key, n, row (the row whose text stands for the
+    class) and doc_id (the smallest), links pairs (a, b) of keys.
 
     The links connect whatever is connected; of a cluster's links only a spanning forest per pair of blocks is listed.
     """
     spark = docs.sparkSession
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    # a row is found again by what it holds, so that null and repeated ids lose no text
+    slim = slim.withColumn("row", F.xxhash64("doc_id", "text"))
     survey = store(_survey(slim, size), "join-survey")
     often = survey.where("gram is not null").groupBy("gram").agg(F.sum("times").alias("times")).orderBy(
         F.desc("times"), "gram").limit(FREQUENT).select("gram").toPandas()["gram"].to_numpy(np.int64)  # FREQUENT numbers at most
     frequent = spark.sparkContext.broadcast(np.sort(often.view(np.uint64)))
 
     members = survey.where("key is not null").select("doc_id", "n", "key")
-    classes = store(members.where("n > 0").groupBy("key", "n").agg(F.min("doc_id").alias("node")).where("node is not null"), "join-classes")
+    classes = store(survey.where("key is not null and n > 0").groupBy("key", "n").agg(
+        F.min("row").alias("row"), F.min("doc_id").alias("doc_id")), "join-classes")
 
     found = store(_candidates(_prefixes(slim, frequent, size, percent), percent, small), "join-candidates")
     pairs = found.where("orders is not null").groupBy("a", "b").agg(
         F.min("least").alias("least"), F.sum((F.col("orders") == 0).cast("int")).alias("one"),
         F.sum((F.col("orders") == 1).cast("int")).alias("two")).where("one >= least and two >= least").select("a", "b")
-    node = classes.select("key", "node")
     wanted = store(pairs.select(F.concat(F.lit("p"), F.col("a").cast("string")).alias("task"), F.explode(F.array(
         F.struct(F.lit(1).alias("role"), F.col("b").alias("key")), F.struct(F.lit(0).alias("role"), F.col("a").alias("key")))).alias("w"))
         .select("task", "w.role", "w.key").distinct(), "join-wanted")
@@ -363,17 +370,22 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
         F.concat_ws("-", F.lit("c"), "component", F.least("own", "with"), F.greatest("own", "with")).alias("task"),
         F.when(F.col("own") <= F.col("with"), 2).otherwise(3).alias("role"), "key", (F.col("own") != F.col("with")).alias("cross"))
     blocked = blocked.select(F.concat("task", F.when(F.col("cross"), "x").otherwise("")).alias("task"), "role", "key")
-    tasks = wanted.unionByName(blocked).join(node, "key").groupBy("node").agg(F.collect_list(F.struct("task", "role")).alias("tasks"))
-    texts = slim.join(tasks.hint("merge"), slim["doc_id"] == tasks["node"]).select(F.col("doc_id"), "text", "tasks")
+    tasks = wanted.unionByName(blocked).join(classes.select("key", "row"), "key").groupBy("key", "row").agg(
+        F.collect_list(F.struct("task", "role")).alias("tasks"))
+    texts = slim.join(tasks.hint("merge"), "row").select("key", "text", "tasks")
     linked = _verified(_sets(texts, size), percent)
-    return members.join(classes, ["key", "n"], "left"), linked
+    return members, classes, linked
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS,
                     percent: int = PERCENT, small: int = SMALL, block: int = BLOCK) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest id reachable by links, its own included)."""
-    members, linked = links(docs, id_col, text_col, size, percent, small, block)
-    component = graph.components(linked)
-    return members.join(component, "node", "left").select(
+    members, classes, linked = links(docs, id_col, text_col, size, percent, small, block)
+    placed = classes.join(graph.components(linked), F.col("key") == F.col("node"), "left").select(
+        "key", "n", "doc_id", "component")
+    least = placed.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
+    named = placed.join(least, "component", "left").select(
+        "key", "n", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+    return members.join(named, ["key", "n"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "node")).alias("component_id"))
+        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
