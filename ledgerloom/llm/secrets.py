@@ -18,6 +18,7 @@ import builtins
 import hashlib
 import keyword
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -36,7 +37,8 @@ ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 #: A sensitive word; candidates begin within ``NEAR`` code points behind it.
 SENSITIVE = re.compile(
     r"passw(?:or)?d|passphrase|secret|token|credential|private.?key|api.?key|access.?key|auth|bearer|signature", re.I | re.A)
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+LEAST = 16
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
 NEAR = 48
 #: Surrounding code points on either side, and marginal bytes per character from which a string is novel.
 AROUND = 200
@@ -70,21 +72,48 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def _joined_spans(spans: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the areas that the spans cover, in order and apart from each other."""
+    starts, ends = [], []
+    for start, _, end in spans:
+        if ends and start <= ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start), ends.append(end)
+    return starts, ends
+
+
+def candidates(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of the strings that begin within ``NEAR`` code points behind a sensitive word.
+
+    Words and runs of candidate characters are both found once and in order.
+    What a word or an earlier candidate has passed never counts again, so each
+    run is left for good as soon as too little of it remains.
+    """
+    runs = CANDIDATE.finditer(text)
+    run, done = next(runs, None), 0
+    for word in SENSITIVE.finditer(text):
+        while run is not None:
+            start = max(run.start(), word.end(), done)
+            if run.end() - start >= LEAST:
+                if start > word.end() + NEAR:
+                    break  # a later word may be near
+                done = run.end()
+                yield start, done
+            run = next(runs, None)
+        if run is None:
+            return
+
+
 def novel_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Candidates near a sensitive word that the primed compressor cannot shorten; base spans aside."""
-    found, done = [], 0
-    for word in SENSITIVE.finditer(text):
-        for m in CANDIDATE.finditer(text, max(done, word.end()), word.end() + NEAR + 4096):
-            if m.start() > word.end() + NEAR:
-                break
-            a, b = m.span()
-            while b < len(text) and CANDIDATE.fullmatch(text, a, b + 1):  # a candidate is whole, however long
-                b = min(len(text), CANDIDATE.match(text, a).end())
-            done = max(done, b)
-            if any(s < b and a < e for s, _, e in base):
-                continue
-            if marginal_bytes(text, a, b) >= NOVEL * (b - a):
-                found.append((a, 3, b))
+    found, (starts, ends) = [], _joined_spans(base)
+    for a, b in candidates(text):
+        at = bisect_right(ends, a)  # the first area that ends behind a
+        if at < len(starts) and starts[at] < b:
+            continue
+        if marginal_bytes(text, a, b) >= NOVEL * (b - a):
+            found.append((a, 3, b))
     return found
 
 
