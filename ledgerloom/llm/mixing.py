@@ -2,7 +2,9 @@
 
 Every source gets a target: its share by weight of all words, never above
 ``MOST`` times what it holds; what a full source cannot take is shared again
-by weight. The targets are dealt in blocks of ``block_words`` words: blocks go
+by weight. The targets are dealt in blocks of ``block_words`` words, or of a
+hundredth of the smallest target where that is less (at least one word), so
+that small sources get their share too: blocks go
 to sources by highest quotients target / (2 * blocks + 1), and the blocks of a
 source go to its shards in the same way by the shards' sizes. A shard holds
 about ``shard_words`` words, so a source of any size splits into many tasks.
@@ -30,6 +32,8 @@ WEIGHTS = (5, 2, 1)
 MOST = 3
 BLOCK_WORDS = 64
 SHARD_WORDS = 200_000
+#: A block is no larger than this part of the smallest target.
+PARTS = 100
 SEED = 7
 
 
@@ -103,20 +107,23 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     sized = store(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
                               word_count(F.col(text_col)).alias("size")), "mix-sizes")
     sources = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
-    blocks = F.round(F.sum("source_size").over(Window.partitionBy(F.lit(0))) / block_words).cast("long")
-    quotas = apportion(sources.withColumn("seats", blocks), [], "source", "target", "seats").select(
-        "source", "source_size", "target", F.col("won").alias("quota"),
+    every = Window.partitionBy(F.lit(0))
+    least = F.min(F.when(F.col("target") > 0, F.col("target"))).over(every)
+    block = F.greatest(F.lit(1), F.least(F.lit(block_words), F.floor(least / PARTS))).cast("long")
+    blocks = F.round(F.sum("source_size").over(every) / F.col("block")).cast("long")
+    quotas = apportion(sources.withColumn("block", block).withColumn("seats", blocks), [], "source", "target", "seats").select(
+        "source", "source_size", "target", "block", F.col("won").alias("quota"),
         F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).alias("shards"))
     quotas = store(quotas.withColumn("source_no", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))),
                    "mix-quotas")
 
     placed = sized.alias("d").join(quotas.alias("q"), F.col("d.source").eqNullSafe(F.col("q.source"))).select(
-        "d.doc_id", "d.source", "d.size", "q.source_size", "q.target", "q.source_no", "q.quota",
+        "d.doc_id", "d.source", "d.size", "q.source_size", "q.target", "q.source_no", "q.quota", "q.block",
         F.pmod(seeded_hash(seed, F.col("d.doc_id")), F.col("q.shards")).alias("shard"))
-    shards = placed.groupBy("source_no", "shard").agg(F.sum("size").alias("shard_size"), F.max("quota").alias("quota"))
+    shards = placed.groupBy("source_no", "shard").agg(F.sum("size").alias("shard_size"), F.max("quota").alias("quota"), F.max("block").alias("block"))
     shares = store(apportion(shards, ["source_no"], "shard", "shard_size", "quota").select(
         "source_no", "shard", "shard_size",
-        F.least(F.col("won") * block_words, F.col("shard_size") * most).alias("words")), "mix-shards")
+        F.least(F.col("won") * F.col("block"), F.col("shard_size") * most).alias("words")), "mix-shards")
 
     lined = Window.partitionBy("source_no", "shard").orderBy(
         seeded_hash(seed + 1, F.col("doc_id"), F.col("size")), "doc_id", "size").rowsBetween(
