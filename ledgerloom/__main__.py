@@ -23,7 +23,7 @@ def main(argv=None) -> int:
     a = ap.parse_args(argv)
 
     from .plans.context import Lake
-    from .plans.quality import read_only_sql_json
+    from .plans.read_only import read_only_pages
     from .plans.run import run_models
     from .plans.sinks import run_folder
     from .session import build_session
@@ -36,7 +36,8 @@ def main(argv=None) -> int:
         for name, df in models.items():
             print(f"{name}\t{df.count()}")
         return 0
-    print(read_only_sql_json(spark, a.statement))
+    for page in read_only_pages(spark, a.statement):
+        print(page)
     return 0
 
 

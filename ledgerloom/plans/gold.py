@@ -206,7 +206,11 @@ def net_worth_daily(bank_statements: DataFrame, as_of: _dt.date) -> DataFrame:
     """Daily sum of forward-filled closing balances.
 
     Each statement holds its balance on [period_end, next period_end of the
-    same holder+account), the last one until as_of (inclusive). Instead of a
+    same holder+account), the last one until as_of (inclusive). Of statements
+    of one account and day the one with the largest (sha256, balance) holds.
+    They are reduced to it before the shuffle, so an account, however many
+    statements it has, brings at most one row per calendar day to its window.
+    Instead of a
     days x windows range join, every window emits +balance at its start and
     -balance at its end; the deltas are summed per day (a partial aggregate
     whose result is bounded by the calendar, not by the data), a running sum
@@ -215,7 +219,10 @@ def net_worth_daily(bank_statements: DataFrame, as_of: _dt.date) -> DataFrame:
     """
     end_cap = F.date_add(F.lit(as_of.isoformat()).cast("date"), 1)
     sb = (bank_statements.filter(F.col("closing_balance").isNotNull())
-          .select("holder", "account_number", F.col("period_end").alias("as_of_date"), "closing_balance"))
+          .filter(F.col("period_end").isNotNull())
+          .groupBy("holder", "account_number", F.col("period_end").alias("as_of_date"))
+          .agg(F.max(F.struct(*[c for c in ("sha256", "closing_balance") if c in bank_statements.columns])).alias("last"))
+          .select("holder", "account_number", "as_of_date", "last.closing_balance"))
     w = Window.partitionBy("holder", "account_number").orderBy("as_of_date")
     windows = sb.select(
         "holder", "account_number", "closing_balance",

@@ -1,12 +1,8 @@
-"""Declared data tests (E1–E4), the read-only SQL surface (E5) and the
-schema description (E6)."""
+"""Declared data tests (E1–E4) and the schema description."""
 
 from __future__ import annotations
 
-import json
-import re
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # The declared tests of the silver and gold schema files.
@@ -87,71 +83,6 @@ def _union(frames):
     return out
 
 
-# --- E5 ---------------------------------------------------------------------------------
-
-ALLOWED_FIRST_WORDS = ("SELECT", "WITH", "SHOW", "DESCRIBE", "EXPLAIN")
-# Statement keywords that change state; refused anywhere in the
-# text outside quotes and comments (WITH ... INSERT is valid Spark SQL).
-WRITE_KEYWORDS = (
-    "INSERT", "CREATE", "DROP", "ALTER", "DELETE", "UPDATE", "MERGE", "TRUNCATE", "REPLACE", "CACHE",
-    "UNCACHE", "REFRESH", "SET", "RESET", "ADD", "LOAD", "MSCK", "REPAIR", "ANALYZE", "USE", "GRANT",
-    "REVOKE", "OVERWRITE", "DIRECTORY", "CALL", "EXECUTE", "DECLARE",
-)
-_STRIP = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|--[^\n]*|/\*.*?\*/", re.S)
-
-_QUOTED = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|--[^\n]*|/\*.*?\*/", re.S)
-
-
-class ReadOnlyViolation(ValueError):
-    pass
-
-
-def check_read_only(sql: str) -> str:
-    """Return the stripped statement or raise ReadOnlyViolation."""
-    sql = sql.strip()
-    words = sql.split()
-    first = words[0].upper() if words else ""
-    if first not in ALLOWED_FIRST_WORDS:
-        raise ReadOnlyViolation("Only SELECT/WITH/SHOW/DESCRIBE queries are allowed.")
-    code = _STRIP.sub(" ", sql)
-    if ";" in code.rstrip().rstrip(";"):
-        raise ReadOnlyViolation("Only one statement is allowed.")
-    if re.search(r"(?i)(?<![\w.])(?:reflect|java_method|try_reflect)\s*\(", _QUOTED.sub(" ", sql).replace("`", "")):
-        raise ReadOnlyViolation("Functions that call Java methods are not allowed.")
-    tokens = set(re.findall(r"[A-Za-z_]+", re.sub(r"(?i)\breplace\s*\(|\bshow\s+create\b", " ", code).upper()))
-    bad = tokens.intersection(WRITE_KEYWORDS)
-    if bad:
-        raise ReadOnlyViolation(f"Statement is not read-only: {sorted(bad)[0]}")
-    return sql.rstrip().rstrip(";")
-
-
-def register_views(lake, names) -> None:
-    """Expose models as temp views (session-scoped, never persisted)."""
-    for n in names:
-        getattr(lake, n).createOrReplaceTempView(n)
-
-
-def read_only_sql(spark: SparkSession, sql: str) -> DataFrame:
-    """E5: run a gated read-only statement; the result stays distributed."""
-    return spark.sql(check_read_only(sql))
-
-
-def read_only_sql_json(spark: SparkSession, sql: str) -> str:
-    """The tool surface: JSON records (ISO dates), or a JSON error.
-    The result is rendered on the executors (``to_json``) and only the
-    strings come back — the tool's reply is the collected result itself."""
-    try:
-        df = read_only_sql(spark, sql)
-        lines = [r[0] for r in df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]),
-                                                   {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSS",
-                                                    "dateFormat": "yyyy-MM-dd"})).collect()]
-        return "[" + ",".join(lines) + "]"
-    except ReadOnlyViolation as e:
-        return json.dumps({"error": str(e)})
-    except Exception as e:  # noqa: BLE001 — the tool reports every failure as JSON
-        return json.dumps({"error": str(e)})
-
-
 # --- E6 ---------------------------------------------------------------------------------
 
 MODEL_LAYERS = {

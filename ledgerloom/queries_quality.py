@@ -6,7 +6,7 @@ grow with the data, so it is not registered as a query."""
 from __future__ import annotations
 
 from .oracle import models_sql  # noqa: F401
-from .plans import quality
+from .plans import quality, read_only
 from .registry import register
 
 _COLS = quality.REPORT_COLUMNS
@@ -53,8 +53,8 @@ READ_ONLY_EXAMPLE = ("SELECT category_id, CAST(sum(spend) AS DECIMAL(18,2)) AS s
 
 
 def _read_only(lake):
-    quality.register_views(lake, ["spending_by_category"])
-    return quality.read_only_sql(lake.spark, READ_ONLY_EXAMPLE)
+    read_only.register_views(lake, ["spending_by_category"])
+    return read_only.read_only_sql(lake.spark, READ_ONLY_EXAMPLE)
 
 
 register("read_only_sql", ["category_id", "spend", "txn_count"], READ_ONLY_EXAMPLE,

@@ -9,7 +9,7 @@ ROOT = pathlib.Path(__file__).resolve().parents[1] / "ledgerloom"
 # (file, function) pairs allowed to bring rows to the driver, and why
 ALLOWED_COLLECT = {
     ("operators/nearest.py", "_in_blocks"),             # two rows of counts
-    ("plans/quality.py", "read_only_sql_json"),         # the tool's reply is the result itself
+    ("plans/read_only.py", "read_only_pages"),          # the reply, a partition and a page at a time
 }
 DRIVER_CALLS = {"collect", "toPandas", "take", "head", "first", "toLocalIterator"}
 

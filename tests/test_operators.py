@@ -97,6 +97,27 @@ def test_matches_properties(spark):
         assert abs(amounts[r.debit_txn_id] + amounts[r.credit_txn_id]) <= __import__("decimal").Decimal("0.05")
 
 
+def test_net_worth_of_a_hot_account_and_of_ties(spark):
+    import decimal
+    from pyspark.sql import functions as F
+    day = dt.date(2001, 1, 1)
+    hot = spark.range(0, 60_000, numPartitions=8).select(
+        F.lit("H").alias("holder"), F.lit("HOT").alias("account_number"), F.date_add(F.lit(day), (F.col("id") % 30).cast("int")).alias("period_end"),
+        F.col("id").cast("decimal(18,2)").alias("closing_balance"), F.format_string("%06d", (F.col("id") * 7919) % 60_000).alias("sha256"))
+    rest = spark.range(0, 300).select(F.lit("H").alias("holder"), F.concat(F.lit("A"), "id").alias("account_number"), F.lit(day).alias("period_end"),
+                                      F.lit(1).cast("decimal(18,2)").alias("closing_balance"), F.lit("x").alias("sha256"))
+    odd = spark.createDataFrame([("H", "A0", None, decimal.Decimal(5), "a"), ("H", "A0", day, None, "z")],
+                                "holder string, account_number string, period_end date, closing_balance decimal(18,2), sha256 string")
+    frame = gold.net_worth_daily(hot.unionByName(rest).unionByName(odd), day + dt.timedelta(days=29))
+    got = {r.as_of_date: r.net_worth for r in frame.collect()}
+    holds = {}
+    for i in range(60_000):
+        holds[i % 30] = max(holds.get(i % 30, ("", 0)), (f"{(i * 7919) % 60_000:06d}", i))
+    assert got == {day + dt.timedelta(days=d): holds[d][1] + 300 for d in range(30)}
+    plan = frame._jdf.queryExecution().sparkPlan().toString()
+    assert "partial_max" in plan[plan.rindex("Window [lead(as_of_date"):]  # reduced before the shuffle that the window of an account reads
+
+
 def test_net_worth_deltas_equal_range_join(spark):
     import decimal
     rows = []

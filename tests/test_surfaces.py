@@ -6,23 +6,23 @@ import tempfile
 
 import pytest
 
-from ledgerloom.plans.quality import ReadOnlyViolation, check_read_only, read_only_sql_json
+from ledgerloom.plans.read_only import ReadOnlyViolation, check_read_only, read_only_pages, read_only_sql, read_only_sql_json
 from ledgerloom.sources.statements import land_files
 
 
 @pytest.mark.parametrize("sql", [
     "INSERT INTO t SELECT 1", "WITH x AS (SELECT 1) INSERT INTO t SELECT * FROM x", "DROP TABLE t",
     "select 1; drop table t", "CREATE TABLE t AS SELECT 1", "", "SET spark.x=1"])
-def test_gate_refuses(sql):
+def test_gate_refuses(spark, sql):
     with pytest.raises(ReadOnlyViolation):
-        check_read_only(sql)
+        check_read_only(spark, sql)
 
 
 @pytest.mark.parametrize("sql", [
     "SELECT 1", "  with x as (select 'insert' as w) select * from x ", "EXPLAIN SELECT 1", "SHOW TABLES",
     "DESCRIBE t", "SELECT 'drop table' AS s -- insert\n"])
-def test_gate_accepts(sql):
-    assert check_read_only(sql)
+def test_gate_accepts(spark, sql):
+    assert check_read_only(spark, sql)
 
 
 def test_json_surface(spark):
@@ -32,6 +32,42 @@ def test_json_surface(spark):
     assert "error" in json.loads(read_only_sql_json(spark, "SELECT * FROM no_such_table"))
 
 
+def test_gate_reads_the_plan(spark):
+    spark.sql("CREATE OR REPLACE TEMPORARY VIEW gate_plain AS SELECT 1 AS a")
+    spark.sql("CREATE OR REPLACE TEMPORARY VIEW gate_hidden AS SELECT reflect('java.lang.Math', 'abs', -1) AS a")
+    for sql in ("SELECT 1 AS add", "SELECT a AS insert, a AS `drop` FROM gate_plain", "SELECT 'x; DROP TABLE t' AS s;", "SELECT 1 AS reflect",
+                "WITH call AS (SELECT 1 AS use) SELECT * FROM call", "SELECT a FROM gate_plain /* ; insert */ WHERE a = 1", "DESCRIBE gate_plain",
+                "SHOW COLUMNS IN gate_plain", "EXPLAIN SELECT a AS set FROM gate_plain", "VALUES (1), (2)", "TABLE gate_plain", "FROM gate_plain |> SELECT a",
+                "SELECT a, count(*) FROM gate_plain GROUP BY a HAVING a > 0 ORDER BY a LIMIT 3 OFFSET 0", "SELECT DISTINCT a FROM gate_plain",
+                "(SELECT 1) UNION (SELECT 2) EXCEPT SELECT 3 INTERSECT SELECT 4 ORDER BY 1", "SELECT * FROM IDENTIFIER('gate_plain')",
+                "SELECT sum(a) OVER w FROM gate_plain WINDOW w AS (ORDER BY a)", "SELECT * FROM gate_plain PIVOT (max(a) FOR a IN (1, 2))",
+                "SELECT /*+ REPARTITION(2) */ a FROM gate_plain", "SELECT a FROM gate_plain DISTRIBUTE BY a SORT BY a", "WITH c AS (SELECT 1 AS a) TABLE c",
+                "SELECT * FROM gate_plain LATERAL VIEW explode(array(1, 2)) x AS y", "WITH c AS (WITH d AS (SELECT 1 AS a) SELECT * FROM d) SELECT * FROM c"):
+        assert read_only_sql(spark, sql).columns
+    for sql in ("SELECT `REFLECT`('java.lang.Math', 'abs', -1)", "SELECT Java_Method('java.lang.Math', 'abs', -1)",
+                "SELECT (SELECT try_reflect('java.lang.Math', 'abs', -1))", "WITH c AS (SELECT reflect('java.lang.Math', 'abs', -1) AS a) SELECT a FROM c",
+                "SELECT a FROM gate_plain WHERE EXISTS (SELECT 1 WHERE a = system.builtin.reflect('java.lang.Math', 'abs', -1))",
+                "SELECT * FROM gate_hidden", "EXPLAIN INSERT INTO t SELECT 1", "EXPLAIN SELECT reflect('java.lang.Math', 'abs', -1)",
+                "EXECUTE IMMEDIATE 'SELECT 1'", "EXPLAIN EXECUTE IMMEDIATE 'SELECT 1'", "FROM gate_plain INSERT INTO t SELECT a",
+                "WITH c AS (SELECT 1 AS a) FROM c INSERT OVERWRITE DIRECTORY '/nowhere' USING json SELECT a", "USE default", "CACHE TABLE gate_plain",
+                "BEGIN SELECT 1; END", "CALL p()", "INSERT INTO IDENTIFIER('t') SELECT 1", "WITH c AS (SELECT 1) INSERT INTO IDENTIFIER('t') SELECT * FROM c",
+                "FROM gate_plain INSERT INTO IDENTIFIER('t') SELECT a INSERT INTO IDENTIFIER('u') SELECT a", "CREATE VIEW IDENTIFIER('z') AS SELECT 1",
+                "SET VAR x = 1", "DECLARE x INT", "ANALYZE TABLE t COMPUTE STATISTICS", "REFRESH TABLE t", "ADD JAR 'x'", "  ", ";", "SELEC 1"):
+        with pytest.raises(ReadOnlyViolation):
+            read_only_sql(spark, sql)
+
+
+def test_reply_in_pages(spark):
+    pages = [json.loads(p) for p in read_only_pages(spark, "SELECT id AS n, id % 2 AS n FROM range(25)", page_rows=10)]
+    assert [len(p) for p in pages] == [10, 10, 5]
+    assert list(read_only_pages(spark, "SELECT 1 AS a WHERE false")) == []
+    assert read_only_sql_json(spark, "SELECT 1 AS a WHERE false") == "[]"
+    whole = json.loads(read_only_sql_json(spark, "SELECT id AS `a.b` FROM range(20001)"))
+    assert sorted(r["a.b"] for r in whole) == list(range(20001))
+    with pytest.raises(ValueError):
+        next(read_only_pages(spark, "SELECT 1", page_rows=0))
+
+
 def test_land_files(spark):
     src = tempfile.mkdtemp(prefix="ll-src-")
     lake = tempfile.mkdtemp(prefix="ll-lake-")
@@ -77,12 +113,12 @@ def test_inbox_quoted_and_wide_files(spark):
     assert [(r.source_file, r.reason) for r in rejected.collect()] == [("w.csv", "blank_date")]
 
 
-def test_java_calls_are_refused():
+def test_java_calls_are_refused(spark):
     for sql in ("SELECT reflect('java.lang.System','getProperty','user.dir')", "SELECT `java_method`('a','b')"):
         with pytest.raises(ReadOnlyViolation):
-            check_read_only(sql)
-    assert check_read_only("SELECT replace(a, 'x', 'y') FROM t")
-    assert check_read_only("SHOW CREATE TABLE t")
+            check_read_only(spark, sql)
+    assert check_read_only(spark, "SELECT replace(a, 'x', 'y') FROM t")
+    assert check_read_only(spark, "SHOW CREATE TABLE t")
 
 
 def test_inbox_reader_headers_and_rejects(spark):
