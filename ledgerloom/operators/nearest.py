@@ -1,16 +1,23 @@
-"""Exact nearest neighbour by cosine distance, block by block on the executors.
-
-Both sides stay distributed. Each is dealt into blocks by the hash of its id,
-every block of queries meets every block of merchants once in a cogrouped
-Arrow task, and a task multiplies the two matrices and returns one candidate
-per query; ``min(struct)`` picks the overall best. Query x merchant pairs
-never become rows, and neither vectors nor ids pass the driver: it reads one
-row of counts, from which the number of blocks follows.
-
-A block holds at most about ``BLOCK_BYTES_CONF`` bytes of vectors, and a
-product at most ``CELLS`` numbers at a time, so a task's memory has a bound
-that no table size moves. Queries are cut finer than that only while there
-are fewer tasks than cores.
+"""Exact nearest neighbour by cosine distance, pruned by pivots, on the executors.
+
+Some merchants serve as pivots: at most ``PIVOTS`` of them, and fewer where
+their vectors would pass a block's bytes. Every merchant and every query
+belongs to the cell of its nearest pivot. As angles obey the triangle
+inequality, a merchant at angle r from pivot p is at least |angle(q, p) - r|
+away from query q, and as pivots are merchants, q's nearest is no further than
+q's nearest pivot. A cell whose every merchant must be further than that is
+neither sent to q nor compared with it. Pivots decide how much is compared,
+never the result.
+
+Both sides stay distributed. Cells that lie together are packed into blocks of
+at most about ``BLOCK_BYTES_CONF`` bytes of vectors, larger cells are salted
+over several blocks, and a block of queries meets a block of merchants in a
+cogrouped Arrow task if any of its queries may need it. The task goes through
+the block's cells, multiplies what the bound leaves, at most ``CELLS`` numbers
+at a time, and returns one candidate per query; ``min(struct)`` picks the
+overall best. Query x merchant pairs never become rows. The driver reads the
+pivots and one row of counts per cell; where nothing can be pruned, every
+block meets every block, as without pivots.
 """
 
 from __future__ import annotations
@@ -23,12 +30,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans import sinks
+
 DEFAULT_BLOCK_BYTES = 32 * 1024 * 1024
 BLOCK_BYTES_CONF = "ledgerloom.nearest.blockBytes"
 #: Distances that a task holds at a time.
 CELLS = 1 << 22
 #: Queries are not cut below so many a block for the sake of more tasks.
 LEAST_QUERIES = 256
+#: Pivots, each with a cell, at most.
+PIVOTS = 256
+#: Angles that differ by less may be equal; far above what rounding does to an arc cosine.
+ANGLE_SLACK = 1e-6
 
 _FOUND = "id string, other_id string, distance double"
 
@@ -107,28 +120,194 @@ def _block_task(max_distance: float | None = None, cells: int = CELLS) -> Callab
     return run
 
 
-def _nearest(queries: DataFrame, merchants: DataFrame, keys: list[str], block_bytes: int | None) -> DataFrame:
-    usable = F.col("vec").isNotNull() & (F.size("vec") > 0)
-    q = queries.select(F.col("query_id").cast("string").alias("id"), *keys, "vec")
-    m = merchants.where(usable).select(F.col("merchant_id").alias("id"), *keys, "vec")
-    found = _in_blocks(q.where(usable), m, _block_task(), block_bytes)
+def _cells(pivots: np.ndarray, reach: np.ndarray | None = None, packs: np.ndarray | None = None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (id, vec) with the ``cell`` of their nearest pivot and the ``angle`` to it; given the ``reach`` of the merchants'
+    cells and the ``packs`` they are in, also with the packs that the row ``needs``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            vec = batch.column("vec")
+            v = vec.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
+            angles = np.arccos(np.clip(v @ pivots.T / np.linalg.norm(v, axis=1)[:, None], -1.0, 1.0))
+            cell = angles.argmin(axis=1)
+            least = angles[np.arange(len(cell)), cell]
+            columns = {"id": batch.column("id"), "vec": vec, "cell": pa.array(cell, pa.int32()), "angle": pa.array(least, pa.float64())}
+            if reach is not None:
+                needed = angles - reach <= least[:, None] + ANGLE_SLACK
+                rows, cells = np.nonzero(needed)
+                pairs = np.unique(np.stack([rows, packs[cells]]), axis=1)
+                offsets = np.searchsorted(pairs[0], np.arange(batch.num_rows + 1))
+                columns["needs"] = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(pairs[1], pa.int32()))
+            yield pa.RecordBatch.from_pydict(columns)
+
+    return run
+
+
+def _cell_task(pivots: np.ndarray, cells: int = CELLS) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """(id, other_id, distance, compared) of a block of queries and a block of merchants: each query's nearest merchant of
+    those that the bound leaves, the smallest id of equals, and the number it was compared with."""
+    def unit(block: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        vectors = block["vec"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        vectors = vectors.reshape(block.num_rows, -1)
+        return np.array(block["id"].to_pylist(), object), vectors / np.linalg.norm(vectors, axis=1)[:, None]
+
+    def angles(cosines: np.ndarray) -> np.ndarray:
+        return np.arccos(np.clip(cosines, -1.0, 1.0))
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        found: list[tuple] = []
+        if left.num_rows and right.num_rows:
+            (ids, q), (others, m) = unit(left), unit(right)
+            cell, angle = right["cell"].to_numpy(), right["angle"].to_numpy()
+            order = np.lexsort((np.argsort(np.argsort(others, kind="stable"), kind="stable"), cell))  # by cell, then id
+            others, m, cell, angle = others[order], m[order], cell[order], angle[order]
+            starts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
+            ends = np.r_[starts[1:], len(cell)]
+            low, high = np.minimum.reduceat(angle, starts), np.maximum.reduceat(angle, starts)
+            step = max(1, cells // max(len(pivots), int((ends - starts).max())))
+            for at in range(0, len(ids), step):
+                part = q[at:at + step]
+                theta = angles(part @ pivots.T)
+                bound = theta.min(axis=1) + ANGLE_SLACK
+                best = np.full(len(part), np.inf)
+                who = np.full(len(part), -1)
+                compared = np.zeros(len(part), np.int64)
+                least = np.maximum(theta[:, cell[starts]] - high, low - theta[:, cell[starts]])
+                for c in np.argsort(least.min(axis=0), kind="stable"):
+                    rows = np.flatnonzero(least[:, c] <= bound)
+                    if not len(rows):
+                        continue
+                    dist = 1.0 - part[rows] @ m[starts[c]:ends[c]].T
+                    j = dist.argmin(axis=1)
+                    d = dist[np.arange(len(rows)), j]
+                    j = j + starts[c]
+                    compared[rows] += ends[c] - starts[c]
+                    equal = np.flatnonzero(d == best[rows])
+                    closer = d < best[rows]
+                    closer[equal] = [others[j[i]] < others[who[rows[i]]] for i in equal]
+                    best[rows[closer]], who[rows[closer]] = d[closer], j[closer]
+                    bound[rows] = np.minimum(bound[rows], angles(1.0 - d) + ANGLE_SLACK)
+                hit = np.flatnonzero(who >= 0)
+                found.append((ids[at:at + step][hit], others[who[hit]], best[hit], compared[hit]))
+        columns = [np.concatenate(c) for c in zip(*found)] if found else [[], [], [], []]
+        return pa.table({"id": pa.array(columns[0], pa.string()), "other_id": pa.array(columns[1], pa.string()),
+                         "distance": pa.array(columns[2], pa.float64()), "compared": pa.array(columns[3], pa.int64())})
+
+    return run
+
+
+def _together(pivots: np.ndarray) -> list[int]:
+    """The cells in an order that keeps near ones together: always on to the nearest cell not yet passed."""
+    cosines = pivots @ pivots.T
+    order, open_ = [0], np.arange(len(pivots)) > 0
+    while open_.any():
+        order.append(int(np.where(open_, cosines[order[-1]], -np.inf).argmax()))
+        open_[order[-1]] = False
+    return order
+
+
+def _packed(order: list[int], counts: dict[int, int], rows: int) -> tuple[np.ndarray, list[int]]:
+    """The pack of every cell, cells in order while they hold at most ``rows`` together, and over how many blocks each pack is salted."""
+    pack, held = np.zeros(len(order), np.int64), [0]
+    for c in order:
+        n = counts.get(c, 0)
+        if held[-1] and held[-1] + n > rows:
+            held.append(0)
+        pack[c] = len(held) - 1
+        held[-1] += n
+    return pack, [max(1, math.ceil(n / rows)) for n in held]
+
+
+def _pruned(queries: DataFrame, merchants: DataFrame, block_bytes: int | None, pivot_count: int | None) -> DataFrame:
+    """(id, other_id, distance, compared) of the blocks that meet; both sides are (id, vec) with a direction each."""
+    spark = queries.sparkSession
+    limit = block_bytes or int(spark.conf.get(BLOCK_BYTES_CONF, str(DEFAULT_BLOCK_BYTES)))
+    (n, dim), (m, m_dim) = _sizes(queries).unionAll(_sizes(merchants)).collect()  # two rows of counts
+    if not n or not m:
+        return spark.createDataFrame([], _FOUND + ", compared bigint")
+    width = 8 * max(dim, m_dim)
+    k = max(1, min(pivot_count or math.ceil(math.sqrt(m)), PIVOTS, limit // width))
+    chosen = merchants.orderBy(F.xxhash64("id"), "id").limit(k).select("vec").collect()  # at most PIVOTS rows and a block's bytes
+    pivots = np.array([r[0] for r in chosen], np.float64)
+    pivots /= np.linalg.norm(pivots, axis=1)[:, None]
+    order = _together(pivots)
+    folder = sinks.run_folder(spark)
+
+    def per_cell(df: DataFrame) -> dict[int, tuple[int, float]]:
+        return {r[0]: (r[1], r[2]) for r in df.groupBy("cell").agg(F.count(F.lit(1)), F.max("angle")).collect()}  # at most PIVOTS rows
+
+    # written, as bounds taken from one reading must hold for the next
+    right = sinks.materialize(merchants.mapInArrow(_cells(pivots), "id string, vec array<double>, cell int, angle double"), f"{folder}/merchant-cells")
+    right_cells = per_cell(right)
+    rows = max(1, limit // width)
+    right_pack, right_salts = _packed(order, {c: x[0] for c, x in right_cells.items()}, rows)
+    reach = np.array([right_cells[c][1] if c in right_cells else -np.inf for c in range(len(pivots))])  # no merchant: out of reach
+
+    left = sinks.materialize(queries.mapInArrow(_cells(pivots, reach, right_pack), "id string, vec array<double>, cell int, angle double, needs array<int>"),
+                             f"{folder}/query-cells")
+    left_cells = per_cell(left)
+    wanted = min(spark.sparkContext.defaultParallelism, math.ceil(n / LEAST_QUERIES))
+    left_blocks = max(1, math.ceil(n / rows), math.ceil(wanted / sum(right_salts)))
+    left_pack, left_salts = _packed(order, {c: x[0] for c, x in left_cells.items()}, math.ceil(n / left_blocks))
+
+    apart = np.arccos(np.clip(pivots @ pivots.T, -1.0, 1.0))
+    meets = {(int(right_pack[j]), int(left_pack[i])) for i, (_, furthest) in left_cells.items()
+             for j in np.flatnonzero(apart[i] - reach <= 2 * furthest + ANGLE_SLACK)}
+
+    def small(rows_: list[tuple], schema: str) -> DataFrame:
+        return F.broadcast(spark.createDataFrame(rows_, schema))  # at most PIVOTS, or PIVOTS x PIVOTS, rows of integers
+
+    own_left = small([(c, int(left_pack[c]), left_salts[left_pack[c]]) for c in range(len(pivots))], "cell int, lp int, ln int")
+    own_right = small([(c, int(right_pack[c]), right_salts[right_pack[c]]) for c in range(len(pivots))], "cell int, rp int, rn int")
+    pack_right = small([(p, s) for p, s in enumerate(right_salts)], "rp int, rn int")
+    pack_left = small([(r, p, left_salts[p]) for r, p in sorted(meets)], "rp int, lp int, ln int")
+
+    def salt(blocks: str) -> F.Column:
+        return F.pmod(F.xxhash64("id"), F.col(blocks))
+
+    def all_salts(blocks: str) -> F.Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks).cast("long") - 1))
+
+    a = (left.join(own_left, "cell").select("id", "vec", "lp", salt("ln").alias("ls"), F.explode("needs").alias("rp"))
+             .join(pack_right, "rp").select("id", "vec", "lp", "ls", "rp", all_salts("rn").alias("rs")))
+    b = (right.join(own_right, "cell").select("id", "vec", "cell", "angle", "rp", salt("rn").alias("rs"))
+              .join(pack_left, "rp").select("id", "vec", "cell", "angle", "rp", "rs", "lp", all_salts("ln").alias("ls")))
+    keys = ("lp", "ls", "rp", "rs")
+    return a.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInArrow(_cell_task(pivots), _FOUND + ", compared bigint")
+
+
+def _directed(df: DataFrame) -> DataFrame:
+    """The rows whose vector has a direction: some number in it, no null, none that is not finite."""
+    norm = F.aggregate("vec", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
+    return df.where(F.col("vec").isNotNull() & (F.size("vec") > 0) & (norm > 0) & (norm < float("inf")))
+
+
+def _best(queries: DataFrame, found: DataFrame, *extra: F.Column) -> DataFrame:
     best = found.groupBy(F.col("id").alias("query_id")).agg(
-        F.min(F.struct("distance", F.col("other_id").alias("merchant_id"))).alias("b"))
-    return (q.select(F.col("id").alias("query_id")).join(best, "query_id", "left")
-             .select("query_id", F.col("b.merchant_id").alias("merchant_id"), F.col("b.distance").alias("distance")))
+        F.min(F.struct("distance", F.col("other_id").alias("merchant_id"))).alias("b"), *extra)
+    return queries.select(F.col("id").alias("query_id")).join(best, "query_id", "left")
 
 
-def nearest_merchant(queries: DataFrame, merchants: DataFrame, block_bytes: int | None = None) -> DataFrame:
+def nearest_merchant(queries: DataFrame, merchants: DataFrame, block_bytes: int | None = None,
+                     pivots: int | None = None, counted: bool = False) -> DataFrame:
     """queries(query_id, vec array<double>), merchants(merchant_id, vec) ->
     (query_id, merchant_id, distance), one row per query; ties go to the smallest merchant id.
+    With ``counted`` also ``compared``, the number of merchants that the query was compared with.
 
-    Merchants with a NULL or zero vector are left out (the reference would
-    compare against NULL and fail); a query without a direction, or without
-    any merchant, gets NULL for both."""
-    return _nearest(queries, merchants, [], block_bytes)
+    Merchants with a NULL or zero vector, or with NULLs, NaNs or infinities in it, are left out (the
+    reference would compare against NULL and fail); a query without a direction, or without
+    any merchant, gets NULL for both (and 0 for ``compared``). ``pivots`` is the number of pivots, by
+    default the root of the number of merchants, in either case at most ``PIVOTS``."""
+    q = queries.select(F.col("query_id").cast("string").alias("id"), "vec")
+    m = _directed(merchants.select(F.col("merchant_id").cast("string").alias("id"), F.col("vec").cast("array<double>").alias("vec")))
+    found = _pruned(_directed(q.withColumn("vec", F.col("vec").cast("array<double>"))), m, block_bytes, pivots)
+    out = _best(q, found, F.sum("compared").alias("compared"))
+    return out.select("query_id", F.col("b.merchant_id").alias("merchant_id"), F.col("b.distance").alias("distance"),
+                      *([F.coalesce("compared", F.lit(0).cast("long")).alias("compared")] if counted else []))
 
 
-# --- ordered variants (sequential "earlier inserts are visible" semantics) --------------
+# --- ordered variants, every block against every block (sequential "earlier inserts are visible" semantics) --------------
 
 def neighbours_before(items: DataFrame, max_distance: float, block_bytes: int | None = None) -> DataFrame:
     """items(item_id, ord_key, vec) -> (item_id, other_id, distance) for every
@@ -143,4 +322,8 @@ def nearest_earlier(queries: DataFrame, merchants: DataFrame, block_bytes: int |
     """Like ``nearest_merchant`` but a query only sees merchants whose
     ``ord_key`` is smaller than its own (queries and merchants both carry
     ``ord_key``)."""
-    return _nearest(queries, merchants, ["ord_key"], block_bytes)
+    usable = F.col("vec").isNotNull() & (F.size("vec") > 0)
+    q = queries.select(F.col("query_id").cast("string").alias("id"), "ord_key", "vec")
+    m = merchants.where(usable).select(F.col("merchant_id").alias("id"), "ord_key", "vec")
+    return _best(q, _in_blocks(q.where(usable), m, _block_task(), block_bytes)).select(
+        "query_id", F.col("b.merchant_id").alias("merchant_id"), F.col("b.distance").alias("distance"))

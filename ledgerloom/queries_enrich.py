@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .oracle import enrich_sql  # noqa: F401
-from .plans.enrich import ordered_triage
 from .plans.enrichment_run import MERCHANTS, QUEUE
 from .registry import from_model, register
 
@@ -53,8 +52,3 @@ register("enrichment_waiting", ["canonical_name"], "SELECT canonical_name FROM e
 
 _FACT = ["transaction_id", "clean_description", "merchant_id", "category_id", "category_source"]
 from_model("fact_enriched", columns=_FACT)
-
-# Ordered mode (iterative; no SQL oracle, checked against a plain loop in tests).
-register("merchant_triage_ordered", ["query_id", "merchant_id", "distance", "decision"])(
-    lambda lake: ordered_triage(
-        lake.query_vectors, lake.merchant_vectors).withColumn("distance", F.round("distance", 6)))

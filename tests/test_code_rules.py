@@ -9,6 +9,8 @@ ROOT = pathlib.Path(__file__).resolve().parents[1] / "ledgerloom"
 # (file, function) pairs allowed to bring rows to the driver, and why
 ALLOWED_COLLECT = {
     ("operators/nearest.py", "_in_blocks"),             # two rows of counts
+    ("operators/nearest.py", "_pruned"),                # two rows of counts, the pivots (bounded in number and bytes)
+    ("operators/nearest.py", "per_cell"),               # a row per pivot
     ("plans/read_only.py", "read_only_pages"),          # the reply, a partition and a page at a time
 }
 DRIVER_CALLS = {"collect", "toPandas", "take", "head", "first", "toLocalIterator"}

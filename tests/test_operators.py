@@ -178,6 +178,40 @@ def test_nearest_edge_cases(spark):
     assert nearest_merchant(spark.createDataFrame([], queries), mdf).collect() == []
 
 
+@pytest.mark.parametrize("shape", ["clustered", "hot cell", "random", "copies"])
+def test_nearest_pruned_equals_every_pair(spark, shape):
+    """The same rows as all pairs, whatever the number of pivots and blocks; clustered vectors need few of them."""
+    rng = np.random.default_rng(3)
+    centers = rng.normal(size=(40, 16))
+    if shape == "random":
+        m, q = rng.normal(size=(300, 16)), rng.normal(size=(200, 16))
+    elif shape == "copies":  # ties everywhere
+        m, q = np.repeat(np.round(centers[:10]), 30, axis=0), np.round(centers[rng.integers(0, 12, 200)]) * 2
+    else:
+        of = rng.integers(0, 40, 1200) if shape == "clustered" else np.where(rng.random(1200) < 0.5, 0, rng.integers(0, 40, 1200))
+        m, q = centers[of] + 0.05 * rng.normal(size=(1200, 16)), centers[rng.integers(0, 40, 500)] + 0.05 * rng.normal(size=(500, 16))
+        q[0] = rng.normal(size=16)  # an outlier
+    ids = [f"m{i:04d}" for i in rng.permutation(len(m))]
+    mdf = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in zip(ids, m)] + [("bad", [float("nan")] * 16), ("inf", [float("inf")] * 16), ("gap", [None] * 16)],
+                                "merchant_id string, vec array<double>")
+    qdf = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(q)] + [(10_000, [float("nan")] * 16)], "query_id int, vec array<double>")
+    d = 1 - (q @ m.T) / np.linalg.norm(q, axis=1)[:, None] / np.linalg.norm(m, axis=1)[None, :]
+    for block_bytes, pivots in ((None, None), (128 * 40, None), (128 * 64, 64), (None, 1)):
+        rows = nearest_merchant(qdf, mdf, block_bytes, pivots, counted=True).collect()
+        got = {r.query_id: r for r in rows}
+        assert len(rows) == len(got) == len(q) + 1 and got["10000"][1:] == (None, None, 0)
+        for i in range(len(q)):
+            assert got[str(i)].distance == pytest.approx(d[i].min(), abs=1e-12)
+            near = [ids[j] for j in np.flatnonzero(d[i] < d[i].min() + 1e-12)]
+            assert got[str(i)].merchant_id in near and (shape == "copies" or len(near) == 1)
+            assert 0 < got[str(i)].compared <= len(m)
+        compared = sum(r.compared for r in rows)
+        if shape == "clustered" and pivots is None and block_bytes is None:
+            assert compared < len(q) * len(m) / 5
+        if pivots == 1:
+            assert compared <= len(q) * len(m)
+
+
 @pytest.mark.parametrize("cells", [1, 5, 1000])
 def test_nearest_block_products_are_cut_to_a_bound(cells):
     rng = np.random.default_rng(5)

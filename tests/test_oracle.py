@@ -9,8 +9,7 @@ from ledgerloom import registry
 from testpaths import SMALL
 
 SLOW = {"csv_inbox_incremental"}
-ROWS_ONLY = {"merchant_triage_ordered"}  # iterative: checked against a plain loop in test_operators
-NAMES = sorted(set(registry.queries()) - ROWS_ONLY)
+NAMES = sorted(registry.queries())
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +18,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(registry.oracle_sql()) == set(registry.queries()) - ROWS_ONLY
+    assert set(registry.oracle_sql()) == set(registry.queries())
 
 
 @pytest.mark.parametrize("name", [n for n in NAMES if n not in SLOW])

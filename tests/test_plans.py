@@ -9,8 +9,7 @@ from ledgerloom.plans.context import Lake
 from plan_review import plan_text, summary
 from testpaths import SMALL
 
-VECTOR_KEYS = {"nearest_merchant", "merchant_triage", "merchant_new", "merchant_review_queue",
-               "merchant_triage_ordered"}
+VECTOR_KEYS = {"nearest_merchant", "merchant_triage", "merchant_new", "merchant_review_queue"}
 SKIP = {"csv_inbox_incremental"}  # streams to a sink; its batch twin is checked
 
 
