@@ -16,8 +16,9 @@ the driver; pages are extracted in parallel, each by itself.
 
 Defined results: null and empty html give an empty text; broken markup is read
 as browsers do where that is simple (open paragraphs and items close, a head
-ends where its end tag is missing, unknown end tags are skipped, an unfinished
-tag ends the page's text); a button, select, object or the like without an end
+ends where its end tag is missing, unknown end tags are skipped, quotes count
+only after an equals sign, an unfinished tag ends the page's text), in time
+linear in the page however deep its elements lie; a button, select, object or the like without an end
 tag holds only what stands before the first block in it; repeated rows are
 extracted alike; empty tables give empty results.
 """
@@ -53,7 +54,7 @@ ENDS_P = frozenset("address article aside blockquote center details dialog dir d
                    "h5 h6 header hr main menu nav ol p pre section table ul".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<data>.*?)(?:\]\]>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)"
-                   r"(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
+                   r"(?P<attrs>(?:=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))|[^>])*?)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
 ATTR = re.compile(r"""(?<![\w-])(class|id|role|data-y|hidden|aria-label|itemprop)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 
 #: Words of class, id and role that the model looks for, each with the stems that mean it.
@@ -67,11 +68,25 @@ HINTS = {
 _HINT = {k: re.compile(v, re.I) for k, v in HINTS.items()}
 TAGS = {t: i for i, t in enumerate(
     "html body article main section div p h1 h2 h3 h4 ul ol li nav header footer aside form table tr td blockquote pre figure figcaption dl dd".split())}
-N_UNARY = len(TAGS) + 1 + len(HINTS) + 8
+#: What short texts say of the element they stand in.
+TEXT_HINTS = {
+    "legal": r"all rights reserved|\u00a9|\bcopyright\b|\bimprint\b|terms of (?:use|service)|privacy policy",
+    "notice": r"\bcookies?\b|\bjavascript\b|your browser",
+    "share": r"^\W*(?:share|follow us|subscribe|sign up|newsletter|related|read more|more from|you may also|recommended|popular|trending|advert|sponsored)\b",
+}
+_TEXT_HINT = [re.compile(v, re.I) for v in TEXT_HINTS.values()]
+#: Titles of sections of reader comments.
+COMMENT_TITLE = re.compile(r"^\W*(?:\d+\W*)?(?:(?:reader|user|your|leave a|post a|add a|join the)\s+)?(?:comments?|discussion|conversation|repl(?:y|ies)|responses?)\W*(?:\d+\W*)?$", re.I)
+#: Texts with more code points are no hint.
+SHORT_TEXT = 160
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 legend summary".split())
+PARAGRAPHS = frozenset("p h1 h2 h3 blockquote pre".split())
+N_UNARY = len(TAGS) + 1 + len(HINTS) + 8 + 4 + 2 + len(TEXT_HINTS) + 1
 #: Kinds of child for the edge potentials.
 EDGE_KINDS = {**dict.fromkeys("p h1 h2 h3 h4 h5 h6 blockquote pre dd dt".split(), 0), **dict.fromkeys("li tr td th".split(), 1),
-              **dict.fromkeys("nav header footer aside form".split(), 2)}
-N_EDGE = 4
+              **dict.fromkeys("nav header footer aside form".split(), 2), **dict.fromkeys("ul ol dl table".split(), 3)}
+OTHER_KIND = 4
+N_EDGE = 5
 
 
 class Node:
@@ -100,15 +115,25 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """Block elements in page order (parents before children), and blocks of text as (element, text)."""
     nodes = [Node("html", -1, "", None, False)]
     stack = [0]  # open block elements
+    places: dict[str, list[int]] = {"html": [0]}  # where in the stack each tag is open, so that no search walks the stack
+    endless: set[str] = set()  # tags whose content is text that have no end tag any more
     inline_links = 0
     blocks: list[tuple[int, list[str]]] = []
     fresh = True  # the next text begins a block
 
+    def close(place: int) -> None:
+        for i in reversed(stack[place:]):
+            places[nodes[i].tag].pop()
+        del stack[place:]
+
+    def innermost(tags) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
     def text(raw: str, decode: bool = True) -> None:
         nonlocal fresh
         piece = _html.unescape(raw) if decode and "&" in raw else raw
         if decode and nodes[stack[-1]].tag == "head" and piece.strip(" \t\n\f\r"):
-            stack.pop()
+            close(len(stack) - 1)
             fresh = True
         if fresh:
             if not piece.strip():
@@ -138,7 +163,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             continue
         tag = tag.lower()
         if nodes[stack[-1]].tag == "head" and (tag in ("body", "html", "br") if m["end"] else tag not in IN_HEAD):
-            stack.pop()
+            close(len(stack) - 1)
             inline_links, fresh = 0, True
         if m["end"]:
             if tag in INLINE:
@@ -146,12 +171,11 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
                 if tag == "br":
                     text(" ")
                 continue
-            for i in range(len(stack) - 1, 0, -1):
-                if nodes[stack[i]].tag == tag:
-                    nodes[stack[i]].loose = False
-                    del stack[i:]
-                    inline_links, fresh = 0, True
-                    break
+            place = innermost((tag,))
+            if place:
+                nodes[stack[place]].loose = False
+                close(place)
+                inline_links, fresh = 0, True
             continue
         if tag in INLINE:
             if tag == "a":
@@ -161,28 +185,23 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             continue
         if tag in CLOSES:
             closed, bound = CLOSES[tag]
-            for i in range(len(stack) - 1, 0, -1):
-                if nodes[stack[i]].tag in closed:
-                    nodes[stack[i]].loose = False
-                    del stack[i:]
-                    inline_links, fresh = 0, True
-                    break
-                if nodes[stack[i]].tag in bound:
-                    break
+            place = innermost(closed)
+            if place and place >= innermost(bound):
+                nodes[stack[place]].loose = False
+                close(place)
+                inline_links, fresh = 0, True
         if tag in RAW:  # its content is text up to the end tag, none of it shown
-            end = re.compile(rf"</{re.escape(tag)}(?![\w-])[^>]*>", re.I).search(page, at)
+            end = None if tag in endless else re.compile(rf"</{re.escape(tag)}(?![\w-])[^>]*>", re.I).search(page, at)
             if tag in ("noscript", "template") and end is None:
+                endless.add(tag)
                 continue
             at = end.end() if end else size
             continue
-        if tag in ENDS_P:
-            for i in range(len(stack) - 1, 0, -1):
-                if nodes[stack[i]].tag == "p":
-                    del stack[i:]
-                    break
-                if nodes[stack[i]].tag not in INLINE and nodes[stack[i]].tag not in ("p",):
-                    break
+        if tag in ENDS_P and nodes[stack[-1]].tag == "p":
+            close(len(stack) - 1)
         inline_links, fresh = 0, True
+        if tag == "html" and m["attrs"]:
+            nodes[0].label = Node("html", -1, m["attrs"], nodes[0].label, False).label
         if tag == "html" or tag == "head" and (len(nodes) > 1 or blocks):
             continue
         parent = nodes[stack[-1]]
@@ -190,6 +209,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         parent.children.append(len(nodes))
         nodes.append(node)
         if tag not in VOID and not (m["attrs"] or "").rstrip().endswith("/") or tag in ("div", "p") and tag not in VOID:
+            places.setdefault(tag, []).append(len(stack))
             stack.append(len(nodes) - 1)
             node.loose = tag in LOOSE
     if any(n.loose for n in nodes):
@@ -208,16 +228,29 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     return nodes, out
 
 
-def features(nodes: list[Node]) -> list[tuple[int, ...]]:
+def features(nodes: list[Node], blocks: list[tuple[int, str]]) -> list[tuple[int, ...]]:
     """Active unary features of each element; all are 0 or 1."""
     chars, links = [n.chars for n in nodes], [n.links for n in nodes]
     for i in range(len(nodes) - 1, 0, -1):
         p = nodes[i].parent
         chars[p] += chars[i]
         links[p] += links[i]
+    shown = sum(n.chars for n in nodes if not n.never)
     base, first = len(TAGS) + 1, len(TAGS) + 1 + len(HINTS)
+    said: list[set[int]] = [set() for _ in nodes]
+    for owner, words in blocks:
+        if len(words) > SHORT_TEXT:
+            continue
+        said[owner].update(first + 14 + i for i, p in enumerate(_TEXT_HINT) if p.search(words))
+        above = nodes[owner].parent
+        if above >= 0 and nodes[owner].tag in HEADINGS and nodes[above].children[0] == owner and COMMENT_TITLE.search(words):
+            said[above].add(first + 14 + len(_TEXT_HINT))
+    told = [False] * len(nodes)  # holds paragraphs of its own
+    for n in nodes[1:]:
+        if n.tag in PARAGRAPHS and n.chars:
+            told[n.parent] = True
     out = []
-    for n, c, k in zip(nodes, chars, links):
+    for n, c, k, words, paragraphs in zip(nodes, chars, links, said, told):
         found = [TAGS.get(n.tag, len(TAGS)), first + 7]
         found += [base + h for h in n.hints]
         share = k / c if c else 0.0
@@ -225,6 +258,10 @@ def features(nodes: list[Node]) -> list[tuple[int, ...]]:
         found.append(first + (3 if c < 25 else 4 if c < 120 else 5))
         if not n.chars:
             found.append(first + 6)
+        part = c / shown if shown and not n.never else 0.0
+        found.append(first + 8 + (0 if part < 0.1 else 1 if part < 0.5 else 2 if part < 0.9 else 3))
+        found.append(first + 12 + paragraphs)
+        found += words
         out.append(tuple(found))
     return out
 
@@ -282,19 +319,19 @@ class Model:
         if not shown:
             return ""
         w = self.unary
-        scores = [-30.0 if n.never else sum(w[f] for f in fs) for n, fs in zip(nodes, features(nodes))]
-        share = marginals(nodes, scores, [self.edge[EDGE_KINDS.get(n.tag, 3)] for n in nodes])
+        scores = [-30.0 if n.never else sum(w[f] for f in fs) for n, fs in zip(nodes, features(nodes, blocks))]
+        share = marginals(nodes, scores, [self.edge[EDGE_KINDS.get(n.tag, OTHER_KIND)] for n in nodes])
         return "\n\n".join(t for o, t in shown if share[o] >= 0.5)
 
 
-def train(labelled: Sequence[str], steps: int = 150, rate: float = 0.5, decay: float = 0.002) -> Model:
+def train(labelled: Sequence[str], steps: int = 500, rate: float = 0.5, decay: float = 0.001) -> Model:
     """Gradient ascent on the likelihood of the labelled pages' labels."""
     data = []
     for page in labelled:
-        nodes, _ = parse(page)
+        nodes, blocks = parse(page)
         for n in nodes:
             n.label = 0 if n.label is None else n.label
-        data.append((nodes, features(nodes), [EDGE_KINDS.get(n.tag, 3) for n in nodes]))
+        data.append((nodes, features(nodes, blocks), [EDGE_KINDS.get(n.tag, OTHER_KIND) for n in nodes]))
     unary, edge = np.zeros(N_UNARY), np.zeros((N_EDGE, 4))
     for _ in range(steps):
         du, de = -decay * unary * len(data), -decay * edge * len(data)
@@ -332,6 +369,8 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 _LONG = "The river had risen for three days, and by Sunday the lower fields, the path and half of the orchard lay under water. "
 _MID = "Nobody in the village could remember such a spring. "
 
+_LINKS = "".join(f"<li><a href=/{w}>{w}</a></li>" for w in ("Home", "News", "Sport", "Weather", "Letters", "Archive", "About", "Contact"))
+
 #: Labelled pages: common layouts, each with its content marked.
 LABELLED = (
     f"""<html><body><nav><ul><li><a href=/>Home</a></li><li><a href=/n>News</a></li><li><a href=/s>Sport</a></li></ul></nav>
@@ -364,4 +403,36 @@ LABELLED = (
     f"""<html><body><div data-y=1><h1>Plain page</h1><p>{_LONG}</p><p>{_MID}</p></div></body></html>""",
     "<html><body data-y=1><p>Rain.</p></body></html>",
     f"""<html><body data-y=1><h1>No layout at all</h1><p>{_LONG * 2}</p><p>{_MID}</p></body></html>""",
+    # long menus
+    f"""<html><body><nav><ul>{_LINKS}</ul></nav><article data-y=1><h1>Rain</h1><p>{_LONG}</p><p>{_MID}</p></article><footer>{_MID}</footer></body></html>""",
+    f"""<html><body><nav><ul>{_LINKS}</ul></nav><div class="ad">{_MID}</div><article data-y=1><p>{_MID}</p></article></body></html>""",
+    f"""<html><body><header><ul>{_LINKS}</ul></header><main data-y=1><h1>Rain</h1><p>{_LONG * 2}</p></main><footer><ul>{_LINKS}</ul></footer></body></html>""",
+    f"""<html><body><div><ul>{_LINKS}</ul></div><div data-y=1><h1>Rain</h1><p>{_LONG * 2}</p><p>{_MID}</p></div><aside><ul>{_LINKS}</ul></aside></body></html>""",
+    f"""<html><body><nav><ul>{_LINKS}</ul></nav></body></html>""",
+    # elements within elements
+    f"""<html><body><div><div data-y=1><p>{_LONG}</p><p>{_MID}</p><div><p>{_LONG}</p></div></div></div></body></html>""",
+    f"""<html><body><div><div><a href=/>Home</a></div><div><div data-y=1><div><h1>Rain</h1><p>{_LONG * 2}</p></div><div><p>{_MID}</p><div><p>{_LONG}</p></div></div></div></div></div></body></html>""",
+    # no elements, or hardly any
+    "<html data-y=1><a href=/r>Rain</a> again.", f"<html><body data-y=1><div>{_LONG}</div><div>{_MID}</div><div>{_LONG * 2}</div><div>Ends.</div></body>",
+    "<html data-y=1>Rain again.", f"<html data-y=1>{_MID}", f"<html data-y=1>{_LONG * 3}", "<html data-y=1><p>Rain.</p>", f"<html data-y=1><p>{_MID}</p><p>Rain.</p>",
+    f"<html data-y=1><h1>Rain</h1><p>{_LONG}</p><p>{_MID}</p>", f"<html><div data-y=1>{_LONG}</div>", "<html><body data-y=1>Rain.</body>",
+    # names that say nothing, short articles
+    f"""<html><body><div class="kopfzeile">Das Blatt</div><div class="leiste"><a href=/>Start</a> <a href=/b>Wetter</a></div><article data-y=1><p>{_MID}</p></article></body></html>""",
+    f"""<html><body><div class="x1"><a href=/>Una</a></div><div class="x2">Dos</div><article data-y=1><p>Rain.</p></article><div class="x3">Tres</div></body></html>""",
+    f"""<html><body><div class="barre"><a href=/>Accueil</a></div><div class="boite" data-y=1><h1>La crue</h1><p>{_LONG}</p><p>{_MID}</p></div><div class="bas">\u00a9 Le Journal. All rights reserved.</div></body></html>""",
+    f"""<html><body><table><tr><td><a href=/>Home</a><br><a href=/n>News</a></td><td data-y=1><h2>High water</h2><p>{_LONG * 2}</p><p>{_MID}</p></td></tr></table><div>All rights reserved.</div></body></html>""",
+    # lists of links that belong to the article
+    f"""<html><body><nav><ul><li><a href=/>Home</a></li><li><a href=/n>News</a></li></ul></nav><article data-y=1><h1>Sources</h1><p>{_MID}</p><ul><li><a href=/1>The first gauge book</a></li>
+<li><a href=/2>The second gauge book</a></li><li><a href=/3>Letters</a></li></ul><p>{_LONG}</p></article><footer><ul><li><a href=/c>Contact</a></li></ul></footer></body></html>""",
+    f"""<html><body><header><a href=/>Site</a></header><main data-y=1><h1>Reading list</h1><ul><li><a href=/1>High water in May</a></li><li><a href=/2>A map of weirs</a></li></ul><p>{_MID}</p></main>
+<aside><ul><li><a href=/x>Ten ways to cook rice</a></li></ul></aside></body></html>""",
+    # comments and small print without marks
+    f"""<html><body><main data-y=1><h1>High water</h1><p>{_LONG * 2}</p><p>{_MID}</p><section data-y=0><h2>Comments</h2><div><p>{_LONG}</p></div><div><p>{_MID}</p></div></section></main>
+<div>\u00a9 The paper. All rights reserved.</div></body></html>""",
+    f"""<html><body><article data-y=1><h1>Weirs</h1><p>{_LONG}</p><section><h2>How they work</h2><p>{_MID}</p><p>{_LONG}</p></section><div data-y=0><h3>3 replies</h3><ul><li><p>{_MID}</p></li><li>{_LONG}</li></ul></div>
+<div data-y=0>Copyright The paper</div></article></body></html>""",
+    f"""<html><body><main data-y=1><h1>High water</h1><p>{_LONG * 3}</p><section><h2>At night</h2><p>{_MID}</p><p>Rain.</p></section><section data-y=0><h2>Comments</h2><p>{_LONG}</p><p>So true.</p><p>{_MID}</p></section></main></body></html>""",
+    f"""<html><body><article data-y=1><p>{_LONG}</p><p>{_MID}</p><div data-y=0><h2>Discussion</h2><p>I agree.</p><p>{_LONG * 2}</p></div></article></body></html>""",
+    f"""<html><body><main data-y=1><h1>Weirs</h1><p>{_MID}</p><section data-y=0><h3>Responses (2)</h3><p>Nice.</p><p>{_MID}</p></section></main></body></html>""",
+    f"""<html><body><div data-y=1><h1>Weirs</h1><p>{_LONG * 2}</p><div data-y=0><h4>Leave a reply</h4><p>{_MID}</p></div></div><div><p>This site uses cookies. Read our privacy policy.</p></div></body></html>""",
 )

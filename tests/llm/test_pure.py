@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -221,3 +222,59 @@ def test_html_head_and_controls_without_end_tag():
     assert model.extract(hidden) == want
     nodes, blocks = html_extract.parse("<body>" + "<object>" * 3000 + "<p>x</p>")
     assert [not nodes[o].never for o, _ in blocks] == [True]
+
+
+SNOW = "Die Bahn faehrt heute nicht, weil der Schnee auf den Gleisen liegt und niemand ihn raeumt."
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<p>Hi.</p>", ["Hi."]),
+    ("Hello there.", ["Hello there."]),
+    ("<p>One.<p>Two.", ["One.", "Two."]),
+    ("<a href=it's>Bob's</a> text", ["Bob's text"]),
+    ("<p title=\"x>never ends", []),
+    ("<footer>\u00a9 x</footer>", []),
+    ("<nav><ul><li><a href=/>Menu</a></ul></nav>", []),
+    ("<div class='haut'>Le site</div><div class='milieu'><a href=/>x</a></div><article><p>Une phrase seule.</p></article>", ["Une phrase seule."]),
+    (f"<body><nav><a href=/>Home</a></nav><article><h1>T</h1><p>{SNOW}</p><ul><li><a href=a>Link one here</a><li><a href=b>Link two</a></ul></article></body>",
+     ["T", SNOW, "Link one here", "Link two"]),
+    (f"<body><article><h1>T</h1><p>{SNOW}</p></article><div>All rights reserved</div></body>", ["T", SNOW]),
+    (f"<body><main><h1>Bahn</h1><p>{SNOW}</p><section><h2>Warum</h2><p>{SNOW}</p></section><section><h2>12 Comments</h2><p>Ja.</p><p>{SNOW}</p></section></main>"
+     "<div>\u00a9 2020 Blatt</div></body>", ["Bahn", SNOW, "Warum", SNOW]),
+    (f"<body><article><h1>B</h1><p>{SNOW}</p><p>Kurz.</p><div><h3>Replies</h3><p>{SNOW}</p></div></article></body>", ["B", SNOW, "Kurz."]),
+    (f"<body><div id=a><div id=b><p>{SNOW}</p><p>{SNOW}</p><div><p>{SNOW}</p></div></div></div></body>", [SNOW] * 3),
+    (f"<body><table><tr><td>{SNOW}</td><td>{SNOW}</td></tr></table></body>", [SNOW, SNOW]),
+])
+def test_html_plain_sparse_and_unmarked_pages(html_model, page, want):
+    assert html_model.extract(page) == "\n\n".join(want)
+
+
+@pytest.fixture(scope="module")
+def html_model():
+    return html_extract.train(html_extract.LABELLED)
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 100_000 + "</x>" * 100_000, "<div>" * 50_000 + "<li></li>" * 50_000, "<ul><li>" + "<div>" * 50_000 + "<li>x</li>" * 50_000,
+    "<noscript>" * 100_000, "<a '" * 100_001, "<a =\"" * 100_001, "<div>" * 100_000 + "x" + "</div>" * 100_000])
+def test_html_deep_and_broken_pages_take_linear_time(page):
+    import time
+    began = time.process_time()
+    html_extract.parse(page)
+    assert time.process_time() - began < 5  # a second or less on an idle machine; a quadratic search takes minutes
+
+
+def test_html_given_pages_equal_their_articles(html_model):
+    """Every page of the small table: the text of its article element, nothing else."""
+    import html as _html
+    import re
+    pages = pq.read_table("/root/testdata/sf0.01/pages.parquet", columns=["html"]).column(0).to_pylist()
+    assert len(pages) > 100
+    for page in pages:
+        if page is None:
+            assert html_model.extract(page) == ""
+            continue
+        inner = page[page.index("<article>") + len("<article>"):page.index("</article>")]
+        cut = re.split(r"</?(?:p|h[1-6]|div|ul|ol|li|table|tr|td|blockquote|pre)(?:\s[^>]*)?>", re.sub(r"<!--.*?-->", "", inner, flags=re.S))
+        blocks = [" ".join(_html.unescape(re.sub(r"<[^>]*>", "", re.sub(r"<br\s*/?>", " ", b))).split()) for b in cut]
+        assert html_model.extract(page) == "\n\n".join(b for b in blocks if b)
