@@ -34,6 +34,8 @@ SYMBOLS = 64
 WIDTH = 2048
 SEED = 11
 UNKNOWN = "und"
+#: Trigrams that a task holds before it counts them, beyond those of one text.
+PENDING = 1 << 20
 #: Rows of one message of counts.
 SLICES = 64
 
@@ -101,13 +103,27 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
-        for batch in batches:
-            grams: dict[str, list[np.ndarray]] = {}
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                grams.setdefault(lang, []).append(trigrams(text))
+        grams: dict[str, list[np.ndarray]] = {}
+        pending = 0
+
+        def add_up() -> None:
             for lang, parts in grams.items():
                 counts = np.bincount(np.concatenate(parts), minlength=SYMBOLS**3)
-                total[lang] = total[lang] + counts if lang in total else counts
+                if lang in total:
+                    total[lang] += counts
+                else:
+                    total[lang] = counts
+            grams.clear()
+
+        for batch in batches:
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                found = trigrams(text.as_py())
+                grams.setdefault(lang, []).append(found)
+                pending += len(found)
+                if pending > PENDING:
+                    add_up()
+                    pending = 0
+        add_up()
         for lang, counts in total.items():
             for i in range(SLICES):
                 part = counts[i * step:(i + 1) * step]
@@ -148,7 +164,7 @@ def identify(docs: DataFrame, langs: list[str], profile: np.ndarray, id_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [predict(t) for t in batch.column(0).to_pylist()]
+            found = [predict(t.as_py()) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[skip:], pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64()),
                  *([pa.array([x[2] for x in found], pa.bool_())] if lettered else [])],
