@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Pre-tokens, and words, that a worker remembers for sure; twice as many at most.
-REMEMBER = 400_000
+REMEMBER = 100_000
 #: Marks that are a match of their own behind letters.
 MARKS = frozenset(".,;:!?")
 SPACE_THEN_BLANK = re.compile(r" \s")
