@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.ids import packed, unpacked
 from ledgerloom.operators.membership import may_match
-from ledgerloom.plans import silver
+from ledgerloom.plans import rebuild, silver
 from ledgerloom.plans.context import Lake
 from ledgerloom.sources import fixtures
 
@@ -94,3 +94,12 @@ def test_rule_texts_come_from_bronze_not_from_the_numbered_lines(spark, tmp_path
     plan = lake._staged(lake.txn_lines)._jdf.queryExecution().optimizedPlan().toString()
     windows = plan.count("Window [")
     assert windows == lake.txn_lines._jdf.queryExecution().optimizedPlan().toString().count("Window [")
+
+
+def test_only_repeated_files_are_shuffled_for_their_first_copy(spark):
+    rows = [("a", 1, "s1", 1), ("a", 0, "s2", 2), ("b", 0, "s3", 3), ("c", 0, "s5", 4), ("c", 0, "s4", 5), ("c", 0, "s4", 6), ("d", 2, None, 7)]
+    docs = spark.createDataFrame(rows, "sha256 string, source_order int, source_id string, row bigint")
+    assert sorted(r.row for r in rebuild.first_received(docs).collect()) == [2, 3, 5, 7]
+    many = spark.range(3000).select(F.md5(F.col("id").cast("string")).alias("sha256"), F.lit(0).alias("source_order"),
+                                    F.lit("s").alias("source_id"), F.col("id").alias("row"))
+    assert rebuild.first_received(many.unionByName(docs.select(*many.columns))).count() == 3004
