@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.ids import packed, unpacked
 from ledgerloom.operators.membership import may_match
-from ledgerloom.plans import rebuild, silver
+from ledgerloom.operators.tolerance_join import bucket, reached
+from ledgerloom.plans import gold, rebuild, silver
 from ledgerloom.plans.context import Lake
 from ledgerloom.sources import fixtures
 from testpaths import SMALL
@@ -104,3 +105,48 @@ def test_only_repeated_files_are_shuffled_for_their_first_copy(spark):
     many = spark.range(3000).select(F.md5(F.col("id").cast("string")).alias("sha256"), F.lit(0).alias("source_order"),
                                     F.lit("s").alias("source_id"), F.col("id").alias("row"))
     assert rebuild.first_received(many.unionByName(docs.select(*many.columns))).count() == 3004
+
+
+def test_written_fact_holds_no_column_that_follows_from_others(spark):
+    lake = Lake(spark, SMALL)
+    fact = lake.fact_table
+    stored = set(spark.read.parquet(f"{lake._run_folder}/fact_transactions").columns)
+    assert not {"transaction_id", "stable_id", "clean_description", "day_of_week_name", "category_id"} & stored
+    assert fact.columns == lake.fact_transactions.columns
+
+
+def test_rules_and_merchants_are_written_before_the_lines_meet_them(spark):
+    """Their size is known then, so the lines are not shuffled for a small one."""
+    lake = Lake(spark, SMALL)
+    plan = lake.fact_transactions._jdf.queryExecution().executedPlan().toString()
+    assert "fact_merchants" in plan and "description_rules" in plan
+
+
+def test_numbered_hashes_are_unpacked_behind_the_shuffle(spark):
+    day = dt.date(1995, 1, 2)
+    header = spark.createDataFrame([("aa", "A1", "h")], "sha256 string, account_number string, holder string")
+    bank = spark.createDataFrame([("aa", "A1", day, Decimal("1.00"), "x", None)] * 2,
+                                 "statement_sha256 string, account_number string, txn_date date, amount decimal(18,2), raw_description string, running_balance decimal(18,2)")
+    numbered = silver.txn_bank_numbered(bank, header)
+    assert sorted((r.statement_sha256, r.dup_seq) for r in numbered.collect()) == [("aa", 1), ("aa", 2)]
+    assert "RepartitionByExpression" in numbered._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_reached_buckets_meet_once_and_seldom_repeat(spark):
+    values = spark.range(-60, 60)
+    a = values.select(F.col("id").alias("a"), reached(F.col("id"), 20, 5).alias("b"))
+    b = values.select(F.col("id").alias("c"), bucket(F.col("id"), 20).alias("d"))
+    pairs = a.join(b, F.col("b") == F.col("d")).filter(F.abs(F.col("a") - F.col("c")) <= 5).select("a", "c")
+    assert sorted(map(tuple, pairs.collect())) == [(x, y) for x in range(-60, 60) for y in range(-60, 60) if abs(x - y) <= 5]
+    assert a.count() == 120 * 1.5
+
+
+def test_only_rows_that_may_be_duplicates_are_shuffled_whole(spark):
+    day, amount = dt.date(1995, 1, 2), Decimal("1.00")
+    rows = [(day, amount, "A", "x", f"acct {i}", "raw") for i in range(2)] + [
+        (day, amount, "B", "x", "b", "raw"), (day, None, "A", "x", "n", "raw"), (day, None, "A", "x", "n", "raw")]
+    fact = spark.createDataFrame(rows, "txn_date date, amount decimal(18,2), account_id string, clean_description string, account_name string, raw_description string")
+    alerts = gold.duplicate_alerts(fact)
+    assert sorted((r.account_name, r.alert_message) for r in alerts.collect()) == [
+        (f"acct {i}", "Found 2 identical transactions") for i in range(2)]
+    assert "bitmap" in alerts._jdf.queryExecution().optimizedPlan().toString()
