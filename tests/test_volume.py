@@ -4,6 +4,7 @@ import datetime as dt
 import os
 from decimal import Decimal
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.ids import packed, unpacked
@@ -162,3 +163,40 @@ def test_later_copies_are_told_without_payload(spark, tmp_path):
     assert later.columns == ["sha256", "row"] and sorted(r.row for r in later.collect()) == [1, 6]
     assert "body" not in later._jdf.queryExecution().executedPlan().toString()
     assert sorted(r.body for r in rebuild.without_rows(docs, later).collect()) == ["v", "y", "z"]
+
+
+def _line(day, amount, text, sha="aa", account="A1", balance=None):
+    return (sha, account, day, Decimal(amount), text, balance)
+
+
+_BANK_LINES = "statement_sha256 string, account_number string, txn_date date, amount decimal(18,2), raw_description string, running_balance decimal(18,2)"
+
+
+def test_only_lines_that_come_again_are_shuffled_for_their_number(spark):
+    """Against row_number: copies in one statement and in two, copies of a header, several holders, null keys."""
+    day = dt.date(1995, 1, 2)
+    rows = ([_line(day, "1.00", "x")] * 3 + [_line(day, "1.00", "x", sha="bb")] * 2 + [_line(day, "2.00", "y", sha="cc")]
+            + [_line(None, "3.00", None, sha=None)] * 2 + [_line(day, "4.00", "z", sha="dd"), _line(day, "5.00", "z", account=None)])
+    bank = spark.createDataFrame(rows, _BANK_LINES)
+    header = spark.createDataFrame([("aa", "A1", "h"), ("bb", "A1", "h"), ("cc", "A1", "h"), ("cc", "A1", "h"), ("cc", "A1", None),
+                                    ("dd", "A2", "h"), (None, "A1", "h")], "sha256 string, account_number string, holder string")
+    keys = ["holder", "account_number", "txn_date", "amount", "raw_description", "running_balance"]
+    joined = bank.join(header.withColumnRenamed("account_number", "h_account"),
+                       (F.col("statement_sha256") == F.col("sha256")) & (F.col("account_number") == F.col("h_account")), "left")
+    place = Window.partitionBy(*keys).orderBy(F.col("statement_sha256").asc_nulls_last())
+    wanted = joined.select(*keys, "statement_sha256", F.row_number().over(place).cast("bigint").alias("dup_seq"))
+    numbered = silver.txn_bank_numbered(bank, header)
+    assert numbered.columns == wanted.columns and numbered.schema["dup_seq"].dataType == wanted.schema["dup_seq"].dataType
+    assert sorted(map(str, numbered.collect())) == sorted(map(str, wanted.collect()))
+    assert "bitmap" in numbered._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_descriptions_are_cleaned_once_each(spark):
+    """The distinct descriptions stay below the cleaning; only then are the clean texts made distinct."""
+    texts = spark.createDataFrame([("A-b",), ("A b",), (None,)], "raw_description string").distinct()
+    rules = spark.createDataFrame([("r", "food", "a b", 1)], "rule_id string, category_id string, pattern string, priority int")
+    found = silver.description_rules(texts, spark.createDataFrame([], "pattern string"), rules)
+    assert [tuple(r) for r in found.select("text", "first_category").collect()] == [("a b", "food")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    cleaned = plan[plan.index("regexp_replace"):]
+    assert "Aggregate [raw_description" in cleaned
