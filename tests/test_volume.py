@@ -7,10 +7,10 @@ from decimal import Decimal
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.ids import packed, unpacked
+from ledgerloom.functions.ids import packed, packed_id, unpacked
 from ledgerloom.operators.membership import may_match
 from ledgerloom.operators.tolerance_join import bucket, reached
-from ledgerloom.plans import gold, rebuild, silver
+from ledgerloom.plans import gold, rebuild, silver, transfers
 from ledgerloom.plans.context import Lake
 from ledgerloom.sources import fixtures
 from testpaths import SMALL
@@ -200,3 +200,17 @@ def test_descriptions_are_cleaned_once_each(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     cleaned = plan[plan.index("regexp_replace"):]
     assert "Aggregate [raw_description" in cleaned
+
+
+def test_transfer_ids_travel_packed_and_sort_as_texts(spark):
+    ids = [f"{i:032x}" for i in (5, 2 ** 127, 1, 77)]
+    df = spark.createDataFrame([(i,) for i in [*ids, "x10", "x9", "0f"]], "t string").select("t", packed_id(F.col("t")).alias("p"))
+    assert all(r.t == r.u for r in df.select("t", unpacked(F.col("p")).alias("u")).collect())
+    got = {r.t: bytes(r.p) for r in df.collect()}
+    assert sorted(ids, key=got.get) == sorted(ids) and len(got[ids[0]]) == 17
+    assert sorted(["x10", "x9", "0f"], key=got.get) == ["0f", "x10", "x9"]
+    day = dt.date(1995, 1, 2)
+    fact = spark.createDataFrame([(ids[0], "A", day, Decimal("-1.00")), (ids[1], "B", day, Decimal("1.00")), (ids[2], "B", day, Decimal("1.00"))],
+                                 "transaction_id string, account_id string, txn_date date, amount decimal(18,2)")
+    assert dict(transfers._cells(fact).dtypes)["id"] == "binary"
+    assert [tuple(r) for r in transfers.mutual_best(fact).collect()] == [(ids[0], ids[2], Decimal("-1.00"))]
