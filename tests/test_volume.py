@@ -13,6 +13,7 @@ from ledgerloom.operators.tolerance_join import bucket, reached
 from ledgerloom.plans import gold, rebuild, silver, transfers
 from ledgerloom.plans.context import Lake
 from ledgerloom.sources import fixtures
+from ledgerloom.streaming import inbox
 from testpaths import SMALL
 
 
@@ -214,3 +215,28 @@ def test_transfer_ids_travel_packed_and_sort_as_texts(spark):
                                  "transaction_id string, account_id string, txn_date date, amount decimal(18,2)")
     assert dict(transfers._cells(fact).dtypes)["id"] == "binary"
     assert [tuple(r) for r in transfers.mutual_best(fact).collect()] == [(ids[0], ids[2], Decimal("-1.00"))]
+
+
+def test_exports_are_dropped_in_bundles(spark, tmp_path):
+    """Few files however many exports; quoted line breaks, odd names, several splits and empty bodies come back."""
+    rows = []
+    for i in range(300):
+        name = f"A {i}\t#é.csv" if i % 50 == 7 else f"A{i}.csv"
+        rows += [(name, 0, "Date,Description,Amount"), (name, 1, f'2024-01-02,"a,\nb\r\nc {i}",{i}.50'), (name, 3, "bad,row,1"), (name, 2, f"20240103,d,{i}")]
+    lines = spark.createDataFrame(rows, "source_file string, line_no bigint, text string")
+    inbox.drop_exports(lines, f"{tmp_path}/inbox")
+    assert len([f for _, _, fs in os.walk(f"{tmp_path}/inbox") for f in fs if f.startswith("part-")]) <= 32
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "400")
+    try:
+        inbox.run_inbox_stream(spark, f"{tmp_path}/inbox", f"{tmp_path}/bronze", f"{tmp_path}/bad", f"{tmp_path}/ckpt", f"{tmp_path}/archive",
+                               "2024-02-01 00:00:00", bundled=True)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    got = spark.read.parquet(f"{tmp_path}/bronze").drop("batch").collect()
+    wanted = []
+    for i in range(300):
+        name = f"A {i}\t#é.csv" if i % 50 == 7 else f"A{i}.csv"
+        wanted += [(name, dt.date(2024, 1, 2), f"a,\nb\nc {i}", Decimal(f"{i}.50")), (name, dt.date(2024, 1, 3), "d", Decimal(f"{i}.00"))]
+    assert sorted((r.source_file, r.row_date, r.description, r.amount) for r in got) == sorted(wanted)
+    assert spark.read.parquet(f"{tmp_path}/bad").count() == 300
