@@ -2,12 +2,16 @@
 
 import datetime as dt
 import os
+import tracemalloc
 from decimal import Decimal
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.ids import packed, packed_id, unpacked
+from ledgerloom.operators import nearest
 from ledgerloom.operators.membership import may_match
 from ledgerloom.operators.tolerance_join import bucket, reached
 from ledgerloom.plans import gold, rebuild, silver, transfers
@@ -240,3 +244,24 @@ def test_exports_are_dropped_in_bundles(spark, tmp_path):
         wanted += [(name, dt.date(2024, 1, 2), f"a,\nb\nc {i}", Decimal(f"{i}.50")), (name, dt.date(2024, 1, 3), "d", Decimal(f"{i}.00"))]
     assert sorted((r.source_file, r.row_date, r.description, r.amount) for r in got) == sorted(wanted)
     assert spark.read.parquet(f"{tmp_path}/bad").count() == 300
+
+
+def test_nearest_task_holds_one_copy_of_its_blocks():
+    rng = np.random.default_rng(3)
+    n, dim = 4000, 64
+    vectors = rng.normal(size=(n, dim))
+    block = pa.table({"id": [str(i) for i in range(n)], "vec": pa.ListArray.from_arrays(
+        pa.array(np.arange(0, n * dim + 1, dim), pa.int32()), pa.array(vectors.ravel()))})
+    pivots = vectors[:4] / np.linalg.norm(vectors[:4], axis=1)[:, None]
+    angles = np.arccos(np.clip(vectors @ pivots.T / np.linalg.norm(vectors, axis=1)[:, None], -1, 1))
+    cell = angles.argmin(axis=1)
+    merchants = block.append_column("cell", pa.array(cell, pa.int32())).append_column("angle", pa.array(angles[np.arange(n), cell]))
+    merchants = pa.Table.from_batches(merchants.to_batches(max_chunksize=700))
+    queries = block.slice(0, 50)
+    task = nearest._cell_task(pivots, cells=1 << 10)
+    tracemalloc.start()
+    found = task(queries, merchants)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.8 * vectors.nbytes
+    assert found["other_id"].to_pylist() == queries["id"].to_pylist()  # each is its own nearest
