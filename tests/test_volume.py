@@ -227,6 +227,8 @@ def test_exports_are_dropped_in_bundles(spark, tmp_path):
     for i in range(300):
         name = f"A {i}\t#é.csv" if i % 50 == 7 else f"A{i}.csv"
         rows += [(name, 0, "Date,Description,Amount"), (name, 1, f'2024-01-02,"a,\nb\r\nc {i}",{i}.50'), (name, 3, "bad,row,1"), (name, 2, f"20240103,d,{i}")]
+        if i % 3 == 0:  # lines of one number
+            rows += [(name, 1, f'2024-01-04,"e\n{i}",{i}.25')] * 2
     lines = spark.createDataFrame(rows, "source_file string, line_no bigint, text string")
     inbox.drop_exports(lines, f"{tmp_path}/inbox")
     assert len([f for _, _, fs in os.walk(f"{tmp_path}/inbox") for f in fs if f.startswith("part-")]) <= 32
@@ -242,6 +244,7 @@ def test_exports_are_dropped_in_bundles(spark, tmp_path):
     for i in range(300):
         name = f"A {i}\t#é.csv" if i % 50 == 7 else f"A{i}.csv"
         wanted += [(name, dt.date(2024, 1, 2), f"a,\nb\nc {i}", Decimal(f"{i}.50")), (name, dt.date(2024, 1, 3), "d", Decimal(f"{i}.00"))]
+        wanted += [(name, dt.date(2024, 1, 4), f"e\n{i}", Decimal(f"{i}.25"))] * (2 if i % 3 == 0 else 0)
     assert sorted((r.source_file, r.row_date, r.description, r.amount) for r in got) == sorted(wanted)
     assert spark.read.parquet(f"{tmp_path}/bad").count() == 300
 
