@@ -14,7 +14,7 @@ from ledgerloom.functions.ids import packed, packed_id, unpacked
 from ledgerloom.operators import nearest
 from ledgerloom.operators.membership import may_match
 from ledgerloom.operators.tolerance_join import bucket, reached
-from ledgerloom.plans import gold, rebuild, silver, transfers
+from ledgerloom.plans import gold, rebuild, silver, sinks, transfers
 from ledgerloom.plans.context import Lake
 from ledgerloom.sources import fixtures
 from ledgerloom.streaming import inbox
@@ -268,3 +268,52 @@ def test_nearest_task_holds_one_copy_of_its_blocks():
     tracemalloc.stop()
     assert peak < 1.8 * vectors.nbytes
     assert found["other_id"].to_pylist() == queries["id"].to_pylist()  # each is its own nearest
+
+
+def _ledger_rows(spark, rows):
+    return spark.createDataFrame(rows, "transaction_id string, account_id string, txn_date date, amount decimal(18,2), clean_description string")
+
+
+def test_only_rows_near_the_other_side_become_cells(spark):
+    """Of 3,000 debits far from any credit none is shuffled with its id; those near one are all kept."""
+    day = dt.date(1995, 1, 2)
+    far = [(f"{i:032x}", "A", day, Decimal(-1000 * (i + 10)), "x") for i in range(3000)]
+    near = [("d1", "A", day, Decimal("-5.05"), "x"), ("d2", "A", dt.date(1995, 1, 9), Decimal("-5.00"), "x"), ("d3", "C", day, Decimal("-600.00"), "x"),
+            ("d4", None, day, Decimal("-5.00"), "x"), ("d5", "A", None, Decimal("-5.00"), "x"), ("d6", "A", day, Decimal("-5.06"), "x"),
+            ("c1", "A", day, Decimal("5.00"), "x"), ("c2", "B", dt.date(1995, 1, 12), Decimal("600.05"), "x")]
+    fact = _ledger_rows(spark, far + near)
+    held = {}
+    got = transfers.mutual_best(fact, lambda name, df: held.setdefault(name, df)).collect()
+    ids = {r.u for r in held["transfer_debits"].select(unpacked(F.col("id")).alias("u")).collect()}
+    assert {"d1", "d2", "d3"} <= ids and len(ids) < 20
+    spots = {tuple(r) for r in held["transfer_spots"].collect()}
+    assert spots == {(True, 505, 9132), (True, 500, 9139), (True, 60000, 9132), (False, 500, 9132), (False, 60005, 9142)}
+    assert {(r.debit_txn_id, r.credit_txn_id) for r in got} == {("d1", "c1"), ("d3", "c2")}
+    assert sorted(map(tuple, got)) == sorted(map(tuple, transfers.transfer_matches(transfers.transfer_candidates(fact)).collect()))
+
+
+def test_ranks_are_cut_to_two_accounts_where_they_met(spark):
+    rnd = __import__("random").Random(5)
+    rows = [(c, 0, c % 2, b, (rnd.randint(0, 3), rnd.randint(0, 2), bytes([i, c]), rnd.choice(["A", "A", "A", "B", "C"])))
+            for c in range(8) for i, b in enumerate([0] * 40 + [1] * 20)] + [(9, 0, 0, 0, (1, 1, b"z", "A"))]
+    near = spark.createDataFrame(rows, "q_cents bigint, q_day int, _ab bigint, _db bigint, rank struct<day_gap:bigint,amount_gap:bigint,id:binary,acct:string>")
+    wanted = {}
+    for c in {r[0] for r in rows}:
+        ranks = sorted(r[4] for r in rows if r[0] == c)
+        wanted[c] = (ranks[0], next((r for r in ranks if r[3] != ranks[0][3]), None))
+    two = transfers._two_best(near)
+    as_tuple = lambda r: r if r is None else (r.day_gap, r.amount_gap, bytes(r.id), r.acct)
+    assert {r.s_cents: (as_tuple(r.one), as_tuple(r.other)) for r in two.collect()} == wanted
+    # Behind the buckets a spot has two ranks at most.
+    assert two._jdf.queryExecution().optimizedPlan().toString().count("collect_list") == 2
+
+
+def test_debits_are_not_shuffled_for_few_outbound_texts(spark, tmp_path):
+    day = dt.date(1995, 1, 2)
+    rows = [(f"{i:032x}", "A", day, Decimal(-i - 1), "wire abroad" if i % 10 == 0 else f"shop {i}") for i in range(200)] + [("n", "A", day, None, "wire abroad")]
+    fact = sinks.materialize(_ledger_rows(spark, rows), f"{tmp_path}/fact")
+    rules = spark.createDataFrame([("w_re", "outbound"), ("shop", "inbound"), (None, "outbound")], "pattern string, direction string")
+    matches = spark.createDataFrame([(f"{0:032x}", "c"), (None, "c")], "debit_txn_id string, credit_txn_id string")
+    got = transfers.one_way_transfers(fact, rules, matches, lambda name, df: sinks.materialize(df, f"{tmp_path}/{name}"))
+    assert sorted(r.debit_txn_id for r in got.collect()) == [f"{i:032x}" for i in range(10, 200, 10)]
+    assert "hashpartitioning(clean_description" not in got._jdf.queryExecution().executedPlan().toString()
