@@ -11,6 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.ids import packed, packed_id, unpacked
+from ledgerloom.functions.text import CLEAN_DESCRIPTION_PATTERN, clean_description
 from ledgerloom.operators import nearest
 from ledgerloom.operators.membership import may_match
 from ledgerloom.operators.tolerance_join import bucket, reached
@@ -359,3 +360,74 @@ def test_semantic_rows_are_shuffled_only_where_they_may_be_marked(spark, monkeyp
     rows = [tuple(r) for r in got.select(*plain.columns).collect()]
     assert sorted(map(str, rows)) == sorted(str(tuple(r)) for r in plain.collect())
     assert sum(r[-1] for r in rows) and len(rows) > n
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_long_key_is_worked_out_once_a_row(spark):
+    rows = spark.range(100).select(F.col("id").cast("string").alias("k"))
+    marked = may_match(rows, F.md5("k"), rows.limit(3).select(F.md5("k").alias("m")).distinct())
+    sides = _optimized(marked)
+    assert sides.count("md5(") == 2  # one for the rows, one for the keys
+    assert {r.k for r in marked.filter("_may").collect()} >= {r.k for r in rows.limit(3).collect()}
+
+
+def test_clean_text_equals_its_pattern(spark):
+    texts = ["".join(map(chr, range(128))), "Ünïcode-Ärger #12", "a\U0001f600B", "", None, "  Two  ", "İI", "x\u0000Y", "Ⅷ-٣"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select(clean_description(F.col("t")).alias("a"), F.lower(F.regexp_replace("t", CLEAN_DESCRIPTION_PATTERN, " ")).alias("b")).collect()
+    assert [r.a for r in rows] == [r.b for r in rows]
+
+
+def test_lines_meet_their_headers_once_for_the_fact(spark):
+    """Splitting the numbered lines by their overrides would plan, and run, all the numbering once more."""
+    lake = Lake(spark, SMALL)
+    assert _optimized(lake.fact_lines).count("Window [") == _optimized(lake.txn_lines).count("Window [")
+
+
+def test_overrides_of_numbered_lines(spark):
+    """Copies, copies of a header, overrides that come twice or name no category, lines without hash: as by a plain join."""
+    day = dt.date(1995, 1, 2)
+    bank = spark.createDataFrame([_line(day, "1.00", "x")] * 3 + [_line(day, "2.00", "y", sha="cc"), _line(day, "6.00", "y"), _line(day, "3.00", "z", sha=None),
+                                                                  _line(None, "4.00", None, sha="no hash"), _line(day, "5.00", "q", account=None)], _BANK_LINES)
+    header = spark.createDataFrame([("aa", "A1", "h"), ("cc", "A1", "h"), ("cc", "A1", "h")], "sha256 string, account_number string, holder string")
+    ids = bank.select("amount", F.md5(F.concat_ws("|", "statement_sha256", "account_number", F.col("txn_date").cast("string"), F.col("amount").cast("string"))).alias("stable_id"))
+    named = {"1.00": "a", "2.00": "b", "3.00": None, "4.00": "d"}
+    rows = [(r.stable_id, named[str(r.amount)]) for r in ids.distinct().collect() if str(r.amount) in named]
+    over = spark.createDataFrame([*rows, (rows[0][0], "again"), (None, "none")], "stable_id string, category_id string")
+    numbered = silver.txn_bank_numbered(bank, header)
+    wanted = numbered.withColumn("stable_id", F.md5(F.concat_ws("|", "statement_sha256", "account_number", F.col("txn_date").cast("string"), F.col("amount").cast("string")))).join(
+        over.withColumn("hit", F.lit(True)), "stable_id", "left").select(*numbered.columns, F.col("category_id").alias("o_category"), F.coalesce("hit", F.lit(False)).alias("overridden"))
+    got = silver.txn_bank_numbered(bank, header, over)
+    assert got.columns == wanted.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, wanted.collect()))
+
+
+def test_transfer_words_are_looked_for_once_a_text(spark):
+    rules = spark.createDataFrame([("r", "food", "a b", 1)], "rule_id string, category_id string, pattern string, priority int")
+    lines = spark.createDataFrame([("A-b",), ("my transfer",), ("a b tf1",), ("c",), (None,)], "raw_description string")
+    found = silver.description_rules(lines, spark.createDataFrame([], "pattern string"), rules)
+    staged = silver.with_categorisation_inputs(lines, found.localCheckpoint())
+    assert "RLIKE" not in _optimized(staged)
+    got = {r.raw_description: (r.detected_transfer, r.rule_category) for r in staged.collect()}
+    assert got == {"A-b": (False, "food"), "my transfer": (True, None), "a b tf1": (True, None), "c": (False, None), None: (None, None)}
+
+
+def test_one_way_transfers_are_found_once_for_both_sides(spark):
+    fact = _ledger_rows(spark, [("d", "A", dt.date(1995, 1, 2), Decimal("-1.00"), "wire")] * 2)
+    rules = spark.createDataFrame([("wire", "outbound")], "pattern string, direction string")
+    matches = spark.createDataFrame([("m", "c", Decimal("-1.00"))], "debit_txn_id string, credit_txn_id string, amount decimal(18,2)")
+    both = transfers.fact_transfers(matches, transfers.one_way_transfers(fact, rules, matches))
+    assert _optimized(both).count("LeftAnti") == 1
+    assert sorted(map(str, (tuple(r) for r in both.collect()))) == ["('c', 'transfer', 'm')", "('d', 'transfer', None)", "('m', 'transfer', 'c')"]
+
+
+def test_ids_are_worked_out_for_rows_at_live_spots_only(spark):
+    """The id is asked for above the filter by spots, and the matches are those of the plain fact."""
+    lake = Lake(spark, SMALL)
+    fact, transaction_id = lake._fact_measures()
+    assert "transaction_id" not in fact.columns
+    plain = transfers.mutual_best(lake.fact_table)
+    assert sorted(map(str, lake.transfer_matches.collect())) == sorted(map(str, plain.collect()))
