@@ -15,7 +15,7 @@ from ledgerloom.functions.text import CLEAN_DESCRIPTION_PATTERN, clean_descripti
 from ledgerloom.operators import nearest
 from ledgerloom.operators.membership import may_match
 from ledgerloom.operators.tolerance_join import bucket, reached
-from ledgerloom.plans import gold, rebuild, silver, sinks, transfers
+from ledgerloom.plans import gold, ingest, rebuild, silver, sinks, transfers
 from ledgerloom.plans.context import Lake
 from ledgerloom.sources import fixtures
 from ledgerloom.streaming import inbox
@@ -431,3 +431,59 @@ def test_ids_are_worked_out_for_rows_at_live_spots_only(spark):
     assert "transaction_id" not in fact.columns
     plain = transfers.mutual_best(lake.fact_table)
     assert sorted(map(str, lake.transfer_matches.collect())) == sorted(map(str, plain.collect()))
+
+
+_HEADER = "holder string, bank string, product string, {} string, period_start date, period_end date"
+_DOCUMENT = (f"sha256 string, source_type string, source_id string, source_order int, kind string, "
+             f"accounts array<struct<header:struct<{_HEADER.format('account_number')}>,details:array<struct<amount:int>>>>, "
+             f"card struct<header:struct<{_HEADER.format('card_number_last4')}>,details:array<struct<amount:int>>>, issues array<string>")
+
+
+def _documents(spark):
+    day = dt.date(1995, 1, 31)
+    head = lambda name: ("h", name, "p", "A1234", day, day)
+    bank = lambda name: [(head(name), [(1,), (2,)])]
+    rows = [("aa", "local", "s1", 0, "bank", bank("one"), None, []), ("aa", "local", "s1#2", 1, "bank", bank("one"), None, []),
+            ("bb", "local", "s2", 0, "cc", None, (head("two"), [(1,), (2,), (3,)]), ["odd"]), ("cc", "local", "s3", 0, "multi", [], None, []),
+            ("dd", "local", "s4", 0, "cc", None, (head("known"), []), []), (None, "local", "s5", 0, "cc", None, (head("none"), []), []),
+            (None, "local", "s6", 0, "cc", None, (head("none"), []), []), ("not hex", "local", "s7", 0, "cc", None, (head("odd"), [(4,)]), []),
+            ("ee", "local", "s8", 0, None, None, None, []), ("ff", "local", None, 0, "cc", None, (head("no id"), [(4,)]), [])]
+    return spark.createDataFrame(rows, _DOCUMENT), spark.createDataFrame([("dd",), (None,)], "sha256 string")
+
+
+def test_received_documents_are_shuffled_once_for_what_is_known_of_their_hash(spark):
+    documents, prior = _documents(spark)
+    first = ingest.first_copies(documents, prior)
+    assert {(r.sha256, r.source_id) for r in first.collect()} == {("aa", "s1"), ("bb", "s2"), ("cc", "s3"), (None, "s5"), ("not hex", "s7"), ("ff", None)}
+    result = ingest.statement_ingest_result(documents, first, prior)
+    assert _optimized(result).count("Join LeftOuter") == 1
+    got = {(r.source_id, r.sha256): (r.was_finance_doc, r.was_new_row, r.bank, r.last4, r.validation_issues) for r in result.collect()}
+    assert got == {("s1", "aa"): (True, True, "one", "1234", []), ("s1#2", "aa"): (True, False, None, None, []),
+                   ("s2", "bb"): (True, True, "two", "1234", ["odd"]), ("s3", "cc"): (False, False, None, None, ["multi_account_no_accounts"]),
+                   ("s4", "dd"): (True, False, None, None, []), ("s5", None): (True, False, None, None, []), ("s6", None): (True, False, None, None, []),
+                   ("s7", "not hex"): (True, True, "odd", "1234", []), ("s8", None): (False, False, None, None, []), (None, "ff"): (True, False, None, None, [])}
+
+
+def test_card_headers_are_picked_without_their_details(spark):
+    documents, prior = _documents(spark)
+    slim = ingest.first_copies(ingest.card_headers(documents), prior)
+    assert slim.schema["card"].dataType.names == ["header", "n_details"]
+    plain, counted = (ingest.bronze_cc_statements(f).select("sha256", "source_id", "bank", "n_details", "validation_issues")
+                      for f in (ingest.first_copies(documents, prior), slim))
+    assert sorted(map(str, counted.collect())) == sorted(map(str, plain.collect()))
+    assert {(r.sha256, r.n_details) for r in counted.collect()} == {("bb", 3), (None, 0), ("not hex", 1), ("ff", 1)}
+
+
+def test_details_are_packed_once_a_row(spark):
+    """A filter of hashes that are not null stays above the packing."""
+    lake = Lake(spark, SMALL)
+    assert not [line for line in _optimized(lake.statement_documents).split("\n") if "Filter" in line and "unhex" in line]
+
+
+def test_repeated_documents_are_looked_for_once_for_all_tables(spark):
+    docs = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 3, "z"), (None, 4, "n")], "sha256 string, row bigint, body string")
+    dropped = spark.createDataFrame([("a", 2), (None, 4)], "sha256 string, row bigint")
+    written = {}
+    good = rebuild.without_rows(docs, dropped, lambda name, df: written.setdefault(name, df))
+    assert list(written) == ["asked"] and "body" in written["asked"].columns
+    assert sorted(r.body for r in good.collect()) == ["x", "z"]
