@@ -467,6 +467,7 @@ def test_received_documents_are_shuffled_once_for_what_is_known_of_their_hash(sp
 def test_card_headers_are_picked_without_their_details(spark):
     documents, prior = _documents(spark)
     slim = ingest.first_copies(ingest.card_headers(documents), prior)
+    assert ingest.card_headers(documents).count() == documents.count()  # copies are told by the hash alone, whatever the kind
     assert slim.schema["card"].dataType.names == ["header", "n_details"]
     plain, counted = (ingest.bronze_cc_statements(f).select("sha256", "source_id", "bank", "n_details", "validation_issues")
                       for f in (ingest.first_copies(documents, prior), slim))
